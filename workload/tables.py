@@ -107,3 +107,92 @@ rep_rows AS (
          sum(l_quantity * (CASE WHEN ((l_orderkey*31 + l_linenumber*17 + r*7) % 97) % 2 = 0
                                 THEN 1.5 ELSE 0.5 END)) AS rep
   FROM lineitem, range(1, 81) AS t(r) GROUP BY 1, 2, 3)"""
+
+
+# --- areas with variables -----------------------------------------------------------------
+
+
+def survey(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Area estimates as text, tracts and counties: codes for missing values included."""
+    customer, nation = table(spark, sf_dir, "customer"), table(spark, sf_dir, "nation")
+    county = nation.select(
+        F.col("n_nationkey").alias("k"),
+        text("n_regionkey", 2).alias("state"),
+        text("n_nationkey", 3).alias("county"),
+        F.col("n_name").alias("county_name"),
+    )
+    whole = F.round(F.col("c_acctbal")).cast("long")
+    tracts = customer.join(county, F.col("c_nationkey") == F.col("k")).select(
+        F.lit("tract").alias("level"),
+        "state",
+        "county",
+        text("c_custkey", 10).alias("tract"),
+        F.concat(F.lit("1400000US"), "state", "county", text("c_custkey", 10)).alias("GEO_ID"),
+        F.concat_ws(", ", "c_name", "county_name").alias("NAME"),
+        F.when(F.col("c_custkey") % 11 == 0, F.lit("-666666666"))
+        .otherwise(whole.cast("string"))
+        .alias("B001_001E"),
+        F.length("c_mktsegment").cast("string").alias("B001_002E"),
+        F.col("c_mktsegment").alias("B002_001E"),
+    )
+    counties = county.select(
+        F.lit("county").alias("level"),
+        "state",
+        "county",
+        F.lit(None).cast("string").alias("tract"),
+        F.concat(F.lit("0500000US"), "state", "county").alias("GEO_ID"),
+        F.col("county_name").alias("NAME"),
+        (F.col("k") * 100).cast("string").alias("B001_001E"),
+        F.col("k").cast("string").alias("B001_002E"),
+        F.lit("county").alias("B002_001E"),
+    )
+    return tracts.unionByName(counties)
+
+
+SURVEY_SQL = """
+survey AS (
+  SELECT 'tract' AS level, lpad(n_regionkey::varchar, 2, '0') AS state,
+         lpad(n_nationkey::varchar, 3, '0') AS county, lpad(c_custkey::varchar, 10, '0') AS tract,
+         '1400000US' || lpad(n_regionkey::varchar, 2, '0') || lpad(n_nationkey::varchar, 3, '0')
+           || lpad(c_custkey::varchar, 10, '0') AS "GEO_ID",
+         c_name || ', ' || n_name AS "NAME",
+         CASE WHEN c_custkey % 11 = 0 THEN '-666666666' ELSE round(c_acctbal)::bigint::varchar END AS "B001_001E",
+         length(c_mktsegment)::varchar AS "B001_002E", c_mktsegment AS "B002_001E"
+  FROM customer JOIN nation ON c_nationkey = n_nationkey
+  UNION ALL
+  SELECT 'county', lpad(n_regionkey::varchar, 2, '0'), lpad(n_nationkey::varchar, 3, '0'), NULL,
+         '0500000US' || lpad(n_regionkey::varchar, 2, '0') || lpad(n_nationkey::varchar, 3, '0'),
+         n_name, (n_nationkey * 100)::varchar, n_nationkey::varchar, 'county'
+  FROM nation)"""
+
+
+def dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A variable dictionary; every fifth table is a crosstab, table 3 has two concepts."""
+    part, key = table(spark, sf_dir, "part"), F.col("p_partkey")
+    number = key % 40
+    stem = F.concat(
+        F.lit("B"), text(number, 5), F.when(number % 5 == 4, F.lit("A")).otherwise(F.lit(""))
+    )
+    order = F.floor(key / F.lit(40.0)).cast("long")
+    second = (number == 3) & (order % 2 == 1)
+    return part.select(
+        F.concat(stem, F.lit("_"), text(order, 9), F.lit("E")).alias("name"),
+        F.col("p_name").alias("label"),
+        F.concat(F.lit("Topic "), number.cast("string"), F.when(second, F.lit(" b")).otherwise(F.lit(""))).alias(
+            "concept"
+        ),
+        stem.alias("group"),
+        F.when(F.col("p_size") == 1, F.lit("true")).alias("required"),
+    )
+
+
+DICTIONARY_SQL = """
+parts AS (SELECT *, p_partkey % 40 AS num, floor(p_partkey / 40.0e0)::bigint AS ord FROM part),
+dictionary AS (
+  SELECT 'B' || lpad(num::varchar, 5, '0') || CASE WHEN num % 5 = 4 THEN 'A' ELSE '' END
+           || '_' || lpad(ord::varchar, 9, '0') || 'E' AS name,
+         p_name AS label,
+         'Topic ' || num::varchar || CASE WHEN num = 3 AND ord % 2 = 1 THEN ' b' ELSE '' END AS concept,
+         'B' || lpad(num::varchar, 5, '0') || CASE WHEN num % 5 = 4 THEN 'A' ELSE '' END AS "group",
+         CASE WHEN p_size = 1 THEN 'true' END AS required
+  FROM parts)"""
