@@ -18,6 +18,11 @@ EARTH_RADIUS = 6378137.0
 LONGITUDE_LATITUDE, WEB_MERCATOR = 4326, 3857
 
 
+def bind(value: Column, body) -> Column:
+    """``body(value)`` with the value evaluated once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 # --- edges and areas ----------------------------------------------------------------------
 
 
@@ -213,58 +218,49 @@ def interior_points(rings: Column | str) -> Column:
     part's outer ring to the next meeting with any ring. A shape of a single point gives
     that point.
     """
-    rings = col(rings)
-    edge_list = edges(rings)
-    heights = F.array_sort(F.array_distinct(F.transform(F.flatten(rings), lambda p: p["y"])))
-    gaps = F.zip_with(
-        F.slice(heights, 1, F.greatest(F.size(heights) - 1, F.lit(0))),
-        F.slice(heights, 2, F.greatest(F.size(heights) - 1, F.lit(0))),
-        lambda a, b: F.struct((b - a).alias("gap"), a.alias("low"), b.alias("high")),
-    )
-
-    def meetings(list_of_edges: Column, y: Column) -> Column:
-        met = F.filter(list_of_edges, lambda e: (e["y1"] > y) != (e["y2"] > y))
-        return F.array_sort(
-            F.transform(
-                met,
-                lambda e: e["x1"]
-                + F.try_divide((y - e["y1"]) * (e["x2"] - e["x1"]), e["y2"] - e["y1"]),
-            )
+    def meetings(edge_list: Column, y: Column) -> Column:
+        met = F.filter(edge_list, lambda e: (e["y1"] > y) != (e["y2"] > y))
+        return F.transform(
+            met,
+            lambda e: e["x1"] + F.try_divide((y - e["y1"]) * (e["x2"] - e["x1"]), e["y2"] - e["y1"]),
         )
 
-    def point(shell: Column) -> Column:
-        low = F.array_min(F.transform(shell, lambda p: p["y"]))
-        high = F.array_max(F.transform(shell, lambda p: p["y"]))
-        widest = F.array_max(F.filter(gaps, lambda g: (g["low"] >= low) & (g["high"] <= high)))
-        # F.transform over a single element binds the height once
-        return F.get(
-            F.transform(
-                F.array((widest["low"] + widest["high"]) / 2.0),
-                lambda y: F.get(
-                    F.transform(
-                        F.array(F.array_min(meetings(ring_edges(shell), y))),
-                        lambda left: F.struct(
-                            (
-                                (
-                                    left
-                                    + F.array_min(F.filter(meetings(edge_list, y), lambda x: x > left))
-                                )
-                                / 2.0
-                            ).alias("x"),
-                            y.alias("y"),
-                        ),
-                    ),
-                    F.lit(0),
-                ),
+    def widest_gap(heights: Column, shell: Column) -> Column:
+        ys = F.transform(shell, lambda p: p["y"])
+        own = bind(
+            F.struct(F.array_min(ys).alias("low"), F.array_max(ys).alias("high")),
+            lambda b: F.filter(heights, lambda y: (y >= b["low"]) & (y <= b["high"])),
+        )
+        gaps = bind(
+            own,
+            lambda hs: F.zip_with(
+                hs,
+                F.slice(hs, 2, F.greatest(F.size(hs) - 1, F.lit(0))),
+                lambda a, b: F.struct((b - a).alias("gap"), ((a + b) / 2.0).alias("y")),
             ),
-            F.lit(0),
         )
+        return F.array_max(gaps)["y"]
 
-    single = F.flatten(rings)
-    alone = F.array(
-        F.struct(
-            F.get(single, F.lit(0))["x"].alias("x"), F.get(single, F.lit(0))["y"].alias("y")
+    def point(edge_list: Column, heights: Column, shell: Column) -> Column:
+        def at(y: Column) -> Column:
+            def halfway(left: Column) -> Column:
+                right = F.array_min(F.filter(meetings(edge_list, y), lambda x: x > left))
+                return F.struct(((left + right) / 2.0).alias("x"), y.alias("y"))
+
+            return bind(F.array_min(meetings(ring_edges(shell), y)), halfway)
+
+        return bind(widest_gap(heights, shell), at)
+
+    def of_shape(edge_list: Column) -> Column:
+        heights = F.array_sort(F.array_distinct(F.transform(edge_list, lambda e: e["y1"])))
+        outer = F.when(F.size(rings) == 1, rings).otherwise(shells(rings))
+        return bind(
+            heights, lambda hs: F.transform(outer, lambda shell: point(edge_list, hs, shell))
         )
-    )
-    found = F.filter(F.transform(shells(rings), point), lambda p: p["x"].isNotNull())
-    return F.when(F.size(single) == 1, alone).otherwise(found)
+
+    rings = col(rings)
+    first = F.get(F.get(rings, F.lit(0)), F.lit(0))
+    alone = F.array(F.struct(first["x"].alias("x"), first["y"].alias("y")))
+    is_point = (F.size(rings) == 1) & (F.size(F.get(rings, F.lit(0))) == 1)
+    found = F.filter(bind(edges(rings), of_shape), lambda p: p["x"].isNotNull())
+    return F.when(is_point, alone).otherwise(found)

@@ -19,7 +19,7 @@ from arealis.functions.numbers import col
 
 Ring = Sequence[tuple[float, float]]
 
-_LOWEST, _HIGHEST = -40, 60  # cell levels: sides from 2^-40 to 2^60
+_LOWEST, _HIGHEST = -20, 60  # cell levels: sides from 2^-20 to 2^60
 SALTS = 8
 BANDS = 32
 
@@ -90,9 +90,9 @@ def areas_in_box(
 def _level(box: Column) -> Column:
     """Lowest level whose cells are at least as long as the box."""
     extent = F.greatest(box["xmax"] - box["xmin"], box["ymax"] - box["ymin"])
-    exact = F.ceil(F.log2(F.when(extent > 0, extent))).cast("int")
+    exact = F.ceil(F.log2(extent)).cast("int")
     bounded = F.greatest(F.lit(_LOWEST), F.least(F.lit(_HIGHEST), exact))
-    return F.coalesce(bounded, F.lit(_LOWEST))
+    return F.when(extent > 0, bounded).otherwise(_LOWEST)
 
 
 def _cell(value: Column, level: Column) -> Column:
@@ -105,17 +105,22 @@ def _levels_of(df: DataFrame) -> Column:
 
 
 def box_pairs(
-    left: DataFrame, right: DataFrame, on: Sequence[str] = (), salts: int = SALTS
+    left: DataFrame,
+    right: DataFrame,
+    on: Sequence[str] = (),
+    salts: int = SALTS,
+    points: bool = False,
 ) -> DataFrame:
     """Pairs of rows whose closed boxes meet: ``(*on, left.*, right.*)``, each pair once.
 
     Both sides have a struct ``box``; other column names must differ but for the keys
     ``on``, which have to be equal. A pair is met on the level of its larger box, in the
     cell that holds the lower left corner of the overlap. The left side should be the
-    larger one: it is salted, the right side is copied to each salt.
+    larger one: it is salted, the right side is copied to each salt. ``points`` tells that
+    the left boxes are points, whose level is known without looking.
     """
 
-    def celled(df: DataFrame, other: DataFrame, side: str) -> DataFrame:
+    def celled(df: DataFrame, others: Column, side: str) -> DataFrame:
         names = [c for c in df.columns if c not in ("box", *on)]
         level = F.col(f"_k{side}")
         out = df.select(
@@ -123,7 +128,7 @@ def box_pairs(
             *names,
             F.col("box").alias(f"_{side}"),
             _level(F.col("box")).alias(f"_k{side}"),
-            _levels_of(other).alias("_other"),
+            others.alias("_other"),
         )
         higher = F.filter("_other", lambda v: v > level)
         out = out.withColumn("_k", F.explode(F.concat(F.array(level), higher))).drop("_other")
@@ -135,10 +140,11 @@ def box_pairs(
 
     # the salt depends on the row alone, so a task that runs again sends it to the same place
     keys = [c for c in left.columns if c != "box"]
-    salted = celled(left, right, "l").withColumn(
+    salted = celled(left, _levels_of(right), "l").withColumn(
         "_salt", F.pmod(F.xxhash64(*keys), F.lit(salts)).cast("int")
     )
-    copied = celled(right, left, "r").withColumn(
+    lowest = F.array(F.lit(_LOWEST)) if points else _levels_of(left)
+    copied = celled(right, lowest, "r").withColumn(
         "_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
     )
     joined = salted.join(copied, [*on, "_k", "_cx", "_cy", "_salt"])
@@ -251,8 +257,7 @@ def _edge_tests(rings: Column, box: Column, e: Column) -> Column:
     """
     tolerance = shapes.tolerance_of(box)
 
-    def test(edge_list: Column) -> Column:
-        cuts = _cuts(edge_list, e, tolerance)
+    def test(edge_list: Column, cuts: Column) -> Column:
         middles = F.zip_with(
             F.slice(cuts, 1, F.size(cuts) - 1),
             F.slice(cuts, 2, F.size(cuts) - 1),
@@ -267,10 +272,15 @@ def _edge_tests(rings: Column, box: Column, e: Column) -> Column:
 
         near = lambda t: shapes.on_edges(edge_list, x(t), y(t), tolerance)
         enters = F.exists(middles, lambda t: shapes.inside(edge_list, x(t), y(t)) & ~near(t))
-        return F.struct(enters.alias("enters"), (enters | F.exists(cuts, near)).alias("touches"))
-
-    # binds the edge list once
-    return F.get(F.transform(F.array(shapes.edges(rings)), test), F.lit(0))
+        return F.struct(enters.alias("enters"), F.exists(cuts, near).alias("touches"))
+
+    # lambdas over one element bind the edges and the cuts once
+    return shapes.bind(
+        shapes.edges(rings),
+        lambda edge_list: shapes.bind(
+            _cuts(edge_list, e, tolerance), lambda cuts: test(edge_list, cuts)
+        ),
+    )
 
 
 def relate(
@@ -308,18 +318,21 @@ def relate(
     )
 
     # a point of each part of the area, in the outlines whose box holds it
-    inner = left.select("_area", shapes.interior_points("rings").alias("ps"))
-    parts = inner.select("_area", F.size("ps").alias("parts"), F.posexplode("ps").alias("part", "p"))
-    x, y = F.col("p.x"), F.col("p.y")
-    spots = parts.select(
-        "_area",
-        "parts",
-        "part",
-        x.alias("x"),
-        y.alias("y"),
-        F.struct(x.alias("xmin"), y.alias("ymin"), x.alias("xmax"), y.alias("ymax")).alias("box"),
+    numbered = shapes.bind(
+        shapes.interior_points("rings"),
+        lambda ps: F.transform(
+            ps,
+            lambda p, i: F.struct(
+                F.size(ps).alias("parts"), i.alias("part"), p["x"].alias("x"), p["y"].alias("y")
+            ),
+        ),
+    )
+    x, y = F.col("x"), F.col("y")
+    spots = left.select("_area", F.inline(numbered)).withColumn(
+        "box",
+        F.struct(x.alias("xmin"), y.alias("ymin"), x.alias("xmax"), y.alias("ymax")),
     )
-    near = box_pairs(spots, boxed_right, salts=salts)
+    near = box_pairs(spots, boxed_right, salts=salts, points=True)
     hits = points_inside(near, right, ["_outline"], salts=salts)
     contained = hits.groupBy(*both).agg((F.count("*") == F.max("parts")).alias("whole"))
 
@@ -335,11 +348,16 @@ def relate(
     crossing = box_pairs(
         boxed_left, segments.select("_outline", "e", segment_box.alias("box")), salts=salts
     )
+    is_point = (F.size("rings") == 1) & (F.size(F.get("rings", F.lit(0))) == 1)
     tested = crossing.join(left, "_area").select(
-        *both, _edge_tests(F.col("rings"), F.col("left_box"), e).alias("t")
+        *both,
+        is_point.alias("is_point"),
+        _edge_tests(F.col("rings"), F.col("left_box"), e).alias("t"),
     )
     flags = tested.groupBy(*both).agg(
-        F.bool_or("t.enters").alias("enters"), F.bool_or("t.touches").alias("touches")
+        # a point on an edge of the outline is not within it
+        F.bool_or(F.col("t.enters") | (F.col("is_point") & F.col("t.touches"))).alias("enters"),
+        F.bool_or(F.col("t.enters") | F.col("t.touches")).alias("touches"),
     )
     if relation == "within":
         entered = flags.where("enters").select(*both)

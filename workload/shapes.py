@@ -152,3 +152,134 @@ def _(spark, sf):
 )
 def _(spark, sf):
     return spatial.total_bounds(areas(spark, sf))
+
+
+# --- rings ---------------------------------------------------------------------------------
+
+
+def nested(spark, sf):
+    """Per customer eight-fold geometry: by its number one of four kinds, rings shuffled.
+
+    0 a box, 1 a box with a hole, 2 two boxes, 3 an outer box with a hole that holds an
+    inner box with a hole, the holes listed after both boxes, inner one first.
+    """
+    customer, key = table(spark, sf, "customer"), F.col("c_custkey")
+    x, y = ((key * 37) % 480).cast("double"), ((key * 53) % 470).cast("double")
+
+    def box(inset, turn=True, shift=0.0):
+        return shapes.box_rings(x + inset + shift, y + inset, x + 80 - inset + shift, y + 80 - inset, turn)
+
+    outer, hole, inner, pit = box(0), box(10, False), box(20), box(30, False)
+    rings = (
+        F.when(key % 4 == 0, F.array(outer))
+        .when(key % 4 == 1, F.array(outer, hole))
+        .when(key % 4 == 2, F.array(outer, box(0, True, 100.0)))
+        .otherwise(F.array(outer, inner, pit, hole))
+    )
+    return customer.select(key.alias("fid"), rings.alias("rings"))
+
+
+@query(
+    "rings_assembled",
+    """SELECT c_custkey AS fid, CASE c_custkey % 4 WHEN 0 THEN 'Polygon' WHEN 1 THEN 'Polygon with Holes'
+      WHEN 2 THEN 'MultiPolygon' ELSE 'MultiPolygon with Holes' END AS kind,
+    CASE c_custkey % 4 WHEN 0 THEN '80' WHEN 1 THEN '80,60' WHEN 2 THEN '80;80' ELSE '80,60;40,20' END AS sides
+    FROM customer""",
+)
+def _(spark, sf):
+    from arealis.operators import rings
+
+    out = rings.assemble(nested(spark, sf), "fid")
+
+    def side(ring):
+        xs = F.transform(ring, lambda p: p["x"])
+        return (F.array_max(xs) - F.array_min(xs)).cast("long").cast("string")
+
+    sides = F.transform("parts", lambda part: F.array_join(F.transform(part, side), ","))
+    return out.select("fid", "kind", F.array_join(sides, ";").alias("sides"))
+
+
+@query(
+    "shell_order",
+    """SELECT c_custkey AS fid, ring::int AS ring, CASE WHEN c_custkey % 4 = 3 AND ring = 0 THEN 1 ELSE 0 END::bigint AS holds,
+      CASE WHEN c_custkey % 4 < 2 THEN 1 WHEN c_custkey % 4 = 2 THEN ring + 1 ELSE 2 - ring END::int AS rank
+    FROM customer, (VALUES (0), (1)) AS t(ring) WHERE ring = 0 OR c_custkey % 4 >= 2""",
+)
+def _(spark, sf):
+    from arealis.operators import rings
+
+    return rings.shell_order(rings.ring_table(nested(spark, sf), "fid"), "fid")
+
+
+@query(
+    "ring_turns_and_areas",
+    """SELECT c_custkey AS fid, CASE c_custkey % 4 WHEN 0 THEN 'true' WHEN 1 THEN 'true,false' WHEN 2 THEN 'true,true'
+      ELSE 'true,true,false,false' END AS turns,
+    CASE c_custkey % 4 WHEN 0 THEN 6400 WHEN 1 THEN 2800 WHEN 2 THEN 12800 ELSE 4000 END::double AS area FROM customer""",
+)
+def _(spark, sf):
+    turns = F.transform(shapes.ring_turns("rings"), lambda t: t.cast("string"))
+    areas_ = F.aggregate("rings", F.lit(0.0), lambda acc, r: acc - shapes.signed_area(r))
+    return nested(spark, sf).select("fid", F.array_join(turns, ",").alias("turns"), areas_.alias("area"))
+
+
+@query(
+    "features_read",
+    """SELECT s_suppkey::varchar AS "GEOID", s_name AS "NAME", 3857 AS srid,
+      CASE s_suppkey % 3 WHEN 0 THEN 'MultiPolygon' WHEN 1 THEN 'MultiLineString' ELSE 'Point' END AS kind,
+      CASE s_suppkey % 3 WHEN 0 THEN 4 WHEN 1 THEN 2 ELSE 1 END AS points,
+      s_suppkey + 0.25e0 AS x FROM supplier""",
+)
+def _(spark, sf):
+    from arealis.sources import features
+    from workload.landing import land_text
+
+    key = F.col("s_suppkey")
+    x, y = key + 0.25, key + 0.5
+    corners = F.array(F.array(x, y), F.array(x, y + 9), F.array(x + 9, y + 9), F.array(x + 9, y))
+    kind = key % 3
+    geometry = F.struct(
+        F.when(kind == 0, F.array(corners)).alias("rings"),
+        F.when(kind == 1, F.array(F.slice(corners, 1, 2))).alias("paths"),
+        F.when(kind == 2, x).alias("x"),
+        F.when(kind == 2, y).alias("y"),
+    )
+    attributes = F.struct(key.cast("string").alias("GEOID"), F.col("s_name").alias("NAME"))
+    layer = F.struct(
+        F.when(kind == 0, "esriGeometryPolygon")
+        .when(kind == 1, "esriGeometryPolyline")
+        .otherwise("esriGeometryPoint")
+        .alias("geometryType"),
+        F.struct(F.lit(102100).alias("wkid"), F.lit(3857).alias("latestWkid")).alias("spatialReference"),
+        F.array(F.struct(attributes.alias("attributes"), geometry.alias("geometry"))).alias("features"),
+    )
+    docs = table(spark, sf, "supplier").select(F.to_json(layer).alias("value"))
+    path = land_text(docs, spark, "features")
+    df = features.read_features(spark, path, {"GEOID": "string", "NAME": "string"}, per_line=True)
+    points = F.flatten("geometry.rings")
+    return df.select(
+        "GEOID", "NAME", "srid", "geometry.kind", F.size(points).alias("points"), F.get(points, F.lit(0))["x"].alias("x")
+    )
+
+
+@query(
+    "reprojected_and_rounded",
+    f"""WITH {SHAPES_SQL} SELECT aid, round(degrees(ax * 1000 / 6378137.0), 6) AS lon,
+      round(degrees(2 * atan(exp(ay * 1000 / 6378137.0)) - pi() / 2), 6) AS lat,
+      ax + 0.3 AS x_back FROM a""",
+)
+def _(spark, sf):
+    df = areas(spark, sf)
+    metres = F.transform(
+        "rings",
+        lambda r: F.transform(r, lambda p: F.struct((p["x"] * 1000).alias("x"), (p["y"] * 1000).alias("y"))),
+    )
+    moved = df.withColumn("m", metres).withColumn("ll", shapes.reproject("m", 3857, 4326))
+    there = shapes.round_points(shapes.reproject("ll", 4326, 3857), 2)
+    first = lambda c: F.get(F.get(c, F.lit(0)), F.lit(0))
+    return moved.withColumn("back", there).select(
+        "aid",
+        F.round(first("ll")["x"], 6).alias("lon"),
+        F.round(first("ll")["y"], 6).alias("lat"),
+        (first("back")["x"] / 1000 + 0.3).alias("x_back"),
+    )
