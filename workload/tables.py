@@ -74,14 +74,19 @@ shares AS (
 
 
 def replicate_lines(spark: SparkSession, sf_dir: str, *keys: Column) -> DataFrame:
-    """One row per line item: keys, ``est`` and 80 replicates of its quantity."""
+    """Keys, ``est`` and 80 replicates of the quantity of line items.
+
+    The weight of a replicate depends on the variance class of a line item (97 classes),
+    so the quantities are summed by key and class before they are weighted.
+    """
     line = table(spark, sf_dir, "lineitem")
-    mix = F.col("l_orderkey") * 31 + F.col("l_linenumber") * 17
-    reps = [
-        F.col("l_quantity") * F.when(((mix + r * 7) % 97) % 2 == 0, 1.5).otherwise(0.5)
-        for r in range(1, 81)
-    ]
-    return line.select(*keys, F.col("l_quantity").alias("est"), F.array(*reps).alias("reps"))
+    mix = (F.col("l_orderkey") * 31 + F.col("l_linenumber") * 17) % 97
+    classes = line.groupBy(*keys, mix.cast("int").alias("class")).agg(
+        F.sum("l_quantity").alias("est")
+    )
+    reps = "transform(sequence(1, 80), r -> est * (1.5D - ((class + r * 7) % 97) % 2)) AS reps"
+    names = [c for c in classes.columns if c not in ("class", "est")]
+    return classes.select(*names, "est", F.expr(reps))
 
 
 def replicate_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
