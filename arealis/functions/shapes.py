@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -264,3 +266,62 @@ def interior_points(rings: Column | str) -> Column:
     is_point = (F.size(rings) == 1) & (F.size(F.get(rings, F.lit(0))) == 1)
     found = F.filter(bind(edges(rings), of_shape), lambda p: p["x"].isNotNull())
     return F.when(is_point, alone).otherwise(found)
+
+
+# --- simplification -------------------------------------------------------------------------------
+
+
+def _kept(x: np.ndarray, y: np.ndarray, offset: float) -> np.ndarray:
+    """Points of one line that stay when no dropped point may lie farther than ``offset``
+    from the line through its kept neighbours."""
+    keep = np.zeros(len(x), dtype=bool)
+    keep[[0, -1]] = True
+    spans = [(0, len(x) - 1)]
+    while spans:
+        a, b = spans.pop()
+        if b - a < 2:
+            continue
+        px, py = x[a + 1 : b] - x[a], y[a + 1 : b] - y[a]
+        dx, dy = x[b] - x[a], y[b] - y[a]
+        length = math.hypot(dx, dy)
+        distance = np.abs(px * dy - py * dx) / length if length > 0 else np.hypot(px, py)
+        far = int(distance.argmax())
+        if distance[far] > offset:
+            keep[a + 1 + far] = True
+            spans += [(a, a + 1 + far), (a + 1 + far, b)]
+    return keep
+
+
+def simplify(rings: Column | str, offset: float, closed: bool = True) -> Column:
+    """Drop points that lie within ``offset`` of the simplified line.
+
+    A closed ring keeps at least three points, its first one among them.
+    """
+
+    def of_ring(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        x, y = np.asarray(x, dtype=float), np.asarray(y, dtype=float)
+        if len(x) < 3:
+            return np.ones(len(x), dtype=bool)
+        if not closed:
+            return _kept(x, y, offset)
+        keep = _kept(np.append(x, x[0]), np.append(y, y[0]), offset)[:-1]
+        if keep.sum() < 3:  # the ring would collapse: keep its farthest points
+            far = int(np.hypot(x - x[0], y - y[0]).argmax())
+            off = np.abs((x - x[0]) * (y[far] - y[0]) - (y - y[0]) * (x[far] - x[0]))
+            keep[[0, far, int(off.argmax())]] = True
+        return keep
+
+    @F.pandas_udf("array<array<boolean>>")
+    def masks(xs: pd.Series, ys: pd.Series) -> pd.Series:
+        return pd.Series(
+            [[of_ring(x, y) for x, y in zip(rx, ry)] for rx, ry in zip(xs, ys)], dtype=object
+        )
+
+    rings = col(rings)
+    xs = F.transform(rings, lambda r: F.transform(r, lambda p: p["x"]))
+    ys = F.transform(rings, lambda r: F.transform(r, lambda p: p["y"]))
+    return F.zip_with(
+        rings,
+        masks(xs, ys),
+        lambda ring, mask: F.filter(ring, lambda p, i: F.get(mask, i)),
+    )

@@ -84,6 +84,16 @@ def split_query(name: str) -> tuple[str, str | None]:
     return parts[0].strip().lower(), state
 
 
+def best_name(names: list[str], wanted: str) -> int:
+    """Position of the best match in a short list of names (layers, levels)."""
+    name, state = split_query(wanted)
+    pool = [i for i, n in enumerate(names) if state is None or n.lower().endswith(state)]
+    if not pool:
+        raise ValueError(f"no name in {names} matches {wanted!r}")
+    rank = lambda i: (partial_score(name, names[i].lower()), full_score(name, names[i].lower()), -i)
+    return max(pool, key=rank)
+
+
 def score_columns(target: Column, name: str) -> Column:
     """Struct of partial and full score of each target against one fixed name."""
     schema = T.StructType(
