@@ -2,6 +2,10 @@
 
 Outer rings run clockwise, holes counter-clockwise. Whether a ring repeats its first
 point at the end does not matter.
+
+Names that end in ``_sql`` give SQL text and take SQL text (a column name, a lambda
+variable, any expression): nested lambdas read better that way, and the plan is built in
+one step. The others give Columns.
 """
 
 from __future__ import annotations
@@ -20,59 +24,60 @@ EARTH_RADIUS = 6378137.0
 LONGITUDE_LATITUDE, WEB_MERCATOR = 4326, 3857
 
 
-def bind(value: Column, body) -> Column:
-    """``body(value)`` with the value evaluated once, however often the body names it."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
+def bind_sql(value: str, name: str, body: str) -> str:
+    """``body`` with ``name`` bound to the value, which is evaluated once."""
+    return f"get(transform(array({value}), {name} -> {body}), 0)"
 
 
 # --- edges and areas ----------------------------------------------------------------------
 
 
-def ring_edges(ring: Column) -> Column:
+def ring_edges_sql(ring: str) -> str:
     """Consecutive points of a ring as ``struct(x1, y1, x2, y2)``, the closing edge included."""
-    ahead = F.concat(F.slice(ring, 2, F.greatest(F.size(ring) - 1, F.lit(0))), F.slice(ring, 1, 1))
-    return F.zip_with(
-        ring,
-        ahead,
-        lambda a, b: F.struct(
-            a["x"].alias("x1"), a["y"].alias("y1"), b["x"].alias("x2"), b["y"].alias("y2")
-        ),
-    )
+    ahead = f"concat(slice({ring}, 2, greatest(size({ring}) - 1, 0)), slice({ring}, 1, 1))"
+    edge = "named_struct('x1', pa.x, 'y1', pa.y, 'x2', pb.x, 'y2', pb.y)"
+    return f"zip_with({ring}, {ahead}, (pa, pb) -> {edge})"
 
 
-def edges(rings: Column | str) -> Column:
-    return F.flatten(F.transform(col(rings), ring_edges))
+def edges_sql(rings: str) -> str:
+    return f"flatten(transform({rings}, er -> {ring_edges_sql('er')}))"
 
 
-def signed_area(ring: Column) -> Column:
+def signed_area_sql(ring: str) -> str:
     """Shoelace sum, positive for a counter-clockwise ring. Taken relative to the first
     point, so that large coordinates do not swallow small shapes."""
-    x0, y0 = F.get(ring, F.lit(0))["x"], F.get(ring, F.lit(0))["y"]
-    total = F.aggregate(
-        ring_edges(ring),
-        F.lit(0.0),
-        lambda acc, e: acc + (e["x1"] - x0) * (e["y2"] - y0) - (e["x2"] - x0) * (e["y1"] - y0),
-    )
-    return total / 2.0
+    step = "(ae.x1 - p0.x) * (ae.y2 - p0.y) - (ae.x2 - p0.x) * (ae.y1 - p0.y)"
+    total = f"aggregate({ring_edges_sql(ring)}, 0D, (acc, ae) -> acc + {step}) / 2D"
+    return bind_sql(f"get({ring}, 0)", "p0", total)
 
 
-def is_clockwise(ring: Column) -> Column:
-    return signed_area(ring) < 0
+def is_clockwise_sql(ring: str) -> str:
+    return f"({signed_area_sql(ring)} < 0)"
 
 
-def ring_turns(rings: Column | str) -> Column:
-    return F.transform(col(rings), is_clockwise)
+def shells_sql(rings: str) -> str:
+    """The clockwise rings; all rings where none is clockwise."""
+    outer = f"filter({rings}, sr -> {is_clockwise_sql('sr')})"
+    chosen = bind_sql(outer, "so", f"if(size(so) > 0, so, {rings})")
+    return f"if(size({rings}) = 1, {rings}, {chosen})"
 
 
-def shells(rings: Column | str) -> Column:
-    """The clockwise rings; all rings where none is clockwise."""
-    outer = F.filter(col(rings), is_clockwise)
-    return F.when(F.size(outer) > 0, outer).otherwise(col(rings))
+def edges(rings: str) -> Column:
+    return F.expr(edges_sql(rings))
+
 
+def ring_turns(rings: str) -> Column:
+    """For each ring, whether it is clockwise."""
+    return F.expr(f"transform({rings}, tr -> {is_clockwise_sql('tr')})")
 
-def polygon_kind(rings: Column | str) -> Column:
-    n = F.size(col(rings))
-    outer = F.size(F.filter(col(rings), is_clockwise))
+
+def covered_area(rings: str) -> Column:
+    """Area of the outer rings less that of the holes."""
+    return F.expr(f"aggregate({rings}, 0D, (ca, cr) -> ca - {signed_area_sql('cr')})")
+
+
+def polygon_kind(rings: str) -> Column:
+    n, outer = F.size(rings), F.expr(f"size(filter({rings}, kr -> {is_clockwise_sql('kr')}))")
     return (
         F.when(n <= 1, "Polygon")
         .when(outer == 1, "Polygon with Holes")
@@ -84,15 +89,11 @@ def polygon_kind(rings: Column | str) -> Column:
 # --- boxes -----------------------------------------------------------------------------------
 
 
-def bounds(rings: Column | str) -> Column:
-    points = F.flatten(col(rings))
-    xs, ys = F.transform(points, lambda p: p["x"]), F.transform(points, lambda p: p["y"])
-    return F.struct(
-        F.array_min(xs).alias("xmin"),
-        F.array_min(ys).alias("ymin"),
-        F.array_max(xs).alias("xmax"),
-        F.array_max(ys).alias("ymax"),
-    )
+def bounds(rings: str) -> Column:
+    body = """named_struct(
+        'xmin', array_min(transform(ps, p -> p.x)), 'ymin', array_min(transform(ps, p -> p.y)),
+        'xmax', array_max(transform(ps, p -> p.x)), 'ymax', array_max(transform(ps, p -> p.y)))"""
+    return F.expr(bind_sql(f"flatten({rings})", "ps", body))
 
 
 def box_text(box: Column) -> Column:
@@ -100,6 +101,7 @@ def box_text(box: Column) -> Column:
 
 
 def box_rings(xmin: Column, ymin: Column, xmax: Column, ymax: Column, clockwise=True) -> Column:
+    """The ring of a box."""
     corners = [(xmin, ymin), (xmin, ymax), (xmax, ymax), (xmax, ymin)]
     if not clockwise:
         corners.reverse()
@@ -159,60 +161,62 @@ def reproject(rings: Column | str, source: int, target: int) -> Column:
 # --- position of points and segments -----------------------------------------------------------
 
 
-def crosses_ray(e: Column, x: Column, y: Column) -> Column:
+def crosses_ray_sql(e: str, x: str, y: str) -> str:
     """Does the edge meet the ray from the point to the right? Ends count half-open, so
     that a vertex on the ray is met once."""
-    spans = (e["y1"] > y) != (e["y2"] > y)
-    at = e["x1"] + F.try_divide((y - e["y1"]) * (e["x2"] - e["x1"]), e["y2"] - e["y1"])
-    return F.when(spans, x < at).otherwise(F.lit(False))
+    spans = f"({e}.y1 > {y}) <> ({e}.y2 > {y})"
+    at = f"{e}.x1 + try_divide(({y} - {e}.y1) * ({e}.x2 - {e}.x1), {e}.y2 - {e}.y1)"
+    return f"if({spans}, {x} < {at}, false)"
 
 
-def inside(edge_list: Column, x: Column, y: Column) -> Column:
+def inside_sql(edge_list: str, x: str, y: str) -> str:
     """Even-odd rule over the edges of all rings."""
-    return F.size(F.filter(edge_list, lambda e: crosses_ray(e, x, y))) % 2 == 1
-
-
-def distance_to_edge(e: Column, x: Column, y: Column) -> Column:
-    dx, dy = e["x2"] - e["x1"], e["y2"] - e["y1"]
-    along = F.try_divide((x - e["x1"]) * dx + (y - e["y1"]) * dy, dx * dx + dy * dy)
-    t = F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.coalesce(along, F.lit(0.0))))
-    return F.hypot(x - (e["x1"] + t * dx), y - (e["y1"] + t * dy))
+    return f"(size(filter({edge_list}, ie -> {crosses_ray_sql('ie', x, y)})) % 2 = 1)"
 
 
-def on_edges(edge_list: Column, x: Column, y: Column, tolerance: Column) -> Column:
-    return F.exists(edge_list, lambda e: distance_to_edge(e, x, y) <= tolerance)
+def on_edges_sql(edge_list: str, x: str, y: str, tolerance: str) -> str:
+    """Is the point within the tolerance of any edge?"""
+    along = (
+        f"try_divide(({x} - oe.x1) * (oe.x2 - oe.x1) + ({y} - oe.y1) * (oe.y2 - oe.y1), "
+        "pow(oe.x2 - oe.x1, 2) + pow(oe.y2 - oe.y1, 2))"
+    )
+    t = f"greatest(0D, least(1D, coalesce({along}, 0D)))"
+    distance = f"hypot({x} - (oe.x1 + ot * (oe.x2 - oe.x1)), {y} - (oe.y1 + ot * (oe.y2 - oe.y1)))"
+    return f"exists({edge_list}, oe -> {bind_sql(t, 'ot', distance)} <= {tolerance})"
 
 
-def segment_meets_box(e: Column, box: Column) -> Column:
+def segment_meets_box_sql(e: str, box: str) -> str:
     """Does the closed segment meet the closed box (by clipping it)?"""
-    dx, dy = e["x2"] - e["x1"], e["y2"] - e["y1"]
-    xa, xb = F.try_divide(box["xmin"] - e["x1"], dx), F.try_divide(box["xmax"] - e["x1"], dx)
-    ya, yb = F.try_divide(box["ymin"] - e["y1"], dy), F.try_divide(box["ymax"] - e["y1"], dy)
+    dx, dy = f"({e}.x2 - {e}.x1)", f"({e}.y2 - {e}.y1)"
+    xa, xb = (f"try_divide({box}.{side} - {e}.x1, {dx})" for side in ("xmin", "xmax"))
+    ya, yb = (f"try_divide({box}.{side} - {e}.y1, {dy})" for side in ("ymin", "ymax"))
     # least and greatest skip the NULLs of a segment parallel to an axis
-    start = F.greatest(F.lit(0.0), F.least(xa, xb), F.least(ya, yb))
-    stop = F.least(F.lit(1.0), F.greatest(xa, xb), F.greatest(ya, yb))
-    in_x = (dx != 0) | e["x1"].between(box["xmin"], box["xmax"])
-    in_y = (dy != 0) | e["y1"].between(box["ymin"], box["ymax"])
-    return in_x & in_y & (start <= stop)
+    start = f"greatest(0D, least({xa}, {xb}), least({ya}, {yb}))"
+    stop = f"least(1D, greatest({xa}, {xb}), greatest({ya}, {yb}))"
+    in_x = f"({dx} <> 0 OR {e}.x1 BETWEEN {box}.xmin AND {box}.xmax)"
+    in_y = f"({dy} <> 0 OR {e}.y1 BETWEEN {box}.ymin AND {box}.ymax)"
+    return f"({in_x} AND {in_y} AND {start} <= {stop})"
 
 
-def rings_meet_box(rings: Column | str, box: Column) -> Column:
+def rings_meet_box(rings: str, box: tuple[float, float, float, float]) -> Column:
     """Does the closed shape meet the closed box?"""
-    edge_list = edges(rings)
-    return F.exists(edge_list, lambda e: segment_meets_box(e, box)) | inside(
-        edge_list, box["xmin"], box["ymin"]
+    values = ", ".join(
+        f"'{n}', {float(v)!r}D" for n, v in zip(("xmin", "ymin", "xmax", "ymax"), box)
     )
+    meets = f"exists(bes, be -> {segment_meets_box_sql('be', 'bx')})"
+    holds = inside_sql("bes", "bx.xmin", "bx.ymin")
+    test = bind_sql(f"named_struct({values})", "bx", f"({meets} OR {holds})")
+    return F.expr(bind_sql(edges_sql(rings), "bes", test))
 
 
-def tolerance_of(box: Column) -> Column:
+def tolerance_sql(box: str) -> str:
     """Distance below which two positions count as one, for coordinates of this size."""
-    size = F.greatest(
-        F.abs(box["xmin"]), F.abs(box["ymin"]), F.abs(box["xmax"]), F.abs(box["ymax"]), F.lit(1.0)
+    return (
+        f"greatest(abs({box}.xmin), abs({box}.ymin), abs({box}.xmax), abs({box}.ymax), 1D) * 1e-12D"
     )
-    return size * 1e-12
 
 
-def interior_points(rings: Column | str) -> Column:
+def interior_points(rings: str) -> Column:
     """One point strictly inside each part of a shape: ``array<struct<x, y>>``.
 
     The point lies on a horizontal line through the widest gap between the heights of
@@ -220,52 +224,27 @@ def interior_points(rings: Column | str) -> Column:
     part's outer ring to the next meeting with any ring. A shape of a single point gives
     that point.
     """
-    def meetings(edge_list: Column, y: Column) -> Column:
-        met = F.filter(edge_list, lambda e: (e["y1"] > y) != (e["y2"] > y))
-        return F.transform(
-            met,
-            lambda e: e["x1"] + F.try_divide((y - e["y1"]) * (e["x2"] - e["x1"]), e["y2"] - e["y1"]),
-        )
-
-    def widest_gap(heights: Column, shell: Column) -> Column:
-        ys = F.transform(shell, lambda p: p["y"])
-        own = bind(
-            F.struct(F.array_min(ys).alias("low"), F.array_max(ys).alias("high")),
-            lambda b: F.filter(heights, lambda y: (y >= b["low"]) & (y <= b["high"])),
-        )
-        gaps = bind(
-            own,
-            lambda hs: F.zip_with(
-                hs,
-                F.slice(hs, 2, F.greatest(F.size(hs) - 1, F.lit(0))),
-                lambda a, b: F.struct((b - a).alias("gap"), ((a + b) / 2.0).alias("y")),
-            ),
-        )
-        return F.array_max(gaps)["y"]
 
-    def point(edge_list: Column, heights: Column, shell: Column) -> Column:
-        def at(y: Column) -> Column:
-            def halfway(left: Column) -> Column:
-                right = F.array_min(F.filter(meetings(edge_list, y), lambda x: x > left))
-                return F.struct(((left + right) / 2.0).alias("x"), y.alias("y"))
-
-            return bind(F.array_min(meetings(ring_edges(shell), y)), halfway)
-
-        return bind(widest_gap(heights, shell), at)
-
-    def of_shape(edge_list: Column) -> Column:
-        heights = F.array_sort(F.array_distinct(F.transform(edge_list, lambda e: e["y1"])))
-        outer = F.when(F.size(rings) == 1, rings).otherwise(shells(rings))
-        return bind(
-            heights, lambda hs: F.transform(outer, lambda shell: point(edge_list, hs, shell))
-        )
-
-    rings = col(rings)
-    first = F.get(F.get(rings, F.lit(0)), F.lit(0))
-    alone = F.array(F.struct(first["x"].alias("x"), first["y"].alias("y")))
-    is_point = (F.size(rings) == 1) & (F.size(F.get(rings, F.lit(0))) == 1)
-    found = F.filter(bind(edges(rings), of_shape), lambda p: p["x"].isNotNull())
-    return F.when(is_point, alone).otherwise(found)
+    def meetings(edge_list: str) -> str:
+        at = "me.x1 + try_divide((py - me.y1) * (me.x2 - me.x1), me.y2 - me.y1)"
+        met = f"filter({edge_list}, me -> (me.y1 > py) <> (me.y2 > py))"
+        return f"transform({met}, me -> {at})"
+
+    # heights of vertices between the lowest and the highest point of the part
+    own = "filter(hs, h -> h >= array_min(transform(sh, p -> p.y)) AND h <= array_max(transform(sh, p -> p.y)))"
+    gap = "(lo, hi) -> named_struct('gap', hi - lo, 'y', (lo + hi) / 2D)"
+    gaps = f"zip_with(ho, slice(ho, 2, greatest(size(ho) - 1, 0)), {gap})"
+    height = bind_sql(own, "ho", f"array_max({gaps}).y")
+    right = f"array_min(filter({meetings('es')}, m -> m > lx))"
+    halfway = f"named_struct('x', (lx + {right}) / 2D, 'y', py)"
+    left = f"array_min({meetings(ring_edges_sql('sh'))})"
+    point = bind_sql(height, "py", bind_sql(left, "lx", halfway))
+    points = f"filter(transform({shells_sql(rings)}, sh -> {point}), q -> q.x IS NOT NULL)"
+    heights = "array_sort(array_distinct(transform(es, e -> e.y1)))"
+    found = bind_sql(edges_sql(rings), "es", bind_sql(heights, "hs", points))
+    first = f"get(get({rings}, 0), 0)"
+    alone = f"array(named_struct('x', {first}.x, 'y', {first}.y))"
+    return F.expr(f"if(size({rings}) = 1 AND size(get({rings}, 0)) = 1, {alone}, {found})")
 
 
 # --- simplification -------------------------------------------------------------------------------

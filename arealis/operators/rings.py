@@ -10,22 +10,19 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from arealis.functions import shapes
-from arealis.operators.spatial import band_count, box_pairs, points_inside
+from arealis.operators.spatial import POINT_BOX, band_count, box_pairs, points_inside
 
 
 def ring_table(df: DataFrame, key: str, rings: str = "rings") -> DataFrame:
     """One row per ring: ``(key, ring, points, outer, area)``; ``outer`` tells that it is a
     clockwise ring, or that the feature has none."""
-    flat = df.select(key, F.col(rings).alias("_rings"), F.posexplode(rings).alias("ring", "points"))
-    any_outer = F.exists("_rings", shapes.is_clockwise)
-    area = shapes.signed_area(F.col("points"))
-    return flat.select(
+    flat = df.select(
         key,
-        "ring",
-        "points",
-        ((area < 0) | ~any_outer).alias("outer"),
-        F.abs(area).alias("area"),
-    )
+        F.expr(f"exists({rings}, r -> {shapes.is_clockwise_sql('r')})").alias("_any"),
+        F.posexplode(rings).alias("ring", "points"),
+    ).withColumn("_area", F.expr(shapes.signed_area_sql("points")))
+    outer = (F.col("_area") < 0) | ~F.col("_any")
+    return flat.select(key, "ring", "points", outer.alias("outer"), F.abs("_area").alias("area"))
 
 
 def by_order(rings: DataFrame, key: str) -> DataFrame:
@@ -41,20 +38,10 @@ def by_order(rings: DataFrame, key: str) -> DataFrame:
 def _containers(inner: DataFrame, outer: DataFrame, key: str) -> DataFrame:
     """Pairs ``(key, ring, shell, shell_area)`` with a point of the ring inside the shell,
     for shells at least as large as the ring (so a shell inside a hole does not own it)."""
-    point = F.get(shapes.interior_points(F.array("points")), F.lit(0))
+    point = F.get(shapes.interior_points("array(points)"), F.lit(0))
     spots = inner.select(key, "ring", "area", point.alias("p")).select(
-        key,
-        "ring",
-        "area",
-        F.col("p.x").alias("x"),
-        F.col("p.y").alias("y"),
-        F.struct(
-            F.col("p.x").alias("xmin"),
-            F.col("p.y").alias("ymin"),
-            F.col("p.x").alias("xmax"),
-            F.col("p.y").alias("ymax"),
-        ).alias("box"),
-    )
+        key, "ring", "area", "p.x", "p.y"
+    ).withColumn("box", F.expr(POINT_BOX))
     shells = outer.select(
         key,
         F.col("ring").alias("shell"),

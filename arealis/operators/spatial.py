@@ -25,6 +25,11 @@ BANDS = 32
 
 RELATIONS = ("intersects", "within", "contains")
 
+POINT_BOX = "named_struct('xmin', x, 'ymin', y, 'xmax', x, 'ymax', y)"
+_SEGMENT_BOX = """named_struct(
+    'xmin', least(e.x1, e.x2), 'ymin', least(e.y1, e.y2),
+    'xmax', greatest(e.x1, e.x2), 'ymax', greatest(e.y1, e.y2))"""
+
 
 # --- boxes ----------------------------------------------------------------------------------
 
@@ -58,9 +63,6 @@ def areas_in_box(
     scan.
     """
     xmin, ymin, xmax, ymax = (F.lit(float(v)) for v in box)
-    literal = F.struct(
-        xmin.alias("xmin"), ymin.alias("ymin"), xmax.alias("xmax"), ymax.alias("ymax")
-    )
     boxed = {"xmin", "ymin", "xmax", "ymax"} <= set(df.columns)
     out = df if boxed else with_box(df, rings)
     if relation == "within":
@@ -78,7 +80,7 @@ def areas_in_box(
             & (F.col("xmax") >= xmin)
             & (F.col("ymax") >= ymin)
         )
-        out = out.where(near).where(shapes.rings_meet_box(rings, literal))
+        out = out.where(near).where(shapes.rings_meet_box(rings, box))
     else:
         raise ValueError("relation must be 'intersects' or 'within'")
     return out.select(*df.columns)
@@ -176,10 +178,9 @@ def _band(y: Column, bands: Column, box: Column) -> Column:
     return F.greatest(F.lit(0), F.least(raw, bands - 1)).cast("int")
 
 
-def band_count(rings: Column | str) -> Column:
+def band_count(rings: str) -> Column:
     """Bands of an outline: about the root of the number of its edges."""
-    n = F.size(F.flatten(col(rings))).cast("double")
-    return F.greatest(F.lit(BANDS), F.ceil(F.sqrt(n))).cast("int")
+    return F.expr(f"cast(greatest({BANDS}, ceil(sqrt(size(flatten({rings}))))) AS int)")
 
 
 def outline_bands(outlines: DataFrame, ids: Sequence[str], rings: str = "rings") -> DataFrame:
@@ -221,7 +222,7 @@ def points_inside(
         "_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
     )
     met = keyed.join(copied, [*ids, "band", "_salt"])
-    met = met.where(shapes.crosses_ray(F.col("e"), F.col("x"), F.col("y")))
+    met = met.where(shapes.crosses_ray_sql("e", "x", "y"))
     odd = met.groupBy(*names).agg((F.count("*") % 2).alias("_odd"))
     return odd.where("_odd = 1").drop("_odd")
 
@@ -229,58 +230,35 @@ def points_inside(
 # --- relations of areas and outlines ----------------------------------------------------------------
 
 
-def _cuts(edge_list: Column, e: Column, tolerance: Column) -> Column:
-    """Parameters in (0, 1) where the segment ``e`` meets the edges, and the ends 0 and 1."""
-    dx, dy = e["x2"] - e["x1"], e["y2"] - e["y1"]
-    length2 = dx * dx + dy * dy
-
-    def of_edge(a: Column) -> Column:
-        ax, ay = a["x2"] - a["x1"], a["y2"] - a["y1"]
-        det = dx * ay - dy * ax
-        wx, wy = a["x1"] - e["x1"], a["y1"] - e["y1"]
-        t, u = F.try_divide(wx * ay - wy * ax, det), F.try_divide(wx * dy - wy * dx, det)
-        met = F.when(u.between(0.0, 1.0), t)
-        # a vertex on the segment cuts it too, also where the two run along each other
-        off = F.try_divide(F.abs(wx * dy - wy * dx), F.sqrt(length2))
-        vertex = F.when(off <= tolerance, F.try_divide(wx * dx + wy * dy, length2))
-        return F.array(met, vertex)
-
-    inner = F.filter(F.flatten(F.transform(edge_list, of_edge)), lambda t: (t > 0.0) & (t < 1.0))
-    return F.array_sort(F.array_distinct(F.concat(F.array(F.lit(0.0), F.lit(1.0)), inner)))
-
-
-def _edge_tests(rings: Column, box: Column, e: Column) -> Column:
-    """How a segment of an outline runs through an area: ``struct(enters, touches)``.
+def _edge_tests() -> Column:
+    """How the segment ``e`` of an outline runs through an area (``rings``, ``left_box``):
+    ``struct(enters, touches)``.
 
     The segment is cut where it meets the boundary of the area; it enters the area if
     the middle of a piece lies inside and not on the boundary.
     """
-    tolerance = shapes.tolerance_of(box)
-
-    def test(edge_list: Column, cuts: Column) -> Column:
-        middles = F.zip_with(
-            F.slice(cuts, 1, F.size(cuts) - 1),
-            F.slice(cuts, 2, F.size(cuts) - 1),
-            lambda a, b: (a + b) / 2.0,
-        )
-
-        def x(t):
-            return e["x1"] + t * (e["x2"] - e["x1"])
-
-        def y(t):
-            return e["y1"] + t * (e["y2"] - e["y1"])
-
-        near = lambda t: shapes.on_edges(edge_list, x(t), y(t), tolerance)
-        enters = F.exists(middles, lambda t: shapes.inside(edge_list, x(t), y(t)) & ~near(t))
-        return F.struct(enters.alias("enters"), F.exists(cuts, near).alias("touches"))
-
-    # lambdas over one element bind the edges and the cuts once
-    return shapes.bind(
-        shapes.edges(rings),
-        lambda edge_list: shapes.bind(
-            _cuts(edge_list, e, tolerance), lambda cuts: test(edge_list, cuts)
-        ),
-    )
+    dx, dy = "(e.x2 - e.x1)", "(e.y2 - e.y1)"
+    ax, ay = "(a.x2 - a.x1)", "(a.y2 - a.y1)"
+    wx, wy = "(a.x1 - e.x1)", "(a.y1 - e.y1)"
+    det = f"({dx} * {ay} - {dy} * {ax})"
+    side = f"({wx} * {dy} - {wy} * {dx})"
+    t, u = f"try_divide({wx} * {ay} - {wy} * {ax}, {det})", f"try_divide({side}, {det})"
+    crossing = f"if({u} BETWEEN 0 AND 1, {t}, NULL)"
+    # a vertex on the segment cuts it too, also where the two run along each other
+    length2 = f"({dx} * {dx} + {dy} * {dy})"
+    off = f"try_divide(abs({side}), sqrt({length2}))"
+    vertex = f"if({off} <= tol, try_divide({wx} * {dx} + {wy} * {dy}, {length2}), NULL)"
+    met = f"flatten(transform(es, a -> array({crossing}, {vertex})))"
+    cuts = f"array_sort(array_distinct(concat(array(0D, 1D), filter({met}, c -> c > 0 AND c < 1))))"
+    n = "size(cs) - 1"
+    middles = f"zip_with(slice(cs, 1, {n}), slice(cs, 2, {n}), (c1, c2) -> (c1 + c2) / 2D)"
+    x, y = f"(e.x1 + c * {dx})", f"(e.y1 + c * {dy})"
+    near = shapes.on_edges_sql("es", x, y, "tol")
+    enters = f"exists({middles}, c -> {shapes.inside_sql('es', x, y)} AND NOT {near})"
+    flags = f"named_struct('enters', {enters}, 'touches', exists(cs, c -> {near}))"
+    bind = shapes.bind_sql
+    body = bind(shapes.tolerance_sql("left_box"), "tol", bind(cuts, "cs", flags))
+    return F.expr(bind(shapes.edges_sql("rings"), "es", body))
 
 
 def relate(
@@ -318,41 +296,25 @@ def relate(
     )
 
     # a point of each part of the area, in the outlines whose box holds it
-    numbered = shapes.bind(
-        shapes.interior_points("rings"),
-        lambda ps: F.transform(
-            ps,
-            lambda p, i: F.struct(
-                F.size(ps).alias("parts"), i.alias("part"), p["x"].alias("x"), p["y"].alias("y")
-            ),
-        ),
-    )
-    x, y = F.col("x"), F.col("y")
-    spots = left.select("_area", F.inline(numbered)).withColumn(
-        "box",
-        F.struct(x.alias("xmin"), y.alias("ymin"), x.alias("xmax"), y.alias("ymax")),
-    )
+    inner = left.select("_area", shapes.interior_points("rings").alias("ps"))
+    spots = inner.select(
+        "_area",
+        F.expr("inline(transform(ps, (p, i) -> struct(size(ps) AS parts, i AS part, p.x, p.y)))"),
+    ).withColumn("box", F.expr(POINT_BOX))
     near = box_pairs(spots, boxed_right, salts=salts, points=True)
     hits = points_inside(near, right, ["_outline"], salts=salts)
     contained = hits.groupBy(*both).agg((F.count("*") == F.max("parts")).alias("whole"))
 
     # the edges of outlines that run through the box of an area, and how
     segments = right.select("_outline", F.explode(shapes.edges("rings")).alias("e"))
-    e = F.col("e")
-    segment_box = F.struct(
-        F.least(e["x1"], e["x2"]).alias("xmin"),
-        F.least(e["y1"], e["y2"]).alias("ymin"),
-        F.greatest(e["x1"], e["x2"]).alias("xmax"),
-        F.greatest(e["y1"], e["y2"]).alias("ymax"),
-    )
     crossing = box_pairs(
-        boxed_left, segments.select("_outline", "e", segment_box.alias("box")), salts=salts
+        boxed_left, segments.withColumn("box", F.expr(_SEGMENT_BOX)), salts=salts
     )
     is_point = (F.size("rings") == 1) & (F.size(F.get("rings", F.lit(0))) == 1)
     tested = crossing.join(left, "_area").select(
         *both,
         is_point.alias("is_point"),
-        _edge_tests(F.col("rings"), F.col("left_box"), e).alias("t"),
+        _edge_tests().alias("t"),
     )
     flags = tested.groupBy(*both).agg(
         # a point on an edge of the outline is not within it

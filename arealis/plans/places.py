@@ -161,7 +161,7 @@ class Product:
         x0, y0, x1, y1 = self._to_layer(box)
         areas = self._areas(level, geometry_precision)
         areas = areas_in_box(areas, (x0, y0, x1, y1), "within" if strict_within else "intersects")
-        return self._with_values(areas, variables, level, return_geometry, replace_missing)
+        return self._with_values(areas, areas, variables, level, return_geometry, replace_missing)
 
     def within(
         self,
@@ -186,10 +186,9 @@ class Product:
         box = total_bounds(outline).first()
         if box["xmin"] is None:
             raise ValueError("the matched outline is not in the layer")
-        areas = areas_in_box(self._areas(level, geometry_precision), tuple(box))
-        if strict_within:
-            areas = areas_within(areas, outline, "GEOID", "GEOID")
-        table = self._with_values(areas, variables, level, return_geometry, replace_missing)
+        near = areas_in_box(self._areas(level, geometry_precision), tuple(box))
+        areas = areas_within(near, outline, "GEOID", "GEOID") if strict_within else near
+        table = self._with_values(areas, near, variables, level, return_geometry, replace_missing)
         return (table, outline) if return_bounds else table
 
     # --- steps -------------------------------------------------------------------------------------
@@ -215,9 +214,16 @@ class Product:
         return areas.withColumn("rings", shapes.round_points("rings", precision))
 
     def _with_values(
-        self, areas: DataFrame, variables, level: str, return_geometry: bool, replace_missing: bool
+        self,
+        areas: DataFrame,
+        near: DataFrame,
+        variables,
+        level: str,
+        return_geometry: bool,
+        replace_missing: bool,
     ) -> DataFrame:
-        """Areas with their variables; only estimates of the areas' parents are read."""
+        """Areas with their variables; only estimates below the parents of the areas
+        ``near`` (all of them, or more) are read."""
         names = []
         if variables is not None:
             # names of columns: they have to be known to select them
@@ -225,7 +231,7 @@ class Product:
         names = [n for n in names if n != "GEO_ID"]
         values = self.estimates.where(F.col("level") == level)
         require_columns(values, ["GEO_ID", *names])
-        parents = areas.select(ids.parent_id("GEOID", "county").alias("p")).distinct()
+        parents = near.select(ids.parent_id("GEOID", "county").alias("p")).distinct()
         found = [r["p"] for r in parents.limit(MOST_PARENTS + 1).collect()]
         if len(found) <= MOST_PARENTS and {"state", "county"} <= set(values.columns):
             values = values.where(

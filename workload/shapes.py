@@ -219,7 +219,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     turns = F.transform(shapes.ring_turns("rings"), lambda t: t.cast("string"))
-    areas_ = F.aggregate("rings", F.lit(0.0), lambda acc, r: acc - shapes.signed_area(r))
+    areas_ = shapes.covered_area("rings")
     return nested(spark, sf).select("fid", F.array_join(turns, ",").alias("turns"), areas_.alias("area"))
 
 
