@@ -89,21 +89,33 @@ def areas_in_box(
 # --- pairs of boxes -----------------------------------------------------------------------------
 
 
-def _level(box: Column) -> Column:
-    """Lowest level whose cells are at least as long as the box."""
-    extent = F.greatest(box["xmax"] - box["xmin"], box["ymax"] - box["ymin"])
-    exact = F.ceil(F.log2(extent)).cast("int")
-    bounded = F.greatest(F.lit(_LOWEST), F.least(F.lit(_HIGHEST), exact))
-    return F.when(extent > 0, bounded).otherwise(_LOWEST)
+# lowest level whose cells are at least as long as the box
+_LEVEL = f"""if(greatest(box.xmax - box.xmin, box.ymax - box.ymin) > 0,
+    greatest({_LOWEST}, least({_HIGHEST}, cast(ceil(log2(
+        greatest(box.xmax - box.xmin, box.ymax - box.ymin))) AS int))), {_LOWEST})"""
 
 
-def _cell(value: Column, level: Column) -> Column:
-    return F.floor(value / F.pow(F.lit(2.0), level)).cast("long")
+def _cell(value: str, level: str) -> str:
+    return f"cast(floor({value} / pow(2D, {level})) AS bigint)"
 
 
 def _levels_of(df: DataFrame) -> Column:
     """Distinct levels of the boxes (at most a hundred small numbers) as a scalar subquery."""
-    return df.agg(F.collect_set(_level(F.col("box")))).scalar()
+    return df.agg(F.expr(f"collect_set({_LEVEL})")).scalar()
+
+
+def _celled(df: DataFrame, others: Column, side: str) -> DataFrame:
+    """One row per cell of each box, on its own level and on the higher ones of the other side."""
+    rest = [c for c in df.columns if c != "box"]
+    level, box = f"_k{side}", f"_{side}"
+    out = df.select(*rest, F.col("box").alias(box), F.expr(_LEVEL).alias(level), others.alias("_o"))
+    out = out.selectExpr(
+        *rest, box, level, f"explode(concat(array({level}), filter(_o, v -> v > {level}))) AS _k"
+    )
+    for axis in ("x", "y"):
+        low, high = (_cell(f"{box}.{axis}{end}", "_k") for end in ("min", "max"))
+        out = out.selectExpr("*", f"explode(sequence({low}, {high})) AS _c{axis}")
+    return out
 
 
 def box_pairs(
@@ -121,61 +133,34 @@ def box_pairs(
     larger one: it is salted, the right side is copied to each salt. ``points`` tells that
     the left boxes are points, whose level is known without looking.
     """
-
-    def celled(df: DataFrame, others: Column, side: str) -> DataFrame:
-        names = [c for c in df.columns if c not in ("box", *on)]
-        level = F.col(f"_k{side}")
-        out = df.select(
-            *on,
-            *names,
-            F.col("box").alias(f"_{side}"),
-            _level(F.col("box")).alias(f"_k{side}"),
-            others.alias("_other"),
-        )
-        higher = F.filter("_other", lambda v: v > level)
-        out = out.withColumn("_k", F.explode(F.concat(F.array(level), higher))).drop("_other")
-        for axis in ("x", "y"):
-            low = _cell(F.col(f"_{side}.{axis}min"), F.col("_k"))
-            high = _cell(F.col(f"_{side}.{axis}max"), F.col("_k"))
-            out = out.withColumn(f"_c{axis}", F.explode(F.sequence(low, high)))
-        return out
-
     # the salt depends on the row alone, so a task that runs again sends it to the same place
     keys = [c for c in left.columns if c != "box"]
-    salted = celled(left, _levels_of(right), "l").withColumn(
+    salted = _celled(left, _levels_of(right), "l").withColumn(
         "_salt", F.pmod(F.xxhash64(*keys), F.lit(salts)).cast("int")
     )
     lowest = F.array(F.lit(_LOWEST)) if points else _levels_of(left)
-    copied = celled(right, lowest, "r").withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
+    copied = _celled(right, lowest, "r").selectExpr(
+        "*", f"explode(sequence(0, {salts - 1})) AS _salt"
     )
     joined = salted.join(copied, [*on, "_k", "_cx", "_cy", "_salt"])
-    l, r = F.col("_l"), F.col("_r")
-    meet = (
-        (l["xmin"] <= r["xmax"])
-        & (r["xmin"] <= l["xmax"])
-        & (l["ymin"] <= r["ymax"])
-        & (r["ymin"] <= l["ymax"])
-    )
-    first = (
-        (F.col("_k") == F.greatest("_kl", "_kr"))
-        & (_cell(F.greatest(l["xmin"], r["xmin"]), F.col("_k")) == F.col("_cx"))
-        & (_cell(F.greatest(l["ymin"], r["ymin"]), F.col("_k")) == F.col("_cy"))
-    )
+    meet = """_l.xmin <= _r.xmax AND _r.xmin <= _l.xmax
+        AND _l.ymin <= _r.ymax AND _r.ymin <= _l.ymax"""
+    first = f"""_k = greatest(_kl, _kr)
+        AND {_cell("greatest(_l.xmin, _r.xmin)", "_k")} = _cx
+        AND {_cell("greatest(_l.ymin, _r.ymin)", "_k")} = _cy"""
     kept = [c for c in (*left.columns, *right.columns) if c != "box" and c not in on]
-    return joined.where(meet & first).select(
-        *on, *kept, l.alias("left_box"), r.alias("right_box")
+    return joined.where(f"{first} AND {meet}").selectExpr(
+        *on, *kept, "_l AS left_box", "_r AS right_box"
     )
 
 
 # --- points in outlines ---------------------------------------------------------------------------
 
 
-def _band(y: Column, bands: Column, box: Column) -> Column:
+def _band(y: str, bands: str, box: str) -> str:
     """Number of the horizontal band of an outline that holds a height."""
-    share = F.try_divide(y - box["ymin"], box["ymax"] - box["ymin"])
-    raw = F.floor(F.coalesce(share, F.lit(0.0)) * bands)
-    return F.greatest(F.lit(0), F.least(raw, bands - 1)).cast("int")
+    share = f"coalesce(try_divide({y} - {box}.ymin, {box}.ymax - {box}.ymin), 0D)"
+    return f"greatest(0, least({bands} - 1, cast(floor({share} * {bands}) AS int)))"
 
 
 def band_count(rings: str) -> Column:
@@ -191,10 +176,9 @@ def outline_bands(outlines: DataFrame, ids: Sequence[str], rings: str = "rings")
         band_count(rings).alias("_n"),
         F.explode(shapes.edges(rings)).alias("e"),
     )
-    low = _band(F.least("e.y1", "e.y2"), F.col("_n"), F.col("_b"))
-    high = _band(F.greatest("e.y1", "e.y2"), F.col("_n"), F.col("_b"))
-    return flat.where(F.col("e.y1") != F.col("e.y2")).select(
-        *ids, "e", F.explode(F.sequence(low, high)).alias("band")
+    low, high = _band("least(e.y1, e.y2)", "_n", "_b"), _band("greatest(e.y1, e.y2)", "_n", "_b")
+    return flat.where("e.y1 <> e.y2").selectExpr(
+        *ids, "e", f"explode(sequence({low}, {high})) AS band"
     )
 
 
@@ -215,7 +199,7 @@ def points_inside(
     names = [c for c in pairs.columns if c not in ("right_box", "left_box", "bands")]
     keyed = pairs.select(
         *names,
-        _band(F.col("y"), F.col("bands"), F.col("right_box")).alias("band"),
+        F.expr(_band("y", "bands", "right_box")).alias("band"),
         F.pmod(F.xxhash64(*names), F.lit(salts)).cast("int").alias("_salt"),
     )
     copied = outline_bands(outlines, ids, rings).withColumn(
