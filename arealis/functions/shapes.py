@@ -76,16 +76,24 @@ def covered_area(rings: str) -> Column:
     return F.expr(f"aggregate({rings}, 0D, (ca, cr) -> ca - {signed_area_sql('cr')})")
 
 
-def polygon_kind(rings: str) -> Column:
-    n, outer = F.size(rings), F.expr(f"size(filter({rings}, kr -> {is_clockwise_sql('kr')}))")
+MIXED = "MultiPolygon with Holes"
+
+
+def kind_of(n: Column, outer: Column) -> Column:
+    """Kind of a polygon with ``n`` rings, ``outer`` of them clockwise."""
     return (
         F.when(n <= 1, "Polygon")
         .when(outer == 1, "Polygon with Holes")
         .when((outer == n) | (outer == 0), "MultiPolygon")
-        .otherwise("MultiPolygon with Holes")
+        .otherwise(MIXED)
     )
 
 
+def polygon_kind(rings: str) -> Column:
+    outer = F.expr(f"size(filter({rings}, kr -> {is_clockwise_sql('kr')}))")
+    return F.get(F.transform(F.array(outer), lambda o: kind_of(F.size(rings), o)), F.lit(0))
+
+
 # --- boxes -----------------------------------------------------------------------------------
 
 

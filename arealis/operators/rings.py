@@ -14,15 +14,23 @@ from arealis.operators.spatial import POINT_BOX, band_count, box_pairs, points_i
 
 
 def ring_table(df: DataFrame, key: str, rings: str = "rings") -> DataFrame:
-    """One row per ring: ``(key, ring, points, outer, area)``; ``outer`` tells that it is a
-    clockwise ring, or that the feature has none."""
-    flat = df.select(
+    """One row per ring: ``(key, kind, ring, points, outer, area)``; ``outer`` tells that it is
+    a clockwise ring, or that the feature has none. ``kind`` is that of the feature."""
+    # areas are worked out once, in the feature's row, before it is unfolded
+    area = shapes.signed_area_sql("r")
+    measured = f"transform({rings}, r -> named_struct('points', r, 'area', {area}))"
+    outers = "size(filter(ms, m -> m.area < 0))"
+    marked = "transform(ms, m -> named_struct('m', m, 'outers', outers, 'rings', size(ms)))"
+    unfolded = shapes.bind_sql(measured, "ms", shapes.bind_sql(outers, "outers", marked))
+    flat = df.select(key, F.posexplode(F.expr(unfolded)).alias("ring", "_r"))
+    return flat.select(
         key,
-        F.expr(f"exists({rings}, r -> {shapes.is_clockwise_sql('r')})").alias("_any"),
-        F.posexplode(rings).alias("ring", "points"),
-    ).withColumn("_area", F.expr(shapes.signed_area_sql("points")))
-    outer = (F.col("_area") < 0) | ~F.col("_any")
-    return flat.select(key, "ring", "points", outer.alias("outer"), F.abs("_area").alias("area"))
+        shapes.kind_of(F.col("_r.rings"), F.col("_r.outers")).alias("kind"),
+        "ring",
+        "_r.m.points",
+        F.expr("_r.m.area < 0 OR _r.outers = 0").alias("outer"),
+        F.expr("abs(_r.m.area)").alias("area"),
+    )
 
 
 def by_order(rings: DataFrame, key: str) -> DataFrame:
@@ -55,16 +63,19 @@ def _containers(inner: DataFrame, outer: DataFrame, key: str) -> DataFrame:
         band_count("rings").alias("bands"),
         shapes.bounds("rings").alias("box"),
     )
-    near = box_pairs(spots, boxed, on=[key], points=True).where(
+    # the rings of a feature came from one row: no key is crowded, so nothing is salted
+    near = box_pairs(spots, boxed, on=[key], points=True, salts=1).where(
         (F.col("shell_area") >= F.col("area")) & (F.col("shell") != F.col("ring"))
     )
-    found = points_inside(near, shells, [key, "shell"])
+    found = points_inside(near, shells, [key, "shell"], salts=1)
     return found.select(key, "ring", "shell", "shell_area")
 
 
 def by_containment(rings: DataFrame, key: str) -> DataFrame:
-    """Owner of each hole: the innermost outer ring that contains it, where there is one."""
-    holes, outer = rings.where(~F.col("outer")), rings.where("outer")
+    """Owner of each hole: where a feature has several outer rings and holes, the innermost
+    outer ring that contains it, if there is one; else as by order."""
+    mixed = rings.where(F.col("kind") == shapes.MIXED)
+    holes, outer = mixed.where(~F.col("outer")), mixed.where("outer")
     innermost = _containers(holes, outer, key).groupBy(key, "ring").agg(
         F.min_by("shell", F.struct("shell_area", "shell")).alias("shell")
     )
@@ -93,20 +104,15 @@ def assemble(df: DataFrame, key: str, rings: str = "rings", repair: bool = True)
     features with several outer rings and holes, each goes to the innermost outer ring
     that contains it.
     """
-    kinds = df.select(key, shapes.polygon_kind(rings).alias("kind"), F.col(rings).alias("rings"))
-    mixed = F.col("kind") == "MultiPolygon with Holes"
-    plain = by_order(ring_table(kinds.where(~mixed) if repair else kinds, key), key)
-    owned = plain
-    if repair:
-        owned = plain.unionByName(by_containment(ring_table(kinds.where(mixed), key), key))
+    table = ring_table(df, key, rings)
+    owned = by_containment(table, key) if repair else by_order(table, key)
     # the rings of one feature came from one row, so they fit into one again
     member = F.struct((~F.col("outer")).alias("hole"), "ring", "points")
-    parts = owned.groupBy(key, "owner").agg(
+    parts = owned.groupBy(key, "kind", "owner").agg(
         F.transform(F.sort_array(F.collect_list(member)), lambda m: m["points"]).alias("part")
     )
-    shapes_ = parts.groupBy(key).agg(
+    return parts.groupBy(key, "kind").agg(
         F.transform(
             F.sort_array(F.collect_list(F.struct("owner", "part"))), lambda p: p["part"]
         ).alias("parts")
     )
-    return kinds.select(key, "kind").join(shapes_, key)

@@ -21,7 +21,7 @@ Ring = Sequence[tuple[float, float]]
 
 _LOWEST, _HIGHEST = -20, 60  # cell levels: sides from 2^-20 to 2^60
 SALTS = 8
-BANDS = 32
+BANDS = 4  # least number of bands of an outline
 
 RELATIONS = ("intersects", "within", "contains")
 
@@ -108,7 +108,13 @@ def _celled(df: DataFrame, others: Column, side: str) -> DataFrame:
     """One row per cell of each box, on its own level and on the higher ones of the other side."""
     rest = [c for c in df.columns if c != "box"]
     level, box = f"_k{side}", f"_{side}"
-    out = df.select(*rest, F.col("box").alias(box), F.expr(_LEVEL).alias(level), others.alias("_o"))
+    # corners that cannot be NULL: else the optimizer tests the box, and works it out, twice
+    # (a shape without points gets a box, but has no edge or point to pass the exact tests)
+    corners = ", ".join(f"'{c}', coalesce(box.{c}, 0D)" for c in ("xmin", "ymin", "xmax", "ymax"))
+    solid = df.select(*rest, F.expr(f"named_struct({corners})").alias("box"))
+    out = solid.select(
+        *rest, F.col("box").alias(box), F.expr(_LEVEL).alias(level), others.alias("_o")
+    )
     out = out.selectExpr(
         *rest, box, level, f"explode(concat(array({level}), filter(_o, v -> v > {level}))) AS _k"
     )
