@@ -63,11 +63,23 @@ def collapse(df: DataFrame, by: Sequence[str | Column], n: int = REPLICATES) ->
 
 
 def variables_side_by_side(df: DataFrame, variables: Sequence[str]) -> DataFrame:
-    """One row per area; a struct column ``(est, reps)`` for each named variable."""
+    """One row per area; a struct column ``(est, reps)`` for each named variable.
+
+    A variable the area lacks is missing in the estimate and in all replicates. Arrays
+    are aggregated by sorting, and an area has one row per variable, so there is nothing
+    to reduce before the shuffle: the rows are sorted once, after it.
+    """
+    missing = F.struct(
+        F.lit(None).cast("double").alias("est"),
+        F.array_repeat(F.lit(None).cast("double"), REPLICATES).alias("reps"),
+    )
+    cell = F.struct(F.col("est").cast("double").alias("est"), "reps")
     picked = [
-        F.max(F.when(F.col("variable") == v, F.struct("est", "reps"))).alias(v) for v in variables
+        F.coalesce(F.max(F.when(F.col("variable") == v, cell)), missing).alias(v)
+        for v in variables
     ]
-    return df.where(F.col("variable").isin(*variables)).groupBy("geoid").agg(*picked)
+    together = df.where(F.col("variable").isin(*variables)).repartition("geoid")
+    return together.groupBy("geoid").agg(*picked)
 
 
 def function_rows(df: DataFrame, variables: Sequence[str], func: Function) -> DataFrame:

@@ -15,9 +15,6 @@ from pyspark.sql import functions as F
 
 from arealis.functions.text import full_score, partial_score, score_columns, split_query
 
-_BEST = "query string, score int, score2 int, n long, position long, target string"
-
-
 def best_matches(
     candidates: DataFrame,
     names: str | Sequence[str],
@@ -28,7 +25,7 @@ def best_matches(
 
     ``"name, state"`` looks only at candidates that end in the state. The partial score
     decides, then the score of the whole strings, then the position of the candidate, a
-    unique number that gives the order of the table. ``ambiguous`` tells that the
+    unique number or text that gives the order of the table. ``ambiguous`` tells that the
     position had to decide. A name without candidates in its state has no row.
     """
     names = [names] if isinstance(names, str) else list(names)
@@ -53,7 +50,7 @@ def best_matches(
                 table = table[score == score.max()]
                 second = table.index.map(lambda t: full_score(name, t))
                 table = table[second == second.max()]
-                at = int(table["position"].min())
+                at = table["position"].min()
                 rows.append(
                     (query, score.max(), second.max(), int(table["n"].sum()), at, first[at])
                 )
@@ -61,10 +58,10 @@ def best_matches(
                 rows, columns=["query", "score", "score2", "n", "position", "target"]
             )
 
-    slim = candidates.select(
-        F.col(target).alias("target"), F.col(position).cast("long").alias("position")
-    )
-    partial = slim.mapInPandas(best_of_batch, _BEST)
+    slim = candidates.select(F.col(target).alias("target"), F.col(position).alias("position"))
+    kind = slim.schema["position"].dataType.simpleString()
+    schema = f"query string, score int, score2 int, n long, position {kind}, target string"
+    partial = slim.mapInPandas(best_of_batch, schema)
     ties = partial.groupBy("query", "score", "score2").agg(
         F.sum("n").alias("n"), F.min(F.struct("position", "target")).alias("first")
     )

@@ -79,8 +79,8 @@ class Product:
         if "Statistical" not in layer:
             states = self.states.select(F.col("fips").alias("STATE"), "abbreviation")
             table = names_with_state(table.select("BASENAME", "GEOID", "STATE"), states)
-        # ids are numbers with leading zeros: their order is that of the layer
-        return table.select("BASENAME", "GEOID", F.col("GEOID").cast("long").alias("position"))
+        # a layer lists its areas in the order of their ids
+        return table.select("BASENAME", "GEOID", F.col("GEOID").alias("position"))
 
     def check_match(self, name: str, level: str, return_table: bool = False) -> DataFrame:
         """Best match of a name in the best matching layer: one row with ``layer`` and
@@ -103,7 +103,7 @@ class Product:
             pool = pool.where(F.col("TYPE") == place_type)
         if state is not None:
             pool = pool.where(F.lower("STATE") == state)
-        pool = pool.withColumn("position", F.concat("STATEFP", "TARGETFP").cast("long"))
+        pool = pool.withColumn("position", F.concat("STATEFP", "TARGETFP"))
         best = best_matches(pool, name, "TARGETNAME")
         return best.join(pool, "position").select(
             *self.gazetteer.columns, "score", "score2", "ambiguous"

@@ -11,16 +11,22 @@ def write_landed(df: DataFrame, path: str, *partitions: str, mode: str = "error"
     df.write.mode(mode).partitionBy(*keys).parquet(path)
 
 
+def vintages(spark: SparkSession, path: str) -> list[int]:
+    """Vintages of a landed table: names of its directories, no file is opened."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder)
+    names = [f.getPath().getName() for f in files]
+    return sorted(int(n.removeprefix("vintage=")) for n in names if n.startswith("vintage="))
+
+
 def read_landed(
     spark: SparkSession, path: str, vintage: int | str = "latest", level: str | None = None
 ) -> DataFrame:
     """One vintage (the newest by default) and one level or all; a missing vintage raises."""
-    table = spark.read.parquet(path)
-    # values of a partition column: answered from file names, no data is read
-    vintages = sorted(r[0] for r in table.select("vintage").distinct().collect())
+    known = vintages(spark, path)
     if vintage == "latest":
-        vintage = vintages[-1]
-    if int(vintage) not in {int(v) for v in vintages}:
-        raise ValueError(f"vintage must be one of {vintages}")
-    out = table.where(F.col("vintage") == int(vintage))
+        vintage = known[-1]
+    if int(vintage) not in known:
+        raise ValueError(f"vintage must be one of {known}")
+    out = spark.read.parquet(path).where(F.col("vintage") == int(vintage))
     return out.where(F.col("level") == level) if level else out

@@ -112,6 +112,15 @@ def test_function_of_replicates(spark, table, form):
         assert m is None if np.isnan(moe[i]) else m == pytest.approx(moe[i])
 
 
+@pytest.mark.parametrize("form", ["columns", "pandas"])
+def test_area_that_lacks_a_variable_has_no_margin(spark, table, form):
+    df = replicates(spark, *table).where("NOT (geoid = 'a5' AND variable = 'v1')")
+    run = mr.estimate if form == "columns" else mr.estimate_pandas
+    got = by_area(run(df, ["v0", "v1"], lambda v: v["v0"] + v["v1"]))
+    assert len(got) == 25
+    assert got["a5"] == (0.0, None)
+
+
 def test_replicates_equal_to_the_estimate_have_no_margin(spark):
     df = replicates(spark, np.full((1, 1), 6.0), np.full((1, 1, 80), 6.0))
     row = mr.moe_of_arrays(df).first()

@@ -268,23 +268,23 @@ def _(spark, sf):
     "replicate_tables_side_by_side",
     f"""WITH {REPLICATE_ROWS_SQL}, e AS (SELECT DISTINCT geoid, variable, est FROM rep_rows),
     a AS (SELECT geoid, est AS "A" FROM e WHERE variable = 'A'),
-    n AS (SELECT geoid, est AS "N" FROM e WHERE variable = 'N' AND geoid::bigint % 3 > 0)
+    n AS (SELECT geoid, est AS "N" FROM e WHERE variable = 'N' AND est > 5000)
     SELECT coalesce(a.geoid, n.geoid) AS geoid, "A", "N" FROM a FULL JOIN n ON a.geoid = n.geoid""",
 )
 def _(spark, sf):
     df = replicate_cells(spark, sf)
     left = mr.wide_table(df.where(F.col("variable") == "A"), ["A"])
-    right = df.where((F.col("variable") == "N") & (F.col("geoid").cast("long") % 3 > 0))
+    right = df.where("variable = 'N' AND est > 5000")
     return mr.side_by_side([left, mr.wide_table(right, ["N"])])
 
 
 @query(
     "population_of_areas",
-    """WITH areas AS (SELECT '0400000US' || lpad(c_nationkey::varchar, 2, '0') AS geoid FROM customer
-        UNION SELECT '0500000US' || lpad(c_nationkey::varchar, 2, '0') || lpad((c_custkey % 7)::varchar, 3, '0') FROM customer),
-    st AS (SELECT '0400000US' || lpad(c_nationkey::varchar, 2, '0') AS geoid, count(*) AS p FROM customer GROUP BY 1),
-    ct AS (SELECT '0500000US' || lpad(c_nationkey::varchar, 2, '0') || lpad((c_custkey % 7)::varchar, 3, '0') AS geoid,
-           count(*) AS p FROM customer WHERE c_custkey % 7 < 5 GROUP BY 1)
+    """WITH people AS (SELECT '0400000US' || lpad(c_nationkey::varchar, 2, '0') AS s,
+        '0500000US' || lpad(c_nationkey::varchar, 2, '0') || substr(c_mktsegment, 1, 3) AS c, c_mktsegment AS seg FROM customer),
+    areas AS (SELECT s AS geoid FROM people UNION SELECT c FROM people),
+    st AS (SELECT s AS geoid, count(*) AS p FROM people GROUP BY 1),
+    ct AS (SELECT c AS geoid, count(*) AS p FROM people WHERE seg <> 'BUILDING' GROUP BY 1)
     SELECT geoid, substr(split_part(geoid, 'US', 2), 1, 2) AS state,
            CASE WHEN geoid LIKE '04%' THEN st.p ELSE ct.p END::double AS base
     FROM areas LEFT JOIN st USING (geoid) LEFT JOIN ct USING (geoid)""",
@@ -292,16 +292,16 @@ def _(spark, sf):
 def _(spark, sf):
     people = table(spark, sf, "customer").select(
         F.concat(F.lit("0400000US"), text("c_nationkey", 2)).alias("state"),
-        F.concat(F.lit("0500000US"), text("c_nationkey", 2), text(F.col("c_custkey") % 7, 3)).alias(
-            "county"
-        ),
-        "c_custkey",
+        F.concat(
+            F.lit("0500000US"), text("c_nationkey", 2), F.substring("c_mktsegment", 1, 3)
+        ).alias("county"),
+        "c_mktsegment",
     )
     count = F.count("*").alias("population")
     areas = people.select(F.col("state").alias("geoid")).unionByName(
         people.select(F.col("county").alias("geoid"))
     ).distinct()
-    counted = people.where(F.col("c_custkey") % 7 < 5)
+    counted = people.where("c_mktsegment <> 'BUILDING'")
     populations = {
         "state": people.groupBy(F.col("state").alias("geoid")).agg(count),
         "county": counted.groupBy(F.col("county").alias("geoid")).agg(count),
