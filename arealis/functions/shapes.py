@@ -229,8 +229,9 @@ def interior_points(rings: str) -> Column:
 
     The point lies on a horizontal line through the widest gap between the heights of
     the vertices, where no vertex is met, halfway from the leftmost meeting with the
-    part's outer ring to the next meeting with any ring. A shape of a single point gives
-    that point.
+    part's outer ring to the next meeting with any ring. For each part only the rings
+    whose box meets the box of its outer ring are looked at. A shape of a single point
+    gives that point.
     """
 
     def meetings(edge_list: str) -> str:
@@ -238,8 +239,19 @@ def interior_points(rings: str) -> Column:
         met = f"filter({edge_list}, me -> (me.y1 > py) <> (me.y2 > py))"
         return f"transform({met}, me -> {at})"
 
-    # heights of vertices between the lowest and the highest point of the part
-    own = "filter(hs, h -> h >= array_min(transform(sh, p -> p.y)) AND h <= array_max(transform(sh, p -> p.y)))"
+    def box(ring: str) -> str:
+        sides = ", ".join(
+            f"'{end}{axis}', array_{end}(transform({ring}, p -> p.{axis}))"
+            for axis in ("x", "y")
+            for end in ("min", "max")
+        )
+        return f"named_struct({sides})"
+
+    meet = """b.box.minx <= sb.maxx AND b.box.maxx >= sb.minx
+        AND b.box.miny <= sb.maxy AND b.box.maxy >= sb.miny"""
+    near = f"flatten(transform(filter(rb, b -> {meet}), b -> {ring_edges_sql('b.ring')}))"
+    # heights of the vertices between the lowest and the highest point of the part
+    own = "array_sort(array_distinct(filter(transform(es, e -> e.y1), h -> h BETWEEN sb.miny AND sb.maxy)))"
     gap = "(lo, hi) -> named_struct('gap', hi - lo, 'y', (lo + hi) / 2D)"
     gaps = f"zip_with(ho, slice(ho, 2, greatest(size(ho) - 1, 0)), {gap})"
     height = bind_sql(own, "ho", f"array_max({gaps}).y")
@@ -247,9 +259,10 @@ def interior_points(rings: str) -> Column:
     halfway = f"named_struct('x', (lx + {right}) / 2D, 'y', py)"
     left = f"array_min({meetings(ring_edges_sql('sh'))})"
     point = bind_sql(height, "py", bind_sql(left, "lx", halfway))
+    point = bind_sql(box("sh"), "sb", bind_sql(near, "es", point))
     points = f"filter(transform({shells_sql(rings)}, sh -> {point}), q -> q.x IS NOT NULL)"
-    heights = "array_sort(array_distinct(transform(es, e -> e.y1)))"
-    found = bind_sql(edges_sql(rings), "es", bind_sql(heights, "hs", points))
+    boxed = f"transform({rings}, r -> named_struct('ring', r, 'box', {box('r')}))"
+    found = bind_sql(boxed, "rb", points)
     first = f"get(get({rings}, 0), 0)"
     alone = f"array(named_struct('x', {first}.x, 'y', {first}.y))"
     return F.expr(f"if(size({rings}) = 1 AND size(get({rings}, 0)) = 1, {alone}, {found})")

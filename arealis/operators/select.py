@@ -126,8 +126,14 @@ def merge(
 
 
 def attach_values(areas: DataFrame, values: DataFrame, key: str = "GEOID") -> DataFrame:
-    """Areas with their variables; an area without values keeps NULLs."""
-    return areas.join(values, key, "left")
+    """Areas with their variables; an area without values keeps NULLs.
+
+    The values, usually far more than the areas asked for, are first cut down to those
+    areas: where the areas are few this is a filter in the scan's stage, and only what is
+    left of the values is shuffled.
+    """
+    wanted = values.join(areas.select(key), key, "left_semi")
+    return areas.join(wanted, key, "left")
 
 
 # --- requested versus present ----------------------------------------------------------------
