@@ -193,17 +193,18 @@ def on_edges_sql(edge_list: str, x: str, y: str, tolerance: str) -> str:
     return f"exists({edge_list}, oe -> {bind_sql(t, 'ot', distance)} <= {tolerance})"
 
 
-def segment_meets_box_sql(e: str, box: str) -> str:
-    """Does the closed segment meet the closed box (by clipping it)?"""
+def segment_meets_box_sql(e: str, box: str, strictly: bool = False) -> str:
+    """Does the closed segment meet the closed box, or ``strictly`` its inside (by clipping it)?"""
+    less = "<" if strictly else "<="
     dx, dy = f"({e}.x2 - {e}.x1)", f"({e}.y2 - {e}.y1)"
     xa, xb = (f"try_divide({box}.{side} - {e}.x1, {dx})" for side in ("xmin", "xmax"))
     ya, yb = (f"try_divide({box}.{side} - {e}.y1, {dy})" for side in ("ymin", "ymax"))
     # least and greatest skip the NULLs of a segment parallel to an axis
     start = f"greatest(0D, least({xa}, {xb}), least({ya}, {yb}))"
     stop = f"least(1D, greatest({xa}, {xb}), greatest({ya}, {yb}))"
-    in_x = f"({dx} <> 0 OR {e}.x1 BETWEEN {box}.xmin AND {box}.xmax)"
-    in_y = f"({dy} <> 0 OR {e}.y1 BETWEEN {box}.ymin AND {box}.ymax)"
-    return f"({in_x} AND {in_y} AND {start} <= {stop})"
+    in_x = f"({dx} <> 0 OR ({box}.xmin {less} {e}.x1 AND {e}.x1 {less} {box}.xmax))"
+    in_y = f"({dy} <> 0 OR ({box}.ymin {less} {e}.y1 AND {e}.y1 {less} {box}.ymax))"
+    return f"({in_x} AND {in_y} AND {start} {less} {stop})"
 
 
 def rings_meet_box(rings: str, box: tuple[float, float, float, float]) -> Column:
@@ -250,6 +251,7 @@ def interior_points(rings: str) -> Column:
     meet = """b.box.minx <= sb.maxx AND b.box.maxx >= sb.minx
         AND b.box.miny <= sb.maxy AND b.box.maxy >= sb.miny"""
     near = f"flatten(transform(filter(rb, b -> {meet}), b -> {ring_edges_sql('b.ring')}))"
+    near = f"if(size(rb) = 1, {ring_edges_sql('sh')}, {near})"
     # heights of the vertices between the lowest and the highest point of the part
     own = "array_sort(array_distinct(filter(transform(es, e -> e.y1), h -> h BETWEEN sb.miny AND sb.maxy)))"
     gap = "(lo, hi) -> named_struct('gap', hi - lo, 'y', (lo + hi) / 2D)"
@@ -261,7 +263,8 @@ def interior_points(rings: str) -> Column:
     point = bind_sql(height, "py", bind_sql(left, "lx", halfway))
     point = bind_sql(box("sh"), "sb", bind_sql(near, "es", point))
     points = f"filter(transform({shells_sql(rings)}, sh -> {point}), q -> q.x IS NOT NULL)"
-    boxed = f"transform({rings}, r -> named_struct('ring', r, 'box', {box('r')}))"
+    ring_box = f"if(size({rings}) = 1, NULL, {box('r')})"  # a single ring needs no search
+    boxed = f"transform({rings}, r -> named_struct('ring', r, 'box', {ring_box}))"
     found = bind_sql(boxed, "rb", points)
     first = f"get(get({rings}, 0), 0)"
     alone = f"array(named_struct('x', {first}.x, 'y', {first}.y))"

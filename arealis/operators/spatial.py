@@ -105,7 +105,8 @@ def _levels_of(df: DataFrame) -> Column:
 
 
 def _celled(df: DataFrame, others: Column, side: str) -> DataFrame:
-    """One row per cell of each box, on its own level and on the higher ones of the other side."""
+    """One row per cell of each box: on its own level, if the other side has boxes that are
+    not larger, and on the higher levels of the other side."""
     rest = [c for c in df.columns if c != "box"]
     level, box = f"_k{side}", f"_{side}"
     # corners that cannot be NULL: else the optimizer tests the box, and works it out, twice
@@ -116,7 +117,11 @@ def _celled(df: DataFrame, others: Column, side: str) -> DataFrame:
         *rest, F.col("box").alias(box), F.expr(_LEVEL).alias(level), others.alias("_o")
     )
     out = out.selectExpr(
-        *rest, box, level, f"explode(concat(array({level}), filter(_o, v -> v > {level}))) AS _k"
+        *rest,
+        box,
+        level,
+        f"""explode(concat(filter(array({level}), k -> array_min(_o) <= k),
+                           filter(_o, v -> v > {level}))) AS _k""",
     )
     for axis in ("x", "y"):
         low, high = (_cell(f"{box}.{axis}{end}", "_k") for end in ("min", "max"))
@@ -220,12 +225,17 @@ def points_inside(
 # --- relations of areas and outlines ----------------------------------------------------------------
 
 
-def _edge_tests() -> Column:
-    """How the segment ``e`` of an outline runs through an area (``rings``, ``left_box``):
-    ``struct(enters, touches)``.
+_IS_POINT = "size(rings) = 1 AND size(get(rings, 0)) = 1"
+
+
+def _edge_test(relation: str) -> Column:
+    """Does the segment ``e`` of an outline enter the inside of an area (``rings``,
+    ``left_box``), or for ``intersects`` meet the area at all?
 
     The segment is cut where it meets the boundary of the area; it enters the area if
-    the middle of a piece lies inside and not on the boundary.
+    the middle of a piece lies inside and not on the boundary. It meets the area if it
+    enters it or if a cut lies on the boundary. A point, which has no inside, counts as
+    entered by a segment that it lies on.
     """
     dx, dy = "(e.x2 - e.x1)", "(e.y2 - e.y1)"
     ax, ay = "(a.x2 - a.x1)", "(a.y2 - a.y1)"
@@ -236,18 +246,21 @@ def _edge_tests() -> Column:
     crossing = f"if({u} BETWEEN 0 AND 1, {t}, NULL)"
     # a vertex on the segment cuts it too, also where the two run along each other
     length2 = f"({dx} * {dx} + {dy} * {dy})"
-    off = f"try_divide(abs({side}), sqrt({length2}))"
-    vertex = f"if({off} <= tol, try_divide({wx} * {dx} + {wy} * {dy}, {length2}), NULL)"
+    off = f"abs({side}) <= tol * sqrt({length2})"
+    vertex = f"if({off}, try_divide({wx} * {dx} + {wy} * {dy}, {length2}), NULL)"
     met = f"flatten(transform(es, a -> array({crossing}, {vertex})))"
     cuts = f"array_sort(array_distinct(concat(array(0D, 1D), filter({met}, c -> c > 0 AND c < 1))))"
     n = "size(cs) - 1"
     middles = f"zip_with(slice(cs, 1, {n}), slice(cs, 2, {n}), (c1, c2) -> (c1 + c2) / 2D)"
     x, y = f"(e.x1 + c * {dx})", f"(e.y1 + c * {dy})"
-    near = shapes.on_edges_sql("es", x, y, "tol")
-    enters = f"exists({middles}, c -> {shapes.inside_sql('es', x, y)} AND NOT {near})"
-    flags = f"named_struct('enters', {enters}, 'touches', exists(cs, c -> {near}))"
+    near, inside = shapes.on_edges_sql("es", x, y, "tol"), shapes.inside_sql("es", x, y)
+    touches = f"exists(cs, c -> {near})"
+    if relation == "intersects":
+        test = f"({touches} OR exists({middles}, c -> {inside}))"
+    else:
+        test = f"if({_IS_POINT}, {touches}, exists({middles}, c -> {inside} AND NOT {near}))"
     bind = shapes.bind_sql
-    body = bind(shapes.tolerance_sql("left_box"), "tol", bind(cuts, "cs", flags))
+    body = bind(shapes.tolerance_sql("left_box"), "tol", bind(cuts, "cs", test))
     return F.expr(bind(shapes.edges_sql("rings"), "es", body))
 
 
@@ -295,27 +308,21 @@ def relate(
     hits = points_inside(near, right, ["_outline"], salts=salts)
     contained = hits.groupBy(*both).agg((F.count("*") == F.max("parts")).alias("whole"))
 
-    # the edges of outlines that run through the box of an area, and how
+    # the edges of outlines that run through the box of an area, and whether they enter it
     segments = right.select("_outline", F.explode(shapes.edges("rings")).alias("e"))
     crossing = box_pairs(
         boxed_left, segments.withColumn("box", F.expr(_SEGMENT_BOX)), salts=salts
     )
-    is_point = (F.size("rings") == 1) & (F.size(F.get("rings", F.lit(0))) == 1)
-    tested = crossing.join(left, "_area").select(
-        *both,
-        is_point.alias("is_point"),
-        _edge_tests().alias("t"),
-    )
-    flags = tested.groupBy(*both).agg(
-        # a point on an edge of the outline is not within it
-        F.bool_or(F.col("t.enters") | (F.col("is_point") & F.col("t.touches"))).alias("enters"),
-        F.bool_or(F.col("t.enters") | F.col("t.touches")).alias("touches"),
-    )
     if relation == "within":
-        entered = flags.where("enters").select(*both)
-        out = contained.where("whole").select(*both).join(entered, both, "left_anti")
+        # an edge outside the open box cannot enter the area (the box of a point is not open)
+        flat = "left_box.xmin = left_box.xmax OR left_box.ymin = left_box.ymax"
+        strictly = shapes.segment_meets_box_sql("e", "left_box", strictly=True)
+        crossing = crossing.where(f"{flat} OR {strictly}")
+    tested = crossing.join(left, "_area").where(_edge_test(relation)).select(*both)
+    if relation == "within":
+        out = contained.where("whole").select(*both).join(tested, both, "left_anti")
     else:
-        out = flags.where("touches").select(*both).union(contained.select(*both)).distinct()
+        out = tested.union(contained.select(*both)).distinct()
     return out.withColumnsRenamed({"_area": area_id, "_outline": outline_id})
 
 

@@ -96,6 +96,14 @@ def test_id_batches_like_array_split(spark):
         assert [r["id"] for r in ordered] == sorted(i for h, i in rows if h == g)
 
 
+def test_requested_ids_keep_their_order(spark):
+    data = spark.createDataFrame([("b", 1), ("a", 2)], "geoid string, v int")
+    wanted = select.requested(spark, ["c", "b", "a"])
+    out = select.as_requested(wanted, data).orderBy("position").collect()
+    assert [(r["geoid"], r["v"]) for r in out] == [("c", None), ("b", 1), ("a", 2)]
+    assert [r["geoid"] for r in select.absent(wanted, data).collect()] == ["c"]
+
+
 def test_padding_never_cuts(spark):
     df = spark.createDataFrame([("7",), ("0123456",)], "c string")
     assert [r[0] for r in df.select(ids.pad_left("c", 3)).collect()] == ["007", "0123456"]

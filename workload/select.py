@@ -398,21 +398,19 @@ def _(spark, sf):
 # --- requested versus present --------------------------------------------------------------
 
 
-def _wanted(spark):
-    return select.requested(spark, [str(i) for i in (7, 3, 100000001, 99, 1)])
-
-
-WANTED_SQL = "wanted(geoid, position) AS (VALUES ('7', 0::bigint), ('3', 1), ('100000001', 2), ('99', 3), ('1', 4))"
-
-
 @query(
     "requested_areas_in_order",
-    f"""WITH {WANTED_SQL}, {CELLS_SQL} SELECT w.geoid, position, round(est, 6) AS est FROM wanted w
-    LEFT JOIN (SELECT geoid, est FROM cells WHERE variable = 'A') c USING (geoid)""",
+    f"""WITH {CELLS_SQL} SELECT c_custkey::varchar AS geoid, (c_custkey * 7) % 1000003 AS position, round(est, 6) AS est
+    FROM customer LEFT JOIN (SELECT geoid, est FROM cells WHERE variable = 'A') c ON geoid = c_custkey::varchar""",
 )
 def _(spark, sf):
+    # customers ask for the suppliers of the same number; most of them are not there
+    key = F.col("c_custkey")
+    wanted = table(spark, sf, "customer").select(
+        key.cast("string").alias("geoid"), ((key * 7) % 1000003).alias("position")
+    )
     data = cells(spark, sf).where("variable = 'A'").select("geoid", F.round("est", 6).alias("est"))
-    return select.as_requested(_wanted(spark), data).orderBy("position")
+    return select.as_requested(wanted, data).orderBy("position")
 
 
 @query(
