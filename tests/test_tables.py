@@ -65,6 +65,22 @@ def test_best_match_and_ties(spark):
     assert "nowhere, ZZ" not in got
 
 
+def test_best_match_of_resembling_names_against_brute_force(spark):
+    targets = [f"Customer#{i:09d}, N_{i % 5}" for i in range(300)]
+    df = spark.createDataFrame(list(zip(targets, range(300))), "target string, position long")
+    wanted = [f"customer{i:09d}, n_{i % 5}" for i in (7, 133, 131, 144, 299)] + ["custoner#12"]
+    got = {r["query"]: r for r in names.best_matches(df.repartition(4), wanted).collect()}
+    for q in wanted:
+        name, state = text.split_query(q)
+        pool = [(i, t.lower()) for i, t in enumerate(targets) if state is None or t.lower().endswith(state)]
+        scores = {i: (text.partial_score(name, t), text.full_score(name, t)) for i, t in pool}
+        best = max(scores.values())
+        ties = [i for i, s in scores.items() if s == best]
+        row = got[q]
+        assert (row["position"], row["score"], row["score2"]) == (ties[0], *best)
+        assert row["ambiguous"] == (len(ties) > 1)
+
+
 def test_copies_of_a_name_are_counted_over_partitions(spark):
     df = place_table(spark, copies=50).repartition(7)
     row = names.best_matches(df, "kansas city").first()

@@ -460,11 +460,15 @@ def gazetteer(spark, sf):
 
 
 def _lookups(spark, sf):
-    """One name per nation, written without the ``#``: its last customer."""
+    """One name per nation: its last customer, in capitals and without the first letters.
+
+    What is left of the name is contained in one candidate only, so that the best match
+    is certain (a name that merely resembles its candidate may tie with others).
+    """
     customer, nation = table(spark, sf, "customer"), table(spark, sf, "nation")
     last = customer.groupBy("c_nationkey").agg(F.max("c_name").alias("c_name"))
     rows = last.join(nation, F.col("c_nationkey") == F.col("n_nationkey")).select(
-        F.concat(F.lower(F.regexp_replace("c_name", "#", "")), F.lit(", "), F.lower("n_name")).alias("q")
+        F.concat(F.upper(F.substring("c_name", 4, 100)), F.lit(" , "), F.lower("n_name")).alias("q")
     )
     return sorted(r["q"] for r in rows.collect())  # one row per nation
 
@@ -472,7 +476,7 @@ def _lookups(spark, sf):
 @query(
     "names_best_match",
     """WITH l AS (SELECT c_nationkey, max(c_name) AS c_name FROM customer GROUP BY 1)
-    SELECT lower(replace(l.c_name, '#', '')) || ', ' || lower(n_name) AS query,
+    SELECT upper(substr(l.c_name, 4)) || ' , ' || lower(n_name) AS query,
       l.c_name || ', ' || n_name AS target, c_custkey AS position, false AS ambiguous
     FROM l JOIN nation ON c_nationkey = n_nationkey JOIN customer USING (c_name)""",
 )
