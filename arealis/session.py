@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -43,3 +44,14 @@ def shared_folder(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unused path below the shared folder."""
     return os.path.join(shared_folder(spark), f"{name}-{uuid.uuid4().hex}")
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the workers, once per application, so that any working directory will do."""
+    context = spark.sparkContext
+    if getattr(context, "_arealis_shipped", False):
+        return
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    target = os.path.join(tempfile.mkdtemp(prefix="run-"), "arealis")
+    context.addPyFile(shutil.make_archive(target, "zip", root, "arealis"))
+    context._arealis_shipped = True
