@@ -24,7 +24,9 @@ def build_session(app: str = "arealis", master: str | None = None, **conf: str)
     }
     for key, value in settings.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    ship_package(spark)
+    return spark
 
 
 def shared_folder(spark: SparkSession) -> str:
