@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from arealis.llm import exact_dedup
+from arealis.llm import exact_dedup, packing
 
-_MODULES = (exact_dedup,)
+_MODULES = (exact_dedup, packing)
 
 QUERIES = {name: fn for module in _MODULES for name, fn in module.QUERIES.items()}
 ORACLE = {name: sql for module in _MODULES for name, sql in module.ORACLE.items()}
