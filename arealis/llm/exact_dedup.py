@@ -21,8 +21,11 @@ from pyspark.sql import functions as F
 from arealis.llm.common import content, documents, land, located, lower_ascii
 from arealis.session import scratch_path
 
-STORE = "spark.sql.streaming.stateStore.providerClass"
-ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: State on disk; files grow with the state instead of being preallocated for every partition.
+STORE = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+}
 
 
 def sha256(text: Column) -> Column:
@@ -36,8 +39,9 @@ def ledger(feed: DataFrame, checkpoint: str) -> DataFrame:
     new are read, and state of earlier runs counts.
     """
     spark = feed.sparkSession
-    before = spark.conf.get(STORE, None)
-    spark.conf.set(STORE, ROCKS)
+    before = {key: spark.conf.get(key, None) for key in STORE}
+    for key, value in STORE.items():
+        spark.conf.set(key, value)
     try:
         (
             feed.groupBy("digest")
@@ -55,10 +59,8 @@ def ledger(feed: DataFrame, checkpoint: str) -> DataFrame:
             "digests",
         )
     finally:
-        if before is None:
-            spark.conf.unset(STORE)
-        else:
-            spark.conf.set(STORE, before)
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
 def exact_dedup(
