@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from arealis.llm import exact_dedup, language, near_dedup, packing, quality_classifier, secret_scan
+from arealis.llm import exact_dedup, language, near_dedup, packing, quality_classifier, quality_rules, secret_scan
 
-_MODULES = (exact_dedup, language, near_dedup, packing, quality_classifier, secret_scan)
+_MODULES = (exact_dedup, language, near_dedup, packing, quality_classifier, quality_rules, secret_scan)
 
 QUERIES = {name: fn for module in _MODULES for name, fn in module.QUERIES.items()}
 ORACLE = {name: sql for module in _MODULES for name, sql in module.ORACLE.items()}
