@@ -234,6 +234,13 @@ def _between(members: DataFrame, found: DataFrame, classes: DataFrame) -> DataFr
     )
 
 
+def one_of_each_group(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that stay, with its columns; rows without an id stay."""
+    stays = near_groups(docs).where("kept AND id IS NOT NULL").select(F.col("id").alias("_stays")).distinct()
+    named = docs.join(stays, docs["doc_id"] == stays["_stays"], "left_semi")
+    return named.unionByName(docs.where("doc_id IS NULL"))
+
+
 def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_groups(documents(spark, sf_dir)).withColumnRenamed("id", "doc_id")
 

@@ -15,6 +15,7 @@ no rows; other columns are not read.
 
 from __future__ import annotations
 
+import math
 import zlib
 from bisect import bisect_left, insort
 from collections import Counter
@@ -31,8 +32,6 @@ from arealis.llm.wordbpe import WordBpe, tokenizer_path
 CAPACITY = 4096
 CLOSING_ID = 1
 ROUNDS = 80
-#: Pieces that one rank bucket holds on average over all lengths.
-BUCKET = 20_000
 
 Filling = tuple[tuple[int, int], ...]  # (length, copies), longest first
 
@@ -182,7 +181,7 @@ def plan(counts: np.ndarray, capacity: int) -> tuple[np.ndarray, int]:
 
 def ranked(parts: DataFrame, total: int, tie: str = "piece") -> DataFrame:
     """``rank`` from 0 among rows of the same length; salted, so a common length is no hot spot."""
-    buckets = max(1, total // BUCKET)
+    buckets = max(1, math.isqrt(total) // 4)  # neither buckets nor their number outgrow a task
     rows = parts.withColumn("bucket", F.pmod(F.xxhash64("doc_id", tie, "ids_crc32"), F.lit(buckets)))
     before = Window.partitionBy("length").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
