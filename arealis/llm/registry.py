@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from arealis.llm import exact_dedup, language, mixing, near_dedup, packing, quality_classifier, quality_rules, secret_scan, token_counts
+from arealis.llm import exact_dedup, language, mixing, near_dedup, packing, quality_classifier, quality_rules, secret_scan, suffix_dedup, token_counts
 
-_MODULES = (exact_dedup, language, mixing, near_dedup, packing, quality_classifier, quality_rules, secret_scan, token_counts)
+_MODULES = (exact_dedup, language, mixing, near_dedup, packing, quality_classifier, quality_rules, secret_scan, suffix_dedup, token_counts)
 
 QUERIES = {name: fn for module in _MODULES for name, fn in module.QUERIES.items()}
 ORACLE = {name: sql for module in _MODULES for name, sql in module.ORACLE.items()}
