@@ -26,17 +26,19 @@ def land(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def located(docs: DataFrame, columns: dict[str, Column]) -> DataFrame:
-    """``columns`` of every row and its content locator ``_file``, ``_row``.
-
-    A frame that isn't a plain file scan is landed first, so that a row has a fixed place.
-    """
-    place = {"_file": F.col("_metadata.file_path"), "_row": F.col("_metadata.row_index")}
+def filed(docs: DataFrame) -> DataFrame:
+    """``docs`` as a plain file scan, whose rows have a fixed place; landed if it isn't one."""
     try:
-        return docs.select(*(c.alias(n) for n, c in {**columns, **place}.items()))
+        docs.select("_metadata.file_path", "_metadata.row_index")
     except AnalysisException:
-        named = land(docs.select(*(c.alias(n) for n, c in columns.items())), "rows")
-        return named.select("*", *(c.alias(n) for n, c in place.items()))
+        return land(docs, "rows")
+    return docs
+
+
+def located(docs: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """``columns`` of every row and its content locator ``_file``, ``_row``."""
+    place = {"_file": F.col("_metadata.file_path"), "_row": F.col("_metadata.row_index")}
+    return filed(docs).select(*(c.alias(n) for n, c in {**columns, **place}.items()))
 
 
 def content(column: str = "text") -> Column:

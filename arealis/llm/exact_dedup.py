@@ -18,7 +18,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arealis.llm.common import content, documents, land, located, lower_ascii
+from arealis.llm.common import content, documents, filed, land, located, lower_ascii
 from arealis.session import scratch_path
 
 #: State on disk; files grow with the state instead of being preallocated for every partition.
@@ -133,9 +133,10 @@ def _regrouped(found: DataFrame, differ: DataFrame) -> DataFrame:
 
 
 def distinct_documents(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` (a file scan) that stay, with the columns of ``docs``."""
-    stays = exact_dedup(docs).where("kept").select("_file", "_row")
-    here = [F.col("_metadata.file_path") == F.col("_file"), F.col("_metadata.row_index") == F.col("_row")]
+    """The rows of ``docs`` that stay, with its columns."""
+    docs = filed(docs)
+    stays = exact_dedup(docs).where("kept").select(F.col("_file").alias("_the_file"), F.col("_row").alias("_the_row"))
+    here = [F.col("_metadata.file_path") == stays["_the_file"], F.col("_metadata.row_index") == stays["_the_row"]]
     return docs.join(stays, here, "left_semi")
 
 

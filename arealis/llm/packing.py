@@ -165,11 +165,16 @@ def best_fit(left: np.ndarray, capacity: int) -> list[tuple[Filling, int]]:
     return list(merged.items())
 
 
+def fewest(counts: np.ndarray, capacity: int) -> list[tuple[Filling, int]]:
+    """The rounded program with best fit for its rest; plain best fit where that takes fewer sequences."""
+    fillings, left = priced_fillings(counts, capacity)
+    return min(fillings + best_fit(left, capacity), best_fit(counts, capacity), key=lambda f: sum(n for _, n in f))
+
+
 def plan(counts: np.ndarray, capacity: int) -> tuple[np.ndarray, int]:
     """Rows (length, first rank, first sequence, copies in each, offset), sorted; the number of sequences."""
-    fillings, left = priced_fillings(counts, capacity)
     used, rows, sequence = np.zeros(capacity + 1, np.int64), [], 0
-    for filling, times in fillings + best_fit(left, capacity):
+    for filling, times in fewest(counts, capacity):
         offset = 0
         for size, copies in filling:
             rows.append((size, int(used[size]), sequence, copies, offset))
