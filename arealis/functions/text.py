@@ -52,7 +52,7 @@ def full_score(a: str, b: str) -> int:
         return 0
     if a == b:
         return 100
-    return round(100 * SequenceMatcher(None, a, b).ratio())
+    return round(100 * SequenceMatcher(None, a, b, autojunk=False).ratio())
 
 
 def partial_score(a: str, b: str) -> int:
@@ -60,16 +60,14 @@ def partial_score(a: str, b: str) -> int:
     if not a or not b:
         return 0
     short, long = (a, b) if len(a) <= len(b) else (b, a)
-    if len(long) < 200 and short in long:
-        # the longest matching block is the whole short string (from 200 characters on,
-        # frequent characters no longer start a block, so the blocks have to be asked)
+    if short in long:
         return 100
-    blocks = SequenceMatcher(None, short, long).get_matching_blocks()
+    blocks = SequenceMatcher(None, short, long, autojunk=False).get_matching_blocks()
     starts = {max(block.b - block.a, 0) for block in blocks}
     best = 0.0
     for start in starts:
         window = long[start : start + len(short)]
-        best = max(best, SequenceMatcher(None, short, window).ratio())
+        best = max(best, SequenceMatcher(None, short, window, autojunk=False).ratio())
         if best > 0.995:
             return 100
     return round(100 * best)

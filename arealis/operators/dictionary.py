@@ -79,11 +79,10 @@ def table_list(dictionary: DataFrame, form: str, crosstabs: bool = False) -> Dat
     if form == "decennial":
         stems = _described(_columns_by_group(dictionary)).where("single")
     elif form == "survey":
-        failed = F.raise_error(F.lit("some variables have failed to parse into tables"))
-        described = _described(_columns_by_stem(dictionary))
-        stems = described.withColumn(
-            "description", F.when(F.col("single"), F.col("description")).otherwise(failed)
-        ).where(F.col("table") != "GEO")
+        # a filter, which no later choice of columns can drop
+        failed = F.raise_error(F.concat(F.lit("more than one description in table "), F.col("table")))
+        described = _described(_columns_by_stem(dictionary)).where(F.col("table") != "GEO")
+        stems = described.where(F.when(F.col("single"), F.lit(True)).otherwise(failed))
     else:
         raise ValueError("form must be 'decennial' or 'survey'")
     main = ends_in_digit("table")

@@ -50,11 +50,15 @@ def collapse(df: DataFrame, by: Sequence[str | Column], n: int = REPLICATES) ->
     """Sum estimates and each replicate over the rows of a key (for example a parent area).
 
     The sums are plain partial aggregates: a key with very many rows is reduced before
-    the shuffle, and the replicates are put back into one array after it.
+    the shuffle, and the replicates are put back into one array after it. An array of another
+    length than ``n`` is an error, whichever of the columns are used.
     """
-    sums = [F.expr(f"sum(get(reps, {i})) AS r{i}") for i in range(n)]
+    known = f"coalesce(size(reps) = {n}, true)"
+    odd = f"raise_error(concat('expected {n} replicates, found ', size(reps)))"
+    sums = [F.expr(f"sum(get(reps, {i})) AS r{i}") for i in range(1, n)]
     keys = [k if isinstance(k, Column) else F.col(k) for k in by]
-    wide = df.groupBy(*keys).agg(F.sum("est").alias("est"), *sums)
+    checked = [F.expr(f"sum(if({known}, {c}, {odd}))").alias(a) for c, a in (("est", "est"), ("get(reps, 0)", "r0"))]
+    wide = df.groupBy(*keys).agg(*checked, *sums)
     names = wide.columns[: len(keys)]
     return wide.select(*names, "est", F.array(*[f"r{i}" for i in range(n)]).alias("reps"))
 

@@ -35,10 +35,9 @@ def best_matches(
         for pdf in batches:
             pdf = pdf.assign(low=pdf["target"].fillna("").str.lower())
             # copies of a target score alike: one row for each, with their number
-            distinct = pdf.groupby("low", sort=False).agg(
-                position=("position", "min"), n=("position", "size")
+            distinct = pdf.sort_values(["position", "target"]).groupby("low", sort=False).agg(
+                position=("position", "first"), target=("target", "first"), n=("position", "size")
             )
-            first = pdf.set_index("position")["target"]
             rows = []
             for query, name, state in queries:
                 table = distinct
@@ -50,10 +49,9 @@ def best_matches(
                 table = table[score == score.max()]
                 second = table.index.map(lambda t: full_score(name, t))
                 table = table[second == second.max()]
-                at = table["position"].min()
-                rows.append(
-                    (query, score.max(), second.max(), int(table["n"].sum()), at, first[at])
-                )
+                first = table.loc[table["position"].idxmin()]
+                total = int(table["n"].sum())
+                rows.append((query, score.max(), second.max(), total, first["position"], first["target"]))
             yield pd.DataFrame(
                 rows, columns=["query", "score", "score2", "n", "position", "target"]
             )

@@ -84,7 +84,8 @@ class Layer:
             require_columns(df, fields)
         if return_distinct or not return_geometry or self.rings not in df.columns:
             out = df.select(*fields)
-            return out.distinct() if return_distinct else out
+            # distinct shuffles, so the order has to come after it
+            return _ordered(out.distinct(), order_by) if return_distinct else out
         shape = F.col(self.rings)
         if max_allowable_offset:
             shape = shapes.simplify(shape, max_allowable_offset, self.closed)

@@ -20,9 +20,10 @@ from arealis.operators.spatial import areas_in_box, areas_within, total_bounds
 PLACE_TYPES = ("Census Designated Place", "Incorporated Place", "County Subdivision")
 LEVELS = {"decennial": ("county", "tract", "block"), "survey": ("county", "tract")}
 
-# Up to this many parent areas are named in the filter of the estimates; beyond it the
-# filter is left to the join.
-MOST_PARENTS = 5000
+# Decimals of the coordinates of a layer: centimetres, and as much in degrees.
+DECIMALS = {shapes.WEB_MERCATOR: 2, shapes.LONGITUDE_LATITUDE: 7}
+LAYER = "layer"
+BOX = ("xmin", "ymin", "xmax", "ymax")
 
 Box = tuple[float, float, float, float]
 
@@ -103,11 +104,12 @@ class Product:
             pool = pool.where(F.col("TYPE") == place_type)
         if state is not None:
             pool = pool.where(F.lower("STATE") == state)
-        pool = pool.withColumn("position", F.concat("STATEFP", "TARGETFP"))
-        best = best_matches(pool, name, "TARGETNAME")
-        return best.join(pool, "position").select(
-            *self.gazetteer.columns, "score", "score2", "ambiguous"
-        )
+        # places and county subdivisions of a state share codes; a place is listed once per county
+        position = F.concat_ws("/", "STATEFP", "TARGETFP", "TYPE").alias("position")
+        columns = self.gazetteer.columns
+        once = pool.groupBy(position).agg(F.min(F.struct(*columns)).alias("r")).select("position", "r.*")
+        best = best_matches(once, name, "TARGETNAME")
+        return best.join(once, "position").select(*columns, "score", "score2", "ambiguous")
 
     # --- entry points ---------------------------------------------------------------------------
 
@@ -123,7 +125,7 @@ class Product:
         row = self.match_place(place, place_type).first()
         if row is None:
             raise ValueError(f"no place matches {place!r}")
-        code = "COUSUB" if place_type == "County Subdivision" else "PLACE"
+        code = "COUSUB" if row["TYPE"] == "County Subdivision" else "PLACE"
         layer = self.outlines[self.layer_name(row["TYPE"])]
         outline = layer.where((F.col("STATE") == row["STATEFP"]) & (F.col(code) == row["TARGETFP"]))
         return self.within(outline, variables, level, **options)
@@ -153,14 +155,14 @@ class Product:
         variables: str | Sequence[str] | None = None,
         level: str = "tract",
         return_geometry: bool = True,
-        geometry_precision: int | None = 2,
+        geometry_precision: int | str | None = LAYER,
         strict_within: bool = False,
         replace_missing: bool = True,
     ) -> DataFrame:
         """Variables of the areas that meet a box in longitude and latitude (or lie within it)."""
         x0, y0, x1, y1 = self._to_layer(box)
-        areas = self._areas(level, geometry_precision)
-        areas = areas_in_box(areas, (x0, y0, x1, y1), "within" if strict_within else "intersects")
+        relation = "within" if strict_within else "intersects"
+        areas = self._near(level, geometry_precision, (x0, y0, x1, y1), relation)
         return self._with_values(areas, areas, variables, level, return_geometry, replace_missing)
 
     def within(
@@ -169,7 +171,7 @@ class Product:
         variables: str | Sequence[str] | None = None,
         level: str = "tract",
         return_geometry: bool = True,
-        geometry_precision: int | None = 2,
+        geometry_precision: int | str | None = LAYER,
         strict_within: bool = True,
         return_bounds: bool = False,
         replace_missing: bool = True,
@@ -181,12 +183,13 @@ class Product:
         areas.
         """
         self._check_level(level)
-        if geometry_precision is not None:
-            outline = outline.withColumn("rings", shapes.round_points("rings", geometry_precision))
+        decimals = self._decimals(geometry_precision)
+        if decimals is not None:
+            outline = outline.withColumn("rings", shapes.round_points("rings", decimals))
         box = total_bounds(outline).first()
         if box["xmin"] is None:
             raise ValueError("the matched outline is not in the layer")
-        near = areas_in_box(self._areas(level, geometry_precision), tuple(box))
+        near = self._near(level, geometry_precision, tuple(box))
         areas = areas_within(near, outline, "GEOID", "GEOID") if strict_within else near
         table = self._with_values(areas, near, variables, level, return_geometry, replace_missing)
         return (table, outline) if return_bounds else table
@@ -206,12 +209,30 @@ class Product:
         corners = [change(F.lit(float(box[i])), F.lit(float(box[i + 1]))) for i in (0, 2)]
         return tuple(spark.range(1).select(*[v for c in corners for v in c]).first())
 
-    def _areas(self, level: str, precision: int | None) -> DataFrame:
+    def _decimals(self, precision: int | str | None) -> int | None:
+        return DECIMALS[self.srid] if precision == LAYER else precision
+
+    def _near(self, level: str, precision: int | str | None, box: Box, relation: str = "intersects") -> DataFrame:
+        """Areas that meet a box or lie within it, coordinates rounded.
+
+        Where the landed layer has box columns, a comparison wide enough for the rounding reaches
+        the scan before any geometry is read.
+        """
         self._check_level(level)
-        areas = self.areas[level].select("GEOID", "rings")
-        if precision is None:
-            return areas
-        return areas.withColumn("rings", shapes.round_points("rings", precision))
+        areas, decimals = self.areas[level], self._decimals(precision)
+        if set(BOX) <= set(areas.columns):
+            slack = 0.0 if decimals is None else 10.0**-decimals
+            x0, y0, x1, y1 = box
+            areas = areas.where(
+                (F.col("xmin") <= x1 + slack)
+                & (F.col("ymin") <= y1 + slack)
+                & (F.col("xmax") >= x0 - slack)
+                & (F.col("ymax") >= y0 - slack)
+            )
+        areas = areas.select("GEOID", "rings")
+        if decimals is not None:
+            areas = areas.withColumn("rings", shapes.round_points("rings", decimals))
+        return areas_in_box(areas, box, relation)
 
     def _with_values(
         self,
@@ -222,8 +243,8 @@ class Product:
         return_geometry: bool,
         replace_missing: bool,
     ) -> DataFrame:
-        """Areas with their variables; only estimates below the parents of the areas
-        ``near`` (all of them, or more) are read."""
+        """Areas with their variables; estimates are first reduced to the parents of the areas
+        ``near`` (all of them, or more), which prunes the partitions of a landed table."""
         names = []
         if variables is not None:
             # names of columns: they have to be known to select them
@@ -231,13 +252,12 @@ class Product:
         names = [n for n in names if n != "GEO_ID"]
         values = self.estimates.where(F.col("level") == level)
         require_columns(values, ["GEO_ID", *names])
-        parents = near.select(ids.parent_id("GEOID", "county").alias("p")).distinct()
-        found = [r["p"] for r in parents.limit(MOST_PARENTS + 1).collect()]
-        if len(found) <= MOST_PARENTS and {"state", "county"} <= set(values.columns):
-            values = values.where(
-                F.col("state").isin(*{p[:2] for p in found})
-                & F.col("county").isin(*{p[2:] for p in found})
-            )
+        if {"state", "county"} <= set(values.columns):
+            parent = ids.parent_id("GEOID", "county")
+            parents = near.select(
+                F.substring(parent, 1, 2).alias("state"), F.substring(parent, 3, 3).alias("county")
+            ).distinct()
+            values = values.join(parents, ["state", "county"], "left_semi")
         keep = ["GEO_ID", *(["NAME"] if "NAME" in values.columns else []), *names]
         values = values.select(*dict.fromkeys(keep))
         if replace_missing and names:

@@ -177,22 +177,25 @@ def parse_examples(docs: DataFrame) -> DataFrame:
 
 
 def parse_services(docs: DataFrame) -> DataFrame:
-    """``{"services": [{name, type, description}]}``; the name is its part after the last ``/``."""
+    """``{"services": [{name, type, description}]}`` -> ``(path, name, type, description)``; the
+    name is its part after the last ``/``."""
     item = _struct("name", "type", "description")
     schema = T.StructType([T.StructField("services", _list(item))])
-    rows = docs.select(F.explode(F.from_json("value", schema)["services"]).alias("s"))
+    rows = docs.select("path", F.explode(F.from_json("value", schema)["services"]).alias("s"))
     name = F.element_at(F.split("s.name", "/"), -1).alias("name")
-    return rows.select(name, "s.type", "s.description")
+    return rows.select("path", name, "s.type", "s.description")
 
 
 def parse_layers(docs: DataFrame) -> DataFrame:
-    """``{"layers": [{id, name, geometryType, fields}]}`` -> one row per layer, in file order."""
-    schema = T.StructType([T.StructField("layers", _list(LAYER))])
-    parsed = F.from_json("value", schema)["layers"]
-    return docs.select(F.posexplode(parsed).alias("position", "l")).select("position", "l.*")
+    """``{"mapName": …, "layers": [{id, name, geometryType, fields}]}`` -> one row per layer, in file
+    order, with the file it came from and its ``service`` (the map name)."""
+    schema = T.StructType([T.StructField("mapName", _S), T.StructField("layers", _list(LAYER))])
+    parsed = docs.select("path", F.from_json("value", schema).alias("j"))
+    layers = parsed.select("path", F.col("j.mapName").alias("service"), F.posexplode("j.layers").alias("position", "l"))
+    return layers.select("path", "service", "position", "l.*")
 
 
 def layer_fields(layers: DataFrame) -> DataFrame:
-    return layers.select(F.col("id").alias("layer"), F.explode("fields").alias("f")).select(
-        "layer", "f.*"
-    )
+    """One row per field, with the path, service and number of its layer."""
+    rows = layers.select("path", "service", F.col("id").alias("layer"), F.explode("fields").alias("f"))
+    return rows.select("path", "service", "layer", "f.*")

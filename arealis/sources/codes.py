@@ -14,10 +14,9 @@ def _schema(*names: str) -> T.StructType:
 
 
 # File of each kind, its separator, and its columns where it has no header.
-# Kinds without published column names keep positions.
-_WITHOUT_NAMES = tuple(f"c{i}" for i in range(8))
+# Columns without a published name keep positions, as many as the file has.
 KINDS = {
-    "AIA": ("aia.txt", ",", _WITHOUT_NAMES),
+    "AIA": ("aia.txt", ",", ()),
     "COUNTY": ("county.txt", ",", ("STATE", "STATEFP", "COUNTYFP", "COUNTYNAME", "CLASSFP")),
     "SUBCOUNTY": (
         "cousub.txt",
@@ -25,7 +24,7 @@ KINDS = {
         ("STATE", "STATEFP", "COUNTYFP", "COUNTYNAME", "COUSUBFP", "COUSUBNAME", "FUNCSTAT"),
     ),
     "PLACE": ("places.txt", "|", None),
-    "SCHOOLDISTRICT": ("schdist.txt", ",", _WITHOUT_NAMES),
+    "SCHOOLDISTRICT": ("schdist.txt", ",", ()),
     "VTD": ("vtd.txt", "|", None),
 }
 
@@ -66,7 +65,8 @@ def read_area_codes(
     if names is None:
         table = reader.csv(path, header=True)
     else:
-        table = reader.schema(_schema(*names)).csv(path, header=False)
+        table = reader.csv(path, header=False)
+        table = table.toDF(*names[: len(table.columns)], *(f"c{i}" for i in range(len(names), len(table.columns))))
     if not in_state:
         return table
     wanted = find_state(states, in_state).select("abbreviation")

@@ -17,21 +17,22 @@ def _parsed(docs: DataFrame) -> DataFrame:
     return docs.withColumn("t", F.from_json("value", _TABLE))
 
 
-def response_rows(docs: DataFrame) -> DataFrame:
-    """One row per data row: ``(path, position, cells map<column, value>)``.
+def response_rows(docs: DataFrame, *keep: str) -> DataFrame:
+    """One row per data row: ``(path, position, *keep, cells map<column, value>)``.
 
     Headers may differ from file to file. Files that do not parse give no rows; see
     :func:`broken`.
     """
     rows = _parsed(docs).where("size(t) > 1").select(
         "path",
+        *keep,
         F.get("t", F.lit(0)).alias("header"),
         F.posexplode(F.slice("t", 2, F.size("t") - 1)).alias("position", "row"),
     )
     # maps take each key once; a repeated column keeps its first value
     header = F.array_distinct("header")
     first = F.transform(header, lambda h: F.get("row", F.array_position("header", h).cast("int") - 1))
-    return rows.select("path", "position", F.map_from_arrays(header, first).alias("cells"))
+    return rows.select("path", "position", *keep, F.map_from_arrays(header, first).alias("cells"))
 
 
 def to_columns(rows: DataFrame, columns: Sequence[str], *keep: str) -> DataFrame:
@@ -39,17 +40,22 @@ def to_columns(rows: DataFrame, columns: Sequence[str], *keep: str) -> DataFrame
     return rows.select(*keep, *picked)
 
 
-def header_of(docs: DataFrame) -> list[str]:
-    """Header of one file, read at the driver; all files are then held to these columns."""
-    first = _parsed(docs).where("size(t) > 0").select(F.get("t", F.lit(0)).alias("h")).first()
-    return list(first["h"]) if first else []
+def columns_of(docs: DataFrame) -> list[str]:
+    """All columns that any header has, in the order of the headers by file name.
+
+    Distinct headers are few; they are all that is brought to the driver.
+    """
+    headers = _parsed(docs).where("size(t) > 0").groupBy(F.get("t", F.lit(0)).alias("h")).agg(F.min("path").alias("p"))
+    return list(dict.fromkeys(c for r in headers.orderBy("p", "h").collect() for c in r["h"]))
 
 
 def read_responses(
     spark: SparkSession, path: str, columns: Sequence[str] | None = None, per_line: bool = False
 ) -> DataFrame:
+    """Rows of all files with the named columns, else with all that occur; a column that a file
+    lacks is missing in its rows."""
     docs = documents(spark, path, per_line)
-    return to_columns(response_rows(docs), columns or header_of(docs))
+    return to_columns(response_rows(docs), columns or columns_of(docs))
 
 
 def broken(docs: DataFrame) -> DataFrame:

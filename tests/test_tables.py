@@ -13,7 +13,11 @@ from arealis.operators import names, select
 from arealis.plans.table_query import table_query
 from arealis.session import scratch_path
 from arealis.sources import catalogue, codes, features, landed, responses
-from arealis.streaming.landing import load_new
+from arealis.operators import dictionary
+from arealis.operators.moe_replicate import collapse
+from arealis.operators.names import best_matches
+from arealis.sources import rejects
+from arealis.streaming.landing import latest, load_new
 
 PLACES = [
     "Chicago city, IL",
@@ -187,17 +191,57 @@ def test_responses_with_differing_headers_and_a_broken_file(spark):
     assert [r["value"].strip() for r in bad] == ["<html>sorry</html>"]
 
 
-def test_stream_loads_each_key_once(spark):
+def test_a_later_answer_wins_and_bad_texts_are_kept_apart(spark):
     doc = lambda *rows: json.dumps([["id", "v"], *rows])
     landing = write(spark, "landing", doc(["1", "a"], ["2", "b"]))
     target, state = scratch_path(spark, "target"), scratch_path(spark, "state")
-    args = (spark, landing, target, state, ["id", "v"], ["id"])
+    bad = scratch_path(spark, "bad")
+    args = (spark, landing, target, state, ["id", "v"], bad)
     load_new(*args).awaitTermination()
-    spark.createDataFrame([(doc(["2", "b"], ["3", "c"]),)], "value string").write.mode("append").text(landing)
+    more = [(doc(["2", "new"], ["3", "c"]),), ('{"error": 1}',)]
+    spark.createDataFrame(more, "value string").repartition(2).write.mode("append").text(landing)
     load_new(*args).awaitTermination()
     load_new(*args).awaitTermination()
-    got = spark.read.parquet(target).collect()
-    assert sorted(map(tuple, got)) == [("1", "a"), ("2", "b"), ("3", "c")]
+    rows = latest(spark.read.parquet(target), ["id"])
+    assert sorted((r.id, r.v) for r in rows.collect()) == [("1", "a"), ("2", "new"), ("3", "c")]
+    assert [r["value"].strip() for r in spark.read.parquet(bad).collect()] == ['{"error": 1}']
+
+
+def test_a_bad_text_ends_the_load_where_rejects_have_no_place(spark):
+    landing = write(spark, "landing", "<html>")
+    with pytest.raises(Exception, match="no response table"):
+        load_new(spark, landing, scratch_path(spark, "t"), scratch_path(spark, "s"), ["id"]).awaitTermination()
+
+
+def test_rejects_of_every_reader(spark):
+    for kind in rejects.REQUIRED:
+        rows = [("a", '{"error": {"code": 400}}'), ("b", "<html>"), ("c", ""), ("d", "{}")]
+        docs = spark.createDataFrame(rows, "path string, value string")
+        assert rejects.rejected(docs, kind).count() == 4, kind
+
+
+def test_a_table_with_two_descriptions_raises_whatever_is_read(spark):
+    df = spark.createDataFrame([("B1_1E", "x"), ("B1_2E", "y")], "name string, concept string")
+    for use in (lambda t: t.select("table").collect(), lambda t: t.count()):
+        with pytest.raises(Exception, match="more than one description in table B1"):
+            use(dictionary.table_list(df, "survey"))
+    with pytest.raises(Exception, match="more than one description"):
+        dictionary.table_columns(df, "survey").collect()
+
+
+def test_replicates_of_another_length_raise(spark):
+    df = spark.createDataFrame([("1", 1.0, [1.0] * 100)], "geoid string, est double, reps array<double>")
+    for column in ("est", "reps"):
+        with pytest.raises(Exception, match="expected 80 replicates"):
+            collapse(df, ["geoid"]).select(column).collect()
+
+
+def test_best_match_with_repeated_positions(spark):
+    rows = [("Springfield", "1"), ("Springfield", "1"), ("Spring Hill", "1"), ("Shelbyville", "2")]
+    got = best_matches(spark.createDataFrame(rows, "target string, position string"), ["springfield", "shelby"])
+    assert {r["query"]: (r.target, r.ambiguous) for r in got.collect()} == {
+        "springfield": ("Springfield", True), "shelby": ("Shelbyville", False),
+    }
 
 
 def test_features_of_all_kinds_with_z(spark):

@@ -9,8 +9,8 @@ from arealis.operators import moe_replicate as mr
 from arealis.plans.table_query import table_query
 from arealis.session import scratch_path
 from arealis.sources import catalogue as cat
-from arealis.sources import codes, landed, replicates, responses
-from arealis.streaming.landing import load_new
+from arealis.sources import codes, landed, rejects, replicates, responses
+from arealis.streaming.landing import latest, load_new
 from workload.tables import (
     DICTIONARY_SQL,
     REPLICATE_ROWS_SQL,
@@ -53,7 +53,7 @@ def datasets(spark, sf):
     record = F.struct(
         F.lit("dcat:Dataset").alias("@type"),
         F.concat(F.lit("Set "), F.col("doc_id").cast("string")).alias("title"),
-        F.substring("text", 1, 40).alias("description"),
+        F.col("text").alias("description"),
         F.when(odd, F.array("lang", "source")).otherwise(F.array("lang")).alias("keyword"),
         F.concat(F.lit("https://api.example.org/data/id/"), F.when(odd, F.lit("eits/")).otherwise(F.lit("")), code).alias("identifier"),
         F.array(
@@ -89,7 +89,7 @@ def _(spark, sf):
     "catalogue_long",
     f"""WITH c AS (SELECT *, 'https://api.example.org/data/id/' || {SHORTCODE_SQL} AS identifier_url FROM documents)
     SELECT ltrim(string_split(identifier_url, 'id')[-1], '/') AS shortcode, identifier_url,
-      'Set ' || doc_id::varchar AS title, substr(text, 1, 40) AS description,
+      'Set ' || doc_id::varchar AS title, text AS description,
       CASE WHEN doc_id % 9 = 4 THEN lang || '|' || source ELSE lang END AS keyword,
       'Office' AS publisher, (2010 + doc_id % 10)::int AS vintage, lang AS c_dataset,
       CASE WHEN doc_id % 7 = 3 THEN 'PDF' ELSE 'API' END AS format FROM c""",
@@ -113,7 +113,7 @@ def _(spark, sf):
 
 @query(
     "catalogue_explained",
-    """SELECT 'Set ' || doc_id::varchar AS title, substr(text, 1, 40) AS description FROM documents
+    """SELECT 'Set ' || doc_id::varchar AS title, text AS description FROM documents
     WHERE doc_id = (SELECT max(doc_id) FROM documents WHERE doc_id % 9 <> 4)""",
 )
 def _(spark, sf):
@@ -192,7 +192,8 @@ def _(spark, sf):
 @query(
     "map_services_and_layers",
     """SELECT n_name AS service, layer, f AS field, 'string' AS type FROM nation,
-      (VALUES (0, 'GEOID'), (0, 'STATE'), (1, 'NAME')) AS t(layer, f)""",
+      (VALUES (0, 'GEOID'), (0, 'STATE'), (1, 'NAME')) AS t(layer, f)
+    WHERE layer = 0 OR n_nationkey % 3 = 1""",
 )
 def _(spark, sf):
     nation = table(spark, sf, "nation")
@@ -200,25 +201,19 @@ def _(spark, sf):
         *[F.struct(F.lit(n).alias("name"), F.lit("string").alias("type")) for n in names]
     )
     service = F.struct(F.concat(F.lit("maps/"), F.col("n_name")).alias("name"), F.lit("MapServer").alias("type"))
-    layers = F.array(
-        F.struct(F.lit(0).alias("id"), F.lit("Counties").alias("name"), named("GEOID", "STATE").alias("fields")),
-        F.struct(F.lit(1).alias("id"), F.lit("Tracts").alias("name"), named("NAME").alias("fields")),
-    )
+    first = F.struct(F.lit(0).alias("id"), F.lit("Counties").alias("name"), named("GEOID", "STATE").alias("fields"))
+    second = F.struct(F.lit(1).alias("id"), F.lit("Tracts").alias("name"), named("NAME").alias("fields"))
+    # services differ in their layers
+    layers = F.when(F.col("n_nationkey") % 3 == 1, F.array(first, second)).otherwise(F.array(first))
     services = nation.select(F.to_json(F.struct(F.array(service).alias("services"))).alias("value"))
     listed = cat.parse_services(
         cat.documents(spark, land_text(services, spark, "services"), per_line=True)
     )
     one = nation.select(F.to_json(F.struct(layers.alias("layers"), F.col("n_name").alias("mapName"))).alias("value"))
     docs = cat.documents(spark, land_text(one, spark, "layers"), per_line=True)
-    name = F.get_json_object("value", "$.mapName")
-    per_layer = docs.select(name.alias("path"), "value")
-    rows = per_layer.select("path", F.from_json("value", "layers array<struct<id:int,fields:array<struct<name:string,type:string>>>>").alias("j"))
     fields = cat.layer_fields(cat.parse_layers(docs))
-    # the layer list of each service is the same, so every service has every field
-    distinct = fields.select("layer", F.col("name").alias("field"), "type").distinct()
-    services_with_layers = rows.select(F.col("path").alias("service"), F.explode("j.layers.id").alias("layer"))
-    known = services_with_layers.join(listed.select(F.col("name").alias("service")), "service", "left_semi")
-    return known.join(distinct, "layer").select("service", "layer", "field", "type")
+    known = fields.join(listed.select(F.col("name").alias("service")), "service", "left_semi")
+    return known.select("service", "layer", F.col("name").alias("field"), "type")
 
 
 # --- responses -------------------------------------------------------------------------------
@@ -246,22 +241,66 @@ def _(spark, sf):
     return responses.read_responses(spark, path, per_line=True)
 
 
+@query("responses_read_headers_differ", RESPONSE_SQL + " UNION ALL SELECT NULL, \"B001_001E\", state, county, NULL FROM survey WHERE level = 'county'")
+def _(spark, sf):
+    df = survey(spark, sf)
+    texts = response_texts(df.where("level = 'tract'"))
+    short = ["B001_001E", "state", "county"]
+    rows = df.where("level = 'county'").groupBy("state").agg(F.collect_list(F.array(*short)).alias("rows"))
+    header = F.array(F.array(*[F.lit(c) for c in short]))
+    other = rows.select(F.to_json(F.concat(header, "rows")).alias("value"))
+    path = land_text(texts.unionByName(other), spark, "responses")
+    return responses.read_responses(spark, path, per_line=True).select(RESPONSE_COLUMNS)
+
+
 @query("responses_streamed", RESPONSE_SQL)
 def _(spark, sf):
     df = survey(spark, sf).where("level = 'tract'")
     landing, target = scratch_path(spark, "drops"), scratch_path(spark, "target")
     checkpoint = scratch_path(spark, "offsets")
     texts = response_texts(df)
-    texts.where(F.length("value") % 2 == 0).write.mode("append").text(landing)
-    for drop in (texts, texts.where(F.length("value") % 3 == 0)):  # later drops repeat areas
-        load_new(
-            spark, landing, target, checkpoint, RESPONSE_COLUMNS, ["state", "county", "tract"], per_line=True
-        ).awaitTermination()
+    stale = response_texts(df.withColumn("B001_001E", F.lit("0")).withColumn("NAME", F.lit("old")))
+    # the first answers are stale; a later drop corrects every area, the last one repeats some
+    for drop in (stale.where(F.length("value") % 2 == 0), texts, texts.where(F.length("value") % 3 == 0)):
         drop.write.mode("append").text(landing)
-    load_new(
-        spark, landing, target, checkpoint, RESPONSE_COLUMNS, ["state", "county", "tract"], per_line=True
-    ).awaitTermination()
-    return spark.read.schema(", ".join(f"{c} string" for c in RESPONSE_COLUMNS)).parquet(target)
+        load_new(spark, landing, target, checkpoint, RESPONSE_COLUMNS, per_line=True).awaitTermination()
+    return latest(spark.read.parquet(target), ["state", "county", "tract"])
+
+
+@query(
+    "documents_rejected",
+    """SELECT kind, count(*) AS rejected FROM documents,
+      (VALUES ('catalogue'), ('variables'), ('geographies'), ('tags'), ('examples'), ('services'), ('layers'),
+              ('features'), ('responses')) AS k(kind)
+    WHERE doc_id % 4 <> 0 GROUP BY kind""",
+)
+def _(spark, sf):
+    """A good document of each kind beside error answers, pages that are no JSON and empty files."""
+    good = {
+        "catalogue": '{"dataset": [{"title": "a"}]}',
+        "variables": '{"variables": {"A": {"label": "a"}}}',
+        "geographies": '{"fips": [{"name": "tract"}]}',
+        "tags": '{"tags": ["a"]}',
+        "examples": '["a"]',
+        "services": '{"services": [{"name": "a"}]}',
+        "layers": '{"layers": [{"id": 0}]}',
+        "features": '{"geometryType": "esriGeometryPoint", "features": [{"x": 1}]}',
+        "responses": '[["NAME"], ["a"]]',
+    }
+    doc = table(spark, sf, "documents")
+    bad = (
+        F.when(F.col("doc_id") % 4 == 1, F.to_json(F.struct(F.struct(F.col("text").alias("message")).alias("error"))))
+        .when(F.col("doc_id") % 4 == 2, F.concat(F.lit("<html>"), F.regexp_replace("text", "[\\r\\n]", " ")))
+        .otherwise(F.lit("{}"))
+    )
+    out = None
+    for kind, text_ in good.items():
+        value = F.when(F.col("doc_id") % 4 == 0, F.lit(text_)).otherwise(bad)
+        path = land_text(doc.select(value.alias("value")), spark, kind)
+        docs = cat.documents(spark, path, per_line=True)
+        part = rejects.rejected(docs, kind).select(F.lit(kind).alias("kind"))
+        out = part if out is None else out.unionByName(part)
+    return out.groupBy("kind").agg(F.count("*").alias("rejected"))
 
 
 @query(
@@ -392,6 +431,50 @@ def _(spark, sf):
     return codes.read_area_codes(spark, root, "county", _states(spark, sf), in_state="Asia")
 
 
+@query(
+    "school_district_codes",
+    """SELECT substr(r_name, 1, 3) AS c0, n_nationkey::varchar AS c1, n_name AS c2, 'x3' AS c3, 'x4' AS c4, 'x5' AS c5,
+      'x6' AS c6, 'x7' AS c7, 'x8' AS c8, 'x9' AS c9, n_regionkey::varchar AS c10
+    FROM nation JOIN region ON n_regionkey = r_regionkey""",
+)
+def _(spark, sf):
+    nation, region = table(spark, sf, "nation"), table(spark, sf, "region")
+    root = scratch_path(spark, "codes")
+    more = [F.lit(f"x{i}").alias(f"x{i}") for i in range(3, 10)]
+    df = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
+    df = df.select(F.substring("r_name", 1, 3), "n_nationkey", "n_name", *more, "n_regionkey")
+    df.write.csv(f"{root}/national_schdist.txt")
+    return codes.read_area_codes(spark, root, "School District", _states(spark, sf))
+
+
+@query(
+    "subcounty_and_vtd_codes",
+    """SELECT 'SUBCOUNTY' AS kind, substr(r_name, 1, 3) AS "STATE", n_name AS name FROM nation JOIN region ON n_regionkey = r_regionkey
+      WHERE r_regionkey = 3
+    UNION ALL SELECT 'VTD', substr(r_name, 1, 3), n_name FROM nation JOIN region ON n_regionkey = r_regionkey WHERE r_regionkey = 3
+    UNION ALL SELECT 'AIA', substr(r_name, 1, 3), n_name FROM nation JOIN region ON n_regionkey = r_regionkey WHERE r_regionkey = 3
+    UNION ALL SELECT 'STATE', substr(r_name, 1, 3), r_name FROM region""",
+)
+def _(spark, sf):
+    nation, region = table(spark, sf, "nation"), table(spark, sf, "region")
+    root, states = scratch_path(spark, "codes"), _states(spark, sf)
+    df = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
+    abbreviation = F.substring("r_name", 1, 3)
+    zero = [F.lit("0").alias(f"z{i}") for i in range(4)]
+    df.select(abbreviation, *zero[:2], F.lit("c"), zero[2], "n_name", F.lit("A")).write.csv(f"{root}/national_cousub.txt")
+    df.select(abbreviation, "n_name", *zero).write.csv(f"{root}/national_aia.txt")
+    vtd = df.select(abbreviation.alias("STATE"), F.col("n_name").alias("VTDNAME"))
+    vtd.write.option("header", True).option("sep", "|").csv(f"{root}/national_vtd.txt")
+    out = codes.read_area_codes(spark, root, "state", states).select(
+        F.lit("STATE").alias("kind"), F.col("abbreviation").alias("STATE"), "name"
+    )
+    names = {"SUBCOUNTY": ("STATE", "COUSUBNAME"), "VTD": ("STATE", "VTDNAME"), "AIA": ("c0", "c1")}
+    for kind, (state, name) in names.items():
+        part = codes.read_area_codes(spark, root, kind, states, in_state="3")
+        out = out.unionByName(part.select(F.lit(kind).alias("kind"), F.col(state).alias("STATE"), F.col(name).alias("name")))
+    return out
+
+
 @query(
     "support_tables",
     """SELECT '0400000US' || lpad(n_nationkey::varchar, 2, '0') AS geoid, count(c_custkey)::double AS population,

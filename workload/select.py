@@ -152,6 +152,14 @@ def _(spark, sf):
     )
 
 
+def single_concepts(spark, sf):
+    """The dictionary as a survey has it: one concept per table."""
+    return dictionary(spark, sf).withColumn("concept", F.regexp_replace("concept", " b$", ""))
+
+
+SINGLE_SQL = """single AS (SELECT "group" AS "table", min(regexp_replace(concept, ' b$', '')) AS description,
+      count(*) AS n_columns FROM dictionary GROUP BY 1)"""
+
 TABLE_LIST_SQL = """SELECT "group" AS "table", min(concept) AS description, count(*) AS n_columns
     FROM dictionary GROUP BY 1 HAVING count(DISTINCT concept) = 1"""
 
@@ -166,11 +174,10 @@ def _(spark, sf):
 
 @query(
     "crosstabs_by_stem",
-    f"WITH {DICTIONARY_SQL}, t AS ({TABLE_LIST_SQL}) SELECT * FROM t WHERE NOT regexp_matches(\"table\", '[0-9]$')",
+    f"WITH {DICTIONARY_SQL}, {SINGLE_SQL} SELECT * FROM single WHERE NOT regexp_matches(\"table\", '[0-9]$')",
 )
 def _(spark, sf):
-    df = dictionary(spark, sf).where("`group` <> 'B00003'")
-    return dct.table_list(df, "survey", crosstabs=True)
+    return dct.table_list(single_concepts(spark, sf), "survey", crosstabs=True)
 
 
 @query(
@@ -184,11 +191,10 @@ def _(spark, sf):
 
 @query(
     "tables_filtered",
-    f"WITH {DICTIONARY_SQL}, t AS ({TABLE_LIST_SQL}) SELECT * FROM t WHERE regexp_matches(\"table\", '[0-9]$') AND regexp_matches(description, '[12]0?$')",
+    f"WITH {DICTIONARY_SQL}, {SINGLE_SQL} SELECT * FROM single WHERE regexp_matches(\"table\", '[0-9]$') AND regexp_matches(description, '[123]0?$')",
 )
 def _(spark, sf):
-    df = dictionary(spark, sf).where("`group` <> 'B00003'")
-    return dct.search(dct.table_list(df, "survey"), "[12]0?$", by="description")
+    return dct.search(dct.table_list(single_concepts(spark, sf), "survey"), "[123]0?$", by="description")
 
 
 # --- hierarchy ---------------------------------------------------------------------------------
