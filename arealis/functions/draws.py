@@ -26,7 +26,3 @@ def normal_from_digest(digest: Column) -> Column:
     first, second = _uniform(digest, 1), _uniform(digest, 1 + _DIGITS)
     radius = F.sqrt(F.lit(-2.0) * F.ln(F.lit(1.0) - first))
     return radius * F.cos(F.lit(2.0 * math.pi) * second)
-
-
-def normal_draw(seed: int, *parts: Column) -> Column:
-    return normal_from_digest(draw_digest(seed, *parts))

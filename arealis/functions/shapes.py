@@ -76,6 +76,7 @@ def covered_area(rings: str) -> Column:
     return F.expr(f"aggregate({rings}, 0D, (ca, cr) -> ca - {signed_area_sql('cr')})")
 
 
+# Names of the kinds of polygons.
 MIXED = "MultiPolygon with Holes"
 
 
@@ -89,19 +90,18 @@ def kind_of(n: Column, outer: Column) -> Column:
     )
 
 
-def polygon_kind(rings: str) -> Column:
-    outer = F.expr(f"size(filter({rings}, kr -> {is_clockwise_sql('kr')}))")
-    return F.get(F.transform(F.array(outer), lambda o: kind_of(F.size(rings), o)), F.lit(0))
-
-
 # --- boxes -----------------------------------------------------------------------------------
 
 
 def bounds(rings: str) -> Column:
+    return F.expr(bounds_sql(rings))
+
+
+def bounds_sql(rings: str) -> str:
     body = """named_struct(
         'xmin', array_min(transform(ps, p -> p.x)), 'ymin', array_min(transform(ps, p -> p.y)),
         'xmax', array_max(transform(ps, p -> p.x)), 'ymax', array_max(transform(ps, p -> p.y)))"""
-    return F.expr(bind_sql(f"flatten({rings})", "ps", body))
+    return bind_sql(f"flatten({rings})", "ps", body)
 
 
 def box_text(box: Column) -> Column:
@@ -226,6 +226,10 @@ def tolerance_sql(box: str) -> str:
 
 
 def interior_points(rings: str) -> Column:
+    return F.expr(interior_points_sql(rings))
+
+
+def interior_points_sql(rings: str) -> str:
     """One point strictly inside each part of a shape: ``array<struct<x, y>>``.
 
     The point lies on a horizontal line through the widest gap between the heights of
@@ -268,7 +272,7 @@ def interior_points(rings: str) -> Column:
     found = bind_sql(boxed, "rb", points)
     first = f"get(get({rings}, 0), 0)"
     alone = f"array(named_struct('x', {first}.x, 'y', {first}.y))"
-    return F.expr(f"if(size({rings}) = 1 AND size(get({rings}, 0)) = 1, {alone}, {found})")
+    return f"if(size({rings}) = 1 AND size(get({rings}, 0)) = 1, {alone}, {found})"
 
 
 # --- simplification -------------------------------------------------------------------------------

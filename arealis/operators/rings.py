@@ -33,16 +33,6 @@ def ring_table(df: DataFrame, key: str, rings: str = "rings") -> DataFrame:
     )
 
 
-def by_order(rings: DataFrame, key: str) -> DataFrame:
-    """Owner of each ring by order: the last outer ring before it, else the first one after."""
-    ordered = Window.partitionBy(key).orderBy("ring")
-    before = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    after = ordered.rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    own = F.when(F.col("outer"), F.col("ring"))
-    owner = F.coalesce(F.last(own, True).over(before), F.first(own, True).over(after))
-    return rings.withColumn("owner", owner)
-
-
 def _containers(inner: DataFrame, outer: DataFrame, key: str) -> DataFrame:
     """Pairs ``(key, ring, shell, shell_area)`` with a point of the ring inside the shell,
     for shells at least as large as the ring (so a shell inside a hole does not own it)."""
@@ -71,18 +61,6 @@ def _containers(inner: DataFrame, outer: DataFrame, key: str) -> DataFrame:
     return found.select(key, "ring", "shell", "shell_area")
 
 
-def by_containment(rings: DataFrame, key: str) -> DataFrame:
-    """Owner of each hole: where a feature has several outer rings and holes, the innermost
-    outer ring that contains it, if there is one; else as by order."""
-    mixed = rings.where(F.col("kind") == shapes.MIXED)
-    holes, outer = mixed.where(~F.col("outer")), mixed.where("outer")
-    innermost = _containers(holes, outer, key).groupBy(key, "ring").agg(
-        F.min_by("shell", F.struct("shell_area", "shell")).alias("shell")
-    )
-    joined = by_order(rings, key).join(innermost, [key, "ring"], "left")
-    return joined.withColumn("owner", F.coalesce("shell", "owner")).drop("shell")
-
-
 def shell_order(rings: DataFrame, key: str) -> DataFrame:
     """Outer rings with the number of other outer rings inside them, fewest first:
     ``(key, ring, holds, rank)``."""
@@ -102,17 +80,31 @@ def assemble(df: DataFrame, key: str, rings: str = "rings", repair: bool = True)
 
     Without ``repair`` holes belong to the last outer ring before them. With it, in
     features with several outer rings and holes, each goes to the innermost outer ring
-    that contains it.
+    that contains it. All rings of a feature lie in one row, so this is done in the row.
     """
-    table = ring_table(df, key, rings)
-    owned = by_containment(table, key) if repair else by_order(table, key)
-    # the rings of one feature came from one row, so they fit into one again
-    member = F.struct((~F.col("outer")).alias("hole"), "ring", "points")
-    parts = owned.groupBy(key, "kind", "owner").agg(
-        F.transform(F.sort_array(F.collect_list(member)), lambda m: m["points"]).alias("part")
-    )
-    return parts.groupBy(key, "kind").agg(
-        F.transform(
-            F.sort_array(F.collect_list(F.struct("owner", "part"))), lambda p: p["part"]
-        ).alias("parts")
-    )
+    bind = shapes.bind_sql
+    measured = f"transform({rings}, (r, ri) -> named_struct('i', ri, 'points', r, 'area', {shapes.signed_area_sql('r')}))"
+    shells = "if(outers = 0, ms, filter(ms, m -> m.area < 0))"
+    holes = "if(outers = 0, slice(ms, 1, 0), filter(ms, m -> m.area >= 0))"
+    before = "array_max(transform(filter(os, oo -> oo.i < hh.i), oo -> oo.i))"
+    owner = f"coalesce({before}, get(os, 0).i)"
+    if repair:
+        box = "named_struct('i', oo.i, 'area', -oo.area, 'es', {}, 'box', {})".format(
+            shapes.ring_edges_sql("oo.points"), shapes.bounds_sql("array(oo.points)")
+        )
+        in_box = "pt.x BETWEEN bb.box.xmin AND bb.box.xmax AND pt.y BETWEEN bb.box.ymin AND bb.box.ymax"
+        holds = f"bb.area >= hh.area AND {in_box} AND {shapes.inside_sql('bb.es', 'pt.x', 'pt.y')}"
+        around = f"filter(bs, bb -> coalesce({holds}, false))"
+        innermost = f"array_min(transform({around}, bb -> named_struct('area', bb.area, 'i', bb.i))).i"
+        point = f"get({shapes.interior_points_sql('array(hh.points)')}, 0)"
+        owner = f"coalesce({bind(point, 'pt', innermost)}, {owner})"
+        boxes = f"if(outers > 1 AND outers < size(ms), transform(os, oo -> {box}), NULL)"
+    owned = f"transform({holes}, hh -> named_struct('owner', {owner}, 'points', hh.points))"
+    if repair:
+        owned = bind(boxes, "bs", owned)
+    part = "concat(array(oo.points), transform(filter(hs, hx -> hx.owner = oo.i), hx -> hx.points))"
+    parts = bind(owned, "hs", f"transform(os, oo -> {part})")
+    both = f"named_struct('outers', outers, 'parts', {bind(shells, 'os', parts)})"
+    built = bind(measured, "ms", bind("size(filter(ms, m -> m.area < 0))", "outers", both))
+    rows = df.where(f"size({rings}) > 0").select(key, F.size(rings).alias("_n"), F.expr(built).alias("_b"))
+    return rows.select(key, shapes.kind_of(F.col("_n"), F.col("_b.outers")).alias("kind"), "_b.parts")

@@ -228,9 +228,9 @@ def points_inside(
 _IS_POINT = "size(rings) = 1 AND size(get(rings, 0)) = 1"
 
 
-def _edge_test(relation: str) -> Column:
-    """Does the segment ``e`` of an outline enter the inside of an area (``rings``,
-    ``left_box``), or for ``intersects`` meet the area at all?
+def _edge_test_sql(relation: str) -> str:
+    """Does the segment ``e`` of an outline enter the inside of an area (``rings``, its edges
+    ``es``, ``left_box``), or for ``intersects`` meet the area at all?
 
     The segment is cut where it meets the boundary of the area; it enters the area if
     the middle of a piece lies inside and not on the boundary. It meets the area if it
@@ -260,8 +260,11 @@ def _edge_test(relation: str) -> Column:
     else:
         test = f"if({_IS_POINT}, {touches}, exists({middles}, c -> {inside} AND NOT {near}))"
     bind = shapes.bind_sql
-    body = bind(shapes.tolerance_sql("left_box"), "tol", bind(cuts, "cs", test))
-    return F.expr(bind(shapes.edges_sql("rings"), "es", body))
+    return bind(shapes.tolerance_sql("left_box"), "tol", bind(cuts, "cs", test))
+
+
+def _edge_test(relation: str) -> Column:
+    return F.expr(shapes.bind_sql(shapes.edges_sql("rings"), "es", _edge_test_sql(relation)))
 
 
 def relate(
@@ -339,12 +342,54 @@ def spatial_filter(
     """Rows of a layer that stand in the relation to one given shape (a list of rings)."""
     points = [[{"x": float(x), "y": float(y)} for x, y in ring] for ring in shape]
     one = spark.createDataFrame(
-        [(0, points)], "_shape int, rings array<array<struct<x:double,y:double>>>"
+        [(points,)], "rings array<array<struct<x:double,y:double>>>"
     )
     if shape_srid and srid and shape_srid != srid:
         one = one.withColumn("rings", shapes.reproject("rings", shape_srid, srid))
-    hits = relate(df, one, key, "_shape", relation, area_rings=rings)
-    return df.join(hits.select(key), key, "left_semi")
+    # the shape is known here: its edges and points are constants of a filter
+    known = one.select(
+        F.to_json("rings").alias("rings"),
+        F.to_json(shapes.edges("rings")).alias("edges"),
+        F.to_json(shapes.interior_points("rings")).alias("inner"),
+        shapes.bounds("rings").alias("box"),
+    ).first()
+    box = tuple(known["box"])
+    if None in box:
+        return df.limit(0)
+    near = areas_in_box(df, box, "within" if relation == "within" else "intersects", rings)
+    return near.where(_stands(relation, rings, known, box))
+
+
+_EDGES = "array<struct<x1:double,y1:double,x2:double,y2:double>>"
+_POINTS = "array<struct<x:double,y:double>>"
+
+
+def _stands(relation: str, rings: str, shape, box) -> Column:
+    """The relation of an area to one constant shape, as in :func:`relate`."""
+    bind = shapes.bind_sql
+    edges = f"from_json('{shape['edges']}', '{_EDGES}')"
+    inner = f"from_json('{shape['inner']}', '{_POINTS}')"
+    corners = ", ".join(f"'{n}', {float(v)!r}D" for n, v in zip(("xmin", "ymin", "xmax", "ymax"), box))
+    # names of an area: rings, es (its edges), left_box; of the outline: oe (its edges)
+    if relation == "contains":  # the shape lies within the area
+        area, area_box = f"from_json('{shape['rings']}', 'array<{_POINTS}>')", f"named_struct({corners})"
+        points, outline = inner, shapes.edges_sql(rings)
+    else:
+        area, area_box = rings, shapes.bounds_sql(rings)
+        points, outline = shapes.interior_points_sql(rings), edges
+    reaches = shapes.segment_meets_box_sql("e", "left_box", strictly=relation != "intersects")
+    if relation != "intersects":
+        reaches = f"(left_box.xmin = left_box.xmax OR left_box.ymin = left_box.ymax OR {reaches})"
+    test = _edge_test_sql(relation).replace("size(rings)", "size(area)").replace("get(rings, 0)", "get(area, 0)")
+    met = f"exists(filter(oes, e -> {reaches}), e -> coalesce({test}, false))"
+    held = shapes.inside_sql("oes", "ip.x", "ip.y")
+    if relation == "intersects":
+        body = f"{met} OR exists(ips, ip -> {held})"
+    else:
+        body = f"size(ips) > 0 AND forall(ips, ip -> {held}) AND NOT {met}"
+    for value, name in ((points, "ips"), (shapes.edges_sql("area"), "es"), (area, "area"), (area_box, "left_box"), (outline, "oes")):
+        body = bind(value, name, body)
+    return F.expr(body)
 
 
 def areas_within(

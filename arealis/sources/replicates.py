@@ -25,7 +25,7 @@ FILE_SCHEMA = T.StructType(
     ]
     + [T.StructField(f"Var_Rep{i}", _NUMBER) for i in range(1, REPLICATES + 1)]
 )
-PARTITIONS = ("year", "level", "state")
+PARTITIONS = ("year", "level", "table", "state")
 
 
 def _read(spark: SparkSession, schema: T.StructType, paths: Sequence[str]) -> DataFrame:
@@ -73,14 +73,14 @@ def read_replicate_tables(
     columns: Sequence[str] = (),
     geos: Sequence[str] = (),
 ) -> DataFrame:
-    """Files landed as ``root/year=…/level=…/state=…``: only the asked directories are read.
+    """Files landed as ``root/year=…/level=…/table=…/state=…``: only the asked directories are read.
 
     ``level`` is a name or a code; ``state`` matters for tracts and block groups only.
     """
     schema = T.StructType(FILE_SCHEMA.fields + [T.StructField(c, _TEXT) for c in PARTITIONS])
     code = ids.level_code(level)
     raw = _read(spark, schema, [root]).where(
-        (F.col("year") == str(year)) & (F.col("level") == code) & F.col("TBLID").isin(*tables)
+        (F.col("year") == str(year)) & (F.col("level") == code) & F.col("table").isin(*tables)
     )
     if state is not None and code in ("140", "150"):
         raw = raw.where(F.col("state") == state)
@@ -91,7 +91,8 @@ def write_replicates(df: DataFrame, path: str) -> None:
     """Long rows as replicate files, the inverse of :func:`read_replicates`."""
     parts = F.split("variable", "_")
     reps = [F.get("reps", F.lit(i)).alias(f"Var_Rep{i + 1}") for i in range(REPLICATES)]
-    extra = [c for c in PARTITIONS if c in df.columns]
+    table = F.get(parts, F.lit(0)).alias("table")
+    extra = [table if c == "table" else F.col(c) for c in PARTITIONS if c == "table" or c in df.columns]
     flat = df.select(
         F.get(parts, F.lit(0)).alias("TBLID"),
         F.col("geoid").alias("GEOID"),
@@ -106,6 +107,6 @@ def write_replicates(df: DataFrame, path: str) -> None:
         *extra,
     )
     writer = flat.write.option("header", True).option("encoding", "ISO-8859-1")
-    if extra:
-        writer = writer.partitionBy(*extra)
+    if len(extra) > 1:  # rows of several years, levels or states
+        writer = writer.partitionBy(*(c for c in PARTITIONS if c in flat.columns))
     writer.option("compression", "gzip").csv(path)

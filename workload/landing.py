@@ -353,7 +353,7 @@ def land_replicates(spark, sf):
 def _(spark, sf):
     root = land_replicates(spark, sf)
     df = replicates.read_replicates(
-        spark, f"{root}/year=2015/level=140/state=*", columns=["B01_003", "B02_012", "B09_001"]
+        spark, f"{root}/year=2015/level=140/table=*/state=*", columns=["B01_003", "B02_012", "B09_001"]
     )
     return df.select("geoid", "variable", F.round("est", 4).alias("est"), F.round("moe", 4).alias("moe"))
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import dataclasses
+
 from pyspark.sql import functions as F
 
 from arealis.functions import shapes
@@ -51,6 +53,31 @@ def product(spark, sf) -> Product:
         F.concat(F.lit("Town "), F.col("n_nationkey").cast("string")).alias("TARGETNAME"),
         F.lit("Incorporated Place").alias("TYPE"),
     )
+    subdivision = F.concat(F.lit("Township "), F.col("n_nationkey").cast("string"))
+    # county subdivisions have the codes of places, but other outlines: the next box of the grid
+    gazetteer = gazetteer.unionByName(
+        gazetteer.withColumn("TYPE", F.lit("County Subdivision")).withColumn(
+            "TARGETNAME", F.regexp_replace("TARGETNAME", "Town", "Township")
+        )
+    )
+    moved = boxes.select((F.pmod(F.col("oid") - 1, F.lit(25))).alias("oid"), "rings")
+    subdivisions = nation.join(moved, F.col("n_nationkey") == F.col("oid")).select(
+        F.concat(text("n_regionkey", 2), text("n_nationkey", 3)).alias("GEOID"),
+        subdivision.alias("BASENAME"),
+        text("n_regionkey", 2).alias("STATE"),
+        text("n_nationkey", 5).alias("COUSUB"),
+        "rings",
+    )
+    state_outlines = region.join(boxes, F.col("r_regionkey") == F.col("oid")).select(
+        text("r_regionkey", 2).alias("GEOID"),
+        F.col("r_name").alias("BASENAME"),
+        text("r_regionkey", 2).alias("STATE"),
+        (1 + F.col("r_regionkey")).alias("AREALAND"),
+        "rings",
+    )
+    water = counties.withColumn("BASENAME", F.regexp_replace("BASENAME", "County", "Area")).withColumn(
+        "AREALAND", F.when(F.col("BASENAME") == "Area 44", 0).otherwise(F.col("AREALAND"))
+    )
     small = ws.areas(spark, sf).select("aid", "rings")
     customer = table(spark, sf, "customer").join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
     tracts = customer.join(small, F.col("c_custkey") == F.col("aid")).select(
@@ -69,8 +96,11 @@ def product(spark, sf) -> Product:
             "Counties": counties,
             "Incorporated Places": counties,
             "Metropolitan Statistical Areas": counties,
+            "Combined Statistical Areas": water,
+            "County Subdivisions": subdivisions,
+            "States": state_outlines,
         },
-        areas={"tract": tracts},
+        areas={"tract": tracts, "county": counties.select("GEOID", "rings")},
         gazetteer=gazetteer,
         states=states,
     )
@@ -98,6 +128,69 @@ def _(spark, sf):
     return product(spark, sf).from_place("town 7, as", ["^B001_"], return_geometry=False)
 
 
+@query("from_place_shared_code", _place_sql(8))
+def _(spark, sf):
+    # place and subdivision 7 have one code; the subdivision lies in the next box
+    return product(spark, sf).from_place("township 7, as", "B001_001E", return_geometry=False)
+
+
+@query("from_place_of_type", _place_sql(8))
+def _(spark, sf):
+    return product(spark, sf).from_place(
+        "town 7, as", "B001_001E", place_type="County Subdivision", return_geometry=False
+    )
+
+
+@query("from_state", _place_sql(2))
+def _(spark, sf):
+    return product(spark, sf).from_state("asia, as", "B001_001E", return_geometry=False)
+
+
+@query("from_csa", _place_sql(4))
+def _(spark, sf):
+    return product(spark, sf).from_csa("Area 4", "B001_001E", return_geometry=False)
+
+
+@query(
+    "from_box_counties",
+    """SELECT lpad(n_regionkey::varchar, 2, '0') || lpad(n_nationkey::varchar, 3, '0') AS "GEOID", n_name AS "NAME",
+      (n_nationkey * 100)::double AS "B001_001E" FROM nation WHERE n_nationkey % 5 <= 2 AND n_nationkey // 5 BETWEEN 1 AND 2""",
+)
+def _(spark, sf):
+    p = dataclasses.replace(product(spark, sf), srid=shapes.LONGITUDE_LATITUDE)
+    # boxes of side 100: those of columns 0 to 2 and rows 1 and 2 meet this one
+    return p.from_box((50.0, 150.0, 250.0, 250.0), "B001_001E", level="county", return_geometry=False)
+
+
+@query(
+    "decennial_blocks",
+    f"""WITH {ws.SHAPES_SQL},
+    b AS (SELECT lpad(n_regionkey::varchar, 2, '0') || lpad(n_nationkey::varchar, 3, '0') || lpad(c_custkey::varchar, 10, '0')
+        AS "GEOID", c_custkey % 7 AS v FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN p ON aid = c_custkey
+      WHERE oid = 12 AND within_box)
+    SELECT "GEOID", v::double AS "P001001" FROM b""",
+)
+def _(spark, sf):
+    p = product(spark, sf)
+    customer, nation = table(spark, sf, "customer"), table(spark, sf, "nation")
+    ids_ = [text("n_regionkey", 2), text("n_nationkey", 3)]
+    estimates = customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey")).select(
+        F.lit("block").alias("level"),
+        ids_[0].alias("state"),
+        ids_[1].alias("county"),
+        F.concat(F.lit("1000000US"), *ids_, text("c_custkey", 10)).alias("GEO_ID"),
+        (F.col("c_custkey") % 7).cast("string").alias("P001001"),
+    )
+    dictionary = spark.createDataFrame(
+        [("P001001", "Total", "Population", "P001", None)],
+        "name string, label string, concept string, `group` string, required string",
+    )
+    blocks = dataclasses.replace(
+        p, form="decennial", dictionary=dictionary, estimates=estimates, areas={"block": p.areas["tract"]}
+    )
+    return blocks.from_county("county 12, as", "^P001", level="block", return_geometry=False)
+
+
 @query("from_county", _place_sql(12))
 def _(spark, sf):
     return product(spark, sf).from_county("county 12, as", "B001_001E", return_geometry=False)

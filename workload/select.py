@@ -483,12 +483,28 @@ def _lookups(spark, sf):
     "names_best_match",
     """WITH l AS (SELECT c_nationkey, max(c_name) AS c_name FROM customer GROUP BY 1)
     SELECT upper(substr(l.c_name, 4)) || ' , ' || lower(n_name) AS query,
-      l.c_name || ', ' || n_name AS target, c_custkey AS position, false AS ambiguous
+      l.c_name || ', ' || n_name AS target, c_custkey AS position, 100 AS score,
+      round_even(200e0 * (length(l.c_name) - 3) / (length(l.c_name) - 3 + length(l.c_name || ', ' || n_name)), 0)::int AS score2,
+      false AS ambiguous
     FROM l JOIN nation ON c_nationkey = n_nationkey JOIN customer USING (c_name)""",
 )
 def _(spark, sf):
-    out = names.best_matches(gazetteer(spark, sf), _lookups(spark, sf))
-    return out.select("query", "target", "position", "ambiguous")
+    return names.best_matches(gazetteer(spark, sf), _lookups(spark, sf))
+
+
+@query(
+    "names_ambiguous",
+    """SELECT q AS query, c_mktsegment AS target, min(c_custkey) AS position, 100 AS score,
+      round_even(200e0 * length(q) / (length(q) + length(c_mktsegment)), 0)::int AS score2, count(*) > 1 AS ambiguous
+    FROM customer JOIN (VALUES ('auto'), ('build'), ('mach'), ('furniture'), ('house')) AS t(q)
+      ON contains(lower(c_mktsegment), q) GROUP BY q, c_mktsegment""",
+)
+def _(spark, sf):
+    # many candidates of one name: the position decides, and says so
+    segments = table(spark, sf, "customer").select(
+        F.col("c_mktsegment").alias("target"), F.col("c_custkey").alias("position")
+    )
+    return names.best_matches(segments, ["auto", "build", "mach", "furniture", "house"])
 
 
 @query(

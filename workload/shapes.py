@@ -76,6 +76,14 @@ p AS (SELECT *, ax >= x0 AND ay >= y0 AND ax + w <= x0 + 100 AND ay + w <= y0 +
       FROM a, o)"""
 
 
+@query(
+    "box_texts",
+    f"""WITH {SHAPES_SQL} SELECT aid, printf('%.6f,%.6f,%.6f,%.6f', ax, ay, ax + w, ay + w) AS box FROM a""",
+)
+def _(spark, sf):
+    return areas(spark, sf).select("aid", shapes.box_text(shapes.bounds("rings")).alias("box"))
+
+
 @query("within_boxes", f"WITH {SHAPES_SQL} SELECT aid, oid FROM p WHERE within_box")
 def _(spark, sf):
     return spatial.relate(areas(spark, sf), boxes(spark, sf), "aid", "oid")
