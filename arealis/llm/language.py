@@ -16,6 +16,7 @@ rows are rows of their own; ties go to the language first in name order; an empt
 from __future__ import annotations
 
 import re
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -31,7 +32,7 @@ from arealis.llm.common import documents, land
 
 MARK = "▁"
 WORD = re.compile(r"[^\W\d_]+")
-MOST_TEXTS = 10_000
+MOST_TEXTS = 1_500
 ROUNDS = 3
 SMOOTHING = 0.1
 #: Words whose scores one worker keeps before it starts afresh.
@@ -64,17 +65,15 @@ class Lattice:
         """For words of one length: [word, end, piece length - 1] → piece id."""
         unseen, none = len(self.pieces), len(self.pieces) + 1
         n, get = len(words[0]), self.ids.get
-        out = [
-            [
-                [
-                    get(w[end - k : end], unseen if k == 1 else none) if k <= end else none
-                    for k in range(1, self.longest + 1)
-                ]
-                for end in range(1, n + 1)
-            ]
-            for w in words
-        ]
-        return np.array(out, np.int32)
+        cuts = [(end, k) for end in range(1, n + 1) for k in range(1, min(end, self.longest) + 1)]
+        parts = [slice(end - k, end) for end, k in cuts]
+        found = np.array([[get(w[part], none) for part in parts] for w in words], np.int32)
+        out = np.full((len(words), n, self.longest), none, np.int32)
+        end, k = np.array(cuts).T - 1
+        out[:, end, k] = found
+        letters = out[:, :, 0]
+        letters[letters == none] = unseen
+        return out
 
     def forward(self, ids: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Sums over all segmentations of every prefix, scaled, and the log of the scale of the whole.
@@ -148,6 +147,7 @@ class Model:
     log_prior: np.ndarray
     table: np.ndarray  # [piece id, language], two more rows: an unseen letter, no piece
     pieces: list[str]
+    name: str = field(default_factory=lambda: uuid.uuid4().hex)
 
 
 def word_counts(texts: DataFrame) -> DataFrame:
@@ -238,7 +238,15 @@ def _improved(counts: DataFrame, p: np.ndarray, lattice: Lattice, number: dict[s
 
 
 class Scorer:
-    """Word scores of one task, kept between batches."""
+    """Word scores of one worker process, kept between batches and tasks of a model."""
+
+    _last: Scorer | None = None
+
+    @classmethod
+    def of(cls, model: Model) -> Scorer:
+        if cls._last is None or cls._last.model.name != model.name:
+            cls._last = cls(model)
+        return cls._last
 
     def __init__(self, model: Model):
         self.model, self.lattice = model, Lattice(model.pieces)
@@ -276,7 +284,7 @@ def identify(docs: DataFrame, model: Model, carry: list[Column], text: str = "te
     rows = docs.select(*carry, F.col(f"`{text}`").cast("string").alias("_text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(model)
+        scorer = Scorer.of(model)
         for batch in batches:
             found = scorer.predict(batch.column(batch.num_columns - 1).to_pylist())
             yield pa.RecordBatch.from_arrays(
