@@ -266,7 +266,8 @@ class Scorer:
         out = []
         for i in range(0, len(texts), 1000):
             split = [words_of(t) for t in texts[i : i + 1000]]
-            self.learn(set().union(*split))
+            if self.model.languages:
+                self.learn(set().union(*split))
             at = self.seen.__getitem__
             for words in split:
                 if not words or not self.model.languages:
