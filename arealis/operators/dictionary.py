@@ -24,13 +24,13 @@ def search(df: DataFrame, pattern: str, by: str = "name", engine: Engine = "re")
     return df.where(matches(field, pattern, engine))
 
 
-def expand(dictionary: DataFrame, patterns: str | Sequence[str]) -> DataFrame:
-    """Distinct names that match any of the patterns, in order of name."""
+def expand(dictionary: DataFrame, patterns: str | Sequence[str], *more: str) -> DataFrame:
+    """Distinct names that match any of the patterns, in order of name; with ``more`` columns."""
     patterns = [patterns] if isinstance(patterns, str) else list(patterns)
     if not patterns:
-        return dictionary.select("name").limit(0)
+        return dictionary.select("name", *more).limit(0)
     hit = reduce(lambda a, b: a | b, [matches("name", p) for p in patterns])
-    return dictionary.where(hit).select("name").distinct().orderBy("name")
+    return dictionary.where(hit).select("name", *more).distinct().orderBy("name")
 
 
 def explain_variables(dictionary: DataFrame, names: str | Sequence[str]) -> DataFrame:

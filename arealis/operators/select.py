@@ -21,12 +21,6 @@ def require_columns(df: DataFrame, cols: Iterable[str]) -> None:
         raise ValueError(f"columns not in the table: {absent}")
 
 
-def choose(df: DataFrame, cols: str | Sequence[str]) -> DataFrame:
-    cols = [cols] if isinstance(cols, str) else list(cols)
-    require_columns(df, cols)
-    return df.select(*cols)
-
-
 def key_first(df: DataFrame, key: str) -> DataFrame:
     return df.select(key, *[c for c in df.columns if c != key])
 
@@ -43,10 +37,21 @@ def numeric_columns(df: DataFrame, cols: Sequence[str]) -> list[str]:
     return [c for c in cols if counts[c] == 0]
 
 
-def to_numbers(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Cast each column to double as a whole, or leave it unchanged."""
+# Types a variable dictionary declares.
+NUMBER_TYPES, TEXT_TYPES = ("int", "float"), ("string",)
+
+
+def to_numbers(df: DataFrame, cols: Sequence[str], types: Mapping[str, str | None] | None = None) -> DataFrame:
+    """Cast each column to double as a whole, or leave it unchanged.
+
+    ``types`` are those the variable dictionary declares; only columns without one are looked
+    through, by one aggregate over the table. A declared number that doesn't read as one is missing.
+    """
+    types = types or {}
     text = [c for c in cols if isinstance(df.schema[c].dataType, T.StringType)]
-    numeric = set(numeric_columns(df, text)) | (set(cols) - set(text))
+    open_ = [c for c in text if types.get(c) not in (*NUMBER_TYPES, *TEXT_TYPES)]
+    declared = {c for c in text if types.get(c) in NUMBER_TYPES}
+    numeric = declared | set(numeric_columns(df, open_)) | (set(cols) - set(text))
     return df.withColumns({c: F.col(c).try_cast("double") for c in cols if c in numeric})
 
 

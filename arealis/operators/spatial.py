@@ -346,26 +346,38 @@ def spatial_filter(
     )
     if shape_srid and srid and shape_srid != srid:
         one = one.withColumn("rings", shapes.reproject("rings", shape_srid, srid))
-    # the shape is known here: its edges and points are constants of a filter
-    known = one.select(
-        F.to_json("rings").alias("rings"),
-        F.to_json(shapes.edges("rings")).alias("edges"),
-        F.to_json(shapes.interior_points("rings")).alias("inner"),
-        shapes.bounds("rings").alias("box"),
-    ).first()
-    box = tuple(known["box"])
-    if None in box:
+    known = constant_shapes(one)[0]
+    if known["box"] is None or known["box"][0] is None:
         return df.limit(0)
-    near = areas_in_box(df, box, "within" if relation == "within" else "intersects", rings)
-    return near.where(_stands(relation, rings, known, box))
+    near = areas_in_box(df, tuple(known["box"]), "within" if relation == "within" else "intersects", rings)
+    return near.where(stands(relation, rings, known))
+
+
+def constant_shapes(shapes_: DataFrame, most_edges: int | None = None) -> list:
+    """Box, edges and inner points of one shape, brought to the driver to be constants of a filter.
+
+    Two rows where there is more than one shape; no edges where it has more than ``most_edges``.
+    """
+    few = F.lit(True) if most_edges is None else F.expr("size(flatten(rings))") <= most_edges
+    return (
+        shapes_.select(
+            F.when(few, F.to_json("rings")).alias("rings"),
+            F.when(few, F.to_json(shapes.edges("rings"))).alias("edges"),
+            F.when(few, F.to_json(shapes.interior_points("rings"))).alias("inner"),
+            shapes.bounds("rings").alias("box"),
+        )
+        .limit(2)
+        .collect()
+    )
 
 
 _EDGES = "array<struct<x1:double,y1:double,x2:double,y2:double>>"
 _POINTS = "array<struct<x:double,y:double>>"
 
 
-def _stands(relation: str, rings: str, shape, box) -> Column:
-    """The relation of an area to one constant shape, as in :func:`relate`."""
+def stands(relation: str, rings: str, shape) -> Column:
+    """The relation of an area to one constant shape (see :func:`constant_shapes`), as in :func:`relate`."""
+    box = tuple(shape["box"])
     bind = shapes.bind_sql
     edges = f"from_json('{shape['edges']}', '{_EDGES}')"
     inner = f"from_json('{shape['inner']}', '{_POINTS}')"

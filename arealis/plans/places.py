@@ -14,7 +14,7 @@ from arealis.operators import dictionary as dct
 from arealis.operators.names import best_matches, match_table, names_with_state
 from arealis.operators.select import replace_missing as drop_codes
 from arealis.operators.select import require_columns, to_numbers
-from arealis.operators.spatial import areas_in_box, areas_within, total_bounds
+from arealis.operators.spatial import areas_in_box, areas_within, constant_shapes, stands, total_bounds
 
 # Place types, and the levels each kind of product offers.
 PLACE_TYPES = ("Census Designated Place", "Incorporated Place", "County Subdivision")
@@ -23,6 +23,8 @@ LEVELS = {"decennial": ("county", "tract", "block"), "survey": ("county", "tract
 # Decimals of the coordinates of a layer: centimetres, and as much in degrees.
 DECIMALS = {shapes.WEB_MERCATOR: 2, shapes.LONGITUDE_LATITUDE: 7}
 LAYER = "layer"
+# Up to this many edges of an outline are constants of a filter; more are joined by their position.
+MOST_EDGES = 2000
 BOX = ("xmin", "ymin", "xmax", "ymax")
 
 Box = tuple[float, float, float, float]
@@ -179,18 +181,25 @@ class Product:
         """Variables of the areas within given outlines, or that meet their bounding box
         where not ``strict_within``; with ``return_bounds`` also the outlines.
 
-        The box is read first (one row of numbers), so that it is a plain filter on the
-        areas.
+        The outlines' boxes are read first, so that they are a plain filter on the areas. The edges
+        of a single outline of moderate size come with its box, and the exact test is a filter too;
+        other outlines are joined.
         """
         self._check_level(level)
         decimals = self._decimals(geometry_precision)
         if decimals is not None:
             outline = outline.withColumn("rings", shapes.round_points("rings", decimals))
-        box = total_bounds(outline).first()
-        if box["xmin"] is None:
+        known = constant_shapes(outline.select("rings"), MOST_EDGES)
+        box = tuple(known[0]["box"]) if len(known) == 1 else tuple(total_bounds(outline).first())
+        if box[0] is None:
             raise ValueError("the matched outline is not in the layer")
-        near = self._near(level, geometry_precision, tuple(box))
-        areas = areas_within(near, outline, "GEOID", "GEOID") if strict_within else near
+        near = self._near(level, geometry_precision, box)
+        if not strict_within:
+            areas = near
+        elif len(known) == 1 and known[0]["edges"] is not None:
+            areas = near.where(stands("within", "rings", known[0]))
+        else:
+            areas = areas_within(near, outline, "GEOID", "GEOID")
         table = self._with_values(areas, near, variables, level, return_geometry, replace_missing)
         return (table, outline) if return_bounds else table
 
@@ -245,11 +254,13 @@ class Product:
     ) -> DataFrame:
         """Areas with their variables; estimates are first reduced to the parents of the areas
         ``near`` (all of them, or more), which prunes the partitions of a landed table."""
-        names = []
+        types = {}
         if variables is not None:
             # names of columns: they have to be known to select them
-            names = [r["name"] for r in dct.expand(self.dictionary, variables).collect()]
-        names = [n for n in names if n != "GEO_ID"]
+            more = ["predicateType"] if "predicateType" in self.dictionary.columns else []
+            found = dct.expand(self.dictionary, variables, *more).collect()
+            types = {r["name"]: r["predicateType"] if more else None for r in found}
+        names = [n for n in types if n != "GEO_ID"]
         values = self.estimates.where(F.col("level") == level)
         require_columns(values, ["GEO_ID", *names])
         if {"state", "county"} <= set(values.columns):
@@ -261,7 +272,7 @@ class Product:
         keep = ["GEO_ID", *(["NAME"] if "NAME" in values.columns else []), *names]
         values = values.select(*dict.fromkeys(keep))
         if replace_missing and names:
-            values = drop_codes(to_numbers(values, names), names)
+            values = drop_codes(to_numbers(values, names, types), names)
         keyed = values.withColumn("GEOID", ids.short_id("GEO_ID")).drop("GEO_ID")
         out = areas.join(keyed, "GEOID", "left")
         return out if return_geometry else out.drop("rings")

@@ -17,6 +17,7 @@ def table_query(
     geo_filter: Mapping[str, str | Sequence[str]] | None = None,
     convert_numeric: bool = True,
     index: str = "",
+    types: Mapping[str, str | None] | None = None,
     **predicates: str,
 ) -> DataFrame:
     """Columns of the areas of one level.
@@ -24,7 +25,8 @@ def table_query(
     ``geo_unit`` is ``level``, ``level:*`` or ``level:id,id``; ``geo_filter`` restricts to
     parents (``{'state': '04', 'county': '019,021'}``); further keywords are predicates
     where ``*`` means any value. The id columns named in ``geo_unit`` and ``geo_filter``
-    follow the chosen columns. All filters reach the scan; an empty result stays an empty
+    follow the chosen columns. ``types`` are those of the variable dictionary (see
+    :func:`~arealis.operators.select.to_numbers`). All filters reach the scan; an empty result stays an empty
     table.
     """
     cols = [cols] if isinstance(cols, str) else list(cols)
@@ -41,5 +43,5 @@ def table_query(
     id_columns = [*geo_filter, *([level] if level in table.columns else [])]
     out = out.select(*cols, *[c for c in dict.fromkeys(id_columns) if c not in cols])
     if convert_numeric:
-        out = to_numbers(out, cols)
+        out = to_numbers(out, cols, types)
     return key_first(out, index) if index else out

@@ -85,8 +85,8 @@ def product(spark, sf) -> Product:
         "rings",
     )
     dictionary = spark.createDataFrame(
-        [(n, n, "Balance", n[:4], None) for n in ("B001_001E", "B001_002E", "B002_001E")],
-        "name string, label string, concept string, `group` string, required string",
+        [(n, n, "Balance", n[:4], None, t) for n, t in (("B001_001E", "int"), ("B001_002E", "int"), ("B002_001E", "string"))],
+        "name string, label string, concept string, `group` string, required string, predicateType string",
     )
     return Product(
         form="survey",
