@@ -26,7 +26,7 @@ def collection(texts: list[bytes], most: int) -> tuple[np.ndarray, np.ndarray, n
 
     who = np.arange(n)
     bwt = before(who, 0)
-    number, start = who.copy(), sizes.copy()
+    number, start = who.astype(np.int32), sizes.astype(np.int32)
     common = np.zeros(n, np.uint8)
     place = who.copy()  # where the last suffix of each text in ``active`` stands
     active = np.flatnonzero(sizes)

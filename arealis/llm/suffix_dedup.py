@@ -42,7 +42,7 @@ LONGEST = 256
 #: Bytes of text whose segments are compared before they are sent.
 LOT = 4_000_000
 #: Bytes of text behind one bucket; its segments take about 3.5 times as much.
-BUCKET = 5_000_000
+BUCKET = 2_000_000
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 
 
