@@ -3,7 +3,7 @@
 A shape table has an id and ``rings array<array<struct<x, y>>>``. No pair of shapes is
 looked at unless their boxes meet: boxes are laid on square cells whose side is a power
 of two, each box on the level where it covers at most 2 × 2 cells, and joined on the
-cell. A crowded cell is spread over salts. Geometry is not carried through that join:
+cell; adaptive execution splits crowded cells. Geometry is not carried through that join:
 the exact tests work on single edges of the outlines against the areas they run through.
 """
 
@@ -16,11 +16,12 @@ from pyspark.sql import functions as F
 
 from arealis.functions import shapes
 from arealis.functions.numbers import col
+from arealis.session import land
 
 Ring = Sequence[tuple[float, float]]
 
 _LOWEST, _HIGHEST = -20, 60  # cell levels: sides from 2^-20 to 2^60
-SALTS = 8
+SALTS = 1  # copies of the smaller side, where splitting at run time is not enough
 BANDS = 4  # least number of bands of an outline
 
 RELATIONS = ("intersects", "within", "contains")
@@ -89,10 +90,15 @@ def areas_in_box(
 # --- pairs of boxes -----------------------------------------------------------------------------
 
 
-# lowest level whose cells are at least as long as the box
-_LEVEL = f"""if(greatest(box.xmax - box.xmin, box.ymax - box.ymin) > 0,
-    greatest({_LOWEST}, least({_HIGHEST}, cast(ceil(log2(
-        greatest(box.xmax - box.xmin, box.ymax - box.ymin))) AS int))), {_LOWEST})"""
+def _level(xmin: str, ymin: str, xmax: str, ymax: str) -> str:
+    """Lowest level whose cells are at least as long as the box."""
+    side = f"greatest({xmax} - {xmin}, {ymax} - {ymin})"
+    fit = f"greatest({_LOWEST}, least({_HIGHEST}, cast(ceil(log2({side})) AS int)))"
+    return f"if({side} > 0, {fit}, {_LOWEST})"
+
+
+_LEVEL = _level("box.xmin", "box.ymin", "box.xmax", "box.ymax")
+_EDGE_LEVEL = _level("least(e.x1, e.x2)", "least(e.y1, e.y2)", "greatest(e.x1, e.x2)", "greatest(e.y1, e.y2)")
 
 
 def _cell(value: str, level: str) -> str:
@@ -135,6 +141,7 @@ def box_pairs(
     on: Sequence[str] = (),
     salts: int = SALTS,
     points: bool = False,
+    right_levels: Column | None = None,
 ) -> DataFrame:
     """Pairs of rows whose closed boxes meet: ``(*on, left.*, right.*)``, each pair once.
 
@@ -142,11 +149,13 @@ def box_pairs(
     ``on``, which have to be equal. A pair is met on the level of its larger box, in the
     cell that holds the lower left corner of the overlap. The left side should be the
     larger one: it is salted, the right side is copied to each salt. ``points`` tells that
-    the left boxes are points, whose level is known without looking.
+    the left boxes are points, whose level is known without looking; ``right_levels`` are
+    those of the right boxes, if they are known.
     """
     # the salt depends on the row alone, so a task that runs again sends it to the same place
     keys = [c for c in left.columns if c != "box"]
-    salted = _celled(left, _levels_of(right), "l").withColumn(
+    others = _levels_of(right) if right_levels is None else right_levels
+    salted = _celled(left, others, "l").withColumn(
         "_salt", F.pmod(F.xxhash64(*keys), F.lit(salts)).cast("int")
     )
     lowest = F.array(F.lit(_LOWEST)) if points else _levels_of(left)
@@ -296,14 +305,26 @@ def relate(
     left = areas.select(F.col(area_id).alias("_area"), col(area_rings).alias("rings"))
     right = outlines.select(F.col(outline_id).alias("_outline"), col(outline_rings).alias("rings"))
     both = ["_area", "_outline"]
-    boxed_left = left.select("_area", shapes.bounds("rings").alias("box"))
-    boxed_right = right.select(
-        "_outline", band_count("rings").alias("bands"), shapes.bounds("rings").alias("box")
+    # what the joins on position need, worked out in one pass over the geometry of each side
+    small_left = land(
+        left.select("_area", shapes.bounds("rings").alias("box"), shapes.interior_points("rings").alias("ps")),
+        "areas",
+    )
+    edge_levels = f"array_distinct(transform({shapes.edges_sql('rings')}, e -> {_EDGE_LEVEL}))"
+    small_right = land(
+        right.select(
+            "_outline",
+            band_count("rings").alias("bands"),
+            shapes.bounds("rings").alias("box"),
+            F.expr(edge_levels).alias("levels"),
+        ),
+        "outlines",
     )
+    boxed_left, boxed_right = small_left.select("_area", "box"), small_right.drop("levels")
+    levels = small_right.select(F.explode("levels").alias("v")).agg(F.collect_set("v")).scalar()
 
     # a point of each part of the area, in the outlines whose box holds it
-    inner = left.select("_area", shapes.interior_points("rings").alias("ps"))
-    spots = inner.select(
+    spots = small_left.select(
         "_area",
         F.expr("inline(transform(ps, (p, i) -> struct(size(ps) AS parts, i AS part, p.x, p.y)))"),
     ).withColumn("box", F.expr(POINT_BOX))
@@ -314,7 +335,7 @@ def relate(
     # the edges of outlines that run through the box of an area, and whether they enter it
     segments = right.select("_outline", F.explode(shapes.edges("rings")).alias("e"))
     crossing = box_pairs(
-        boxed_left, segments.withColumn("box", F.expr(_SEGMENT_BOX)), salts=salts
+        boxed_left, segments.withColumn("box", F.expr(_SEGMENT_BOX)), salts=salts, right_levels=levels
     )
     if relation == "within":
         # an edge outside the open box cannot enter the area (the box of a point is not open)

@@ -7,7 +7,7 @@ import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str = "arealis", master: str | None = None, **conf: str) -> SparkSession:
@@ -48,6 +48,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(shared_folder(spark), f"{name}-{uuid.uuid4().hex}")
 
 
+def land(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once into the shared folder and read it back: lineage ends here."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def ship_package(spark: SparkSession) -> None:
     """Send this package to the workers, once per application, so that any working directory will do."""
     context = spark.sparkContext
