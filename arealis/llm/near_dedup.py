@@ -7,8 +7,8 @@ A table key can only be shared where both halves are, so half keys that no other
 dropped before pairs are formed.
 
 Texts with equal sets are one class from the start. In a table's bucket every class is compared with
-the smallest one (a star); then only classes that a bucket still shows in different components are
-compared with each other. So a group of copies costs links in proportion to its size, and no link
+the smallest one (a star). In buckets that still show several components, classes outside the largest are
+compared with one member of it, a few times over, and in the last turn with all classes of other components. So a group of copies costs links in proportion to its size, and no link
 between components is lost. A pair goes on to its whole sets if its sizes allow the similarity and at
 least ``LEAST_EQUAL`` of its 64 minhashes agree (at similarity 0.75 fewer agree once in 5 million).
 
@@ -36,6 +36,8 @@ HASHES = 4 * BANDS
 LEAST_EQUAL = 31
 #: Per cent.
 SIMILAR = 75
+#: Turns on buckets that show several components; the last one leaves no pair out.
+TURNS = 5
 #: Word hashes one task keeps before it starts afresh.
 KEPT = 2_000_000
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -109,7 +111,7 @@ def _confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def table_members(classes: DataFrame) -> DataFrame:
-    """(key, id) for every table key that more than one class can have."""
+    """(key, id, x, y) for every table key that more than one class can have; x and y are its bands."""
     halves = classes.select(
         "id",
         F.posexplode(
@@ -124,13 +126,14 @@ def table_members(classes: DataFrame) -> DataFrame:
         halves.join(shared, "half")
         .groupBy("id")
         .agg(
-            F.collect_list(F.when(F.col("band") < BANDS, F.col("half"))).alias("first"),
-            F.collect_list(F.when(F.col("band") >= BANDS, F.col("half"))).alias("second"),
+            F.collect_list(F.when(F.col("band") < BANDS, F.struct("half", "band"))).alias("first"),
+            F.collect_list(F.when(F.col("band") >= BANDS, F.struct("half", "band"))).alias("second"),
         )
     )
-    return sides.select("id", F.explode("first").alias("x"), "second").select(
-        "id", F.explode("second").alias("y"), "x"
-    ).select(F.xxhash64("x", "y").alias("key"), "id")
+    pairs = sides.select("id", F.explode("first").alias("x"), "second").select("id", "x", F.explode("second").alias("y"))
+    return pairs.select(
+        F.xxhash64("x.half", "y.half").alias("key"), "id", F.col("x.band").alias("x"), F.col("y.band").alias("y")
+    )
 
 
 def _alike(a: str, b: str) -> F.Column:
@@ -186,8 +189,13 @@ def near_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     )
     links = _links(stars, sets)
     found = land(components(links), "components")
-    links = links.unionByName(_links(_between(members, found, classes), sets))
-    found = land(components(links), "components")
+    for turn in range(TURNS):
+        still = _open_rows(members, found)
+        if still.isEmpty():
+            break
+        pairs = _against_one(still, classes, turn) if turn < TURNS - 1 else _between(still, classes)
+        links = links.unionByName(_links(pairs, sets))
+        found = land(components(links), "components")
 
     by_class = first.join(found, F.col("first") == F.col("id"), "left").select(
         "digest", F.coalesce("component", "first").alias("component")
@@ -200,40 +208,62 @@ def near_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     )
 
 
-def _between(members: DataFrame, found: DataFrame, classes: DataFrame) -> DataFrame:
+def _open_rows(members: DataFrame, found: DataFrame) -> DataFrame:
+    """(key, id, component, main) of buckets that show more than one component; main is the largest."""
+    named = members.join(found, "id", "left").select(
+        "key", "id", "x", "y", F.coalesce("component", "id").alias("component")
+    )
+    parts = named.groupBy("key", "component").agg(F.count(F.lit(1)).alias("c"))
+    mixed = parts.groupBy("key").agg(
+        F.max_by("component", F.struct("c", "component")).alias("main"), F.count(F.lit(1)).alias("n")
+    )
+    return land(named.join(mixed.where("n > 1").drop("n"), "key"), "open")
+
+
+def _against_one(rows: DataFrame, classes: DataFrame, turn: int) -> DataFrame:
+    """Pairs of one member of the main component, another one each turn, and each row outside it."""
+    order = F.xxhash64("id", F.lit(turn))
+    one = rows.where("component = main").groupBy("key").agg(F.max_by("id", order).alias("a"))
+    pairs = rows.where("component != main").join(one, "key").select("a", F.col("id").alias("b")).distinct()
+    return (
+        pairs.join(classes.alias("s"), F.col("a") == F.col("s.id"))
+        .join(classes.alias("t"), F.col("b") == F.col("t.id"))
+        .where(_alike("s", "t"))
+        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        .distinct()
+    )
+
+
+def _between(rows: DataFrame, classes: DataFrame) -> DataFrame:
     """Pairs of one bucket that are in different components, each once.
 
-    One end is always outside the largest component of the bucket, so a bucket that is one
-    component, however large, gives none.
+    One end is always outside the main component, so a bucket that is one component, however large,
+    gives none. Of the tables in which a pair meets only the one with the smallest half keys counts.
     """
-    named = members.join(found, "id", "left").select("key", "id", F.coalesce("component", "id").alias("component"))
-    mixed = (
-        named.groupBy("key")
-        .agg(F.min("component").alias("low"), F.max("component").alias("high"))
-        .where("low != high")
-    )
-    open_rows = land(
-        named.join(mixed.select("key"), "key").groupBy("key", "component").agg(F.count(F.lit(1)).alias("c")), "mixed"
-    )
-    main = open_rows.groupBy("key").agg(F.max_by("component", F.struct("c", "component")).alias("main"))
-    rows = land(named.join(main, "key").join(classes, "id"), "open")
-    outer = rows.where("component != main").alias("s")
-    every = rows.alias("t")
+    rows = land(rows.join(classes, "id"), "open")
+    s, t = rows.where("component != main").alias("s"), rows.alias("t")
     # a pair of two outer rows is met from the larger id only
     order = (F.col("t.component") == F.col("t.main")) | (F.col("s.id") > F.col("t.id"))
-    return (
-        outer.join(
-            every,
-            (F.col("s.key") == F.col("t.key"))
-            & (F.col("s.component") != F.col("t.component"))
-            & order
-            & _alike("s", "t"),
-        )
-        .select(F.col("s.id").alias("a"), F.col("t.id").alias("b"))
-        .distinct()
+    met = (F.col("s.key") == F.col("t.key")) & (F.col("s.component") != F.col("t.component")) & order
+    return s.join(t, met & _alike("s", "t") & _first_meeting("s", "t")).select(
+        F.col("s.id").alias("a"), F.col("t.id").alias("b")
     )
 
 
+def _first_meeting(s: str, t: str) -> F.Column:
+    """Is this table that of the first equal half keys of both collections?"""
+
+    def first(low: int, band: str) -> F.Column:
+        equal = F.transform(
+            F.sequence(F.lit(low), F.lit(low + BANDS - 1)),
+            lambda i: (F.col(f"{s}.sig")[2 * i] == F.col(f"{t}.sig")[2 * i])
+            & (F.col(f"{s}.sig")[2 * i + 1] == F.col(f"{t}.sig")[2 * i + 1]),
+        )
+        return F.array_position(equal, True) - 1 + low == F.col(f"{s}.{band}")
+
+    return first(0, "x") & first(BANDS, "y")
+
+
 def one_of_each_group(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay, with its columns; rows without an id stay."""
     stays = near_groups(docs).where("kept AND id IS NOT NULL").select(F.col("id").alias("_stays")).distinct()
