@@ -8,7 +8,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arealis.session import scratch_path
+from arealis import session as shared
 
 #: Space, tab, line feed, vertical tab, form feed, carriage return.
 BLANKS = "\x20\x09\x0a\x0b\x0c\x0d"
@@ -18,12 +18,23 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+#: Spark then deletes the shuffle files of a query at its end.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def land(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once into the shared folder and read it back: lineage ends here."""
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    """Write ``df`` once into the shared folder and read it back: lineage ends here.
+
+    What was shuffled for it isn't needed any more and is deleted, so that a chain of steps takes
+    the disk of its largest one.
+    """
+    conf = df.sparkSession.conf
+    before = conf.get(CLEANUP, "false")
+    conf.set(CLEANUP, "true")
+    try:
+        return shared.land(df, name)
+    finally:
+        conf.set(CLEANUP, before)
 
 
 def filed(docs: DataFrame) -> DataFrame:
