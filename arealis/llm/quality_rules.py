@@ -8,7 +8,7 @@ then on all rows within the 97.5 % ellipsoid. Texts beyond ``CUTOFF`` squared Ma
 distance are rejected, on the side of more symbols or more repetition or at any other extreme.
 
 All steps are aggregates with partial sums, so a language and source that holds most rows is no hot
-spot; group estimates are one small row each.
+spot; group estimates are one small row each, copied to ``SALTS`` parts of the group where rows meet them.
 
 Scatter never falls below ``FLOOR`` in any coordinate, so statistics that are the same in all texts
 of a group (no symbols at all) stay usable and small departures from them are no outliers.
@@ -39,6 +39,8 @@ LEAST_ROWS = 50
 CUTOFF = 30.0
 FLOOR = (0.5, 0.1, 0.35, 0.9)
 SIZE = len(FLOOR)
+#: Parts into which the rows of a group are dealt where they meet its estimates.
+SALTS = 32
 _INSIDE = {0.75: 5.385269, 0.975: 11.143287}  # quantiles of chi-square with four degrees of freedom
 
 
@@ -116,9 +118,16 @@ def _factor(moments: DataFrame, scale: float) -> DataFrame:
     return land(out.select("group", "rows", *keep), "scatter")
 
 
+def _meeting(rows: DataFrame, estimates: DataFrame, how: str = "inner") -> DataFrame:
+    """``rows`` with the estimates of their group, which are copied to each part of it."""
+    salt = F.pmod(F.xxhash64(*rows.columns), F.lit(SALTS)).alias("salt")
+    copies = estimates.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+    return rows.select("*", salt).join(copies, ["group", "salt"], how).drop("salt")
+
+
 def _distance(rows: DataFrame, factor: DataFrame) -> DataFrame:
     """``rows`` with the squared Mahalanobis distance ``d2``; null where the group has no estimate."""
-    out = rows.join(factor, "group", "left")
+    out = _meeting(rows, factor, "left")
     for i in range(SIZE):
         done = sum((F.col(f"l_{i}{k}") * F.col(f"y_{k}") for k in range(i)), F.lit(0.0))
         out = out.withColumn(f"y_{i}", (F.col(f"x_{i}") - F.col(f"m_{i}") - done) / F.col(f"l_{i}{i}"))
@@ -148,7 +157,7 @@ def robust_scatter(rows: DataFrame) -> DataFrame:
         "medians",
     )
     spread = (
-        rows.join(middle, "group")
+        _meeting(rows, middle)
         .groupBy("group")
         .agg(*(F.percentile_approx(F.abs(F.col(f"x_{i}") - F.col(f"m_{i}")), 0.5).alias(f"s_{i}") for i in range(SIZE)))
     )
@@ -161,7 +170,7 @@ def robust_scatter(rows: DataFrame) -> DataFrame:
     for _ in range(STEPS):
         near = _distance(rows, factor)
         edge = near.groupBy("group").agg(F.percentile_approx("d2", NEAREST).alias("edge"))
-        factor = _factor(_moments(near.join(edge, "group").where("d2 <= edge")), _consistency(NEAREST))
+        factor = _factor(_moments(_meeting(near, edge).where("d2 <= edge")), _consistency(NEAREST))
     inside = _distance(rows, factor).where(F.col("d2") <= _INSIDE[0.975])
     return _factor(_moments(inside), _consistency(0.975))
 
