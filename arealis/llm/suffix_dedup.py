@@ -31,18 +31,18 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arealis.llm.common import content, documents
+from arealis.llm.common import content, documents, land
 from arealis.llm.suffix_array import collection
 
 SPAN = 50
 GRAM = 12
 WINDOW = SPAN - GRAM + 1
 #: Starts that one segment has at most.
-LONGEST = 256
+LONGEST = 64
 #: Bytes of text whose segments are compared before they are sent.
 LOT = 4_000_000
 #: Bytes of text behind one bucket; its segments take about 3.5 times as much.
-BUCKET = 2_000_000
+BUCKET = 1_500_000
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 
 
@@ -325,7 +325,7 @@ def remove_repeats(
     ``kept_text`` shows bytes of a character that was cut in two as the replacement character.
     """
     spans = (
-        repeated_spans(docs, id_column, text_column)
+        land(repeated_spans(docs, id_column, text_column), "spans")
         .groupBy("id")
         .agg(F.collect_list("start").alias("starts"), F.collect_list("end").alias("ends"))
     )
