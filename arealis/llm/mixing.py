@@ -2,10 +2,13 @@
 
 Documents are cells by source, language and topic. Iterative proportional fitting multiplies the
 cells' token weights by one factor per source, language and topic until all three marginals meet
-their targets. A document is sampled with the probability of its cell, its fitted weight over its
-own, scaled so that the largest is 1: the sample is the largest that meets the targets in expectation
-without repeating a document. The draw is a hash of the seed, the id and the text, so it doesn't depend on
-partitions or on a task that runs again.
+their targets. A document is sampled with the probability of its cell, min(1, c * weight), where the weight is
+its fitted share over its own and c is solved over the cells so that the expected tokens meet a budget. Cells
+at probability 1 are taken whole and nothing is repeated, so they fall short of their target. Without a budget
+the sample is the largest in which the fitted weight that so goes missing is at most ``MISSING``, and holds
+``LEAST`` of all tokens at least; a few rare values, whose weights are large, take part in it whole and don't
+shrink the rest. The draw is a hash of the seed, the id and the text, so it doesn't depend on partitions or on
+a task that runs again.
 
 Targets are tables (value, share); by default a marginal's shares are tempered, share ** ``TEMPER``
 made to sum to 1, which lifts small sources and languages. A target value that no document has is
@@ -38,6 +41,10 @@ TOPICS = 8
 TEMPER = 0.5
 TOLERANCE = 1e-6
 MOST_ROUNDS = 40
+#: Fitted weight that cells taken whole may lack where no budget is given.
+MISSING = 0.02
+#: Share of all tokens that a sample without a budget holds at least.
+LEAST = 0.25
 #: Words whose topic one task keeps before it starts afresh.
 KEPT = 2_000_000
 
@@ -120,19 +127,61 @@ def _gap(rows: DataFrame) -> float:
     return gap
 
 
-def probabilities(profile: DataFrame, targets: dict[str, DataFrame] | None = None) -> DataFrame:
-    """Cells with ``weight`` (fitted over own share) and ``probability``."""
+def _scale(weighted: DataFrame, total: float, budget: float | None) -> float:
+    """c of the probabilities min(1, c * weight), whose expected tokens meet ``budget`` (tokens).
+
+    The expected share is concave in c, so Newton's steps from one side never pass the solution and end there.
+    """
+
+    def split(c: float) -> tuple[float, float]:
+        """Share of the tokens in cells taken whole, fitted weight of the others."""
+        whole = F.col("weight") * c >= 1
+        row = weighted.where("weight > 0").agg(
+            F.sum(F.when(whole, F.col("tokens") / total).otherwise(0.0)),
+            F.sum(F.when(whole, 0.0).otherwise(F.col("fitted"))),
+        ).first()
+        return row[0] or 0.0, row[1] or 0.0
+
+    def of_share(share: float) -> float:
+        c = share
+        while True:
+            taken, rest = split(c)
+            if rest <= 0:  # all cells are whole
+                return c
+            later = (share - taken) / rest
+            if later <= c * (1 + 1e-12):
+                return c
+            c = later
+
+    if budget is not None:
+        return of_share(budget / total)
+    c = 1 / (1 - MISSING)
+    while True:
+        taken, rest = split(c)
+        earlier = taken / (1 - MISSING - rest) if rest < 1 - MISSING else c
+        if earlier >= c * (1 - 1e-12) or earlier <= 0:
+            break
+        c = earlier
+    taken, rest = split(c)
+    return c if taken + c * rest >= LEAST else of_share(LEAST)
+
+
+def probabilities(
+    profile: DataFrame, targets: dict[str, DataFrame] | None = None, budget: float | None = None
+) -> DataFrame:
+    """Cells with ``weight`` (fitted over own share) and ``probability``; ``budget``: tokens to expect."""
     cells = land(profile.groupBy(*MARGINS).agg(F.sum("tokens").alias("tokens")), "cells")
-    fitted = rake(cells, targets)
-    total = cells.agg(F.sum("tokens")).first()[0] or 1
-    weighted = fitted.withColumn("weight", F.col("fitted") * float(total) / F.col("tokens"))
-    most = weighted.agg(F.max("weight")).first()[0] or 1.0
-    return land(weighted.select(*MARGINS, "weight", (F.col("weight") / most).alias("probability")), "weights")
+    total = float(cells.agg(F.sum("tokens")).first()[0] or 1)
+    weighted = land(rake(cells, targets).withColumn("weight", F.col("fitted") * total / F.col("tokens")), "weights")
+    probability = F.least(F.lit(1.0), F.col("weight") * _scale(weighted, total, budget))
+    return weighted.select(*MARGINS, "weight", probability.alias("probability"))
 
 
-def sampled(docs: DataFrame, seed: int = 1, targets: dict[str, DataFrame] | None = None) -> DataFrame:
+def sampled(
+    docs: DataFrame, seed: int = 1, targets: dict[str, DataFrame] | None = None, budget: float | None = None
+) -> DataFrame:
     """The rows of ``docs`` that are drawn, with its columns."""
-    weights = probabilities(profiled(docs, []), targets)
+    weights = probabilities(profiled(docs, []), targets, budget)
     carry = [F.col(f"`{c}`") for c in docs.columns] + [draw(seed)]
     names = [f"c{i}" for i in range(len(carry))]
     drawn = profiled(docs, carry).join(weights, list(MARGINS)).where(F.col(names[-1]) < F.col("probability"))

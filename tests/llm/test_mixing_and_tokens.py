@@ -52,6 +52,29 @@ def test_given_targets_and_probabilities(spark):
     assert sorted(r.doc_id for r in again.collect()) == sorted(r.doc_id for r in kept.collect())
 
 
+def test_rare_cells_do_not_shrink_the_sample(spark):
+    rows = [(i, "alpha beta gamma delta epsilon " * 20, "en" if i % 4 else "fr", "a" if i % 3 else "b", 1) for i in range(4000)]
+    rare = [(9000, "some words " * 5, None, "a", 1), (9001, "some words " * 5, "en", None, 1)]
+    common = mixing.sampled(table(spark, rows)).count()
+    kept = {r.doc_id for r in mixing.sampled(table(spark, rows + rare)).collect()}
+    assert len(kept) > 0.8 * common and {9000, 9001} <= kept
+
+
+def test_expected_tokens_meet_the_budget(spark):
+    rnd = random.Random(4)
+    cells = [(rnd.randrange(1, 10 ** rnd.randrange(1, 6)), rnd.random()) for _ in range(60)]
+    total, fitted = sum(n for n, _ in cells), sum(f for _, f in cells)
+    rows = [(n, f / fitted, f / fitted * total / n) for n, f in cells]
+    df = spark.createDataFrame(rows, "tokens long, fitted double, weight double").coalesce(1).cache()
+    for budget in (0.001 * total, 0.3 * total, 0.9 * total, float(total), 2.0 * total):
+        c = mixing._scale(df, float(total), budget)
+        want = min(budget, total)
+        assert abs(sum(min(1, c * w) * n for n, _, w in rows) - want) < 1e-6 * want
+    c = mixing._scale(df, float(total), None)
+    kept = sum(min(1, c * w) * n for n, _, w in rows) / total
+    assert abs(kept - mixing.LEAST) < 1e-6 or (kept > mixing.LEAST and abs(kept / c - 1 + mixing.MISSING) < 1e-6)
+
+
 def test_odd_rows(spark):
     docs = table(spark)
     kept = mixing.sampled(docs)
