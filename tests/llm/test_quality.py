@@ -57,6 +57,33 @@ def test_outliers_are_rejected_and_others_kept(spark):
     assert all(got[2000 + i].kept for i in range(3))
 
 
+def test_repetition_alone_is_rejected(spark):
+    rnd = random.Random(7)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+
+    def some(n):
+        return ["".join(rnd.choices(letters, k=rnd.randrange(2, 10))) for _ in range(n)]
+
+    def repeating(n, share):
+        phrase = some(4)
+        w = some(n - int(n * share) // 4 * 4)
+        for at in sorted(rnd.sample(range(0, len(w), 3), int(n * share) // 4), reverse=True):
+            w[at:at] = phrase
+        return " ".join(w)
+
+    def lines(share):
+        once = some(2)
+        return "\n".join(" ".join(once if rnd.random() < share else some(8)) for _ in range(40))
+
+    rows = [(i, " ".join(some(rnd.randrange(60, 400))), "en", "a", 1) for i in range(200)]
+    rows += [(500 + i, lines(0), "en", "a", 1) for i in range(50)]
+    rows += [(1000 + i, repeating(200, 0.3 + 0.02 * i), "en", "a", 1) for i in range(10)]
+    rows += [(2000 + i, lines(0.6), "en", "a", 1) for i in range(10)]  # less than 50 % of the words
+    got = {r.id: r for r in rules.judge(table(spark, rows, False)).collect()}
+    assert all(got[i].kept for i in [*range(200), *range(500, 550)])
+    assert not any(got[i].base_failed or got[i].kept for i in [*range(1000, 1010), *range(2000, 2010)])
+
+
 def test_rules_of_an_empty_table(spark):
     assert rules.judge(spark.createDataFrame([], SCHEMA)).count() == 0
 
