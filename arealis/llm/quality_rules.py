@@ -15,8 +15,10 @@ of a group (no symbols at all) stay usable and small departures from them are no
 its statistic pass ``CUTOFF`` by itself: where a group has none, 15 % repeated words or 26 % repeated lines do.
 
 Defined results: a null or empty text has no words and fails the base rules; rows that fail the base
-rules are left out of the estimates; null languages and sources are groups of their own; groups with
-fewer than ``LEAST_ROWS`` rows are pooled by language, and a pool still smaller rejects nothing. Windows
+rules are left out of the estimates; null languages and sources are groups of their own; texts of a group with
+fewer than ``LEAST_ROWS`` rows are judged by the estimates over all rows of their language, and those of a
+language with fewer by the estimates over all rows of the table. Texts without a language, if the table has fewer
+than ``LEAST_ROWS``, are judged among themselves, and not at all below half of that. Windows
 are compared by 64-bit hashes of their three words. Repeated rows count each; an empty table gives
 no rows; other columns are not read.
 """
@@ -41,6 +43,8 @@ CUTOFF = 30.0
 FLOOR = (0.5, 0.1, 0.35, 0.5)
 #: The same for the share of repeated lines, the last coordinate.
 LINE_FLOOR = 0.6
+#: Group of all rows; the others are JSON objects.
+TABLE = "table"
 #: Parts into which the rows of a group are dealt where they meet its estimates.
 SALTS = 32
 _INSIDE = {  # quantiles of chi-square by degrees of freedom
@@ -208,20 +212,34 @@ def judge(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text")
     rows = rows.withColumn("base_failed", failed).select(
         "*", *(x.alias(f"x_{i}") for i, x in enumerate(_vector()))
     )
-    sizes = rows.where("not base_failed").groupBy("lang", "source").agg(F.count(F.lit(1)).alias("size"))
+    sizes = land(rows.where("not base_failed").groupBy("lang", "source").agg(F.count(F.lit(1)).alias("size")), "sizes")
+    langs = sizes.groupBy("lang").agg(F.sum("size").alias("lang_size"), F.min("size").alias("smallest"))
+    same_lang = F.col("r.lang").eqNullSafe(F.col("l.lang"))
     rows = (
         rows.alias("r")
         .join(sizes.alias("s"), F.col("r.lang").eqNullSafe(F.col("s.lang")) & F.col("r.source").eqNullSafe(F.col("s.source")), "left")
-        .select(
-            "r.*",
-            F.to_json(
-                F.struct(F.col("r.lang").alias("lang"), F.when(F.col("size") >= LEAST_ROWS, F.struct(F.col("r.source").alias("is"))).alias("source"))
-            ).alias("group"),
+        .join(langs.alias("l"), same_lang, "left")
+        .select("r.*", "size", "lang_size", "smallest")
+    )
+    # the groups that a row is in; it is judged by the first one that is large enough
+    own = F.to_json(F.struct("lang", F.struct(F.col("source").alias("is")).alias("source")))
+    language = F.to_json(F.struct("lang"))
+    judged_by_own = F.coalesce(F.col("size") >= LEAST_ROWS, F.lit(False))
+    judged_by_language = F.coalesce(F.col("lang_size") >= LEAST_ROWS, F.lit(False)) | F.col("lang").isNull()
+    group = F.when(judged_by_own, own).when(judged_by_language, language).otherwise(F.lit(TABLE))
+    rows = land(rows.withColumn("group", group), "vectors")
+    rare = bool(langs.where(f"lang IS NOT NULL AND lang_size < {LEAST_ROWS}").take(1))
+    groups = F.array_compact(
+        F.array(
+            F.when(judged_by_own, own),
+            F.when(judged_by_language & (F.col("smallest") < LEAST_ROWS), language),
+            F.when(F.lit(rare), F.lit(TABLE)),
         )
     )
-    rows = land(rows, "vectors")
-    estimate = robust_scatter(rows.where("not base_failed").select("group", *(f"x_{i}" for i in range(len(_vector())))))
-    found = _distance(rows, estimate.where(F.col("rows") >= LEAST_ROWS // 2))
+    vector = [f"x_{i}" for i in range(len(_vector()))]
+    estimate = robust_scatter(rows.where("not base_failed").select(F.explode(groups).alias("group"), *vector))
+    no_language = F.col("group") == F.to_json(F.struct(F.lit(None).cast("string").alias("lang")))
+    found = _distance(rows, estimate.where(~no_language | (F.col("rows") >= LEAST_ROWS // 2)))
     return found.select(
         "id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "d2",
         (~F.col("base_failed") & (F.coalesce("d2", F.lit(0.0)) <= CUTOFF)).alias("kept"),

@@ -84,6 +84,26 @@ def test_repetition_alone_is_rejected(spark):
     assert not any(got[i].base_failed or got[i].kept for i in [*range(1000, 1010), *range(2000, 2010)])
 
 
+def test_small_groups_are_judged_by_their_language_or_the_table(spark):
+    rnd = random.Random(8)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+
+    def text(n, symbols=0):
+        w = ["".join(rnd.choices(letters, k=rnd.randrange(2, 10))) for _ in range(n)]
+        return " ".join(x + "#" * (rnd.random() < symbols) * 3 for x in w)
+
+    rows = [(i, text(rnd.randrange(60, 400)), "en", "a", 1) for i in range(200)]
+    small = [("en", "b"), ("en", None), ("rare", "a"), ("rare", None)]
+    for at, (lang, source) in enumerate(small, 1):
+        rows += [(1000 * at + i, text(200), lang, source, 1) for i in range(5)]
+        rows += [(1000 * at + 100 + i, text(200, 0.9), lang, source, 1) for i in range(5)]
+    got = {r.id: r for r in rules.judge(table(spark, rows, False)).collect()}
+    assert len(got) == len(rows) and all(got[i].kept for i in range(200))
+    for at in range(1, len(small) + 1):
+        assert all(got[1000 * at + i].kept for i in range(5))
+        assert not any(got[1000 * at + 100 + i].kept for i in range(5))
+
+
 def test_rules_of_an_empty_table(spark):
     assert rules.judge(spark.createDataFrame([], SCHEMA)).count() == 0
 
