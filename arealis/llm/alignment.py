@@ -20,9 +20,11 @@ without a blank, which is tokenized whole.
 from __future__ import annotations
 
 import hashlib
+import os
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -39,13 +41,14 @@ from arealis.llm.common import documents, land
 
 MARK = "▁"
 #: Characters of a window, and bytes after which a lot is full.
-WINDOW, LOT = 1_000_000, 2_000_000
-#: Words whose ids one worker keeps before it starts afresh; longer words are not kept.
-KEPT, KEPT_LENGTH = 1_000_000, 64
+WINDOW, LOT = 500_000, 1_000_000
+#: Words, and letters of words, whose ids one worker keeps before it starts afresh.
+KEPT, KEPT_LETTERS = 500_000, 20_000_000
 #: Blanks behind a letter, with something behind them: both tokenizers start a token there.
 _CUT = re.compile(r"(?<=\S)(?= +[^ ])")
-#: A blank that follows other white space, or ends or starts the text, is no such place.
-_ODD_BLANK = re.compile(r"\s \Z|\s |\A | \Z")
+#: A blank that follows other white space is no such place.
+_ODD_BLANK = re.compile(r"[^\S ] ")
+_ASCII_BLANKS = tuple(chr(c) + " " for c in (*range(0x09, 0x0E), *range(0x1C, 0x20)))
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -55,19 +58,33 @@ def byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(others)}
 
 
-class _Ids(dict):
-    """Ids of words as little-endian 32-bit integers; ``fill`` adds a word to both sides."""
+class _Kept:
+    """Ids of all kept words on one side, end to end."""
 
-    def __init__(self, fill):
-        super().__init__()
-        self.fill = fill
+    def __init__(self):
+        self.ids, self.used = np.empty(1 << 16, np.int32), 0
+        self.starts, self.sizes = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
 
-    def __missing__(self, word: str) -> bytes:
-        return self.fill(word, self)
+    def add(self, words: list[list[int]]) -> None:
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        need = self.used + int(sizes.sum())
+        if need > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.empty(max(need, len(self.ids)), np.int32)])
+        self.ids[self.used : need] = np.fromiter(chain.from_iterable(words), np.int32, need - self.used)
+        self.starts = [np.concatenate([*self.starts, self.used + np.cumsum(sizes) - sizes])]
+        self.sizes = [np.concatenate([*self.sizes, sizes])]
+        self.used = need
+
+    def of(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the words in order, and how many each word has."""
+        n = self.sizes[0][codes]
+        ends = np.cumsum(n)
+        total = int(ends[-1]) if len(ends) else 0
+        return self.ids[np.repeat(self.starts[0][codes] - ends + n, n) + np.arange(total)].astype(np.int64), n
 
 
 class Sides:
-    """Both tokenizers with the byte length of each id."""
+    """Both tokenizers, the byte length of each id, and the ids of words met before."""
 
     _made: dict[tuple[str, str], Sides] = {}
 
@@ -82,15 +99,15 @@ class Sides:
         self.b_bytes = [self._piece(i) for i in range(self.b.get_piece_size())]
         self.a_length = np.array([len(x) for x in self.a_bytes], np.int64)
         self.b_length = np.array([len(x) for x in self.b_bytes], np.int64)
-        self.a_of, self.b_of = _Ids(self._fill), _Ids(self._fill)
-        self.unlike: set[str] = set()
         self.a_text, self.b_text = _spelt(len(self.a_bytes)), _spelt(len(self.b_bytes))
+        self.forget()
 
     @classmethod
     def of(cls, a_path: str, b_path: str) -> Sides:
         """One pair of tokenizers and one cache for each worker process."""
         key = (a_path, b_path)
         if key not in cls._made:
+            os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
             cls._made[key] = cls(a_path, b_path)
         return cls._made[key]
 
@@ -102,34 +119,45 @@ class Sides:
             return b""
         return piece.replace(MARK, " ").encode()
 
-    def _fill(self, word: str, side: _Ids) -> bytes:
-        a = self.a.encode(" " + word, add_special_tokens=False).ids
-        b = self.b.encode(word, num_threads=1)
-        whole = (" " + word).encode()
-        if b"".join([self.a_bytes[i] for i in a]) != whole or b"".join([self.b_bytes[i] for i in b]) != whole:
-            self.unlike.add(word)
-        out = {id(self.a_of): a, id(self.b_of): b}
-        if len(word) <= KEPT_LENGTH:
-            for each in (self.a_of, self.b_of):
-                dict.__setitem__(each, word, np.array(out[id(each)], "<u4").tobytes())
-        return np.array(out[id(side)], "<u4").tobytes()
+    def forget(self) -> None:
+        self.code: dict[str, int] = {}
+        self.letters = 0
+        self.kept_a, self.kept_b = _Kept(), _Kept()
+        self.unlike = np.zeros(0, bool)
+
+    def _learn(self, words: list[str]) -> None:
+        """Ids of words not met before."""
+        new = list(set(words).difference(self.code))
+        if not new:
+            return
+        a = [e.ids for e in self.a.encode_batch_fast([" " + w for w in new], add_special_tokens=False)]
+        b = self.b.encode(new, num_threads=1)
+        want = [(" " + w).encode() for w in new]
+        unlike = np.zeros(len(new), bool)
+        for ids, spelt in ((a, self.a_bytes), (b, self.b_bytes)):
+            if b"".join(map(spelt.__getitem__, chain.from_iterable(ids))) != b"".join(want):
+                unlike |= np.array([b"".join([spelt[i] for i in x]) != w for x, w in zip(ids, want)])
+        self.unlike = np.concatenate([self.unlike, unlike])
+        self.kept_a.add(a)
+        self.kept_b.add(b)
+        self.code.update(zip(new, range(len(self.code), len(self.code) + len(new))))
+        self.letters += sum(map(len, new))
+
+    def codes(self, words: list[str]) -> np.ndarray:
+        """Numbers of the words, good until the next call."""
+        if len(self.code) > KEPT or self.letters > KEPT_LETTERS:
+            self.forget()
+        self._learn(words)
+        return np.fromiter(map(self.code.__getitem__, words), np.int64, len(words))
 
     def covers(self, text: str) -> bool:
         """Whether the bytes of both sides' tokens are those of a blank and the text."""
         for window in windows(text):
-            words = split(window)
-            b"".join(map(self.a_of.__getitem__, words))
-            if self.unlike and not self.unlike.isdisjoint(words):
+            codes = self.codes(split(window))
+            if self.unlike[codes].any():
                 return False
         return True
 
-    def ids(self, window: str) -> tuple[bytes, bytes]:
-        if len(self.a_of) > KEPT:
-            self.a_of.clear()
-            self.b_of.clear()
-        words = split(window)
-        return b"".join(map(self.a_of.__getitem__, words)), b"".join(map(self.b_of.__getitem__, words))
-
 
 def _spelt(size: int) -> np.ndarray:
     """Each id in decimal with ``,``, ``|`` or ``;`` behind it, as fixed-width bytes; row 3 * id + separator."""
@@ -147,34 +175,35 @@ def windows(text: str) -> Iterator[str]:
 
 def split(window: str) -> list[str]:
     """Words of a window, each without the blank before it."""
-    if _ODD_BLANK.search(window):
+    words = window.split(" ")
+    if "" in words or (_ODD_BLANK.search(window) if not window.isascii() else any(x in window for x in _ASCII_BLANKS)):
         return [w[1:] for w in _CUT.split(" " + window)]
-    return window.split(" ")
+    return words
 
 
-@dataclass
 class Lot:
-    """Tokens of several windows; offsets run on from window to window, alike on both sides."""
-
-    sides: Sides
-    a_parts: list[bytes] = field(default_factory=list)
-    b_parts: list[bytes] = field(default_factory=list)
+    """Windows whose tokens are found together; offsets run on from one to the next."""
 
-    def add(self, window: str) -> None:
-        a, b = self.sides.ids(window)
-        self.a_parts.append(a)
-        self.b_parts.append(b)
+    def __init__(self, sides: Sides):
+        self.sides = sides
+        self.words: list[str] = []
+        self.n_words: list[int] = []
 
-    def skip(self) -> None:
-        """A window without tokens."""
-        self.a_parts.append(b"")
-        self.b_parts.append(b"")
+    def add(self, window: str | None) -> None:
+        words = split(window) if window else []
+        self.words += words
+        self.n_words.append(len(words))
 
     def aligned(self) -> Aligned:
-        a, b = (np.frombuffer(b"".join(parts), "<u4").astype(np.int64) for parts in (self.a_parts, self.b_parts))
-        n_a, n_b = (np.array([len(p) // 4 for p in parts], np.int64) for parts in (self.a_parts, self.b_parts))
-        a_end, b_end = np.cumsum(self.sides.a_length[a]), np.cumsum(self.sides.b_length[b])
-        return Aligned(self.sides, a, b, n_a, n_b, a_end, b_end)
+        """Windows with a word that both sides don't cover have no tokens."""
+        sides, windows_ = self.sides, len(self.n_words)
+        codes, of = sides.codes(self.words), np.repeat(np.arange(windows_), self.n_words)
+        unlike = np.bincount(of, sides.unlike[codes], windows_) > 0
+        codes, of = codes[~unlike[of]], of[~unlike[of]]
+        (a, n_a), (b, n_b) = sides.kept_a.of(codes), sides.kept_b.of(codes)
+        n_a, n_b = (np.bincount(of, n, windows_).astype(np.int64) for n in (n_a, n_b))
+        a_end, b_end = np.cumsum(sides.a_length[a]), np.cumsum(sides.b_length[b])
+        return Aligned(sides, a, b, n_a, n_b, a_end, b_end)
 
 
 @dataclass
@@ -204,24 +233,24 @@ class Aligned:
         order = np.argsort(link_a + link_b, kind="stable")  # links go up on one side or the other
         self.link_a, self.link_b = link_a[order], link_b[order]
         self.n_links = np.bincount(a["doc"].to_numpy()[self.link_a], minlength=len(self.n_a))
-        #: Offsets where tokens of both sides end, and the group of each token.
-        self.cuts = np.intersect1d(self.a_end, self.b_end, assume_unique=True)
-        self.a_group = np.searchsorted(self.cuts, a["start"].to_numpy(), "right")
-        self.b_group = np.searchsorted(self.cuts, b["start"].to_numpy(), "right")
-        ends = np.concatenate([[0], np.cumsum(self.n_a)])
-        self.first_group = np.searchsorted(self.cuts, np.concatenate([[0], self.a_end])[ends], "right")
+        #: Whether tokens of both sides end where the token does, and the group of each token.
+        place = np.searchsorted(self.b_end, self.a_end)
+        self.a_last = self.b_end[place] == self.a_end if len(self.b_end) else np.zeros(0, bool)
+        self.b_last = np.zeros(len(self.b), bool)
+        self.b_last[place[self.a_last]] = True
+        self.a_group, self.b_group = np.cumsum(self.a_last) - self.a_last, np.cumsum(self.b_last) - self.b_last
+        ended = np.concatenate([[0], np.cumsum(self.a_last)])
+        self.first_group = ended[np.concatenate([[0], np.cumsum(self.n_a)])]
         self.n_groups = np.diff(self.first_group)
 
     def spelt(self) -> list[bytes]:
         """``a1,a2|b1;a3|b2`` of each window."""
-        groups = len(self.cuts)
-        last_a, last_b = np.ones(len(self.a), bool), np.ones(len(self.b), bool)
-        last_a[:-1], last_b[:-1] = self.a_group[1:] != self.a_group[:-1], self.b_group[1:] != self.b_group[:-1]
+        groups = int(self.first_group[-1])
         width = max(self.sides.a_text.itemsize, self.sides.b_text.itemsize)
         out = np.empty(len(self.a) + len(self.b), f"S{width}")
         a_in, b_in = np.bincount(self.a_group, minlength=groups), np.bincount(self.b_group, minlength=groups)
-        out[np.arange(len(self.a)) + (np.cumsum(b_in) - b_in)[self.a_group]] = self.sides.a_text[3 * self.a + last_a]
-        out[np.arange(len(self.b)) + np.cumsum(a_in)[self.b_group]] = self.sides.b_text[3 * self.b + 2 * last_b]
+        out[np.arange(len(self.a)) + (np.cumsum(b_in) - b_in)[self.a_group]] = self.sides.a_text[3 * self.a + self.a_last]
+        out[np.arange(len(self.b)) + np.cumsum(a_in)[self.b_group]] = self.sides.b_text[3 * self.b + 2 * self.b_last]
         at = np.concatenate([[0], np.cumsum(self.n_a + self.n_b)])
         return [out[i:j].tobytes().replace(b"\0", b"")[:-1] for i, j in zip(at, at[1:])]
 
@@ -230,25 +259,19 @@ def _lots(sides: Sides, rows: Iterator[tuple[object, str | None]]) -> Iterator[t
     """Lots as ((row number, id, whether it is the row's last window) of each window, tokens)."""
     lot, owners, held = Lot(sides), [], 0
     for number, (key, text) in enumerate(rows):
-        if not text or not sides.covers(text):
-            lot.skip()
-            owners.append((number, key, True))
-            held += 64
-        else:
-            parts = windows(text)
-            now = next(parts)
-            while now is not None:
-                after = next(parts, None)
-                lot.add(now)
-                owners.append((number, key, after is None))
-                held += len(now) + 64
-                now = after
-                if held >= LOT:
-                    yield owners, lot.aligned()
-                    lot, owners, held = Lot(sides), [], 0
-        if held >= LOT:
-            yield owners, lot.aligned()
-            lot, owners, held = Lot(sides), [], 0
+        # a text of several windows must be covered as a whole
+        parts = windows(text or "") if len(text or "") <= WINDOW or sides.covers(text) else iter([None])
+        now, more = next(parts), True
+        while more:
+            after = next(parts, sides)
+            more = after is not sides
+            lot.add(now)
+            owners.append((number, key, not more))
+            held += len(now or "") + 64
+            now = after
+            if held >= LOT:
+                yield owners, lot.aligned()
+                lot, owners, held = Lot(sides), [], 0
     if owners:
         yield owners, lot.aligned()
 

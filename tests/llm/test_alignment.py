@@ -153,7 +153,8 @@ def test_cutting_into_words_keeps_the_ids():
         a, _, b, _ = whole(text)
         assert SIDES.covers(text) == bool(a)
         if a:
-            assert [list(np.frombuffer(x, "<u4")) for x in SIDES.ids(text)] == [a, b]
+            codes = SIDES.codes(alignment.split(text))
+            assert [list(side.of(codes)[0]) for side in (SIDES.kept_a, SIDES.kept_b)] == [a, b]
 
 
 def test_query(spark, tmp_path):
