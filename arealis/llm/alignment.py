@@ -41,9 +41,9 @@ from arealis.llm.common import documents, land
 
 MARK = "▁"
 #: Characters of a window, and bytes after which a lot is full.
-WINDOW, LOT = 500_000, 1_000_000
+WINDOW, LOT = 200_000, 600_000
 #: Words, and letters of words, whose ids one worker keeps before it starts afresh.
-KEPT, KEPT_LETTERS = 500_000, 20_000_000
+KEPT, KEPT_LETTERS = 300_000, 10_000_000
 #: Blanks behind a letter, with something behind them: both tokenizers start a token there.
 _CUT = re.compile(r"(?<=\S)(?= +[^ ])")
 #: A blank that follows other white space is no such place.
@@ -355,26 +355,29 @@ def align(
 
 
 def _reduced(docs: DataFrame, id_column: str, text_column: str, paths: tuple[str, str]) -> DataFrame:
-    """One row per lot: its windows with their counts, its different pairs with theirs, and its links.
+    """Rows of windows, with their counts and links, and rows of the different pairs of each lot.
 
-    A link is the place of its pair in ``pairs``; a pair is a << 32 | b. ``sha256`` is set on the last
-    window of a document.
+    A pair (a << 32 | b) has its ``place`` in the lot and the number of links that hold it; a window's
+    ``links`` are such places. ``sha256`` is set on the last window of a document.
     """
     rows = _input(docs, id_column, text_column)
-    window = T.StructType([T.StructField("row", T.LongType()), rows.schema["id"]])
+    schema = T.StructType([T.StructField("lot", T.LongType()), T.StructField("row", T.LongType()), rows.schema["id"]])
     for name in ("n_a", "n_b", "n_groups", "n_links"):
-        window = window.add(name, T.LongType())
-    window = window.add("sha256", T.StringType())
-    schema = (
-        T.StructType().add("lot", T.LongType()).add("windows", T.ArrayType(window))
-        .add("pairs", T.ArrayType(T.LongType())).add("counts", T.ArrayType(T.LongType())).add("links", T.ArrayType(T.IntegerType()))
-    )
+        schema = schema.add(name, T.LongType())
+    schema = schema.add("sha256", T.StringType()).add("links", T.ArrayType(T.IntegerType()))
+    schema = schema.add("place", T.IntegerType()).add("pair", T.LongType()).add("count", T.LongType())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        base = TaskContext.get().partitionId() << 33
-        before, digest = None, hashlib.sha256()
-        for lot, (owners, found) in enumerate(_lots(Sides.of(*paths), _rows(batches))):
-            texts = []
+        base, key_type = TaskContext.get().partitionId() << 33, None
+
+        def batch(n: int, lot: int, **columns: pa.Array) -> pa.RecordBatch:
+            kinds = {"sha256": pa.string(), "links": pa.list_(pa.int32()), "place": pa.int32(), "id": key_type}
+            all_ = {f: pa.nulls(n, kinds.get(f, pa.int64())) for f in schema.names} | {"lot": pa.array([base + lot] * n)} | columns
+            return pa.RecordBatch.from_pydict(all_)
+
+        before, digest, sides = None, hashlib.sha256(), Sides.of(*paths)
+        for lot, (owners, found) in enumerate(_lots(sides, _rows(batches))):
+            texts, key_type = [], owners[0][1].type
             for (number, _, last), part in zip(owners, found.spelt()):
                 if number == before:
                     digest.update(b";")
@@ -384,34 +387,31 @@ def _reduced(docs: DataFrame, id_column: str, text_column: str, paths: tuple[str
                 texts.append((digest.hexdigest() if part else "") if last else None)
             codes = found.a[found.link_a] << 32 | found.b[found.link_b]
             pairs, places, counts = np.unique(codes, return_inverse=True, return_counts=True)
-            keys = pa.array([k.as_py() for _, k, _ in owners], owners[0][1].type)
-            numbers = pa.array([base + n for n, _, _ in owners], pa.int64())
-            fields = [numbers, keys, *(pa.array(x, pa.int64()) for x in (found.n_a, found.n_b, found.n_groups, found.n_links))]
-            values = pa.StructArray.from_arrays(
-                [*fields, pa.array(texts, pa.string())], ["row", "id", "n_a", "n_b", "n_groups", "n_links", "sha256"]
-            )
-
-            def one(x: pa.Array) -> pa.ListArray:
-                return pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x)
-
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([base + lot], pa.int64()), one(values), one(pa.array(pairs, pa.int64())),
-                    one(pa.array(counts, pa.int64())), one(pa.array(places, pa.int32())),
-                ],
-                names=schema.names,
+            ends = np.concatenate([[0], np.cumsum(found.n_links)]).astype(np.int32)
+            yield batch(
+                len(owners), lot,
+                row=pa.array([base + n for n, _, _ in owners], pa.int64()),
+                id=pa.array([k.as_py() for _, k, _ in owners], key_type),
+                **{n: pa.array(getattr(found, n), pa.int64()) for n in ("n_a", "n_b", "n_groups", "n_links")},
+                sha256=pa.array(texts, pa.string()),
+                links=pa.ListArray.from_arrays(ends, pa.array(places.astype(np.int32))),
             )
+            if len(pairs):
+                yield batch(
+                    len(pairs), lot,
+                    place=pa.array(np.arange(len(pairs), dtype=np.int32)), pair=pa.array(pairs), count=pa.array(counts, pa.int64()),
+                )
+        sides.forget()  # a worker that waits for its next task holds no words
 
     return rows.mapInArrow(run, schema)
 
 
-def pair_counts(lots: DataFrame) -> DataFrame:
-    """(pair, count, best) over the corpus; ``best`` where no pair of the same B id has a higher count."""
-    parts = lots.select(F.inline(F.arrays_zip("pairs", "counts")))
-    counts = land(parts.groupBy(F.col("pairs").alias("pair")).agg(F.sum("counts").alias("count")), "pair-counts")
+def pair_counts(pairs: DataFrame) -> DataFrame:
+    """(pair, total, best) over the corpus; ``best`` where no pair of the same B id has a higher total."""
+    counts = land(pairs.groupBy("pair").agg(F.sum("count").alias("total")), "pair-counts")
     b = F.col("pair").bitwiseAND(0xFFFFFFFF).alias("b")
-    highest = counts.groupBy(b).agg(F.max("count").alias("highest"))
-    return counts.select("*", b).join(highest, "b").select("pair", "count", (F.col("count") == F.col("highest")).alias("best"))
+    highest = counts.groupBy(b).agg(F.max("total").alias("highest"))
+    return counts.select("*", b).join(highest, "b").select("pair", "total", (F.col("total") == F.col("highest")).alias("best"))
 
 
 def summarised(
@@ -422,30 +422,30 @@ def summarised(
     b_path: str | None = None,
 ) -> DataFrame:
     """Per document the numbers of tokens, groups and links, and what its links count corpus-wide."""
-    lots = land(_reduced(docs, id_column, text_column, _paths(a_path, b_path)), "lots")
-    counts = land(pair_counts(lots), "pairs")
-    parts = lots.select(F.col("lot").alias("of"), F.posexplode("pairs").alias("place", "pair"))
-    back = parts.join(counts, "pair").select("of", "place", "count", "best")
-    schema = T.StructType(list(lots.schema["windows"].dataType.elementType.fields))
+    rows = land(_reduced(docs, id_column, text_column, _paths(a_path, b_path)), "lots")
+    pairs = rows.where("pair IS NOT NULL").select(F.col("lot").alias("of"), "place", "pair", "count")
+    counts = land(pair_counts(pairs), "pairs")
+    back = pairs.join(counts, "pair").select("of", "place", "total", "best")
+    numbers = ("n_a", "n_b", "n_groups", "n_links")
+    windows_ = rows.where("row IS NOT NULL").select("lot", "row", "id", *numbers, "sha256", "links")
+    schema = T.StructType([f for f in windows_.schema.fields if f.name not in ("lot", "links")])
     schema = schema.add("n_best", T.LongType()).add("count_sum", T.LongType())
 
-    def run(lot: pa.Table, known: pa.Table) -> pa.Table:
+    def run(some: pa.Table, known: pa.Table) -> pa.Table:
         value, best = np.zeros(len(known), np.int64), np.zeros(len(known), np.int64)
         place = known.column("place").to_numpy()
-        value[place], best[place] = known.column("count").to_numpy(), known.column("best").to_numpy()
-        links = lot.column("links").combine_chunks().flatten().to_numpy()
-        windows_ = lot.column("windows").combine_chunks().flatten()
-        columns = {f.name: c for f, c in zip(windows_.type, windows_.flatten())}
-        at = np.concatenate([[0], np.cumsum(columns["n_links"].to_numpy())])
+        value[place], best[place] = known.column("total").to_numpy(), known.column("best").to_numpy()
+        links = some.column("links").combine_chunks().flatten().to_numpy()
+        at = np.concatenate([[0], np.cumsum(some.column("n_links").to_numpy())])
+        columns = {n: some.column(n) for n in schema.names[:-2]}
         for name, x in (("n_best", best), ("count_sum", value)):
             columns[name] = pa.array(np.diff(np.concatenate([[0], np.cumsum(x[links])])[at]), pa.int64())
         return pa.table(columns)
 
-    some = lots.select("lot", "windows", "links").groupBy("lot").cogroup(back.groupBy("of")).applyInArrow(run, schema)
-    numbers = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum")
+    parts = windows_.groupBy("lot").cogroup(back.groupBy("of")).applyInArrow(run, schema)
     return (
-        some.groupBy("row")
-        .agg(F.first("id").alias("id"), *(F.sum(n).alias(n) for n in numbers), F.max("sha256").alias("groups_sha256"))
+        parts.groupBy("row")
+        .agg(F.first("id").alias("id"), *(F.sum(n).alias(n) for n in (*numbers, "n_best", "count_sum")), F.max("sha256").alias("groups_sha256"))
         .drop("row")
     )
 

@@ -108,9 +108,14 @@ def test_empty_table(spark):
 
 
 def test_tokens_links_and_groups_themselves(spark):
-    found = alignment.align(table(spark, ROWS).coalesce(1)).orderBy("row").collect()
-    assert [r["id"] for r in found] == [r[0] for r in ROWS]
-    for row, (_, text, *_) in zip(found, ROWS):
+    found = alignment.align(table(spark, ROWS).coalesce(1)).orderBy("row", "window").collect()
+    long = [r for r in found if r["id"] == 10]
+    text = next(r[1] for r in ROWS if r[0] == 10)
+    assert len(long) > 1 and [t["id"] for r in long for t in r["a"]] == whole(text)[0]
+    assert sum(len(r["links"]) for r in long) == len(links_of(text))
+    found, rows = [r for r in found if r["id"] != 10], [r for r in ROWS if r[0] != 10]
+    assert [r["id"] for r in found] == [r[0] for r in rows]
+    for row, (_, text, *_) in zip(found, rows):
         a, a_end, b, b_end = whole(text)
         assert [t["id"] for t in row["a"]] == a and [t["end"] for t in row["a"]] == a_end
         assert [t["id"] for t in row["b"]] == b and [t["end"] for t in row["b"]] == b_end
