@@ -10,8 +10,9 @@ template has them, again to within ``SLACK``. Its label is added, with the share
 
 Apart from that, base phrases are found wherever their words stand consecutively.
 
-Texts are cut into words once: what is kept of a text is the places of template words, so phrases are
-checked without reading it again. Hits stay rows, so a long text or a frequent word is no single task.
+Texts are cut into words once: what is kept of a text is the places of template words and of phrases, so
+it isn't read again. Hits and places become rows only where the index or a template asks for them; they
+meet by text, template and bin of the place, so a long text or a frequent word is no single task.
 
 Defined results: a null or empty text has no words and labels; repeated rows and null ids each give a row;
 labels are distinct and sorted, so ties don't matter; texts of any length are read whole; an empty table
@@ -129,22 +130,27 @@ def _words(texts: tuple[str, ...] | list[str]) -> Column:
     return F.array(*(F.lit(t) for t in texts))
 
 
-def _starts(hits: Column, phrase: str) -> Column:
-    """Places where the phrase begins; all its words are among the hits."""
+def all_phrases() -> list[str]:
+    """Base phrases and key phrases; places are noted by the number in this list."""
+    return list(dict.fromkeys([p for p, _ in BASE] + [p for _, _, phrases in TEMPLATES for p in phrases]))
+
+
+def _starts(hits: Column, kinds: Column, number: int, phrase: str) -> Column:
+    """(number, place) where the phrase begins; all its words are among the hits, ``kinds`` their different words."""
     words = phrase.split()
-    names, size = hits["word"], len(words)
+    size = len(words)
 
     def start(x: Column, j: Column) -> Column:
         last = F.get(hits, j + (size - 1))
-        same = (x["word"] == words[0]) & (last["pos"] == x["pos"] + (size - 1)) & (F.slice(names, j + 1, size) == _words(words))
-        return F.when(same, x["pos"])
+        same = (x["word"] == words[0]) & (last["pos"] == x["pos"] + (size - 1)) & (F.slice(hits["word"], j + 1, size) == _words(words))
+        return F.when(same, F.struct(F.lit(number).alias("phrase"), x["pos"].alias("pos")))
 
-    found = F.array_compact(F.transform(hits, start))
-    return F.when(F.array_contains(names, words[-1]), found).otherwise(F.array().cast("array<int>"))
+    possible = F.array_contains(kinds, max(words, key=len))
+    return F.when(possible, F.array_compact(F.transform(hits, start))).otherwise(F.array().cast("array<struct<phrase:int,pos:int>>"))
 
 
 def _noted(text: Column) -> Column:
-    """n_words, hits (template words and their places) and the places of base phrases."""
+    """n_words, hits (template words and their places), their different words, and places of phrases."""
     known = vocabulary()
 
     def hits(words: Column) -> Column:
@@ -152,29 +158,32 @@ def _noted(text: Column) -> Column:
             F.transform(words, lambda w, i: F.when(w.isin(*known), F.struct(w.alias("word"), i.alias("pos"))))
         )
 
-    def noted(words: Column) -> Column:
-        base = [lambda h, p=p: _starts(h, p) for p, _ in BASE]
+    def phrases(found: Column) -> Column:
+        kinds = F.array_distinct(found["word"])
         return let(
-            hits(words),
-            lambda h: F.struct(
-                F.size(words).cast("long").alias("n_words"), h.alias("hits"),
-                *(one(h).alias(f"base_{k}") for k, one in enumerate(base)),
+            kinds,
+            lambda k: F.struct(
+                found.alias("hits"), k.alias("kinds"),
+                F.concat(*(_starts(found, k, i, p) for i, p in enumerate(all_phrases()))).alias("phrases"),
             ),
         )
 
+    def noted(words: Column) -> Column:
+        return let(let(hits(words), phrases), lambda x: F.struct(F.size(words).cast("long").alias("n_words"), x.alias("found")))
+
     return let(F.array_remove(F.split(text, BETWEEN), ""), noted)
 
 
 def template_table(spark: SparkSession) -> DataFrame:
-    """(template, label, words, phrases); a phrase has its words and its place in the template."""
-    rows = []
+    """(template, label, words, phrases); a phrase has its number and its place in the template."""
+    rows, numbers = [], all_phrases()
     for number, (label, text, phrases) in enumerate(TEMPLATES):
         words = text.split()
         parts = []
         for phrase in phrases:
             of = phrase.split()
             at = next(i for i in range(len(words)) if words[i : i + len(of)] == of)
-            parts.append(F.struct(_words(of).alias("of"), F.lit(at).alias("at")))
+            parts.append(F.struct(F.lit(numbers.index(phrase)).alias("phrase"), F.lit(at).alias("at")))
         rows.append(
             F.struct(
                 F.lit(number).alias("template"), F.lit(label).alias("label"), _words(words).alias("words"), F.array(*parts).alias("phrases")
@@ -188,7 +197,7 @@ def rare_word_index(notes: DataFrame, templates: DataFrame) -> DataFrame:
 
     ``share`` is the word's part of the template's index weight, once per word.
     """
-    seen = notes.select(F.explode(F.array_distinct("hits.word")).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("df"))
+    seen = notes.select(F.explode("kinds").alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("df"))
     total = notes.agg(F.count(F.lit(1)).alias("texts"))
     places = templates.select("template", F.posexplode("words").alias("tpos", "word"))
     idf = F.log1p(F.col("texts") / F.greatest(F.coalesce("df", F.lit(0)), F.lit(1)))
@@ -213,16 +222,21 @@ def rare_word_index(notes: DataFrame, templates: DataFrame) -> DataFrame:
     )
 
 
+def _bins(begin: Column) -> Column:
+    """Bins of a place: two rows of them, half a bin apart, so that neighbours always share one."""
+    return F.array(
+        F.struct(F.lit(0).alias("shift"), F.floor(begin / SLACK).alias("bin")),
+        F.struct(F.lit(1).alias("shift"), F.floor((begin + SLACK // 2) / SLACK).alias("bin")),
+    )
+
+
 def candidates(notes: DataFrame, index: DataFrame) -> DataFrame:
-    """(row, template, low, high, coverage): where a template would begin, by agreeing hits."""
+    """(row, template, shift, bin, low, high, coverage): where a template would begin, by agreeing hits."""
     hits = notes.select("row", F.inline("hits"))
     begin = F.col("pos") - F.col("tpos")
-    # two rows of bins, half a bin apart, so that neighbours always share one
-    bins = F.array(
-        F.struct(F.lit(0).alias("shift"), F.floor(begin / SLACK).alias("bin")),
-        F.struct(F.lit(1).alias("shift"), F.floor((begin + SLACK // 2) / SLACK).alias("bin")),
+    met = hits.join(F.broadcast(index), "word").select(
+        "row", "template", "word", "share", "kinds", begin.alias("begin"), F.inline(_bins(begin))
     )
-    met = hits.join(F.broadcast(index), "word").select("row", "template", "word", "share", "kinds", begin.alias("begin"), F.inline(bins))
     words = met.groupBy("row", "template", "shift", "bin", "word").agg(
         F.max("share").alias("share"), F.max("kinds").alias("kinds"), F.min("begin").alias("low"), F.max("begin").alias("high")
     )
@@ -231,34 +245,38 @@ def candidates(notes: DataFrame, index: DataFrame) -> DataFrame:
         F.min("low").alias("low"), F.max("high").alias("high"),
     )
     enough = (F.col("coverage") >= COVERED) & (F.col("agreeing") >= F.least(F.col("kinds"), F.lit(2)))
-    return together.where(enough).select("row", "template", "low", "high", F.least("coverage", F.lit(1.0)).alias("coverage"))
+    return together.where(enough).select(
+        "row", "template", "shift", "bin", "low", "high", F.least("coverage", F.lit(1.0)).alias("coverage")
+    )
 
 
 def verified(found: DataFrame, notes: DataFrame, templates: DataFrame) -> DataFrame:
-    """(row, labels, coverage) of the rows with a candidate all of whose key phrases are in place."""
-    hits = F.col("hits")
-
-    def in_place(p: Column) -> Column:
-        size = F.size(p["of"])
-
-        def here(x: Column, j: Column) -> Column:
-            near = x["pos"].between(p["at"] + F.col("low") - SLACK, p["at"] + F.col("high") + SLACK)
-            last = F.get(hits, j + size - 1)
-            return (x["word"] == p["of"][0]) & near & (last["pos"] == x["pos"] + size - 1) & (F.slice(F.col("hits.word"), j + 1, size) == p["of"])
-
-        return F.coalesce(F.exists(F.transform(hits, here), lambda x: x), F.lit(False))
-
-    told = found.join(F.broadcast(templates.select("template", "label", "phrases")), "template")  # the templates themselves
+    """(row, method, coverage) of the rows with a candidate all of whose key phrases are in place."""
+    wanted = templates.select("template", F.inline("phrases"))
+    begin = F.col("pos") - F.col("at")
+    places = notes.select("row", F.inline("phrases")).join(F.broadcast(wanted), "phrase")  # the templates' phrases
+    # a bin is as wide as the slack: a place fits candidates of its own bin and of both beside it
+    near = places.select("row", "template", "phrase", begin.alias("begin"), F.inline(_bins(begin))).select(
+        "row", "template", "phrase", "begin", "shift", F.explode(F.array(F.col("bin") - 1, F.col("bin"), F.col("bin") + 1)).alias("bin")
+    )
+    where = ["row", "template", "shift", "bin"]
+    fits = F.col("begin").between(F.col("low") - SLACK, F.col("high") + SLACK)
+    met = found.join(near, where).where(fits).groupBy(*where).agg(
+        F.max("coverage").alias("coverage"), F.size(F.collect_set("phrase")).alias("seen")
+    )
+    labels = templates.select("template", "label", F.size("phrases").alias("all"))
     return (
-        told.join(notes.select("row", "hits"), "row")
-        .where(F.forall("phrases", in_place))
+        met.join(F.broadcast(labels), "template")  # one row per template
+        .where(F.col("seen") == F.col("all"))
         .groupBy("row")
         .agg(F.collect_set("label").alias("method"), F.max("coverage").alias("coverage"))
     )
 
 
-def _labelled(places: str, label: str) -> Column:
-    return F.transform(places, lambda x: F.struct(x.alias("word"), F.lit(label).alias("label")))
+def _labelled(phrase: str, label: str) -> Column:
+    number = all_phrases().index(phrase)
+    some = F.filter("phrases", lambda x: x["phrase"] == number)
+    return F.transform(some, lambda x: F.struct(x["pos"].alias("word"), F.lit(label).alias("label")))
 
 
 def scan(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -267,13 +285,13 @@ def scan(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text")
     text = lower_ascii(content(text_column))
     notes = land(
         docs.select(F.col(f"`{id_column}`").alias("id"), F.monotonically_increasing_id().alias("row"), _noted(text).alias("n"))
-        .select("id", "row", "n.*"),
+        .select("id", "row", "n.n_words", "n.found.*"),
         "licence-words",
     )
     templates = template_table(docs.sparkSession)
     index = land(rare_word_index(notes, templates), "licence-index")
     found = verified(land(candidates(notes, index), "candidates"), notes, templates)
-    base = F.array_sort(F.concat(*(_labelled(f"base_{k}", label) for k, (_, label) in enumerate(BASE))))
+    base = F.array_sort(F.concat(*(_labelled(phrase, label) for phrase, label in BASE)))
     nothing = F.array().cast("array<string>")
     out = notes.select("id", "row", "n_words", base.alias("base")).join(found, "row", "left")
     base_labels = F.array_sort(F.array_distinct("base.label"))
