@@ -3,15 +3,17 @@
 A shape table has an id and ``rings array<array<struct<x, y>>>``. No pair of shapes is
 looked at unless their boxes meet: boxes are laid on square cells whose side is a power
 of two, each box on the level where it covers at most 2 × 2 cells, and joined on the
-cell; adaptive execution splits crowded cells. Geometry is not carried through that join:
-the exact tests work on single edges of the outlines against the areas they run through.
+cell; adaptive execution splits crowded cells. No ring is carried through a join: single
+edges of one side meet single edges of the other where they cross the same cell, and cut
+each other into pieces. A piece lies wholly inside, outside or on the boundary of the other
+shape, which the crossings of a ray from its middle tell.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from arealis.functions import shapes
@@ -24,12 +26,31 @@ _LOWEST, _HIGHEST = -20, 60  # cell levels: sides from 2^-20 to 2^60
 SALTS = 1  # copies of the smaller side, where splitting at run time is not enough
 BANDS = 4  # least number of bands of an outline
 
-RELATIONS = ("intersects", "within", "contains")
+#: Patterns of the nine intersections (interior, boundary and exterior of an area with those of an
+#: outline): T not empty, F empty, * either, a digit the dimension. Fixed values.
+PATTERNS = {
+    "touches": ("FT*******", "F**T*****", "F***T****"),
+    "overlaps": ("T*T***T**",),
+    "crosses": ("0*T******", "1*T******"),  # of two areas neither can cross the other
+    "equals": ("T*F**FFF*",),
+}
+#: ``relation`` takes a pattern of its own; the envelope tests compare boxes alone.
+BY_BOX = ("envelope_intersects", "index_intersects")
+RELATIONS = ("intersects", "within", "contains", *PATTERNS, *BY_BOX, "relation")
 
 POINT_BOX = "named_struct('xmin', x, 'ymin', y, 'xmax', x, 'ymax', y)"
-_SEGMENT_BOX = """named_struct(
-    'xmin', least(e.x1, e.x2), 'ymin', least(e.y1, e.y2),
-    'xmax', greatest(e.x1, e.x2), 'ymax', greatest(e.y1, e.y2))"""
+
+
+def _corners(e: str, wider: str = "0D") -> tuple[str, str, str, str]:
+    """Box of an edge, wider by some distance on each side."""
+    low = [f"(least({e}.{c}1, {e}.{c}2) - {wider})" for c in "xy"]
+    high = [f"(greatest({e}.{c}1, {e}.{c}2) + {wider})" for c in "xy"]
+    return (*low, *high)
+
+
+def _segment_box(e: str, wider: str = "0D") -> str:
+    values = ", ".join(f"'{n}', {v}" for n, v in zip(("xmin", "ymin", "xmax", "ymax"), _corners(e, wider)))
+    return f"named_struct({values})"
 
 
 # --- boxes ----------------------------------------------------------------------------------
@@ -74,16 +95,18 @@ def areas_in_box(
             & (F.col("ymax") <= ymax)
         )
         out = out.where(near)
-    elif relation == "intersects":
+    elif relation == "intersects" or relation in BY_BOX:
         near = (
             (F.col("xmin") <= xmax)
             & (F.col("ymin") <= ymax)
             & (F.col("xmax") >= xmin)
             & (F.col("ymax") >= ymin)
         )
-        out = out.where(near).where(shapes.rings_meet_box(rings, box))
+        out = out.where(near)
+        if relation == "intersects":
+            out = out.where(shapes.rings_meet_box(rings, box))
     else:
-        raise ValueError("relation must be 'intersects' or 'within'")
+        raise ValueError("relation must be 'intersects' or 'within', or go by the box alone")
     return out.select(*df.columns)
 
 
@@ -98,7 +121,6 @@ def _level(xmin: str, ymin: str, xmax: str, ymax: str) -> str:
 
 
 _LEVEL = _level("box.xmin", "box.ymin", "box.xmax", "box.ymax")
-_EDGE_LEVEL = _level("least(e.x1, e.x2)", "least(e.y1, e.y2)", "greatest(e.x1, e.x2)", "greatest(e.y1, e.y2)")
 
 
 def _cell(value: str, level: str) -> str:
@@ -142,6 +164,7 @@ def box_pairs(
     salts: int = SALTS,
     points: bool = False,
     right_levels: Column | None = None,
+    left_levels: Column | None = None,
 ) -> DataFrame:
     """Pairs of rows whose closed boxes meet: ``(*on, left.*, right.*)``, each pair once.
 
@@ -149,8 +172,8 @@ def box_pairs(
     ``on``, which have to be equal. A pair is met on the level of its larger box, in the
     cell that holds the lower left corner of the overlap. The left side should be the
     larger one: it is salted, the right side is copied to each salt. ``points`` tells that
-    the left boxes are points, whose level is known without looking; ``right_levels`` are
-    those of the right boxes, if they are known.
+    the left boxes are points, whose level is known without looking; ``left_levels`` and
+    ``right_levels`` are those of the boxes, if they are known.
     """
     # the salt depends on the row alone, so a task that runs again sends it to the same place
     keys = [c for c in left.columns if c != "box"]
@@ -158,7 +181,7 @@ def box_pairs(
     salted = _celled(left, others, "l").withColumn(
         "_salt", F.pmod(F.xxhash64(*keys), F.lit(salts)).cast("int")
     )
-    lowest = F.array(F.lit(_LOWEST)) if points else _levels_of(left)
+    lowest = F.array(F.lit(_LOWEST)) if points else _levels_of(left) if left_levels is None else left_levels
     copied = _celled(right, lowest, "r").selectExpr(
         "*", f"explode(sequence(0, {salts - 1})) AS _salt"
     )
@@ -196,8 +219,13 @@ def outline_bands(outlines: DataFrame, ids: Sequence[str], rings: str = "rings")
         band_count(rings).alias("_n"),
         F.explode(shapes.edges(rings)).alias("e"),
     )
+    return _banded(flat, ids)
+
+
+def _banded(edges: DataFrame, ids: Sequence[str]) -> DataFrame:
+    """Edges ``e`` of shapes with the box ``_b`` and ``_n`` bands, one row per band."""
     low, high = _band("least(e.y1, e.y2)", "_n", "_b"), _band("greatest(e.y1, e.y2)", "_n", "_b")
-    return flat.where("e.y1 <> e.y2").selectExpr(
+    return edges.where("e.y1 <> e.y2").selectExpr(
         *ids, "e", f"explode(sequence({low}, {high})) AS band"
     )
 
@@ -216,19 +244,26 @@ def points_inside(
     band of its outline, and the crossings are counted where they are found. An outline
     that holds very many points is spread over its bands and over the salts.
     """
+    return points_told(pairs, outline_bands(outlines, ids, rings), ids, salts, "inner").where("inside").drop("inside")
+
+
+def points_told(
+    pairs: DataFrame, bands: DataFrame, ids: Sequence[str], salts: int = SALTS, how: str = "left"
+) -> DataFrame:
+    """The points of ``pairs``, as in :func:`points_inside`, and whether they are ``inside``;
+    with ``how`` inner only those that some edge tells about."""
     names = [c for c in pairs.columns if c not in ("right_box", "left_box", "bands")]
     keyed = pairs.select(
         *names,
         F.expr(_band("y", "bands", "right_box")).alias("band"),
         F.pmod(F.xxhash64(*names), F.lit(salts)).cast("int").alias("_salt"),
     )
-    copied = outline_bands(outlines, ids, rings).withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
-    )
-    met = keyed.join(copied, [*ids, "band", "_salt"])
-    met = met.where(shapes.crosses_ray_sql("e", "x", "y"))
-    odd = met.groupBy(*names).agg((F.count("*") % 2).alias("_odd"))
-    return odd.where("_odd = 1").drop("_odd")
+    copied = bands.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    for c in (*ids, "band", "_salt"):
+        copied = copied.withColumnRenamed(c, f"_of{c}")
+    on = " AND ".join(f"{c} = _of{c}" for c in (*ids, "band", "_salt"))
+    met = keyed.join(copied, F.expr(f"{on} AND {shapes.crosses_ray_sql('e', 'x', 'y')}"), how)
+    return met.groupBy(*names).agg((F.count("e") % 2 == 1).alias("inside"))
 
 
 # --- relations of areas and outlines ----------------------------------------------------------------
@@ -272,8 +307,161 @@ def _edge_test_sql(relation: str) -> str:
     return bind(shapes.tolerance_sql("left_box"), "tol", bind(cuts, "cs", test))
 
 
-def _edge_test(relation: str) -> Column:
-    return F.expr(shapes.bind_sql(shapes.edges_sql("rings"), "es", _edge_test_sql(relation)))
+_BOTH = ("_area", "_outline")
+
+
+def _prepared(df: DataFrame, id_column: str, rings: str, key: str, wider: bool) -> DataFrame:
+    """What the joins need of one side, worked out in one pass over its geometry and written.
+
+    ``key`` is the id and the number of the row, so that rows with one id stay apart. ``wider`` tells
+    that the boxes of the edges are wider by the tolerance.
+    """
+    edge = "named_struct('ring', ri, 'i', ei, 'x1', re.x1, 'y1', re.y1, 'x2', re.x2, 'y2', re.y2)"
+    edges = f"flatten(transform(rings, (er, ri) -> transform({shapes.ring_edges_sql('er')}, (re, ei) -> {edge})))"
+    level = _level(*_corners("e", "tol" if wider else "0D"))
+    found = (
+        df.select(
+            F.struct(F.col(id_column).alias("id"), F.monotonically_increasing_id().alias("row")).alias(key),
+            col(rings).alias("rings"),
+        )
+        .select(
+            key,
+            shapes.bounds("rings").alias("box"),
+            shapes.interior_points("rings").alias("ps"),
+            F.expr(edges).alias("es"),
+            band_count("rings").alias("bands"),
+            F.size("rings").alias("n_rings"),
+            F.expr(_IS_POINT).alias("lone"),
+        )
+        .selectExpr("*", f"{shapes.tolerance_sql('box')} AS tol")
+        .selectExpr("*", f"array_distinct(transform(es, e -> {level})) AS levels")
+    )
+    return land(found, key.strip("_")).where("box.xmin IS NOT NULL")
+
+
+def _levels(side: DataFrame) -> Column:
+    """Distinct levels of the edges' boxes as a scalar subquery."""
+    return side.select(F.explode("levels").alias("v")).agg(F.collect_set("v")).scalar()
+
+
+def _bands_of(side: DataFrame, key: str) -> DataFrame:
+    """Edges by band. A single point counts as inside itself: it gets an edge to its right."""
+    far = "greatest(1D, abs(box.xmin) * 1e-6D)"
+    beside = f"""array(named_struct('ring', 0, 'i', 0, 'x1', box.xmin + {far}, 'y1', box.ymin - {far},
+        'x2', box.xmin + {far}, 'y2', box.ymin + {far}))"""
+    flat = side.selectExpr(key, "box AS _b", "bands AS _n", f"explode(if(lone, {beside}, es)) AS e")
+    return _banded(flat, [key])
+
+
+def _part_points(side: DataFrame, other: DataFrame, key: str, other_key: str, salts: int) -> DataFrame:
+    """Pairs with the number of parts of ``side`` whose inner point lies in the other shape, and of all parts."""
+    spots = side.select(
+        key, F.expr("inline(transform(ps, (p, i) -> struct(size(ps) AS parts, i AS part, p.x, p.y)))")
+    ).withColumn("box", F.expr(POINT_BOX))
+    near = box_pairs(spots, other.select(other_key, "bands", "box"), salts=salts, points=True)
+    told = points_told(near, _bands_of(other, other_key), [other_key], salts, "inner").where("inside")
+    return told.groupBy(*_BOTH).agg(F.count("*").alias("held"), F.max("parts").alias("parts"))
+
+
+def _contacts(left: DataFrame, right: DataFrame, salts: int) -> DataFrame:
+    """Pairs of edges that touch, one of an area (``a``) and one of an outline (``e``).
+
+    ``t`` is where they cross, as a share of ``e``, ``u`` of ``a``. ``a1`` and ``a2`` tell that the ends
+    of ``a`` lie on ``e``, at the shares ``ta1`` and ``ta2`` of it; ``e1``, ``e2``, ``ue1`` and ``ue2`` the
+    other way round. ``along_e`` tells that ``a`` runs along ``e``, ``along_a`` the reverse.
+    """
+    ours = left.select("_area", "tol", "lone", F.col("box").alias("area_box"), F.col("bands").alias("area_bands"), F.explode("es").alias("a"))
+    theirs = right.select(
+        "_outline", F.col("lone").alias("outline_lone"), F.col("box").alias("outline_box"), F.col("bands").alias("outline_bands"), F.explode("es").alias("e")
+    )
+    met = box_pairs(
+        ours.withColumn("box", F.expr(_segment_box("a", "tol"))),
+        theirs.withColumn("box", F.expr(_segment_box("e"))),
+        salts=salts,
+        left_levels=_levels(left),
+        right_levels=_levels(right),
+    )
+    steps = (
+        ("e.x2 - e.x1 AS dx", "e.y2 - e.y1 AS dy", "a.x2 - a.x1 AS ax", "a.y2 - a.y1 AS ay",
+         "a.x1 - e.x1 AS wx", "a.y1 - e.y1 AS wy", "a.x2 - e.x1 AS vx", "a.y2 - e.y1 AS vy",
+         "e.x2 - a.x1 AS qx", "e.y2 - a.y1 AS qy"),
+        ("sqrt(dx * dx + dy * dy) AS le", "sqrt(ax * ax + ay * ay) AS la", "dx * ay - dy * ax AS det",
+         "wx * dy - wy * dx AS off_a1", "vx * dy - vy * dx AS off_a2",
+         "wx * ay - wy * ax AS off_e1", "qx * ay - qy * ax AS off_e2"),
+        ("try_divide(off_e1, det) AS t", "try_divide(off_a1, det) AS u",
+         "try_divide(wx * dx + wy * dy, le * le) AS ta1", "try_divide(vx * dx + vy * dy, le * le) AS ta2",
+         "try_divide(-(wx * ax + wy * ay), la * la) AS ue1", "try_divide(qx * ax + qy * ay, la * la) AS ue2",
+         "try_divide(tol, le) AS se", "try_divide(tol, la) AS sa"),
+        ("if(le > 0, abs(off_a1) <= tol * le AND ta1 BETWEEN -se AND 1 + se, hypot(wx, wy) <= tol) AS a1",
+         "if(le > 0, abs(off_a2) <= tol * le AND ta2 BETWEEN -se AND 1 + se, hypot(vx, vy) <= tol) AS a2",
+         "if(la > 0, abs(off_e1) <= tol * la AND ue1 BETWEEN -sa AND 1 + sa, hypot(wx, wy) <= tol) AS e1",
+         "if(la > 0, abs(off_e2) <= tol * la AND ue2 BETWEEN -sa AND 1 + sa, hypot(qx, qy) <= tol) AS e2",
+         "le > 0 AND la > 0 AND abs(off_a1) <= tol * le AND abs(off_a2) <= tol * le AS along_e",
+         "le > 0 AND la > 0 AND abs(off_e1) <= tol * la AND abs(off_e2) <= tol * la AS along_a"),
+        ("coalesce(t BETWEEN 0 AND 1 AND u BETWEEN 0 AND 1, false) AND NOT (a1 OR a2 OR e1 OR e2) AS cross",),
+    )
+    for step in steps:
+        met = met.selectExpr("*", *step)
+    # as a filter the test would be pushed below the steps, and repeat them
+    touch = met.selectExpr("*", "explode_outer(if(cross OR a1 OR a2 OR e1 OR e2, array(1), NULL)) AS touch")
+    return touch.where("touch IS NOT NULL").select(
+        *_BOTH, "a", "e", "tol", "lone", "outline_lone", "area_box", "area_bands", "outline_box", "outline_bands",
+        "dx", "dy", "ax", "ay", "le", "la", "t", "u", "a1", "a2", "e1", "e2", "ta1", "ta2", "ue1", "ue2",
+        "along_e", "along_a", "cross",
+    )
+
+
+def _pieces(touching: DataFrame, vertices: DataFrame, of: str) -> DataFrame:
+    """Points that tell where the boundary of one side lies: ``of`` is ``e`` for outlines, ``a`` for areas.
+
+    Edges that touch the other shape are cut where they do; the middle of each piece that doesn't run
+    along it is a point. So is a vertex of each ring that touches it nowhere (``vertices``, first points
+    of rings in the other's box). All cuts of a ring come together in one sort.
+    """
+    if of == "e":
+        p, dx, dy, length, other = "e", "dx", "dy", "le", "area"
+        cross, ends, along = ("cross", "t"), (("a1", "ta1"), ("a2", "ta2")), "along_e"
+    else:
+        p, dx, dy, length, other = "a", "ax", "ay", "la", "outline"
+        cross, ends, along = ("cross", "u"), (("e1", "ue1"), ("e2", "ue2")), "along_a"
+    (_, low), (_, high) = ends
+    from_, to = f"greatest(least({low}, {high}), 0D)", f"least(greatest({low}, {high}), 1D)"
+    event = "named_struct('pos', {}, 'step', {})"
+    cuts = [event.format("0D", 0), event.format("1D", 0)]
+    for test, at in (cross, *ends):
+        cuts.append(f"if({test} AND {at} IS NOT NULL, {event.format(f'greatest(0D, least(1D, {at}))', 0)}, NULL)")
+    for at, step in ((from_, 1), (to, -1)):
+        cuts.append(f"if({along} AND {from_} < {to}, {event.format(at, step)}, NULL)")
+    # a single point is touched, not cut: the point itself stands for what touches it
+    alone = "lone" if of == "e" else "outline_lone"
+    spot = "a" if of == "e" else "e"
+    events = touching.selectExpr(
+        *_BOTH, f"{p}.ring AS ring", f"{p}.i AS i", "tol", f"{alone} AS lone",
+        f"if({alone}, {spot}.x1, {p}.x1) AS x1", f"if({alone}, {spot}.y1, {p}.y1) AS y1",
+        f"if({alone}, 0D, {dx}) AS dx", f"if({alone}, 0D, {dy}) AS dy", f"{length} AS length",
+        f"{other}_box AS right_box", f"{other}_bands AS bands",
+        f"inline_outer(array({', '.join(cuts)}))",
+    ).where("pos IS NOT NULL")
+    alone_rows = vertices.selectExpr(
+        *_BOTH, "ring", "-1 AS i", "0D AS tol", "false AS lone", "x AS x1", "y AS y1", "0D AS dx", "0D AS dy",
+        "0D AS length", "right_box", "bands", "0D AS pos", "0 AS step",
+    )
+    order = Window.partitionBy(*_BOTH, "ring").orderBy("i", "pos")
+    rows = events.unionByName(alone_rows).select(
+        "*", F.sum("step").over(order).alias("covers"), F.lead("i").over(order).alias("next"), F.lead("pos").over(order).alias("to")
+    )
+    piece = "i >= 0 AND next = i AND covers = 0 AND (lone AND pos < to OR (to - pos) * length > 2 * tol)"
+    return rows.where(f"(i < 0 AND next IS NULL) OR ({piece})").selectExpr(
+        *_BOTH, "ring", "i", "pos", "x1 + if(i < 0, 0D, (pos + to) / 2) * dx AS x",
+        "y1 + if(i < 0, 0D, (pos + to) / 2) * dy AS y", "right_box", "bands",
+    )
+
+
+def _ring_vertices(side: DataFrame, other: DataFrame, key: str, other_key: str, salts: int) -> DataFrame:
+    """The first point of each ring, with the shapes of the other side whose box holds it."""
+    first = "transform(filter(es, e -> e.i = 0), e -> named_struct('ring', e.ring, 'x', e.x1, 'y', e.y1))"
+    points = side.selectExpr(key, f"inline({first})").withColumn("box", F.expr(POINT_BOX))
+    return box_pairs(points, other.select(other_key, "bands", "box"), salts=salts, points=True)
 
 
 def relate(
@@ -285,6 +473,7 @@ def relate(
     area_rings: str = "rings",
     outline_rings: str = "rings",
     salts: int = SALTS,
+    pattern: str | None = None,
 ) -> DataFrame:
     """Pairs ``(area_id, outline_id)`` for which the area stands in the relation to the outline.
 
@@ -292,62 +481,139 @@ def relate(
     ``contains`` is ``within`` the other way round. An area is within an outline exactly
     if a point inside each of its parts is in the outline and no edge of the outline
     enters it: the inside of a part is connected, so it cannot leave the outline without
-    meeting an edge. Ids must be unique on their side and have different names.
+    meeting an edge. The other relations go by patterns of the nine intersections
+    (:func:`relation_matrix`), ``relation`` by the ``pattern`` given; pairs apart from each other are
+    in none of them. The envelope relations compare boxes alone.
+
+    The id columns need different names; rows that share an id are shapes of their own. What is
+    needed of each side is written when the function is called.
     """
+    if relation not in RELATIONS:
+        raise ValueError(f"relation must be one of {RELATIONS}")
     if relation == "contains":
         swapped = relate(
             outlines, areas, outline_id, area_id, "within", outline_rings, area_rings, salts
         )
         return swapped.select(area_id, outline_id)
-    if relation not in RELATIONS:
-        raise ValueError(f"relation must be one of {RELATIONS}")
+    if relation in PATTERNS or relation == "relation":
+        patterns = PATTERNS.get(relation) or (pattern or "",)
+        matrix = relation_matrix(areas, outlines, area_id, outline_id, area_rings, outline_rings, salts)
+        return matrix.where(matches("matrix", *patterns)).select(area_id, outline_id)
+
+    left = _prepared(areas, area_id, area_rings, "_area", True)
+    right = _prepared(outlines, outline_id, outline_rings, "_outline", False)
+    if relation in BY_BOX:
+        out = box_pairs(left.select("_area", "box"), right.select("_outline", "box"), salts=salts)
+    else:
+        contained = _part_points(left, right, "_area", "_outline", salts)
+        touching = _contacts(left, right, salts)
+        vertices = _ring_vertices(right, left, "_outline", "_area", salts)
+        bands = _bands_of(left, "_area")
+        if relation == "within":
+            entering = points_told(_pieces(touching, vertices, "e"), bands, ["_area"], salts, "inner").where("inside")
+            out = contained.where("held = parts").join(entering, list(_BOTH), "left_anti")
+        else:
+            held = points_told(vertices, bands, ["_area"], salts, "inner").where("inside")
+            out = touching.select(*_BOTH).unionByName(contained.select(*_BOTH)).unionByName(held.select(*_BOTH)).distinct()
+    return out.select(F.col("_area.id").alias(area_id), F.col("_outline.id").alias(outline_id))
+
+
+def matches(matrix: str, *patterns: str) -> Column:
+    """Does the matrix, nine characters, fit any of the patterns?"""
+    letters = {"T": "[012]", "F": "F", "*": ".", "0": "0", "1": "1", "2": "2"}
+    for pattern in patterns:
+        if len(pattern) != 9 or not set(pattern) <= set(letters):
+            raise ValueError(f"a pattern has nine of {''.join(letters)}, not {pattern!r}")
+    return F.col(matrix).rlike("^(" + "|".join("".join(letters[c] for c in p) for p in patterns) + ")$")
+
+
+def relation_matrix(
+    areas: DataFrame,
+    outlines: DataFrame,
+    area_id: str,
+    outline_id: str,
+    area_rings: str = "rings",
+    outline_rings: str = "rings",
+    salts: int = SALTS,
+) -> DataFrame:
+    """``(area_id, outline_id, matrix)`` of the pairs whose boxes meet; all others are apart.
 
-    left = areas.select(F.col(area_id).alias("_area"), col(area_rings).alias("rings"))
-    right = outlines.select(F.col(outline_id).alias("_outline"), col(outline_rings).alias("rings"))
-    both = ["_area", "_outline"]
-    # what the joins on position need, worked out in one pass over the geometry of each side
-    small_left = land(
-        left.select("_area", shapes.bounds("rings").alias("box"), shapes.interior_points("rings").alias("ps")),
-        "areas",
-    )
-    edge_levels = f"array_distinct(transform({shapes.edges_sql('rings')}, e -> {_EDGE_LEVEL}))"
-    small_right = land(
-        right.select(
-            "_outline",
-            band_count("rings").alias("bands"),
-            shapes.bounds("rings").alias("box"),
-            F.expr(edge_levels).alias("levels"),
+    The matrix has the dimensions of the nine intersections, row by row: interior, boundary and
+    exterior of the area with interior, boundary and exterior of the outline; F where there is none.
+    Interiors meet if a boundary runs through the other's interior or an inner point of a part lies in
+    the other shape; the boundaries' parts inside and outside come from the pieces into which the
+    shapes cut each other. A shape of a single point has only an interior.
+    """
+    left = _prepared(areas, area_id, area_rings, "_area", True)
+    right = _prepared(outlines, outline_id, outline_rings, "_outline", False)
+    touching = land(_contacts(left, right, salts), "contacts")
+    along = "(least(greatest(ta1, ta2), 1D) - greatest(least(ta1, ta2), 0D)) * le > 2 * tol"
+    facts = [
+        box_pairs(
+            left.selectExpr("_area", "box", "n_rings AS area_rings", "size(ps) AS area_parts", "lone AS area_alone"),
+            right.selectExpr("_outline", "box", "n_rings AS outline_rings", "size(ps) AS outline_parts", "lone AS outline_alone"),
+            salts=salts,
+        ).drop("left_box", "right_box"),
+        touching.groupBy(*_BOTH).agg(
+            F.size(F.collect_set("a.ring")).alias("area_touch"),
+            F.size(F.collect_set("e.ring")).alias("outline_touch"),
+            F.max(F.expr(f"along_e AND {along}")).alias("shared"),
         ),
-        "outlines",
+        _part_points(left, right, "_area", "_outline", salts).select(*_BOTH, F.col("held").alias("area_held")),
+        _part_points(right, left, "_outline", "_area", salts).select(*_BOTH, F.col("held").alias("outline_held")),
+    ]
+    for of, name, sides in (
+        ("e", "outline", (right, left, "_outline", "_area")),
+        ("a", "area", (left, right, "_area", "_outline")),
+    ):
+        vertices = _ring_vertices(*sides, salts)
+        told = points_told(_pieces(touching, vertices, of), _bands_of(sides[1], sides[3]), [sides[3]], salts)
+        facts.append(
+            told.groupBy(*_BOTH).agg(
+                F.count_if(F.expr("i < 0 AND inside")).alias(f"{name}_rings_in"),
+                F.max(F.expr("i >= 0 AND inside")).alias(f"{name}_in"),
+                F.max(F.expr("i >= 0 AND NOT inside")).alias(f"{name}_out"),
+            )
+        )
+    all_ = facts[0]
+    for fact in facts[1:]:
+        all_ = all_.unionByName(fact, allowMissingColumns=True)
+    names = [c for c in all_.columns if c not in _BOTH]
+    flags = {f.name for f in all_.schema.fields if f.dataType.simpleString() == "boolean"}
+    found = all_.groupBy(*_BOTH).agg(
+        *(F.coalesce(F.max(n), F.lit(False) if n in flags else F.lit(0)).alias(n) for n in names)
+    )
+    return found.where("area_rings > 0").select(
+        F.col("_area.id").alias(area_id), F.col("_outline.id").alias(outline_id), F.expr(_MATRIX).alias("matrix")
     )
-    boxed_left, boxed_right = small_left.select("_area", "box"), small_right.drop("levels")
-    levels = small_right.select(F.explode("levels").alias("v")).agg(F.collect_set("v")).scalar()
 
-    # a point of each part of the area, in the outlines whose box holds it
-    spots = small_left.select(
-        "_area",
-        F.expr("inline(transform(ps, (p, i) -> struct(size(ps) AS parts, i AS part, p.x, p.y)))"),
-    ).withColumn("box", F.expr(POINT_BOX))
-    near = box_pairs(spots, boxed_right, salts=salts, points=True)
-    hits = points_inside(near, right, ["_outline"], salts=salts)
-    contained = hits.groupBy(*both).agg((F.count("*") == F.max("parts")).alias("whole"))
-
-    # the edges of outlines that run through the box of an area, and whether they enter it
-    segments = right.select("_outline", F.explode(shapes.edges("rings")).alias("e"))
-    crossing = box_pairs(
-        boxed_left, segments.withColumn("box", F.expr(_SEGMENT_BOX)), salts=salts, right_levels=levels
+
+def _matrix_sql() -> str:
+    inner = {  # whether the boundary of one side runs inside and outside the other
+        s: (f"({s}_in OR {s}_rings_in > 0)", f"({s}_out OR {s}_rings > {s}_touch + {s}_rings_in)") for s in ("area", "outline")
+    }
+    (area_in, area_out), (outline_in, outline_out) = inner["area"], inner["outline"]
+    meet = f"({area_in} OR {outline_in} OR area_held > 0 OR outline_held > 0)"
+    cells = (
+        f"if({meet}, '2', 'F')",
+        f"if({outline_in}, '1', 'F')",
+        f"if({outline_in} OR area_held < area_parts, '2', 'F')",
+        f"if({area_in}, '1', 'F')",
+        "if(shared, '1', if(area_touch > 0, '0', 'F'))",
+        f"if({area_out}, '1', 'F')",
+        f"if({area_in} OR outline_held < outline_parts, '2', 'F')",
+        f"if({outline_out}, '1', 'F')",
+        "'2'",
     )
-    if relation == "within":
-        # an edge outside the open box cannot enter the area (the box of a point is not open)
-        flat = "left_box.xmin = left_box.xmax OR left_box.ymin = left_box.ymax"
-        strictly = shapes.segment_meets_box_sql("e", "left_box", strictly=True)
-        crossing = crossing.where(f"{flat} OR {strictly}")
-    tested = crossing.join(left, "_area").where(_edge_test(relation)).select(*both)
-    if relation == "within":
-        out = contained.where("whole").select(*both).join(tested, both, "left_anti")
-    else:
-        out = tested.union(contained.select(*both)).distinct()
-    return out.withColumnsRenamed({"_area": area_id, "_outline": outline_id})
+    touch = "area_touch > 0"
+    return f"""CASE
+        WHEN area_alone AND outline_alone THEN if({touch}, '0FFFFFFF2', 'FF0FFF0F2')
+        WHEN area_alone THEN if({touch}, 'F0FFFF212', if(area_held > 0, '0FFFFF212', 'FF0FFF212'))
+        WHEN outline_alone THEN if({touch}, 'FF20F1FF2', if(outline_held > 0, '0F2FF1FF2', 'FF2FF10F2'))
+        ELSE concat({', '.join(cells)}) END"""
+
+
+_MATRIX = _matrix_sql()
 
 
 def spatial_filter(
@@ -359,8 +625,15 @@ def spatial_filter(
     rings: str = "rings",
     shape_srid: int | None = None,
     srid: int | None = None,
+    pattern: str | None = None,
 ) -> DataFrame:
-    """Rows of a layer that stand in the relation to one given shape (a list of rings)."""
+    """Rows of a layer that stand in the relation to one given shape (a list of rings).
+
+    The shape is a constant of a filter, but for the relations that go by the nine intersections:
+    these join its edges, and ``key`` must tell the rows apart.
+    """
+    if relation not in RELATIONS:
+        raise ValueError(f"relation must be one of {RELATIONS}")
     points = [[{"x": float(x), "y": float(y)} for x, y in ring] for ring in shape]
     one = spark.createDataFrame(
         [(points,)], "rings array<array<struct<x:double,y:double>>>"
@@ -370,7 +643,15 @@ def spatial_filter(
     known = constant_shapes(one)[0]
     if known["box"] is None or known["box"][0] is None:
         return df.limit(0)
-    near = areas_in_box(df, tuple(known["box"]), "within" if relation == "within" else "intersects", rings)
+    box = tuple(known["box"])
+    if relation in BY_BOX:
+        return areas_in_box(df, box, relation, rings)
+    if relation in PATTERNS or relation == "relation":
+        near = areas_in_box(df, box, BY_BOX[0], rings)
+        outline = one.withColumn("_one", F.lit(0))
+        pairs = relate(near, outline, key, "_one", relation, rings, "rings", pattern=pattern)
+        return near.join(pairs.select(key).distinct(), key, "left_semi")
+    near = areas_in_box(df, box, "within" if relation == "within" else "intersects", rings)
     return near.where(stands(relation, rings, known))
 
 

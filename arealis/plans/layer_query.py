@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from arealis.functions import shapes
 from arealis.functions.text import best_name
 from arealis.operators.select import require_columns
-from arealis.operators.spatial import RELATIONS, areas_in_box, spatial_filter
+from arealis.operators.spatial import BY_BOX, RELATIONS, areas_in_box, spatial_filter
 
 STATISTICS = {
     "count": F.count,
@@ -47,6 +47,7 @@ class Layer:
         object_ids: Sequence = (),
         geometry: Box | Sequence | None = None,
         spatial_rel: str = "intersects",
+        relation_param: str | None = None,
         in_srid: int | None = None,
         out_fields: str | Sequence[str] = "*",
         return_geometry: bool = True,
@@ -63,13 +64,14 @@ class Layer:
         """Rows of the layer.
 
         ``where`` is Spark SQL. ``geometry`` is a box ``(xmin, ymin, xmax, ymax)`` or a
-        shape given as a list of rings, in ``in_srid`` if that differs from the layer's.
+        shape given as a list of rings, in ``in_srid`` if that differs from the layer's;
+        ``relation_param`` is the pattern of the ``spatial_rel`` named ``relation``.
         ``statistics`` lists ``(statistic, field, name)`` per ``group_by``. ``order_by``
         takes names, with ``DESC`` after a name where wanted.
         """
         df = self._rows(where, text, time, object_ids)
         if geometry is not None:
-            df = self._near(df, geometry, spatial_rel, in_srid or self.srid)
+            df = self._near(df, geometry, spatial_rel, in_srid or self.srid, relation_param)
         if return_count_only:
             return df.agg(F.count("*").alias("count"))
         if return_ids_only:
@@ -107,17 +109,17 @@ class Layer:
             df = df.where(F.col(self.key).isin(*object_ids))
         return df
 
-    def _near(self, df: DataFrame, geometry, relation: str, srid: int) -> DataFrame:
+    def _near(self, df: DataFrame, geometry, relation: str, srid: int, pattern: str | None) -> DataFrame:
         if relation not in RELATIONS:
             raise ValueError(f"spatial_rel must be one of {RELATIONS}")
         spark = df.sparkSession
         if isinstance(geometry[0], (int, float)):
             xmin, ymin, xmax, ymax = geometry
-            if srid == self.srid and relation != "contains":
+            if srid == self.srid and relation in ("intersects", "within", *BY_BOX):
                 return areas_in_box(df, geometry, relation, self.rings)
             geometry = [[(xmin, ymin), (xmin, ymax), (xmax, ymax), (xmax, ymin)]]
         return spatial_filter(
-            spark, df, self.key, geometry, relation, self.rings, srid, self.srid
+            spark, df, self.key, geometry, relation, self.rings, srid, self.srid, pattern
         )
 
 

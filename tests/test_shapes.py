@@ -250,6 +250,134 @@ def test_result_does_not_depend_on_partitions(spark, random_shapes):
     assert results[0] == results[1]
 
 
+def brute_matrix(a, b):
+    """Nine intersections of two shapes in general position."""
+    crossing = any(cross(*e, *f) for e in edges_of(a) for f in edges_of(b))
+    in_b = [even_odd(b, p) for ring in a for p in ring]
+    in_a = [even_odd(a, p) for ring in b for p in ring]
+    ib, bi = crossing or any(in_a), crossing or any(in_b)
+    ie, ei = ib or not all(in_b), bi or not all(in_a)
+    flags = [
+        (ib or bi, "2"), (ib, "1"), (ie, "2"), (bi, "1"), (crossing, "0"), (crossing or not all(in_b), "1"),
+        (ei, "2"), (crossing or not all(in_a), "1"), (True, "2"),
+    ]
+    return "".join(d if f else "F" for f, d in flags)
+
+
+def matrices(spark, areas, outlines):
+    out = spatial.relation_matrix(table(spark, areas, "aid"), table(spark, outlines, "oid"), "aid", "oid").collect()
+    assert len({(r["aid"], r["oid"]) for r in out}) == len(out)
+    return {(r["aid"], r["oid"]): r["matrix"] for r in out}
+
+
+def test_matrix_against_brute_force(spark, random_shapes):
+    areas, outlines = random_shapes
+    got = matrices(spark, areas, outlines)
+    for a, o in itertools.product(areas, outlines):
+        want = brute_matrix(areas[a], outlines[o])
+        assert got.get((a, o), "FF2FF1212") == want, (a, o)
+    assert len(set(got.values())) >= 4
+
+
+AREAS = {
+    "same": [box(0, 0, 10, 10), hole(3, 3, 6, 6)],
+    "filled": [box(0, 0, 10, 10)],
+    "fills the hole": [box(3, 3, 6, 6)],
+    "in the hole": [box(4, 4, 5, 5)],
+    "corner": [box(0, 0, 2, 2)],
+    "inner": [box(1, 1, 2, 2)],
+    "beside": [box(10, 2, 12, 5)],
+    "beside and beyond": [box(10, -2, 12, 15)],
+    "at the corner": [box(10, 10, 12, 12)],
+    "over the edge": [box(8, 8, 12, 12)],
+    "around": [box(-5, -5, 15, 15)],
+    "point in": [[(1, 1)]],
+    "point on": [[(0, 4)]],
+    "point in the hole": [[(4, 4)]],
+    "two parts": [box(1, 1, 2, 2), box(20, 20, 21, 21)],
+}
+MATRICES = {
+    "same": "2FFF1FFF2",
+    "filled": "212F1FFF2",
+    "fills the hole": "FF2F1F212",
+    "in the hole": "FF2FF1212",
+    "corner": "2FF11F212",
+    "inner": "2FF1FF212",
+    "beside": "FF2F11212",
+    "beside and beyond": "FF2F11212",
+    "at the corner": "FF2F01212",
+    "over the edge": "212101212",
+    "around": "212FF1FF2",
+    "point in": "0FFFFF212",
+    "point on": "F0FFFF212",
+    "point in the hole": "FF0FFF212",
+    "two parts": "2F21F1212",
+}
+
+
+def transposed(m):
+    return "".join(m[i] for i in (0, 3, 6, 1, 4, 7, 2, 5, 8))
+
+
+def test_golden_matrices_both_ways(spark):
+    outline = {"o": AREAS["same"]}
+    assert matrices(spark, AREAS, outline) == {(a, "o"): m for a, m in MATRICES.items()}
+    back = matrices(spark, outline | {}, AREAS)
+    assert back == {("o", a): transposed(m) for a, m in MATRICES.items()}
+
+
+def test_relations_by_pattern(spark):
+    args = table(spark, AREAS, "aid"), table(spark, {"o": AREAS["same"]}, "oid"), "aid", "oid"
+
+    def of(relation, **options):
+        return {r["aid"] for r in spatial.relate(*args, relation=relation, **options).collect()}
+
+    assert of("touches") == {"fills the hole", "beside", "beside and beyond", "at the corner", "point on"}
+    assert of("overlaps") == {"over the edge", "two parts"}
+    assert of("equals") == {"same"}
+    assert of("crosses") == set()
+    assert of("envelope_intersects") == set(AREAS)
+    assert of("relation", pattern="****1****") == {"same", "filled", "fills the hole", "corner", "beside", "beside and beyond"}
+    assert of("within") == {"same", "corner", "inner", "point in"}
+    with pytest.raises(ValueError):
+        of("relation", pattern="T*T")
+    with pytest.raises(ValueError):
+        of("near")
+
+
+def test_rows_that_share_an_id_keep_their_pairs(spark):
+    areas = table(spark, {"a": [box(1, 1, 2, 2)], "b": [box(21, 1, 22, 2)]}, "aid")
+    outlines = table(spark, {"o": [box(0, 0, 5, 5)]}, "oid").unionByName(table(spark, {"o": [box(20, 0, 25, 5)]}, "oid"))
+    pairs = [tuple(r) for r in spatial.relate(areas, outlines, "aid", "oid").collect()]
+    assert sorted(pairs) == [("a", "o"), ("b", "o")]
+    both = areas.unionByName(areas)
+    assert spatial.relate(both, outlines, "aid", "oid").count() == 4
+
+
+def test_no_ring_in_any_shuffle(spark, random_shapes):
+    areas, outlines = random_shapes
+    out = spatial.relate(table(spark, areas, "aid"), table(spark, outlines, "oid"), "aid", "oid")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    for line in plan.split("\n"):
+        if "Exchange" in line:
+            assert "rings" not in line and "es#" not in line
+
+
+def test_edges_that_run_along_each_other_in_many_steps(spark):
+    """The area's lower side has the outline's line in 400 steps, in other steps than the outline."""
+    line = [(i * 0.37, (i * 0.37) * 0.21) for i in range(401)]
+    end = line[-1]
+    area = line[::-1] + [(0, 50), (end[0], 90)]
+    wide = [line[0], *line[3::7], end, (end[0] + 5, end[1]), (end[0] + 5, 200), (-5, 200), (-5, 0)]
+    below = [*line[::11], end, (end[0], -20), (0, -20)]
+    got = matrices(spark, {"a": [area]}, {"wide": [wide], "below": [below]})
+    assert spatial_class(got["a", "wide"]) == "within" and spatial_class(got["a", "below"]) == "touches"
+
+
+def spatial_class(matrix):
+    return "within" if matrix[0] == "2" and matrix[2] == "F" else "touches" if matrix[0] == "F" and matrix[4] != "F" else "?"
+
+
 def test_simplified_points_stay_near(spark):
     wavy = [(i, 0.1 * (i % 2)) for i in range(20)] + [(19, 10), (0, 10)]
     df = table(spark, {"w": [wavy], "tiny": [box(0, 0, 0.01, 0.01)]})

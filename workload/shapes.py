@@ -291,3 +291,50 @@ def _(spark, sf):
         F.round(first("ll")["y"], 6).alias("lat"),
         (first("back")["x"] / 1000 + 0.3).alias("x_back"),
     )
+
+
+# --- nine intersections ----------------------------------------------------------------------
+
+MATRIX_SQL = f"""WITH {SHAPES_SQL},
+b AS (SELECT aid, oid, ax AS l, ay AS d, ax + w AS r, ay + w AS u, x0, y0, x0 + 100 AS x1, y0 + 100 AS y1 FROM p WHERE meets_box),
+c AS (SELECT *, least(r, x1) > greatest(l, x0) AS across, least(u, y1) > greatest(d, y0) AS up,
+             l >= x0 AND r <= x1 AND d >= y0 AND u <= y1 AS in_o, x0 >= l AND x1 <= r AND y0 >= d AND y1 <= u AS in_a FROM b),
+m AS (SELECT *,
+  (up AND ((l < x0 AND x0 < r) OR (l < x1 AND x1 < r))) OR (across AND ((d < y0 AND y0 < u) OR (d < y1 AND y1 < u))) AS ib,
+  (up AND ((x0 < l AND l < x1) OR (x0 < r AND r < x1))) OR (across AND ((y0 < d AND d < y1) OR (y0 < u AND u < y1))) AS bi,
+  (up AND (l = x0 OR l = x1 OR r = x0 OR r = x1)) OR (across AND (d = y0 OR d = y1 OR u = y0 OR u = y1)) AS shared,
+  NOT ((l > x0 AND r < x1 AND d > y0 AND u < y1) OR (x0 > l AND x1 < r AND y0 > d AND y1 < u)) AS touch FROM c),
+n AS (SELECT aid, oid, CASE WHEN across AND up THEN '2' ELSE 'F' END || CASE WHEN ib THEN '1' ELSE 'F' END
+  || CASE WHEN in_o THEN 'F' ELSE '2' END || CASE WHEN bi THEN '1' ELSE 'F' END
+  || CASE WHEN shared THEN '1' WHEN touch THEN '0' ELSE 'F' END || CASE WHEN in_o THEN 'F' ELSE '1' END
+  || CASE WHEN in_a THEN 'F' ELSE '2' END || CASE WHEN in_a THEN 'F' ELSE '1' END || '2' AS matrix FROM m)"""
+
+
+@query("relation_matrix", f"{MATRIX_SQL} SELECT aid, oid, matrix FROM n")
+def _(spark, sf):
+    return spatial.relation_matrix(areas(spark, sf), boxes(spark, sf), "aid", "oid")
+
+
+@query("areas_overlapping_boxes", f"{MATRIX_SQL} SELECT aid, oid FROM n WHERE matrix LIKE '2_2___2__'")
+def _(spark, sf):
+    return spatial.relate(areas(spark, sf), boxes(spark, sf), "aid", "oid", "overlaps")
+
+
+@query("areas_related_by_pattern", f"{MATRIX_SQL} SELECT aid, oid FROM n WHERE matrix LIKE '2_F_1____'")
+def _(spark, sf):
+    return spatial.relate(areas(spark, sf), boxes(spark, sf), "aid", "oid", "relation", pattern="T*F*1****")
+
+
+@query("boxes_around_areas", f"WITH {SHAPES_SQL} SELECT aid, oid FROM p WHERE meets_box")
+def _(spark, sf):
+    return spatial.relate(areas(spark, sf), triangles(spark, sf), "aid", "oid", "envelope_intersects")
+
+
+@query(
+    "areas_touching_given_shape",
+    f"""WITH {SHAPES_SQL} SELECT aid FROM a WHERE ax <= 200 AND ay <= 200 AND ax + w >= 100 AND ay + w >= 100
+      AND (ax = 200 OR ay = 200 OR ax + w = 100 OR ay + w = 100)""",
+)
+def _(spark, sf):
+    shape = [[(100, 100), (100, 200), (200, 200), (200, 100)]]
+    return spatial.spatial_filter(spark, areas(spark, sf), "aid", shape, "touches").select("aid")
