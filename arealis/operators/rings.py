@@ -6,10 +6,13 @@ only those outer rings whose box and edges lie at their height.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import json
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from arealis.functions import shapes
+from arealis.functions import shapes, unions
 from arealis.operators.spatial import POINT_BOX, band_count, box_pairs, points_inside
 
 
@@ -74,14 +77,8 @@ def shell_order(rings: DataFrame, key: str) -> DataFrame:
     return counted.select(key, "ring", holds).withColumn("rank", rank)
 
 
-def assemble(df: DataFrame, key: str, rings: str = "rings", repair: bool = True) -> DataFrame:
-    """Raw rings -> ``(key, kind, parts)``, ``parts`` as ``array<array<ring>>`` with the outer
-    ring first in each part.
-
-    Without ``repair`` holes belong to the last outer ring before them. With it, in
-    features with several outer rings and holes, each goes to the innermost outer ring
-    that contains it. All rings of a feature lie in one row, so this is done in the row.
-    """
+def _parts_sql(rings: str, repair: bool) -> str:
+    """``named_struct('outers', 'parts')`` of the raw rings, worked out in the feature's row."""
     bind = shapes.bind_sql
     measured = f"transform({rings}, (r, ri) -> named_struct('i', ri, 'points', r, 'area', {shapes.signed_area_sql('r')}))"
     shells = "if(outers = 0, ms, filter(ms, m -> m.area < 0))"
@@ -105,6 +102,76 @@ def assemble(df: DataFrame, key: str, rings: str = "rings", repair: bool = True)
     part = "concat(array(oo.points), transform(filter(hs, hx -> hx.owner = oo.i), hx -> hx.points))"
     parts = bind(owned, "hs", f"transform(os, oo -> {part})")
     both = f"named_struct('outers', outers, 'parts', {bind(shells, 'os', parts)})"
-    built = bind(measured, "ms", bind("size(filter(ms, m -> m.area < 0))", "outers", both))
-    rows = df.where(f"size({rings}) > 0").select(key, F.size(rings).alias("_n"), F.expr(built).alias("_b"))
-    return rows.select(key, shapes.kind_of(F.col("_n"), F.col("_b.outers")).alias("kind"), "_b.parts")
+    return bind(measured, "ms", bind("size(filter(ms, m -> m.area < 0))", "outers", both))
+
+
+_RINGS = "array<array<struct<x:double,y:double>>>"
+
+
+def _united(holes: Column) -> Column:
+    """For each part its holes, united, and the parts that fill their gaps; both as JSON."""
+
+    def of_part(rings: list) -> list:
+        parts = unions.united([[(p["x"], p["y"]) for p in ring] for ring in rings]) if rings else [[]]
+        return [[[{"x": x, "y": y} for x, y in ring] for ring in part] for part in parts]
+
+    @F.pandas_udf("string")
+    def found(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: json.dumps([of_part(rings) for rings in json.loads(t)]), na_action="ignore")
+
+    return found(holes)
+
+
+def _unite(df: DataFrame, parts: str) -> DataFrame:
+    """``df`` with parts whose holes overlap nowhere; features without such holes send nothing to Python."""
+    meet = "o.xmin <= b.xmax AND o.xmax >= b.xmin AND o.ymin <= b.ymax AND o.ymax >= b.ymin"
+    crowded = f"exists(transform(bs, (b, bi) -> exists(slice(bs, bi + 2, size(bs)), o -> {meet})), x -> x)"
+    boxes = f"transform(slice(p, 2, greatest(size(p) - 1, 0)), h -> {shapes.bounds_sql('array(h)')})"
+    todo = shapes.bind_sql(boxes, "bs", crowded)
+    holes = f"transform({parts}, p -> if(size(p) > 2 AND {todo}, slice(p, 2, greatest(size(p) - 1, 0)), slice(p, 1, 0)))"
+    some = shapes.bind_sql(holes, "hs", "if(exists(hs, h -> size(h) > 0), hs, NULL)")
+
+    def one(part: Column, found: Column) -> Column:
+        first = F.concat(F.slice(part, 1, 1), F.get(found, F.lit(0)))
+        more = F.slice(found, 2, F.greatest(F.size(found) - 1, F.lit(0)))
+        as_before = found.isNull() | (F.size(F.get(found, F.lit(0))) == 0)
+        return F.when(as_before, F.array(part)).otherwise(F.concat(F.array(first), more))
+
+    nothing = F.array().cast(f"array<array<{_RINGS}>>")
+    sent = df.withColumn("_some", F.expr(f"to_json({some})"))
+    # asked for twice, the text is a column of its own, which is what the function can take
+    text = F.when(F.col("_some").isNotNull(), _united(F.col("_some")))
+    found = sent.withColumn("_new", F.coalesce(F.from_json(text, f"array<array<{_RINGS}>>"), nothing))
+    return found.withColumn(parts, F.flatten(F.zip_with(parts, "_new", one))).drop("_some", "_new")
+
+
+def assemble(df: DataFrame, key: str, rings: str = "rings", repair: bool = True) -> DataFrame:
+    """Raw rings -> ``(key, kind, parts)``, ``parts`` as ``array<array<ring>>`` with the outer
+    ring first in each part.
+
+    Without ``repair`` holes belong to the last outer ring before them. With it, in
+    features with several outer rings and holes, each goes to the innermost outer ring
+    that contains it; holes of an outer ring that overlap are united, and a gap that they leave is
+    a part of its own. All rings of a feature lie in one row, so this is done in the row.
+    """
+    rows = df.where(f"size({rings}) > 0").select(
+        key, F.size(rings).alias("_n"), F.expr(_parts_sql(rings, repair)).alias("_b")
+    )
+    kind = shapes.kind_of(F.col("_n"), F.col("_b.outers"))
+    if not repair:
+        return rows.select(key, kind.alias("kind"), "_b.parts")
+    before = rows.select(key, kind.alias("_kind"), F.col("_b.parts").alias("parts"))
+    out = _unite(before.withColumn("_count", F.size(F.flatten("parts"))), "parts")
+    count = F.size(F.flatten("parts"))
+    again = F.when(count != F.col("_count"), shapes.kind_of(count, F.size("parts"))).otherwise(F.col("_kind"))
+    return out.select(key, again.alias("kind"), "parts")
+
+
+def with_united_holes(df: DataFrame, rings: str = "rings") -> DataFrame:
+    """The table with holes that overlap united, so that a place in several of them is outside.
+
+    Rings come in the order of the assembled parts; a table without rings keeps its row.
+    """
+    built = df.withColumn("_b", F.expr(_parts_sql(rings, True))).withColumn("_parts", F.col("_b.parts"))
+    flat = F.flatten("_parts")
+    return _unite(built, "_parts").withColumn(rings, F.when(F.size(flat) > 0, flat).otherwise(F.col(rings))).select(*df.columns)

@@ -12,6 +12,7 @@ from arealis.functions import ids, shapes
 from arealis.functions.text import best_name, split_query
 from arealis.operators import dictionary as dct
 from arealis.operators.names import best_matches, match_table, names_with_state
+from arealis.operators.rings import with_united_holes
 from arealis.operators.select import replace_missing as drop_codes
 from arealis.operators.select import require_columns, to_numbers
 from arealis.operators.spatial import areas_in_box, areas_within, constant_shapes, stands, total_bounds
@@ -189,6 +190,7 @@ class Product:
         decimals = self._decimals(geometry_precision)
         if decimals is not None:
             outline = outline.withColumn("rings", shapes.round_points("rings", decimals))
+        outline = with_united_holes(outline)
         known = constant_shapes(outline.select("rings"), MOST_EDGES)
         box = tuple(known[0]["box"]) if len(known) == 1 else tuple(total_bounds(outline).first())
         if box[0] is None:

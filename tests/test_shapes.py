@@ -7,7 +7,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from arealis.functions import shapes
+from arealis.functions import shapes, unions
 from arealis.operators import rings as rg
 from arealis.operators import spatial
 
@@ -114,6 +114,66 @@ def test_interior_points_lie_inside(spark):
             assert even_odd([[(q.x, q.y) for q in ring] for ring in r["rings"]], (p.x, p.y))
 
 
+# --- holes that overlap --------------------------------------------------------------------
+
+OVERLAPPING = {
+    "two holes": ([box(0, 0, 9, 9), hole(1, 1, 4, 4), hole(3, 3, 6, 6)], 1),
+    "with an edge in common": ([box(0, 0, 9, 9), hole(1, 1, 4, 4), hole(4, 1, 6, 4)], 1),
+    "twice": ([box(0, 0, 9, 9), hole(1, 1, 4, 4), hole(1, 1, 4, 4)], 1),
+    "one in the other": ([box(0, 0, 9, 9), hole(1, 1, 6, 6), hole(2, 2, 3, 3)], 1),
+    "a frame": ([box(0, 0, 9, 9), hole(1, 1, 8, 2), hole(1, 7, 8, 8), hole(1, 1, 2, 8), hole(7, 1, 8, 8)], 2),
+    "a frame around a hole": (
+        [box(0, 0, 9, 9), hole(1, 1, 8, 2), hole(1, 7, 8, 8), hole(1, 1, 2, 8), hole(7, 1, 8, 8), hole(4, 4, 5, 5)], 2
+    ),
+    "apart": ([box(0, 0, 9, 9), hole(1, 1, 3, 3), hole(5, 5, 7, 7)], 1),
+}
+
+
+def test_overlapping_holes_in_any_order(spark):
+    named, parts = {}, {}
+    for k, (flat, n) in OVERLAPPING.items():
+        for i, order in enumerate(itertools.islice(itertools.permutations(flat), 40)):
+            named[f"{k}/{i}"], parts[f"{k}/{i}"] = list(order), n
+    rnd = random.Random(5)
+    spots = [(rnd.uniform(-1, 10), rnd.uniform(-1, 10)) for _ in range(150)]
+    flat = rg.with_united_holes(table(spark, named).withColumn("more", F.lit(1)))
+    assert flat.columns == ["id", "rings", "more"]
+    got = {r["id"]: [[(p.x, p.y) for p in ring] for ring in r["rings"]] for r in flat.collect()}
+    for k, rings in named.items():
+        outer = next(r for r in rings if r == box(0, 0, 9, 9))
+        for p in spots:
+            held = even_odd([outer], p) and not any(even_odd([r], p) for r in rings if r != outer)
+            assert even_odd(got[k], p) == held, (k, p)
+    for r in rg.assemble(table(spark, named), "id").collect():
+        assert len(r["parts"]) == parts[r["id"]]
+        kind = "MultiPolygon with Holes" if parts[r["id"]] > 1 else "Polygon with Holes"
+        assert r["kind"] == kind
+
+
+def test_an_area_inside_two_overlapping_holes_is_not_within(spark):
+    outline = table(spark, {"o": OVERLAPPING["two holes"][0]}, "oid")
+    areas = table(spark, {"both": [box(3.2, 3.2, 3.8, 3.8)], "none": [box(7, 7, 8, 8)], "one": [box(1, 1, 2, 2)]}, "aid")
+    out = spatial.relate(areas, rg.with_united_holes(outline), "aid", "oid")
+    assert [r["aid"] for r in out.collect()] == ["none"]
+
+
+def test_union_of_random_rings():
+    rnd = random.Random(1)
+    for k in range(150):
+        rings = []
+        for _ in range(rnd.randint(2, 6)):
+            if k % 2:
+                x, y = rnd.randint(0, 8), rnd.randint(0, 8)
+                rings.append(hole(x, y, x + rnd.randint(1, 5), y + rnd.randint(1, 5)))
+            else:
+                rings.append(star(rnd, rnd.uniform(0, 10), rnd.uniform(0, 10), rnd.uniform(1, 5), 9))
+        found = unions.union(rings)
+        assert len(found) == len(unions.union([r[1:] + r[:1] for r in rings]))
+        for _ in range(100):
+            p = (rnd.uniform(-3, 14), rnd.uniform(-3, 14))
+            assert even_odd(found, p) == any(even_odd([r], p) for r in rings)
+
+
 # --- relations -----------------------------------------------------------------------------
 
 
@@ -378,6 +438,43 @@ def spatial_class(matrix):
     return "within" if matrix[0] == "2" and matrix[2] == "F" else "touches" if matrix[0] == "F" and matrix[4] != "F" else "?"
 
 
+def test_an_outline_of_many_edges_gives_the_areas_of_the_constant_form(spark, monkeypatch):
+    """A concave county of 20,000 edges: joined edge by edge, and as constants of a filter."""
+    from arealis.plans import places
+
+    n = 20_000
+    turns = [2 * math.pi * i / n for i in range(n)][::-1]
+    far = [4000 + 1500 * math.sin(5 * t) + 300 * math.sin(41 * t) for t in turns]
+    ring = [(round(9000 + r * math.cos(t), 2), round(8000 + r * math.sin(t), 2)) for r, t in zip(far, turns)]
+    rnd = random.Random(9)
+    tracts = {}
+    for i in range(150):
+        x, y, w = rnd.uniform(2000, 16000), rnd.uniform(1000, 15000), rnd.choice([20, 150, 900])
+        tracts[f"01001{i:06d}"] = [box(round(x, 2), round(y, 2), round(x + w, 2), round(y + w, 2))]
+    county = table(spark, {"01001": [ring]}, "GEOID").selectExpr("GEOID", "'County' AS BASENAME", "'01' AS STATE", "1 AS AREALAND", "rings")
+    product = places.Product(
+        form="survey",
+        dictionary=spark.createDataFrame([("B1", "B1", "c", "B1", None)], "name string, label string, concept string, `group` string, required string"),
+        estimates=spark.createDataFrame([], "GEO_ID string, level string, B1 string"),
+        outlines={"Counties": county},
+        areas={"tract": table(spark, tracts, "GEOID")},
+        gazetteer=None,
+        states=spark.createDataFrame([("AL", "01", "Alabama")], "abbreviation string, fips string, name string"),
+    )
+    found = []
+    for most in (places.MOST_EDGES, 10 * n):
+        monkeypatch.setattr(places, "MOST_EDGES", most)
+        found.append(sorted(r["GEOID"] for r in product.from_county("county, al", return_geometry=False).collect()))
+    want = sorted(k for k, rings in tracts.items() if brute_within_star(rings[0], ring, turns))
+    assert 10 < len(want) < 120 and found[0] == found[1] == want
+
+
+def brute_within_star(area, ring, turns):
+    """All corners in the ring, and no point of the ring inside the box."""
+    (x0, y0), (x1, y1) = area[0], area[2]
+    return all(even_odd([ring], p) for p in area) and not any(x0 < x < x1 and y0 < y < y1 for x, y in ring)
+
+
 def test_simplified_points_stay_near(spark):
     wavy = [(i, 0.1 * (i % 2)) for i in range(20)] + [(19, 10), (0, 10)]
     df = table(spark, {"w": [wavy], "tiny": [box(0, 0, 0.01, 0.01)]})

@@ -293,6 +293,48 @@ def _(spark, sf):
     )
 
 
+def two_holes(spark, sf):
+    """Boxes of the grid with two holes that overlap between 40 and 60."""
+    x0, y0 = F.col("x0"), F.col("y0")
+    outer = shapes.box_rings(x0, y0, x0 + 100, y0 + 100)
+    first = shapes.box_rings(x0 + 20, y0 + 20, x0 + 60, y0 + 60, clockwise=False)
+    second = shapes.box_rings(x0 + 40, y0 + 40, x0 + 80, y0 + 80, clockwise=False)
+    return grid(spark, sf).withColumn("rings", F.array(first, outer, second))
+
+
+@query(
+    "holes_overlapping",
+    f"""WITH {SHAPES_SQL} SELECT aid, oid FROM p WHERE within_box
+      AND NOT (ax < x0 + 60 AND ay < y0 + 60 AND ax + w > x0 + 20 AND ay + w > y0 + 20)
+      AND NOT (ax < x0 + 80 AND ay < y0 + 80 AND ax + w > x0 + 40 AND ay + w > y0 + 40)""",
+)
+def _(spark, sf):
+    from arealis.operators import rings
+
+    return spatial.relate(areas(spark, sf), rings.with_united_holes(two_holes(spark, sf)), "aid", "oid")
+
+
+@query(
+    "overlapping_holes_assembled",
+    """SELECT c_custkey AS fid, 'Polygon with Holes' AS kind, 2 AS rings, (6400 - 2 * 1600 + (40 - 10 - c_custkey % 20) ** 2)::double AS area
+    FROM customer""",
+)
+def _(spark, sf):
+    """Per customer a box of side 80 with two holes of side 40, which overlap in a square of side 30 - key % 20."""
+    from arealis.operators import rings
+
+    customer, key = table(spark, sf, "customer"), F.col("c_custkey")
+    x, y, step = ((key * 37) % 480).cast("double"), ((key * 53) % 470).cast("double"), 10.0 + key % 20
+
+    def pit(at):
+        return shapes.box_rings(x + at, y + at, x + at + 40, y + at + 40, clockwise=False)
+
+    shells = F.array(pit(5.0 + step), shapes.box_rings(x, y, x + 80, y + 80), pit(F.lit(5.0)))
+    out = rings.assemble(customer.select(key.alias("fid"), shells.alias("rings")), "fid")
+    flat = out.withColumn("flat", F.flatten("parts"))
+    return flat.select("fid", "kind", F.size("flat").alias("rings"), F.round(shapes.covered_area("flat"), 6).alias("area"))
+
+
 # --- nine intersections ----------------------------------------------------------------------
 
 MATRIX_SQL = f"""WITH {SHAPES_SQL},
