@@ -73,6 +73,12 @@ def partial_score(a: str, b: str) -> int:
     return round(100 * best)
 
 
+def trigrams(c: Column) -> Column:
+    """Different runs of three letters of a text."""
+    starts = F.when(F.length(c) > 2, F.sequence(F.lit(1), F.length(c) - 2)).otherwise(F.array().cast("array<int>"))
+    return F.array_distinct(F.transform(starts, lambda i: F.substr(c, i, F.lit(3))))
+
+
 def split_query(name: str) -> tuple[str, str | None]:
     """``"name, state"`` -> lower-cased name and state; more than two parts are an error."""
     parts = name.split(",")

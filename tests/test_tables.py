@@ -3,6 +3,8 @@
 import difflib
 import json
 
+import random
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -85,6 +87,65 @@ def test_best_match_of_resembling_names_against_brute_force(spark):
         assert row["ambiguous"] == (len(ties) > 1)
 
 
+def every_score(names_, targets):
+    """Best match of each name by scoring all candidates."""
+    out = {}
+    for q in names_:
+        name, state = text.split_query(q)
+        pool = [(i, t.lower()) for i, t in enumerate(targets) if state is None or t.lower().endswith(state)]
+        scores = {i: (text.partial_score(name, t), text.full_score(name, t)) for i, t in pool}
+        if scores:
+            best = max(scores.values())
+            ties = [i for i, s in scores.items() if s == best]
+            out[q] = (ties[0], *best, len(ties) > 1)
+    return out
+
+
+def random_names(count, seed):
+    rnd = random.Random(seed)
+    heads = ["San", "Santa", "North", "New", "Port", "Lake", "Mount", "Saint", "El", ""]
+    syllables = "ber ton ville wood ka lo mi ra sa dor fen ham ly que st an ñu é".split()
+    kinds = ["city", "town", "CDP", "village", "borough", "", "county"]
+    states = ["IL", "AL", "MO", "CA"]
+    out = []
+    for _ in range(count):
+        body = "".join(rnd.choice(syllables) for _ in range(rnd.randint(1, 4))).capitalize()
+        out.append(" ".join(x for x in (rnd.choice(heads), body, rnd.choice(kinds)) if x) + f", {rnd.choice(states)}")
+    return out
+
+
+def test_bounded_and_indexed_matches_equal_scoring_all(spark):
+    targets = random_names(10_000, 4)
+    rnd = random.Random(8)
+    wanted = []
+    for t in rnd.sample(targets, 14):  # a name with some letters changed, lost or added
+        letters = list(t.split(",")[0])
+        for _ in range(rnd.randint(0, 3)):
+            at = rnd.randrange(len(letters))
+            letters[at : at + rnd.randint(0, 1)] = rnd.choice(["", "x", "e", "qu"])
+        wanted.append("".join(letters) + rnd.choice(["", ", IL", ", mo"]))
+    wanted += ["zzzzqqqq", "x", "lo", "Sankt Bertonvile", "st, zz"]
+    want = every_score(wanted, targets)
+    df = spark.createDataFrame([(t, i) for i, t in enumerate(targets)], "target string, position long").repartition(5)
+    for candidates in (df, names.NameIndex.build(df)):
+        got = {r["query"]: (r["position"], r["score"], r["score2"], r["ambiguous"]) for r in names.best_matches(candidates, wanted).collect()}
+        assert got == want
+    assert sum(50 < s < 100 for _, s, _, _ in want.values()) > 5
+
+
+def test_score_bounds_hold(spark):
+    rnd = random.Random(2)
+    texts = random_names(300, 3) + ["", "a", "aaaa", "aaaaaaaa", "abcabcabc", "abab"]
+    wanted = [t.split(",")[0] for t in rnd.sample(texts, 12)] + ["aaaaa", "abcabc", "ab"]
+    df = spark.createDataFrame([(t, i) for i, t in enumerate(texts)], "target string, position long")
+    pairs = names._pairs(df, wanted)
+    rows = pairs.select("name", "low", names._score_bound(True).alias("p"), names._score_bound(False).alias("f")).collect()
+    assert len(rows) == len(texts) * len(wanted)
+    for r in rows:
+        assert text.partial_score(r["name"], r["low"]) <= r["p"] <= 100
+        assert text.full_score(r["name"], r["low"]) <= r["f"] <= 100
+
+
 def test_copies_of_a_name_are_counted_over_partitions(spark):
     df = place_table(spark, copies=50).repartition(7)
     row = names.best_matches(df, "kansas city").first()

@@ -507,6 +507,33 @@ def _(spark, sf):
     return names.best_matches(segments, ["auto", "build", "mach", "furniture", "house"])
 
 
+@query(
+    "names_resembling",
+    """SELECT q AS query, c_mktsegment AS target, min(c_custkey) AS position, score, score2, count(*) > 1 AS ambiguous
+    FROM customer JOIN (VALUES ('automobike', 'AUTOMOBILE', 90, 90), ('bilding', 'BUILDING', 86, 93), ('machinary', 'MACHINERY', 89, 89),
+      ('furnitur shop', 'FURNITURE', 89, 73)) AS t(q, c_mktsegment, score, score2)
+      USING (c_mktsegment) GROUP BY q, c_mktsegment, score, score2""",
+)
+def _(spark, sf):
+    # matched letters: automobi + e; b + ilding, in the window uilding ilding; machin + ry; furnitur
+    segments = table(spark, sf, "customer").select(
+        F.col("c_mktsegment").alias("target"), F.col("c_custkey").alias("position")
+    )
+    return names.best_matches(segments, ["automobike", "bilding", "machinary", "furnitur shop"])
+
+
+@query(
+    "names_from_index",
+    """WITH l AS (SELECT c_nationkey, max(c_name) AS c_name FROM customer GROUP BY 1)
+    SELECT upper(substr(l.c_name, 4)) || ' , ' || lower(n_name) AS query,
+      l.c_name || ', ' || n_name AS target, c_custkey AS position, 100 AS score, false AS ambiguous
+    FROM l JOIN nation ON c_nationkey = n_nationkey JOIN customer USING (c_name)""",
+)
+def _(spark, sf):
+    index = names.NameIndex.build(gazetteer(spark, sf))
+    return names.best_matches(index, _lookups(spark, sf)).drop("score2")
+
+
 @query(
     "names_match_table",
     """SELECT c_name || ', ' || n_name AS target, c_custkey AS position, 100 AS score,
