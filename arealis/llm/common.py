@@ -31,10 +31,20 @@ def land(df: DataFrame, name: str) -> DataFrame:
     conf = df.sparkSession.conf
     before = conf.get(CLEANUP, "false")
     conf.set(CLEANUP, "true")
+    path = shared.scratch_path(df.sparkSession, name)
     try:
-        return shared.land(df, name)
+        df.write.parquet(path)
     finally:
         conf.set(CLEANUP, before)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._landed_at = path
+    return out
+
+
+def release(*landed: DataFrame) -> None:
+    """Empty the files of landed tables that nothing reads any more, in whatever store they are."""
+    for df in landed:
+        df.sparkSession.range(0).write.mode("overwrite").parquet(df._landed_at)
 
 
 def filed(docs: DataFrame) -> DataFrame:

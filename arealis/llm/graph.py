@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from arealis.llm.common import land
+from arealis.llm.common import land, release
 
 
 def _smallest(edges: DataFrame, largest_only: bool) -> DataFrame:
@@ -37,7 +37,8 @@ def components(edges: DataFrame) -> DataFrame:
         small = small.where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(
             small.select("u", F.col("m").alias("v"))
         )
-        now = land(small.distinct(), "links")
+        last, now = now, land(small.distinct(), "links")
+        release(last)
         before, state = state, _state(now)
     ends = now.select(F.col("u").alias("id"), F.col("v").alias("component"))
     return ends.unionByName(now.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct())

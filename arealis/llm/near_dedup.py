@@ -10,7 +10,9 @@ Texts with equal sets are one class from the start. In a table's bucket every cl
 the smallest one (a star). In buckets that still show several components, classes outside the largest are
 compared with one member of it, a few times over, and in the last turn with all classes of other components. So a group of copies costs links in proportion to its size, and no link
 between components is lost. A pair goes on to its whole sets if its sizes allow the similarity and at
-least ``LEAST_EQUAL`` of its 64 minhashes agree (at similarity 0.75 fewer agree once in 5 million).
+least ``LEAST_EQUAL`` of its 64 minhashes agree (at similarity 0.75 fewer agree once in 5 million). For that
+16 bits of each minhash are kept, a quarter of the bytes: unequal ones that look equal let a pair through to
+its sets. Landed steps are emptied once nothing reads them.
 
 Defined results: null and blank texts have no shingles and are linked with nothing; fewer than five
 words are one shingle; rows without an id are not linked and stay; repeated rows are equal texts;
@@ -27,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arealis.llm.common import content, documents, land
+from arealis.llm.common import content, documents, land, release
 from arealis.llm.graph import components
 
 WORDS = 5
@@ -76,18 +78,31 @@ def minhashes(shingles: np.ndarray) -> np.ndarray:
     return least.view(np.int64)
 
 
+def half_keys(sig: np.ndarray) -> np.ndarray:
+    """A hash of every band's two minhashes and of its number."""
+    two = sig.view(np.uint64).reshape(2 * BANDS, 2)
+    out = (two[:, 0] ^ np.arange(1, 2 * BANDS + 1, dtype=np.uint64)) * _MIX
+    out = ((out ^ (out >> np.uint64(31))) + two[:, 1]) * _MIX
+    return (out ^ (out >> np.uint64(29))).view(np.int64)
+
+
 def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     shingler = Shingler()
     for batch in batches:
-        sets = [shingler.of(t) for t in batch.column(1).to_pylist()]
+        sizes, digests, halves, shorts = [], [], [], []
+        for text in batch.column(1).to_pylist():
+            some = shingler.of(text)
+            sig = minhashes(some) if len(some) else None
+            sizes.append(len(some))
+            digests.append(xxhash.xxh128_digest(some.tobytes()) if len(some) else None)
+            halves.append(half_keys(sig) if len(some) else None)
+            shorts.append(sig.view(np.int16)[::4] if len(some) else None)
         yield pa.RecordBatch.from_arrays(
             [
-                batch.column(0),
-                pa.array([len(s) for s in sets], pa.int64()),
-                pa.array([xxhash.xxh128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary()),
-                pa.array([minhashes(s) if len(s) else None for s in sets], pa.list_(pa.int64())),
+                batch.column(0), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()),
+                pa.array(halves, pa.list_(pa.int64())), pa.array(shorts, pa.list_(pa.int16())),
             ],
-            names=["id", "n", "digest", "sig"],
+            names=["id", "n", "digest", "halves", "sig"],
         )
 
 
@@ -112,15 +127,7 @@ def _confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def table_members(classes: DataFrame) -> DataFrame:
     """(key, id, x, y) for every table key that more than one class can have; x and y are its bands."""
-    halves = classes.select(
-        "id",
-        F.posexplode(
-            F.transform(
-                F.sequence(F.lit(0), F.lit(2 * BANDS - 1)),
-                lambda i: F.xxhash64(i, F.col("sig")[2 * i], F.col("sig")[2 * i + 1]),
-            )
-        ).alias("band", "half"),
-    )
+    halves = classes.select("id", F.posexplode("halves").alias("band", "half"))
     shared = halves.groupBy("half").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("half")
     sides = (
         halves.join(shared, "half")
@@ -157,7 +164,7 @@ def near_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     texts = docs.select(F.col(f"`{id_column}`").alias("id"), content(text_column).alias("text"))
     kind = texts.schema["id"].dataType.simpleString()
     rows = land(
-        texts.mapInArrow(_signatures, f"id {kind}, n long, digest binary, sig array<long>"), "signatures"
+        texts.mapInArrow(_signatures, f"id {kind}, n long, digest binary, halves array<long>, sig array<smallint>"), "signatures"
     )
     own = rows.where("id IS NOT NULL AND digest IS NOT NULL")
     first = land(own.groupBy("digest").agg(F.min("id").alias("first")), "classes")
@@ -165,12 +172,14 @@ def near_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
         own.join(first, "digest")
         .where("id = first")
         .dropDuplicates(["id"])  # repeated rows
-        .select("id", "n", "sig"),
+        .select("id", "n", "halves", "sig"),
         "representatives",
     )
-    members = land(table_members(classes), "members")
-    leaders = members.groupBy("key").agg(F.min("id").alias("lead"), F.count(F.lit(1)).alias("c")).where("c > 1")
-    members = land(members.join(leaders.select("key", "lead"), "key"), "buckets")
+    all_members = land(table_members(classes), "members")
+    leaders = all_members.groupBy("key").agg(F.min("id").alias("lead"), F.count(F.lit(1)).alias("c")).where("c > 1")
+    members = land(all_members.join(leaders.select("key", "lead"), "key"), "buckets")
+    release(all_members)
+    classes = classes.drop("halves")
 
     wanted = members.select("id").distinct()
     sets = land(
@@ -193,9 +202,17 @@ def near_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
         still = _open_rows(members, found)
         if still.isEmpty():
             break
-        pairs = _against_one(still, classes, turn) if turn < TURNS - 1 else _between(still, classes)
-        links = links.unionByName(_links(pairs, sets))
-        found = land(components(links), "components")
+        if turn < TURNS - 1:
+            links = links.unionByName(_links(_against_one(still, classes, turn), sets))
+            release(still)
+        else:
+            told = land(still.join(classes, "id"), "open")
+            release(still)
+            links = links.unionByName(_links(_between(told), sets))
+            release(told)
+        last, found = found, land(components(links), "components")
+        release(last)
+    release(members, sets)
 
     by_class = first.join(found, F.col("first") == F.col("id"), "left").select(
         "digest", F.coalesce("component", "first").alias("component")
@@ -234,13 +251,12 @@ def _against_one(rows: DataFrame, classes: DataFrame, turn: int) -> DataFrame:
     )
 
 
-def _between(rows: DataFrame, classes: DataFrame) -> DataFrame:
-    """Pairs of one bucket that are in different components, each once.
+def _between(rows: DataFrame) -> DataFrame:
+    """Pairs of one bucket of ``rows`` (with sizes and minhashes) that are in different components, each once.
 
     One end is always outside the main component, so a bucket that is one component, however large,
     gives none. Of the tables in which a pair meets only the one with the smallest half keys counts.
     """
-    rows = land(rows.join(classes, "id"), "open")
     s, t = rows.where("component != main").alias("s"), rows.alias("t")
     # a pair of two outer rows is met from the larger id only
     order = (F.col("t.component") == F.col("t.main")) | (F.col("s.id") > F.col("t.id"))

@@ -61,3 +61,27 @@ def test_components(spark):
             parent[max(x, y)] = min(x, y)
     got = {r.id: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {x: root(x) for x in parent}
+
+
+def test_one_large_and_many_single_components_in_a_bucket(spark):
+    """Copies that differ in a word, and texts that share their passages with them but not enough to be linked."""
+    rnd = random.Random(6)
+    base = [f"w{i}" for i in range(100)]
+    rows = []
+    for i in range(80):
+        text = list(base)
+        text[rnd.randrange(100)] = f"x{i}"
+        rows.append((i, " ".join(text), "en", "a", 1))
+    for i in range(250):  # three quarters of the text and words of their own: similarity below 0.75 to all
+        own = [f"y{i}q{j}" for j in range(rnd.randrange(14, 30))]
+        rows.append((1000 + i, " ".join(base[:90] + own), "en", "a", 1))
+    check(spark, rows, False)
+
+
+def test_half_keys_tell_bands_apart():
+    import numpy as np
+
+    sig = np.arange(near_dedup.HASHES, dtype=np.int64)
+    assert len(set(near_dedup.half_keys(sig).tolist())) == 2 * near_dedup.BANDS
+    same = near_dedup.half_keys(np.full(near_dedup.HASHES, 7, np.int64))
+    assert len(set(same.tolist())) == 2 * near_dedup.BANDS
