@@ -71,7 +71,7 @@ LAYER = T.StructType(
 
 def documents(spark: SparkSession, path: str, per_line: bool = False) -> DataFrame:
     """Each file (or each line of it) as one JSON text: ``(path, value)``."""
-    files = spark.read.option("wholetext", not per_line).text(path)
+    files = spark.read.text(path, wholetext=not per_line)  # as an option, the argument would override it
     return files.select(F.col("_metadata.file_path").alias("path"), "value")
 
 

@@ -89,19 +89,38 @@ def geometry(
     return F.struct(kind.alias("kind"), rings.alias("rings"))
 
 
+def _feature_type(attributes: Mapping[str, str]) -> T.StructType:
+    ddl = ", ".join(f"`{name}` {kind}" for name, kind in attributes.items())
+    return _layer_schema(T.StructType.fromDDL(ddl))
+
+
+def parsed_layers(docs: DataFrame, attributes: Mapping[str, str]) -> DataFrame:
+    """Layer texts ``(path, value)`` with their content ``j`` and reference system ``srid``."""
+    parsed = docs.withColumn("j", F.from_json("value", _feature_type(attributes)))
+    return parsed.withColumn("srid", F.coalesce("j.spatialReference.latestWkid", "j.spatialReference.wkid"))
+
+
+def _with_geometry(rows: DataFrame, z: bool, m: bool) -> DataFrame:
+    """Features ``f`` with the ``type`` and ``srid`` of their layer -> attributes, ``srid``, ``geometry``."""
+    shape = geometry(F.col("f.geometry"), F.col("type"), F.col("f.x"), F.col("f.y"), z, m)
+    return rows.select("f.attributes.*", "srid", shape.alias("geometry"))
+
+
+def shaped(texts: DataFrame, attributes: Mapping[str, str], z: bool = False, m: bool = False) -> DataFrame:
+    """Texts of single features with the ``type`` and ``srid`` of their layer -> rows; others are left out."""
+    one = _feature_type(attributes)["features"].dataType.elementType
+    rows = texts.select("type", "srid", F.from_json("value", one).alias("f"))
+    return _with_geometry(rows.where("f.attributes IS NOT NULL"), z, m)
+
+
 def parse_features(
     docs: DataFrame, attributes: Mapping[str, str], z: bool = False, m: bool = False
 ) -> DataFrame:
     """Layer files -> attributes with declared types, ``srid`` and ``geometry``."""
-    ddl = ", ".join(f"`{name}` {kind}" for name, kind in attributes.items())
-    schema = _layer_schema(T.StructType.fromDDL(ddl))
-    parsed = docs.select(F.from_json("value", schema).alias("j"))
-    srid = F.coalesce("j.spatialReference.latestWkid", "j.spatialReference.wkid").alias("srid")
-    rows = parsed.select(
-        F.col("j.geometryType").alias("type"), srid, F.explode("j.features").alias("f")
+    rows = parsed_layers(docs, attributes).select(
+        F.col("j.geometryType").alias("type"), "srid", F.explode("j.features").alias("f")
     )
-    shape = geometry(F.col("f.geometry"), F.col("type"), F.col("f.x"), F.col("f.y"), z, m)
-    return rows.select("f.attributes.*", "srid", shape.alias("geometry"))
+    return _with_geometry(rows, z, m)
 
 
 def read_features(

@@ -29,10 +29,16 @@ def response_rows(docs: DataFrame, *keep: str) -> DataFrame:
         F.get("t", F.lit(0)).alias("header"),
         F.posexplode(F.slice("t", 2, F.size("t") - 1)).alias("position", "row"),
     )
+    return rows_to_cells(rows, "path", "position", *keep)
+
+
+def rows_to_cells(rows: DataFrame, *keep: str) -> DataFrame:
+    """Rows with their ``header`` -> ``cells map<column, value>``; cells beyond the header are left out
+    (:func:`arealis.sources.rejects.uneven_rows` names such rows)."""
     # maps take each key once; a repeated column keeps its first value
     header = F.array_distinct("header")
     first = F.transform(header, lambda h: F.get("row", F.array_position("header", h).cast("int") - 1))
-    return rows.select("path", "position", *keep, F.map_from_arrays(header, first).alias("cells"))
+    return rows.select(*keep, F.map_from_arrays(header, first).alias("cells"))
 
 
 def to_columns(rows: DataFrame, columns: Sequence[str], *keep: str) -> DataFrame:
@@ -45,7 +51,11 @@ def columns_of(docs: DataFrame) -> list[str]:
 
     Distinct headers are few; they are all that is brought to the driver.
     """
-    headers = _parsed(docs).where("size(t) > 0").groupBy(F.get("t", F.lit(0)).alias("h")).agg(F.min("path").alias("p"))
+    return columns_of_headers(_parsed(docs).where("size(t) > 0").select(F.get("t", F.lit(0)).alias("h"), "path"))
+
+
+def columns_of_headers(headers: DataFrame) -> list[str]:
+    headers = headers.groupBy("h").agg(F.min("path").alias("p"))
     return list(dict.fromkeys(c for r in headers.orderBy("p", "h").collect() for c in r["h"]))
 
 

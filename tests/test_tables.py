@@ -14,7 +14,7 @@ from arealis.operators import dictionary as dct
 from arealis.operators import names, select
 from arealis.plans.table_query import table_query
 from arealis.session import scratch_path
-from arealis.sources import catalogue, codes, features, landed, responses
+from arealis.sources import catalogue, codes, features, landed, pieces, responses
 from arealis.operators import dictionary
 from arealis.operators.moe_replicate import collapse
 from arealis.operators.names import best_matches
@@ -347,3 +347,74 @@ def test_merge_suffixes_names_that_differ_in_case_only(spark):
     left = spark.createDataFrame([(1, "a")], "place int, v string")
     right = spark.createDataFrame([(1, "b")], "PLACE int, w string")
     assert select.merge(left, right, ["place"], ["PLACE"]).columns == ["place_x", "v", "PLACE_y", "w"]
+
+
+# --- large files -------------------------------------------------------------------------------
+
+
+def layer_text(features, kind="esriGeometryPolygon"):
+    head = {"displayFieldName": "NAME", "geometryType": kind, "spatialReference": {"wkid": 102100, "latestWkid": 3857}}
+    return json.dumps({**head, "features": features}, separators=(",", ":"), ensure_ascii=False)
+
+
+def features_of(count, seed):
+    rnd = random.Random(seed)
+    odd = ['{"attributes":{"a":1}},{', "}},{", "a\\", 'say "x"', "Übergröße 数", "", None, "\n{"]
+    out = []
+    for i in range(count):
+        ring = [[rnd.uniform(0, 9e6), rnd.uniform(0, 9e6)] for _ in range(rnd.randint(3, 60))]
+        out.append({"attributes": {"GEOID": str(i), "NAME": rnd.choice(odd), "AREA": i}, "geometry": {"rings": [ring]}})
+    return out
+
+
+def test_a_large_layer_is_read_by_many_tasks(spark, tmp_path):
+    """The rows of the whole-text reader, from ranges of the file."""
+    attributes = {"GEOID": "string", "NAME": "string", "AREA": "int"}
+    (tmp_path / "a.json").write_text(layer_text(features_of(4000, 1)), encoding="utf-8")
+    (tmp_path / "b.json").write_text(layer_text(features_of(30, 2), "esriGeometryPolyline") + "\n", encoding="utf-8")
+    (tmp_path / "none.json").write_text(layer_text([]), encoding="utf-8")
+    size = (tmp_path / "a.json").stat().st_size
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(size // 8 + 1))
+    try:
+        tasks = pieces.cut(spark, str(tmp_path / "a.json"), pieces.FEATURE)
+        counts = tasks.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n"), F.sum(F.length("value")).alias("s"))
+        parts = counts.collect()
+        assert len(parts) >= 8 and max(r["s"] for r in parts) < size // 4
+        got = pieces.read_features(spark, str(tmp_path), attributes).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    want = features.read_features(spark, str(tmp_path), attributes).collect()
+    assert len(want) == 4030 and sorted(map(repr, got)) == sorted(map(repr, want))
+    assert pieces.broken_features(spark, str(tmp_path)).count() == 0
+
+
+def test_features_that_do_not_read_are_named(spark, tmp_path):
+    text = layer_text(features_of(3, 3)).replace('{"attributes":{"GEOID":"1"', '{"attributes":["GEOID":"1"')
+    (tmp_path / "a.json").write_text(text, encoding="utf-8")
+    rows = pieces.read_features(spark, str(tmp_path), {"GEOID": "string"}).collect()
+    assert [r["GEOID"] for r in rows] == ["0", "2"]
+    assert pieces.broken_features(spark, str(tmp_path)).count() == 1
+    late = '{"features":[{"attributes":{"GEOID":"1"},"geometry":{"x":1,"y":2}}],"geometryType":"esriGeometryPoint"}'
+    (tmp_path / "b.json").write_text(late, encoding="utf-8")
+    with pytest.raises(Exception, match="not described before"):
+        pieces.read_features(spark, str(tmp_path), {"GEOID": "string"}).collect()
+
+
+def test_responses_line_by_line(spark, tmp_path):
+    table = [["NAME", "B01", "state"]] + [[f'a "{i}"],[', None if i % 7 == 0 else str(i), "01"] for i in range(500)]
+    other = [["B01", "state"], ["7", "02"]]
+    dump = lambda t, sep: "[" + sep.join(json.dumps(r) for r in t) + "]"
+    (tmp_path / "a.json").write_text(dump(table, ",\n"))
+    (tmp_path / "b.json").write_text(dump(other, ",\r\n") + "\n")
+    (tmp_path / "c.json").write_text(dump(other, ","))
+    (tmp_path / "d.json").write_text(dump(table[:1], ","))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
+    try:
+        got = pieces.read_responses(spark, str(tmp_path)).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    want = responses.read_responses(spark, str(tmp_path)).collect()
+    assert len(want) == 502 and got[0].asDict().keys() == want[0].asDict().keys()
+    assert sorted(map(repr, got)) == sorted(map(repr, want))

@@ -253,6 +253,19 @@ def _(spark, sf):
     return responses.read_responses(spark, path, per_line=True).select(RESPONSE_COLUMNS)
 
 
+@query("responses_read_in_lines", RESPONSE_SQL)
+def _(spark, sf):
+    from arealis.sources import pieces
+
+    texts = response_texts(survey(spark, sf).where("level = 'tract'"))
+    # a file per state and text, a row per line
+    lines = F.replace(F.col("value"), F.lit("],["), F.lit("],\n["))
+    path = scratch_path(spark, "responses")
+    numbered = texts.select(F.pmod(F.xxhash64("value"), F.lit(2**31)).alias("part"), lines.alias("value"))
+    numbered.write.partitionBy("part").text(path)
+    return pieces.read_responses(spark, path, RESPONSE_COLUMNS)
+
+
 @query("responses_streamed", RESPONSE_SQL)
 def _(spark, sf):
     df = survey(spark, sf).where("level = 'tract'")

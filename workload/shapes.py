@@ -270,6 +270,44 @@ def _(spark, sf):
     )
 
 
+@query(
+    "features_read_in_pieces",
+    """SELECT s_suppkey::varchar AS "GEOID", s_name || ' {"attributes":{}},{' AS "NAME", 3857 AS srid,
+      CASE s_nationkey % 3 WHEN 0 THEN 'MultiPolygon' WHEN 1 THEN 'MultiLineString' ELSE 'Point' END AS kind,
+      CASE s_nationkey % 3 WHEN 0 THEN 4 WHEN 1 THEN 2 ELSE 1 END AS points, s_suppkey + 0.25e0 AS x FROM supplier""",
+)
+def _(spark, sf):
+    """One layer file per nation; the names hold what separates features."""
+    from arealis.sources import pieces
+    from arealis.session import scratch_path
+
+    supplier, key, kind = table(spark, sf, "supplier"), F.col("s_suppkey"), F.col("s_nationkey") % 3
+    x, y = key + 0.25, key + 0.5
+    corners = F.array(F.array(x, y), F.array(x, y + 9), F.array(x + 9, y + 9), F.array(x + 9, y))
+    geometry = F.struct(
+        F.when(kind == 0, F.array(corners)).alias("rings"),
+        F.when(kind == 1, F.array(F.slice(corners, 1, 2))).alias("paths"),
+        F.when(kind == 2, x).alias("x"),
+        F.when(kind == 2, y).alias("y"),
+    )
+    name = F.concat("s_name", F.lit(' {"attributes":{}},{'))
+    feature = F.struct(F.struct(key.cast("string").alias("GEOID"), name.alias("NAME")).alias("attributes"), geometry.alias("geometry"))
+    layers = supplier.groupBy("s_nationkey").agg(F.collect_list(feature).alias("features"))
+    names = [F.lit(f"esriGeometry{n}") for n in ("Polygon", "Polyline", "Point")]
+    layer = F.struct(
+        F.array(*names)[kind.cast("int")].alias("geometryType"),
+        F.struct(F.lit(3857).alias("latestWkid")).alias("spatialReference"),
+        "features",
+    )
+    path = scratch_path(spark, "layers")
+    layers.select("s_nationkey", F.to_json(layer).alias("value")).write.partitionBy("s_nationkey").text(path)
+    df = pieces.read_features(spark, path, {"GEOID": "string", "NAME": "string"})
+    points = F.flatten("geometry.rings")
+    return df.select(
+        "GEOID", "NAME", "srid", "geometry.kind", F.size(points).alias("points"), F.get(points, F.lit(0))["x"].alias("x")
+    )
+
+
 @query(
     "reprojected_and_rounded",
     f"""WITH {SHAPES_SQL} SELECT aid, round(degrees(ax * 1000 / 6378137.0), 6) AS lon,
