@@ -136,6 +136,49 @@ def function_rows_pandas(
     return rows.select("geoid", _clean("est").alias("est"), "rep", _clean("value").alias("value"))
 
 
+# --- functions over all areas --------------------------------------------------------------
+
+
+def over_areas(
+    df: DataFrame,
+    variables: Sequence[str],
+    term: Callable[[dict[str, Column], dict[str, Column]], Column],
+    totals: dict[str, Function] | None = None,
+    finish: Callable[[Column], Column] | None = None,
+    by: dict[str, Column] | None = None,
+) -> DataFrame:
+    """A value over all areas with its margin: ``(*by, est, moe)``.
+
+    The value is given as sums over areas: ``finish`` of the sum of ``term(v, t)``, where ``v`` has an
+    area's variables and ``t`` the ``totals``, each the sum of a function of the variables. It is worked
+    out for the estimate and for every replicate at once: one pass sums the totals, a second one the
+    terms. Both are partial sums by replicate, so no task ever has all areas.
+
+    ``by`` gives columns of the ``geoid`` (say its county) within which the value is taken.
+    """
+    names, keys = list(variables), list(by or {})
+    wide = variables_side_by_side(df, names)
+    own = F.struct(*[F.col(f"`{v}`.est").alias(f"v{i}") for i, v in enumerate(names)])
+    kind = "array<struct<" + ",".join(f"v{i}:double" for i in range(len(names))) + ">>"
+    reps = F.arrays_zip(*[F.col(f"`{v}`.reps").alias(f"v{i}") for i, v in enumerate(names)]).cast(kind)
+    versions = F.concat(F.array(own).cast(kind), reps)  # version 0 is the estimate
+    rows = wide.select(*(c.alias(k) for k, c in (by or {}).items()), F.posexplode(versions).alias("rep", "v"))
+    v = {n: F.col(f"v.v{i}") for i, n in enumerate(names)}
+    if totals:
+        sums = rows.groupBy(*keys, "rep").agg(*(F.sum(f(v)).alias(f"_t_{n}") for n, f in totals.items()))
+        same = [F.col(f"_k{i}").eqNullSafe(F.col(k)) for i, k in enumerate((*keys, "rep"))]
+        sums = sums.select(*(F.col(k).alias(f"_k{i}") for i, k in enumerate((*keys, "rep"))), *(f"_t_{n}" for n in totals))
+        if not keys:  # one row per replicate
+            sums = F.broadcast(sums)
+        rows = rows.join(sums, same)
+    t = {n: F.col(f"_t_{n}") for n in totals or {}}
+    value = F.sum(term(v, t))
+    values = rows.groupBy(*keys, "rep").agg(_clean(finish(value) if finish else value).alias("value"))
+    est = F.max(F.when(F.col("rep") == 0, F.col("value")))
+    together = values.groupBy(*keys).agg(est.alias("est"), F.collect_list(F.when(F.col("rep") > 0, F.col("value"))).alias("reps"))
+    return together.select(*keys, "est", replicate_moe(F.col("est"), F.col("reps")).alias("moe"))
+
+
 def _clean(c: Column | str) -> Column:
     c = F.col(c) if isinstance(c, str) else c
     return infinite_to(nan_to_null(c.cast("double")), 0.0)

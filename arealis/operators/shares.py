@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from arealis.functions.numbers import divide
+from arealis.operators.moe_replicate import over_areas
 from arealis.operators.select import merge
 
 
@@ -31,3 +32,16 @@ def dissimilarity(df: DataFrame, group: str, total: str) -> DataFrame:
 
     gap = F.abs(divide(part, whole(part)) - divide(rest, whole(rest)))
     return df.agg((F.lit(0.5) * F.sum(gap)).alias("dissimilarity"))
+
+
+def dissimilarity_with_moe(df: DataFrame, group: str, rest: str, by: dict[str, Column] | None = None) -> DataFrame:
+    """:func:`dissimilarity` of two variables of replicate rows, with its margin; ``by`` as in
+    :func:`arealis.operators.moe_replicate.over_areas`."""
+    return over_areas(
+        df,
+        [group, rest],
+        lambda v, t: F.abs(divide(v[group], t["group"]) - divide(v[rest], t["rest"])),
+        {"group": lambda v: v[group], "rest": lambda v: v[rest]},
+        lambda total: F.lit(0.5) * total,
+        by,
+    )

@@ -1,5 +1,7 @@
 """Margins of error against plain numpy and pandas, and their properties."""
 
+import math
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -9,6 +11,7 @@ from arealis.functions.numbers import divide
 from arealis.operators import moe_closed as mc
 from arealis.operators import moe_replicate as mr
 from arealis.operators import moe_simulate as ms
+from arealis.operators import shares
 
 RNG = np.random.default_rng(3)
 
@@ -216,3 +219,37 @@ def test_bad_options_are_errors(spark, bad):
     df = long(spark, np.array([[5.0]]), np.array([[1.0]]))
     with pytest.raises(ValueError):
         ms.simulate(df, ["v0"], lambda v: v["v0"], **bad)
+
+
+def test_index_over_areas_equals_81_separate_runs(spark):
+    """The dissimilarity of every version of the table, one after the other."""
+    rng = np.random.default_rng(3)
+    n = 40
+    tables = rng.integers(0, 50, (81, n, 2)).astype(float)
+    rows = []
+    for i in range(n):
+        for k, v in enumerate("ab"):
+            rows.append((f"{i:03d}", v, float(tables[0, i, k]), [float(x) for x in tables[1:, i, k]]))
+    df = spark.createDataFrame(rows, "geoid string, variable string, est double, reps array<double>").repartition(6)
+
+    def index(t):
+        return 0.5 * np.abs(t[:, 0] / t[:, 0].sum() - t[:, 1] / t[:, 1].sum()).sum()
+
+    def margin(some):
+        values = [index(tables[r][some]) for r in range(81)]
+        return values[0], 1.645 * math.sqrt(4 / 80 * sum((v - values[0]) ** 2 for v in values[1:]))
+
+    row = shares.dissimilarity_with_moe(df, "a", "b").first()
+    assert np.allclose((row["est"], row["moe"]), margin(np.arange(n)))
+    by = {"part": F.substring("geoid", 3, 1)}
+    got = {r["part"]: (r["est"], r["moe"]) for r in shares.dissimilarity_with_moe(df, "a", "b", by).collect()}
+    assert len(got) == 10
+    for part, values in got.items():
+        assert np.allclose(values, margin(np.array([i for i in range(n) if f"{i:03d}"[2] == part])))
+
+
+def test_index_of_a_total_that_is_zero_is_missing(spark):
+    rows = [("1", "a", 0.0, [0.0] * 80), ("1", "b", 1.0, [1.0] * 80)]
+    df = spark.createDataFrame(rows, "geoid string, variable string, est double, reps array<double>")
+    row = shares.dissimilarity_with_moe(df, "a", "b").first()
+    assert row["est"] is None or row["est"] == 0.0

@@ -9,6 +9,7 @@ from arealis.functions.numbers import divide
 from arealis.operators import moe_closed as mc
 from arealis.operators import moe_replicate as mr
 from arealis.operators import moe_simulate as ms
+from arealis.operators.shares import dissimilarity_with_moe
 from workload.tables import (
     CELLS_SQL,
     REPLICATE_ROWS_SQL,
@@ -171,6 +172,35 @@ def _(spark, sf):
     return rounded(mr.estimate_pandas(_thinned(spark, sf), ["A", "R"], func, up=1.0))
 
 
+INDEX_SQL = f"""{REPLICATE_ROWS_SQL},
+versions AS (SELECT geoid, variable, 0 AS r, est AS v FROM rep_rows WHERE r = 1
+  UNION ALL SELECT geoid, variable, r, rep FROM rep_rows),
+w AS (SELECT geoid, r, max(CASE WHEN variable = 'A' THEN v END) AS a, max(CASE WHEN variable = 'R' THEN v END) AS b,
+        (geoid::int % 4)::varchar AS part FROM versions GROUP BY 1, 2)"""
+
+
+def _index_sql(keys):
+    on = " AND ".join(f"w.{k} = t.{k}" for k in (*keys, "r"))
+    by = "".join(f"{k}, " for k in keys)
+    of = "".join(f"w.{k}, " for k in keys)
+    return f"""WITH {INDEX_SQL}, t AS (SELECT {by}r, sum(a) AS sa, sum(b) AS sb FROM w GROUP BY {by}r),
+    i AS (SELECT {of}w.r, 0.5 * sum(abs(a / sa - b / sb)) AS d FROM w JOIN t ON {on} GROUP BY {of}w.r),
+    e AS (SELECT * FROM i WHERE r = 0)
+    SELECT {"".join(f"i.{k}, " for k in keys)}round(e.d, 9) AS est, round(1.645 * sqrt(4.0e0/80 * sum((i.d - e.d) * (i.d - e.d))), 9) AS moe
+    FROM i JOIN e ON {" AND ".join([f"i.{k} = e.{k}" for k in keys] + ["i.r > 0"])} GROUP BY {"".join(f"i.{k}, " for k in keys)}e.d"""
+
+
+@query("dissimilarity_moe", _index_sql([]))
+def _(spark, sf):
+    return rounded(dissimilarity_with_moe(replicate_cells(spark, sf), "A", "R"), 9)
+
+
+@query("dissimilarity_moe_by_part", _index_sql(["part"]))
+def _(spark, sf):
+    part = (F.col("geoid").cast("int") % 4).cast("string")
+    return rounded(dissimilarity_with_moe(replicate_cells(spark, sf), "A", "R", {"part": part}), 9)
+
+
 WEIGHTS_SQL = """
 weights AS (SELECT n_nationkey AS k, n_nationkey::varchar AS fips, 5.0e0 + n_nationkey % 12 AS avg_weight FROM nation),
 base AS (SELECT c_nationkey AS k, sum(abs(c_acctbal)) AS base FROM customer GROUP BY 1)"""
