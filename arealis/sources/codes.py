@@ -7,14 +7,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from arealis.functions import ids
-
-
-def _schema(*names: str) -> T.StructType:
-    return T.StructType([T.StructField(n, T.StringType()) for n in names])
+from arealis.sources import lines
 
 
 # File of each kind, its separator, and its columns where it has no header.
-# Columns without a published name keep positions, as many as the file has.
+# Columns without a published name keep positions, as many as the longest line has.
 KINDS = {
     "AIA": ("aia.txt", ",", ()),
     "COUNTY": ("county.txt", ",", ("STATE", "STATEFP", "COUNTYFP", "COUNTYNAME", "CLASSFP")),
@@ -31,7 +28,7 @@ KINDS = {
 
 def read_states(spark: SparkSession, path: str) -> DataFrame:
     """State codes: ``(abbreviation, fips, name)``, the code with two digits."""
-    raw = spark.read.schema(_schema("abbreviation", "fips", "name")).csv(path, header=True)
+    raw = lines.fitting(lines.parsed(spark, path, lines.texts("abbreviation", "fips", "name"), header=True))
     return raw.withColumn("fips", ids.pad_left("fips", 2))
 
 
@@ -46,27 +43,37 @@ def find_state(states: DataFrame, state: str) -> DataFrame:
     return states.where(hit)
 
 
+def _area_codes(spark: SparkSession, root: str, kind: str) -> DataFrame:
+    kind = kind.upper().replace(" ", "")
+    if kind not in KINDS:
+        raise ValueError(f"kind must be one of STATE, {', '.join(KINDS)}")
+    file, sep, names = KINDS[kind]
+    path, encoding = f"{root}/national_{file}", "ISO-8859-1"
+    if names is None:
+        names = spark.read.options(sep=sep, encoding=encoding, header=True).csv(path).columns
+        return lines.parsed(spark, path, lines.texts(*names), sep, encoding=encoding, header=True)
+    if not names:
+        names = [f"c{i}" for i in range(lines.widest(spark, path, sep, encoding))]
+    return lines.parsed(spark, path, lines.texts(*names), sep, encoding=encoding)
+
+
+def rejected_area_codes(spark: SparkSession, root: str, kind: str) -> DataFrame:
+    """Rows of the file that have more cells than it has columns: ``(path, line, read)``."""
+    return lines.rejected(_area_codes(spark, root, kind))
+
+
 def read_area_codes(
     spark: SparkSession, root: str, kind: str, states: DataFrame, in_state: str = ""
 ) -> DataFrame:
     """Codes and names of one kind of area, national or for one state.
 
     Files lie as ``root/national_<kind file>``; the rows of a state are chosen by the
-    abbreviation in the first column.
+    abbreviation in the first column. Rows that do not fit are left out, see
+    :func:`rejected_area_codes`.
     """
-    kind = kind.upper().replace(" ", "")
-    if kind == "STATE":
+    if kind.upper() == "STATE":
         return states
-    if kind not in KINDS:
-        raise ValueError(f"kind must be one of STATE, {', '.join(KINDS)}")
-    file, sep, names = KINDS[kind]
-    reader = spark.read.option("sep", sep).option("encoding", "ISO-8859-1")
-    path = f"{root}/national_{file}"
-    if names is None:
-        table = reader.csv(path, header=True)
-    else:
-        table = reader.csv(path, header=False)
-        table = table.toDF(*names[: len(table.columns)], *(f"c{i}" for i in range(len(names), len(table.columns))))
+    table = lines.fitting(_area_codes(spark, root, kind))
     if not in_state:
         return table
     wanted = find_state(states, in_state).select("abbreviation")
@@ -86,21 +93,29 @@ def gazetteer(places: DataFrame) -> DataFrame:
     )
 
 
+_POPULATIONS = "population double, name string, geoid string, state string"
+_WEIGHTS = "fips string, avg_weight double"
+
+
+def _support(spark: SparkSession, path: str, ddl: str) -> DataFrame:
+    return lines.parsed(spark, path, T.StructType.fromDDL(ddl), header=True)
+
+
 def read_populations(spark: SparkSession, path: str) -> DataFrame:
     """Population table of one year and level: ``(geoid, population, name, state)``."""
-    raw = spark.read.schema(_schema("population", "name", "geoid", "state")).csv(path, header=True)
-    return raw.select(
-        "geoid",
-        F.col("population").try_cast("double").alias("population"),
-        "name",
-        ids.pad_left("state", 2).alias("state"),
-    )
+    raw = lines.fitting(_support(spark, path, _POPULATIONS))
+    return raw.select("geoid", "population", "name", ids.pad_left("state", 2).alias("state"))
+
+
+def rejected_populations(spark: SparkSession, path: str) -> DataFrame:
+    return lines.rejected(_support(spark, path, _POPULATIONS))
 
 
 def read_weights(spark: SparkSession, path: str) -> DataFrame:
     """Average weights by state: ``(fips, avg_weight)``; codes are padded in every year."""
-    raw = spark.read.schema(_schema("fips", "avg_weight")).csv(path, header=True)
-    return raw.select(
-        ids.pad_left("fips", 2).alias("fips"),
-        F.col("avg_weight").try_cast("double").alias("avg_weight"),
-    )
+    raw = lines.fitting(_support(spark, path, _WEIGHTS))
+    return raw.select(ids.pad_left("fips", 2).alias("fips"), "avg_weight")
+
+
+def rejected_weights(spark: SparkSession, path: str) -> DataFrame:
+    return lines.rejected(_support(spark, path, _WEIGHTS))

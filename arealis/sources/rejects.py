@@ -32,5 +32,12 @@ def split(docs: DataFrame, kind: str) -> tuple[DataFrame, DataFrame]:
     return parsed.where(good).drop("j"), parsed.where(~F.coalesce(good, F.lit(False))).drop("j")
 
 
+def uneven_rows(docs: DataFrame) -> DataFrame:
+    """Rows ``(path, position, header, row)`` of responses with more or fewer cells than their header."""
+    tables = docs.withColumn("t", F.from_json("value", "array<array<string>>")).where("size(t) > 1")
+    rows = tables.select("path", F.get("t", F.lit(0)).alias("header"), F.posexplode(F.slice("t", 2, F.size("t") - 1)).alias("position", "row"))
+    return rows.where(F.size("row") != F.size("header")).select("path", "position", "header", "row")
+
+
 def rejected(docs: DataFrame, kind: str) -> DataFrame:
     return split(docs, kind)[1]

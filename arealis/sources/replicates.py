@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from arealis.functions import ids
 from arealis.functions.numbers import REPLICATES
 from arealis.operators.moe_replicate import select_replicates
+from arealis.sources import lines
 
 # The columns of a replicate file, in order.
 TEXT_COLUMNS = ("TBLID", "GEOID", "NAME", "ORDER", "TITLE")
@@ -29,13 +30,8 @@ PARTITIONS = ("year", "level", "table", "state")
 
 
 def _read(spark: SparkSession, schema: T.StructType, paths: Sequence[str]) -> DataFrame:
-    return (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("enforceSchema", False)  # a file with other columns is an error
-        .option("encoding", "ISO-8859-1")
-        .csv(list(paths))
-    )
+    # a file with other columns is an error
+    return lines.parsed(spark, paths, schema, header=True, enforceSchema=False, encoding="ISO-8859-1")
 
 
 def to_long(raw: DataFrame, *keep: str) -> DataFrame:
@@ -60,7 +56,12 @@ def read_replicates(
 ) -> DataFrame:
     """One scan over all files; the chosen variables and areas of any of them."""
     paths = [paths] if isinstance(paths, str) else list(paths)
-    return select_replicates(to_long(_read(spark, FILE_SCHEMA, paths)), columns, geos)
+    return select_replicates(to_long(lines.fitting(_read(spark, FILE_SCHEMA, paths))), columns, geos)
+
+
+def rejected_replicates(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """Rows whose numbers do not read or that have other cells: ``(path, line, read)``."""
+    return lines.rejected(_read(spark, FILE_SCHEMA, [paths] if isinstance(paths, str) else paths))
 
 
 def read_replicate_tables(
@@ -79,7 +80,7 @@ def read_replicate_tables(
     """
     schema = T.StructType(FILE_SCHEMA.fields + [T.StructField(c, _TEXT) for c in PARTITIONS])
     code = ids.level_code(level)
-    raw = _read(spark, schema, [root]).where(
+    raw = lines.fitting(_read(spark, schema, [root])).where(
         (F.col("year") == str(year)) & (F.col("level") == code) & F.col("table").isin(*tables)
     )
     if state is not None and code in ("140", "150"):

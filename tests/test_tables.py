@@ -14,7 +14,7 @@ from arealis.operators import dictionary as dct
 from arealis.operators import names, select
 from arealis.plans.table_query import table_query
 from arealis.session import scratch_path
-from arealis.sources import catalogue, codes, features, landed, pieces, responses
+from arealis.sources import catalogue, codes, features, landed, pieces, replicates, responses
 from arealis.operators import dictionary
 from arealis.operators.moe_replicate import collapse
 from arealis.operators.names import best_matches
@@ -418,3 +418,48 @@ def test_responses_line_by_line(spark, tmp_path):
     want = responses.read_responses(spark, str(tmp_path)).collect()
     assert len(want) == 502 and got[0].asDict().keys() == want[0].asDict().keys()
     assert sorted(map(repr, got)) == sorted(map(repr, want))
+
+
+# --- rows that do not fit ---------------------------------------------------------------------
+
+
+def test_longer_rows_are_rejected_and_shorter_ones_filled(spark, tmp_path):
+    text_ = 'AL,01,001,"Autauga, County",H1\nAL,2,y,extra,more,cells\nAL,01,003\n"a ""b"", c",1,2,3,4\n'
+    (tmp_path / "national_county.txt").write_text(text_, encoding="latin-1")
+    rows = [tuple(r) for r in codes.read_area_codes(spark, str(tmp_path), "county", None).collect()]
+    assert rows == [("AL", "01", "001", "Autauga, County", "H1"), ("AL", "01", "003", None, None), ('a "b", c', "1", "2", "3", "4")]
+    bad = codes.rejected_area_codes(spark, str(tmp_path), "county").collect()
+    assert [r["line"] for r in bad] == ["AL,2,y,extra,more,cells"] and bad[0]["path"].endswith("national_county.txt")
+
+
+def test_the_longest_line_gives_the_width_of_a_file_without_names(spark, tmp_path):
+    (tmp_path / "national_schdist.txt").write_text('AL,2,y\nAL,2,y,extra,more\nAL,"a,b",c\n', encoding="latin-1")
+    rows = [tuple(r) for r in codes.read_area_codes(spark, str(tmp_path), "School District", None).collect()]
+    assert rows == [("AL", "2", "y", None, None), ("AL", "2", "y", "extra", "more"), ("AL", "a,b", "c", None, None)]
+    assert codes.rejected_area_codes(spark, str(tmp_path), "School District").count() == 0
+
+
+def test_numbers_that_do_not_read_are_rejected(spark, tmp_path):
+    people, weights = str(tmp_path / "p.csv"), str(tmp_path / "w.csv")
+    (tmp_path / "p.csv").write_text("population,name,geoid,state\n12,a,1,1\n12x,b,2,1\n,c,3,1\n")
+    (tmp_path / "w.csv").write_text("fips,avg_weight\n1,2.5\n2,two\n3\n4,5,6\n")
+    assert [tuple(r) for r in codes.read_populations(spark, people).collect()] == [("1", 12.0, "a", "01"), ("3", None, "c", "01")]
+    assert [r["line"] for r in codes.rejected_populations(spark, people).collect()] == ["12x,b,2,1"]
+    assert [tuple(r) for r in codes.read_weights(spark, weights).collect()] == [("01", 2.5)]
+    assert [r["line"] for r in codes.rejected_weights(spark, weights).collect()] == ["2,two", "3", "4,5,6"]
+
+
+def test_replicate_rows_that_do_not_fit_are_rejected(spark, tmp_path):
+    names = [f.name for f in replicates.FILE_SCHEMA.fields]
+    good = ["T", "g1", "n", "1", "t", "5", "1", "", "1"] + ["1"] * 80
+    lines_ = [names, good, good[:5] + ["5z"] + good[6:], good[:-1] + ["1_0"], good + ["1"]]
+    (tmp_path / "r.csv").write_text("\n".join(",".join(x) for x in lines_) + "\n")
+    path = str(tmp_path / "r.csv")
+    assert replicates.read_replicates(spark, path).count() == 1
+    assert replicates.rejected_replicates(spark, path).count() == 3
+
+
+def test_uneven_rows_of_a_response(spark):
+    docs = spark.createDataFrame([("a", '[["x","y"],["1","2"],["1","2","3"],["1"]]'), ("b", "{}"), ("c", "[]")], "path string, value string")
+    got = [(r["path"], r["position"], r["row"]) for r in rejects.uneven_rows(docs).collect()]
+    assert got == [("a", 1, ["1", "2", "3"]), ("a", 2, ["1"])]

@@ -508,3 +508,45 @@ def _(spark, sf):
     populations = codes.read_populations(spark, pop_path)
     joined = populations.join(codes.read_weights(spark, weight_path), F.col("state") == F.col("fips"))
     return joined.select("geoid", "population", ids.state_of("geoid").alias("state"), "avg_weight")
+
+
+@query(
+    "rows_rejected",
+    """SELECT 'COUNTY' AS kind, count(*) AS rejected, max('AL,' || lpad(c_custkey::varchar, 5, '0') || ',1,name,H1,extra,more') AS last FROM customer WHERE c_custkey % 10 = 3
+    UNION ALL SELECT 'SCHOOLDISTRICT', 0, NULL
+    UNION ALL SELECT 'POPULATION', count(*), max(lpad(c_custkey::varchar, 5, '0') || 'x,name,1,01') FROM customer WHERE c_custkey % 7 = 2
+    UNION ALL SELECT 'WEIGHT', count(*), max('01,' || lpad(c_custkey::varchar, 5, '0') || 'x') FROM customer WHERE c_custkey % 5 = 1""",
+)
+def _(spark, sf):
+    """Every tenth county has two cells too many, some numbers have a letter behind them."""
+    key = F.col("c_custkey")
+    number = F.lpad(key.cast("string"), 5, "0")
+    customer = table(spark, sf, "customer")
+
+    def landed_lines(value, header=None):
+        path = scratch_path(spark, "lines")
+        text_ = customer.select(value.alias("value"))
+        if header:  # each file has one
+            head = spark.range(1).select(F.lit(header).alias("value"))
+            text_ = head.unionByName(text_.coalesce(1)).coalesce(1)
+        text_.write.text(path)
+        return path
+
+    root = scratch_path(spark, "codes")
+    more = F.when(key % 10 == 3, ",extra,more").otherwise("")
+    for file in ("county", "schdist"):
+        customer.select(F.concat(F.lit("AL,"), number, F.lit(",1,name,H1"), more).alias("value")).write.text(f"{root}/national_{file}.txt")
+    x = lambda n: F.when(key % n[0] == n[1], "x").otherwise("")
+    people = landed_lines(F.concat(number, x((7, 2)), F.lit(",name,1,01")), "population,name,geoid,state")
+    weights = landed_lines(F.concat(F.lit("01,"), number, x((5, 1))), "fips,avg_weight")
+    found = [
+        ("COUNTY", codes.rejected_area_codes(spark, root, "county")),
+        ("SCHOOLDISTRICT", codes.rejected_area_codes(spark, root, "School District")),
+        ("POPULATION", codes.rejected_populations(spark, people)),
+        ("WEIGHT", codes.rejected_weights(spark, weights)),
+    ]
+    parts = [df.agg(F.lit(kind).alias("kind"), F.count("*").alias("rejected"), F.max("line").alias("last")) for kind, df in found]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
