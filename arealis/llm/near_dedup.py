@@ -29,7 +29,8 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arealis.llm.common import content, documents, land, release
+from arealis.llm import common
+from arealis.llm.common import content, documents, release
 from arealis.llm.graph import components
 
 WORDS = 5
@@ -41,11 +42,24 @@ SIMILAR = 75
 #: Turns on buckets that show several components; the last one leaves no pair out.
 TURNS = 5
 #: Word hashes one task keeps before it starts afresh.
-KEPT = 2_000_000
+KEPT = 300_000
+#: Bytes of texts or sets that a worker is handed at once.
+BATCH = "12m"
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _FACTORS = np.random.default_rng(5).integers(1, 2**63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
+def land(df: DataFrame, name: str) -> DataFrame:
+    """As :func:`arealis.llm.common.land`, with batches of ``BATCH`` bytes to the workers."""
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = conf.get(key)
+    conf.set(key, BATCH)
+    try:
+        return common.land(df, name)
+    finally:
+        conf.set(key, before)
+
+
 class Shingler(dict):
     """Distinct hashes (64 bits) of the five-word shingles of a text."""
 
