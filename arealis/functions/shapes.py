@@ -11,12 +11,14 @@ one step. The others give Columns.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from arealis.functions.conic import SYSTEMS, Conic
 from arealis.functions.numbers import col
 
 # Fixed value: radius of the sphere of web mercator (EPSG:3857), in metres.
@@ -125,9 +127,9 @@ def _each_point(rings: Column | str, change) -> Column:
 
 
 def round_points(rings: Column | str, digits: int) -> Column:
+    """Positions rounded; heights and measures stay as they are."""
     return _each_point(
-        rings,
-        lambda p: F.struct(F.round(p["x"], digits).alias("x"), F.round(p["y"], digits).alias("y")),
+        rings, lambda p: p.withField("x", F.round(p["x"], digits)).withField("y", F.round(p["y"], digits))
     )
 
 
@@ -143,25 +145,43 @@ def to_web_mercator(lon: Column, lat: Column) -> tuple[Column, Column]:
     return x, y
 
 
-def transformer(source: int, target: int):
-    """Point transformation between the two supported reference systems."""
+def _to_degrees(system: int | Conic) -> Callable[[Column, Column], tuple[Column, Column]]:
+    if system == LONGITUDE_LATITUDE:
+        return lambda x, y: (x, y)
+    return to_longitude_latitude if system == WEB_MERCATOR else _conic(system).inverse
+
+
+def _from_degrees(system: int | Conic) -> Callable[[Column, Column], tuple[Column, Column]]:
+    if system == LONGITUDE_LATITUDE:
+        return lambda lon, lat: (lon, lat)
+    return to_web_mercator if system == WEB_MERCATOR else _conic(system).forward
+
+
+def _conic(system: int | Conic) -> Conic:
+    known = system if isinstance(system, Conic) else SYSTEMS.get(system)
+    if known is None:
+        raise ValueError(f"no closed form for EPSG:{system}; a Conic can be given in its place")
+    return known
+
+
+def transformer(source: int | Conic, target: int | Conic):
+    """Point transformation between longitude and latitude, web mercator and conic systems.
+
+    A system is a number or a :class:`Conic` of its own parameters. Datums are taken as one.
+    """
     if source == target:
         return lambda x, y: (x, y)
-    pairs = {
-        (WEB_MERCATOR, LONGITUDE_LATITUDE): to_longitude_latitude,
-        (LONGITUDE_LATITUDE, WEB_MERCATOR): to_web_mercator,
-    }
-    if (source, target) not in pairs:
-        raise ValueError(f"no closed form from EPSG:{source} to EPSG:{target}")
-    return pairs[source, target]
+    there, on = _to_degrees(source), _from_degrees(target)
+    return lambda x, y: on(*there(x, y))
 
 
-def reproject(rings: Column | str, source: int, target: int) -> Column:
+def reproject(rings: Column | str, source: int | Conic, target: int | Conic) -> Column:
+    """Points in another reference system; what else they have stays as it is."""
     change = transformer(source, target)
 
     def moved(p: Column) -> Column:
         x, y = change(p["x"], p["y"])
-        return F.struct(x.alias("x"), y.alias("y"))
+        return p.withField("x", x).withField("y", y)
 
     return _each_point(rings, moved)
 

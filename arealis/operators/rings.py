@@ -11,6 +11,7 @@ import json
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from arealis.functions import shapes, unions
 from arealis.operators.spatial import POINT_BOX, band_count, box_pairs, points_inside
@@ -105,9 +106,6 @@ def _parts_sql(rings: str, repair: bool) -> str:
     return bind(measured, "ms", bind("size(filter(ms, m -> m.area < 0))", "outers", both))
 
 
-_RINGS = "array<array<struct<x:double,y:double>>>"
-
-
 def _united(holes: Column) -> Column:
     """For each part its holes, united, and the parts that fill their gaps; both as JSON."""
 
@@ -137,11 +135,12 @@ def _unite(df: DataFrame, parts: str) -> DataFrame:
         as_before = found.isNull() | (F.size(F.get(found, F.lit(0))) == 0)
         return F.when(as_before, F.array(part)).otherwise(F.concat(F.array(first), more))
 
-    nothing = F.array().cast(f"array<array<{_RINGS}>>")
+    kind = T.ArrayType(df.schema[parts].dataType)  # what else points have is missing in new ones
+    nothing = F.array().cast(kind)
     sent = df.withColumn("_some", F.expr(f"to_json({some})"))
     # asked for twice, the text is a column of its own, which is what the function can take
     text = F.when(F.col("_some").isNotNull(), _united(F.col("_some")))
-    found = sent.withColumn("_new", F.coalesce(F.from_json(text, f"array<array<{_RINGS}>>"), nothing))
+    found = sent.withColumn("_new", F.coalesce(F.from_json(text, kind), nothing))
     return found.withColumn(parts, F.flatten(F.zip_with(parts, "_new", one))).drop("_some", "_new")
 
 

@@ -221,7 +221,10 @@ class Product:
         return tuple(spark.range(1).select(*[v for c in corners for v in c]).first())
 
     def _decimals(self, precision: int | str | None) -> int | None:
-        return DECIMALS[self.srid] if precision == LAYER else precision
+        if precision != LAYER:
+            return precision
+        shapes.transformer(self.srid, shapes.LONGITUDE_LATITUDE)  # an unknown system raises here, by its number
+        return DECIMALS.get(self.srid, 2)  # conic systems are in metres
 
     def _near(self, level: str, precision: int | str | None, box: Box, relation: str = "intersects") -> DataFrame:
         """Areas that meet a box or lie within it, coordinates rounded.

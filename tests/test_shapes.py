@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from arealis.functions import shapes, unions
+from arealis.functions.conic import Conic
 from arealis.operators import rings as rg
 from arealis.operators import spatial
 
@@ -484,5 +485,44 @@ def test_simplified_points_stay_near(spark):
 
 
 def test_unknown_projection_is_an_error():
-    with pytest.raises(ValueError):
+    with pytest.raises(ValueError, match="2263"):
         shapes.transformer(4326, 2263)
+    with pytest.raises(ValueError):
+        Conic("polar", 29.5, 45.5, 23, -96)
+    with pytest.raises(ValueError):
+        Conic("albers", 30, -30, 0, 0)
+
+
+@pytest.mark.parametrize("kind, first, x, y", [("albers", 29.5, 1885472.7, 1535925.0), ("lambert", 33.0, 1894410.9, 1564649.5)])
+def test_conic_projections_of_published_points(spark, kind, first, x, y):
+    """The worked examples of the standard manual, on the ellipsoid of 1866."""
+    system = Conic(kind, first, 45.5 if kind == "albers" else 45.0, 23.0, -96.0, radius=6378206.4, e2=0.00676866)
+    df = spark.range(1).select(*(c.alias(n) for n, c in zip("xy", system.forward(F.lit(-75.0), F.lit(35.0)))))
+    row = df.first()
+    assert abs(row["x"] - x) < 0.06 and abs(row["y"] - y) < 0.06
+
+
+@pytest.mark.parametrize("system", [5070, 102003, 102004, Conic("albers", -10, -40, -25, 135, 1e6, 2e6), Conic("lambert", 40, 40, 40, 10)])
+def test_conic_round_trips(spark, system):
+    south = isinstance(system, Conic) and system.first < 0
+    rnd = random.Random(2)
+    points = [((rnd.uniform(110, 155), rnd.uniform(-45, -8)) if south else (rnd.uniform(-130, -60), rnd.uniform(15, 65))) for _ in range(200)]
+    if isinstance(system, Conic) and system.kind == "lambert":
+        points = [(rnd.uniform(-10, 30), rnd.uniform(30, 60)) for _ in range(200)]
+    df = table(spark, {"a": [points]})
+    plane = df.select("rings", shapes.reproject("rings", 4326, system).alias("p"))
+    back = plane.select("rings", "p", shapes.reproject("p", system, 4326).alias("b")).withColumn("again", shapes.reproject("b", 4326, system))
+    r = back.first()
+    for a, b, p, q in zip(r["rings"][0], r["b"][0], r["p"][0], r["again"][0]):
+        assert abs(a.x - b.x) < 1e-11 and abs(a.y - b.y) < 1e-11
+        assert abs(p.x - q.x) < 1e-6 and abs(p.y - q.y) < 1e-6
+
+
+def test_height_and_measure_survive(spark):
+    df = spark.createDataFrame([(1, [[(0.123, 10.456, 5.6789, 7.0), (1.0, 2.0, None, 8.0)]])], "id int, rings array<array<struct<x:double,y:double,z:double,m:double>>>")
+    for change in (shapes.round_points("rings", 1), shapes.reproject("rings", 4326, 3857), shapes.reproject("rings", 4326, 5070), shapes.simplify("rings", 0.1, closed=False)):
+        ring = df.select(change.alias("r")).first()["r"][0]
+        assert [(p.z, p.m) for p in ring] == [(5.6789, 7.0), (None, 8.0)]
+    rounded = df.select(shapes.round_points("rings", 1).alias("r")).first()["r"][0]
+    assert [(p.x, p.y) for p in rounded] == [(0.1, 10.5), (1.0, 2.0)]
+    assert rg.with_united_holes(df).first()["rings"][0][0].z == 5.6789

@@ -19,6 +19,7 @@ from arealis.operators import dictionary
 from arealis.operators.moe_replicate import collapse
 from arealis.operators.names import best_matches
 from arealis.sources import rejects
+from arealis.streaming.keyed import KeyedTable, load_keyed
 from arealis.streaming.landing import latest, load_new
 
 PLACES = [
@@ -463,3 +464,63 @@ def test_uneven_rows_of_a_response(spark):
     docs = spark.createDataFrame([("a", '[["x","y"],["1","2"],["1","2","3"],["1"]]'), ("b", "{}"), ("c", "[]")], "path string, value string")
     got = [(r["path"], r["position"], r["row"]) for r in rejects.uneven_rows(docs).collect()]
     assert got == [("a", 1, ["1", "2", "3"]), ("a", 2, ["1"])]
+
+
+# --- a keyed table under a stream ----------------------------------------------------------------
+
+
+def keyed_rows(spark, rows, when):
+    df = spark.createDataFrame(rows, "id string, v string, position int")
+    return df.withColumn("path", F.lit("f")).withColumn("landed_at", F.lit(when).cast("timestamp"))
+
+
+def content_of(keyed):
+    return sorted((r["id"], r["v"]) for r in keyed.read().collect())
+
+
+def test_a_crash_between_two_writes_loses_and_doubles_nothing(spark, monkeypatch):
+    keyed = KeyedTable(spark, scratch_path(spark, "keyed"), ("id", "v"), ("id",), buckets=4)
+    first = keyed_rows(spark, [(str(i), "a", i) for i in range(50)], "2024-01-01")
+    second = keyed_rows(spark, [(str(i), "b", i) for i in range(40, 60)] + [("40", "c", 99), (None, "n", 1)], "2024-01-02")
+    assert content_of(keyed) == [] and keyed.merge(first, 0)
+    before = content_of(keyed)
+    assert before == sorted((str(i), "a") for i in range(50))
+
+    def crash(self, manifest):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as broken:
+        broken.setattr(KeyedTable, "_commit", crash)
+        with pytest.raises(RuntimeError):
+            keyed.merge(second, 1)
+    assert content_of(keyed) == before  # written, but not in the manifest
+    assert keyed.merge(second, 1) and not keyed.merge(second, 1)  # a rerun, and one after the commit
+    rows = keyed.read().collect()
+    want = {str(i): "a" for i in range(40)} | {str(i): "b" for i in range(40, 60)} | {"40": "c", None: "n"}
+    assert len(rows) == len(want) and {r["id"]: r["v"] for r in rows} == want
+    assert keyed.merge(keyed_rows(spark, [("40", "old", 0)], "2023-01-01"), 0, "other")
+    assert {r["id"]: r["v"] for r in keyed.read().collect()} == want  # landed earlier
+
+
+def test_a_keyed_table_is_read_without_a_shuffle(spark):
+    keyed = KeyedTable(spark, scratch_path(spark, "keyed"), ("id", "v"), ("id",), buckets=8)
+    keyed.merge(keyed_rows(spark, [(str(i), "a", i) for i in range(100)], "2024-01-01"), 0)
+    plan = keyed.read()._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Aggregate" not in plan
+    assert keyed.read().count() == 100
+
+
+def test_responses_into_a_keyed_table(spark):
+    doc = lambda *rows: json.dumps([["id", "v"], *rows])
+    landing = write(spark, "landing", doc(["1", "a"], ["2", "b"]))
+    keyed = KeyedTable(spark, scratch_path(spark, "keyed"), ("id", "v"), ("id",), buckets=4)
+    state, bad = scratch_path(spark, "state"), scratch_path(spark, "bad")
+    load_keyed(landing, keyed, state, bad).awaitTermination()
+    more = [(doc(["2", "new"], ["3", "c"]),), ('{"error": 1}',)]
+    spark.createDataFrame(more, "value string").repartition(2).write.mode("append").text(landing)
+    for _ in range(2):
+        load_keyed(landing, keyed, state, bad).awaitTermination()
+    assert content_of(keyed) == [("1", "a"), ("2", "new"), ("3", "c")]
+    assert [r["value"].strip() for r in spark.read.parquet(bad).collect()] == ['{"error": 1}']
+    with pytest.raises(Exception, match="no response table"):
+        load_keyed(write(spark, "landing", "<html>"), keyed, scratch_path(spark, "s"), stream="b").awaitTermination()

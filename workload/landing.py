@@ -10,6 +10,7 @@ from arealis.plans.table_query import table_query
 from arealis.session import scratch_path
 from arealis.sources import catalogue as cat
 from arealis.sources import codes, landed, rejects, replicates, responses
+from arealis.streaming.keyed import KeyedTable, load_keyed
 from arealis.streaming.landing import latest, load_new
 from workload.tables import (
     DICTIONARY_SQL,
@@ -266,15 +267,29 @@ def _(spark, sf):
     return pieces.read_responses(spark, path, RESPONSE_COLUMNS)
 
 
+def _drops(spark, sf):
+    """The first answers are stale; a later drop corrects every area, the last one repeats some."""
+    df = survey(spark, sf).where("level = 'tract'")
+    texts = response_texts(df)
+    stale = response_texts(df.withColumn("B001_001E", F.lit("0")).withColumn("NAME", F.lit("old")))
+    return stale.where(F.length("value") % 2 == 0), texts, texts.where(F.length("value") % 3 == 0)
+
+
 @query("responses_streamed", RESPONSE_SQL)
 def _(spark, sf):
-    df = survey(spark, sf).where("level = 'tract'")
+    landing, checkpoint = scratch_path(spark, "drops"), scratch_path(spark, "offsets")
+    kept = KeyedTable(spark, scratch_path(spark, "keyed"), tuple(RESPONSE_COLUMNS), ("state", "county", "tract"))
+    for drop in _drops(spark, sf):
+        drop.write.mode("append").text(landing)
+        load_keyed(landing, kept, checkpoint, per_line=True).awaitTermination()
+    return kept.read()
+
+
+@query("responses_appended", RESPONSE_SQL)
+def _(spark, sf):
     landing, target = scratch_path(spark, "drops"), scratch_path(spark, "target")
     checkpoint = scratch_path(spark, "offsets")
-    texts = response_texts(df)
-    stale = response_texts(df.withColumn("B001_001E", F.lit("0")).withColumn("NAME", F.lit("old")))
-    # the first answers are stale; a later drop corrects every area, the last one repeats some
-    for drop in (stale.where(F.length("value") % 2 == 0), texts, texts.where(F.length("value") % 3 == 0)):
+    for drop in _drops(spark, sf):
         drop.write.mode("append").text(landing)
         load_new(spark, landing, target, checkpoint, RESPONSE_COLUMNS, per_line=True).awaitTermination()
     return latest(spark.read.parquet(target), ["state", "county", "tract"])

@@ -270,6 +270,51 @@ def _(spark, sf):
     )
 
 
+@query(
+    "features_with_z",
+    """SELECT s_suppkey::varchar AS id, round(degrees(1000 * s_suppkey / 6378137.0), 6) AS lon,
+      round(degrees(2 * atan(exp(2000 / 6378137.0)) - pi() / 2), 6) AS lat, s_suppkey + 0.123456789e0 AS z, s_suppkey * 10.0e0 AS m, 1 AS points
+    FROM supplier""",
+)
+def _(spark, sf):
+    """Points with height and measure: simplified, reprojected and rounded."""
+    from arealis.sources import features
+    from workload.landing import land_text
+
+    key = F.col("s_suppkey")
+    number = lambda c: c.cast("double")
+    path = F.array(F.array(number(key * 1000), F.lit(2000.0), key + 0.123456789, number(key * 10)))
+    feature = F.struct(F.struct(key.cast("string").alias("id")).alias("attributes"), F.struct(F.array(path).alias("paths")).alias("geometry"))
+    layer = F.struct(
+        F.lit("esriGeometryPolyline").alias("geometryType"),
+        F.struct(F.lit(3857).alias("latestWkid")).alias("spatialReference"),
+        F.array(feature).alias("features"),
+    )
+    docs = table(spark, sf, "supplier").select(F.to_json(layer).alias("value"))
+    df = features.read_features(spark, land_text(docs, spark, "z"), {"id": "string"}, per_line=True, z=True, m=True)
+    moved = shapes.reproject(shapes.simplify("geometry.rings", 0.5, closed=False), 3857, 4326)
+    points = F.flatten(shapes.round_points(moved, 6))
+    first = F.get(points, F.lit(0))
+    return df.select("id", first["x"].alias("lon"), first["y"].alias("lat"), first["z"].alias("z"), first["m"].alias("m"), F.size(points).alias("points"))
+
+
+@query(
+    "conic_there_and_back",
+    f"""WITH {SHAPES_SQL} SELECT aid, round(ax / 8 - 125, 6) AS lon, round(ay / 20 + 25, 6) AS lat,
+      0.0e0 AS x FROM a""",
+)
+def _(spark, sf):
+    """Longitude and latitude through both conic systems and back; ``x`` is the largest error in metres, rounded."""
+    degrees = F.array(F.array(F.struct((F.col("x0") / 8 - 125).alias("x"), (F.col("y0") / 20 + 25).alias("y"))))
+    df = areas(spark, sf).select("aid", degrees.alias("d"))
+    there = df.withColumn("p", shapes.reproject("d", 4326, 5070))
+    lambert = there.withColumn("l", shapes.reproject("p", 5070, 102004))
+    back = lambert.withColumn("b", shapes.reproject("l", 102004, 5070)).withColumn("e", shapes.reproject("b", 5070, 4326))
+    first = lambda c: F.get(F.get(c, F.lit(0)), F.lit(0))
+    off = F.greatest(F.abs(first("b")["x"] - first("p")["x"]), F.abs(first("b")["y"] - first("p")["y"]))
+    return back.select("aid", F.round(first("e")["x"], 6).alias("lon"), F.round(first("e")["y"], 6).alias("lat"), F.round(off, 3).alias("x"))
+
+
 @query(
     "features_read_in_pieces",
     """SELECT s_suppkey::varchar AS "GEOID", s_name || ' {"attributes":{}},{' AS "NAME", 3857 AS srid,
