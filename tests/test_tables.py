@@ -9,9 +9,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from arealis.functions import ids, text
+from arealis.functions import ids, shapes, text
 from arealis.operators import dictionary as dct
-from arealis.operators import names, select
+from arealis.operators import names, select, spatial
 from arealis.plans.table_query import table_query
 from arealis.session import scratch_path
 from arealis.sources import catalogue, codes, features, landed, pieces, replicates, responses
@@ -524,3 +524,52 @@ def test_responses_into_a_keyed_table(spark):
     assert [r["value"].strip() for r in spark.read.parquet(bad).collect()] == ['{"error": 1}']
     with pytest.raises(Exception, match="no response table"):
         load_keyed(write(spark, "landing", "<html>"), keyed, scratch_path(spark, "s"), stream="b").awaitTermination()
+
+
+# --- layers by position -------------------------------------------------------------------------
+
+
+def test_a_box_query_skips_row_groups(spark):
+    """Of a thousand row groups a small box meets a few, by their statistics."""
+    import glob
+
+    import pyarrow.parquet as pq
+
+    ids_ = spark.range(40_000).select(
+        F.col("id"), (F.pmod(F.xxhash64("id"), F.lit(100_000)) / 100).alias("x"), (F.pmod(F.xxhash64("id", F.lit(1)), F.lit(100_000)) / 100).alias("y")
+    )
+    layer = ids_.select("id", F.array(shapes.box_rings(F.col("x"), F.col("y"), F.col("x") + 1, F.col("y") + 1)).alias("rings"))
+    path = scratch_path(spark, "layer")
+    landed.write_layer(layer, path, files=1000)
+    box = (200.0, 300.0, 260.0, 340.0)
+    groups = met = 0
+    for file in glob.glob(path + "/*.parquet"):
+        meta = pq.ParquetFile(file).metadata
+        for g in range(meta.num_row_groups):
+            stats = {}
+            for c in range(meta.num_columns):
+                column = meta.row_group(g).column(c)
+                if column.path_in_schema in ("xmin", "ymin", "xmax", "ymax"):
+                    stats[column.path_in_schema] = (column.statistics.min, column.statistics.max)
+            groups += 1
+            met += stats["xmin"][0] <= box[2] and stats["xmax"][1] >= box[0] and stats["ymin"][0] <= box[3] and stats["ymax"][1] >= box[1]
+    assert groups >= 900 and met < 0.05 * groups
+    found = spatial.areas_in_box(spark.read.parquet(path), box)
+    assert "LessThanOrEqual(xmin" in found._jdf.queryExecution().executedPlan().toString()
+    assert found.count() == spatial.areas_in_box(layer, box).count() > 50
+
+
+def test_layers_without_shapes_are_landed(spark):
+    empty = spark.createDataFrame([], "id int, rings array<array<struct<x:double,y:double>>>")
+    path = scratch_path(spark, "layer")
+    landed.write_layer(empty, path)
+    assert spark.read.schema("id int").parquet(path).count() == 0
+
+
+def test_curve_key_keeps_neighbours_together(spark):
+    df = spark.range(64).select((F.col("id") % 8).alias("x"), F.floor(F.col("id") / 8).alias("y"))
+    keyed = df.select("x", "y", landed.curve_key(F.col("x"), F.col("y"), (0, 0, 7, 7), bits=3).alias("k")).collect()
+    assert sorted(r["k"] for r in keyed) == list(range(64))
+    for r in keyed:
+        want = sum(((int(r["x"]) >> b) & 1) << (2 * b) | ((int(r["y"]) >> b) & 1) << (2 * b + 1) for b in range(3))
+        assert r["k"] == want

@@ -125,6 +125,21 @@ def _(spark, sf):
     return spatial.areas_in_box(areas(spark, sf), (90.5, 120.25, 240.5, 333.25)).select("aid", "w")
 
 
+@query(
+    "layer_clustered_by_position",
+    f"""WITH {SHAPES_SQL} SELECT aid, w, (aid % 3)::int AS part FROM a
+      WHERE ax <= 240.5 AND ay <= 333.25 AND ax + w >= 90.5 AND ay + w >= 120.25 AND aid % 3 < 2""",
+)
+def _(spark, sf):
+    from arealis.session import scratch_path
+    from arealis.sources import landed
+
+    path = scratch_path(spark, "layer")
+    landed.write_layer(areas(spark, sf).withColumn("part", F.col("aid") % 3), path, "part")
+    layer = spark.read.parquet(path).where("part < 2")
+    return spatial.areas_in_box(layer, (90.5, 120.25, 240.5, 333.25)).select("aid", "w", "part")
+
+
 @query(
     "triangles_meeting_box",
     f"""WITH {SHAPES_SQL} SELECT oid FROM o WHERE x0 <= 240.5 AND y0 <= 333.25 AND x0 + 100 >= 160.5 AND y0 + 100 >= 180.25
