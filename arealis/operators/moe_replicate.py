@@ -231,7 +231,8 @@ def finish(
         out = results.withColumn("moe", F.when(F.col("est") != 0, F.col("moe")))
     elif str(zeros).lower() in ("count", "prop"):
         if base is None or state is None or weights is None:
-            raise ValueError("base, state and weights are needed to correct zero estimates")
+            lacking = [n for n, v in (("base", base), ("state", state), ("weights", weights)) if v is None]
+            raise ValueError(f"zeros={zeros!r} also takes {', '.join(lacking)}")
         out = _correct_zeros(results, str(zeros).lower(), base, state, weights)
     else:
         raise ValueError("zeros must be 'count', 'prop' or False")

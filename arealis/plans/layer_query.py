@@ -86,6 +86,8 @@ class Layer:
             require_columns(df, fields)
         if return_distinct or not return_geometry or self.rings not in df.columns:
             out = df.select(*fields)
+            if return_distinct:
+                require_columns(out, _names(order_by))  # an order by what was left out has no meaning
             # distinct shuffles, so the order has to come after it
             return _ordered(out.distinct(), order_by) if return_distinct else out
         shape = F.col(self.rings)
@@ -123,12 +125,19 @@ class Layer:
         )
 
 
+def _listed(order_by: str | Sequence[str]) -> list[str]:
+    return [order_by] if isinstance(order_by, str) else list(order_by)
+
+
+def _names(order_by: str | Sequence[str]) -> list[str]:
+    return [name.strip().partition(" ")[0] for name in _listed(order_by)]
+
+
 def _ordered(df: DataFrame, order_by: Sequence[str]) -> DataFrame:
     if not order_by:
         return df
-    names = [order_by] if isinstance(order_by, str) else list(order_by)
     keys = []
-    for name in names:
+    for name in _listed(order_by):
         field, _, way = name.strip().partition(" ")
         keys.append(F.desc(field) if way.strip().lower() == "desc" else F.asc(field))
     return df.orderBy(*keys)

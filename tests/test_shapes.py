@@ -518,6 +518,26 @@ def test_conic_round_trips(spark, system):
         assert abs(p.x - q.x) < 1e-6 and abs(p.y - q.y) < 1e-6
 
 
+def test_layer_query_by_relation_and_distinct_order(spark):
+    from arealis.plans.layer_query import Layer
+
+    areas = {"in": [box(1, 1, 2, 2)], "on": [box(10, 2, 12, 5)], "over": [box(8, 8, 12, 12)], "out": [box(20, 20, 21, 21)]}
+    layer = Layer(table(spark, areas, "OBJECTID").withColumn("NAME", F.lit("n")))
+    shape = [box(0, 0, 10, 10)]
+
+    def of(geometry=shape, **options):
+        return {r["OBJECTID"] for r in layer.query(geometry=geometry, return_geometry=False, **options).collect()}
+
+    assert of() == of(spatial_rel="envelope_intersects") == {"in", "on", "over"}
+    assert of(spatial_rel="touches") == of((0, 0, 10, 10), spatial_rel="touches") == {"on"}
+    assert of(spatial_rel="overlaps") == of(spatial_rel="relation", relation_param="T*T***T**") == {"over"}
+    assert of(spatial_rel="relation", relation_param="T*F**F***") == of(spatial_rel="within") == {"in"}
+    with pytest.raises(ValueError):
+        of(spatial_rel="near")
+    with pytest.raises(ValueError, match="OBJECTID"):
+        layer.query(out_fields="NAME", return_distinct=True, order_by=["OBJECTID DESC"])
+
+
 def test_height_and_measure_survive(spark):
     df = spark.createDataFrame([(1, [[(0.123, 10.456, 5.6789, 7.0), (1.0, 2.0, None, 8.0)]])], "id int, rings array<array<struct<x:double,y:double,z:double,m:double>>>")
     for change in (shapes.round_points("rings", 1), shapes.reproject("rings", 4326, 3857), shapes.reproject("rings", 4326, 5070), shapes.simplify("rings", 0.1, closed=False)):
