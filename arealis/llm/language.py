@@ -38,6 +38,8 @@ SMOOTHING = 0.1
 #: Words whose scores one worker keeps before it starts afresh.
 KEPT = 1_500_000
 UNSEEN = 1e-8
+#: Letters of a word beyond which expectations are summed as logarithms.
+LONG = 60
 
 
 def vocabulary(path: str | None = None) -> list[str]:
@@ -109,7 +111,8 @@ class Lattice:
         for at in _by_length(words):
             ids = self.of([words[i] for i in at])
             n = ids.shape[1]
-            if n > 60:  # beyond what fits unscaled numbers; such words aren't language
+            if n > LONG:
+                out += self._expected_by_logs(ids, table[:, 0], times[at])
                 continue
             ahead = self.forward(ids, table)[0][:, :, 0]
             behind = np.zeros_like(ahead)
@@ -126,6 +129,27 @@ class Lattice:
         return out[: len(p)]
 
 
+    def _expected_by_logs(self, ids: np.ndarray, p: np.ndarray, times: np.ndarray) -> np.ndarray:
+        """The same for words so long that their probabilities fit no number: sums of logarithms."""
+        words, n, longest = ids.shape
+        with np.errstate(divide="ignore"):
+            cost = np.log(p)[ids]  # by word, end and length
+        ahead, behind = np.full((words, n + 1), -np.inf), np.full((words, n + 1), -np.inf)
+        ahead[:, 0] = behind[:, n] = 0.0
+        for end in range(1, n + 1):
+            k = np.arange(min(end, longest))
+            ahead[:, end] = np.logaddexp.reduce(ahead[:, end - 1 - k] + cost[:, end - 1, k], axis=1)
+        for start in range(n - 1, -1, -1):
+            k = np.arange(min(n - start, longest))
+            behind[:, start] = np.logaddexp.reduce(cost[:, start + k, k] + behind[:, start + k + 1], axis=1)
+        out = np.zeros(len(p))
+        for end in range(1, n + 1):
+            k = np.arange(min(end, longest))
+            use = np.exp(ahead[:, end - 1 - k] + cost[:, end - 1, k] + behind[:, [end]] - ahead[:, [n]]) * times[:, None]
+            out += np.bincount(ids[:, end - 1, k].ravel(), use.ravel(), len(out))
+        return out
+
+
 def _by_length(words: list[str], most: int = 2048) -> Iterator[np.ndarray]:
     """Positions of words of the same length, in bounded lots."""
     lengths = np.array([len(w) for w in words])
@@ -138,7 +162,11 @@ def _by_length(words: list[str], most: int = 2048) -> Iterator[np.ndarray]:
 
 
 def words_of(text: str | None) -> list[str]:
-    return WORD.findall(text.lower()) if text else []
+    """Runs of letters. Numerals that are no digits (², ½, ①) are no letters either."""
+    words = WORD.findall(text.lower()) if text else []
+    if all(map(str.isalpha, words)):
+        return words
+    return [run for w in words for run in "".join(c if c.isalpha() else " " for c in w).split()]
 
 
 @dataclass

@@ -75,3 +75,25 @@ def test_accuracy_on_held_out_rows(spark):
     true = {r.doc_id: r.lang for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
     rows = [r for r in language.op3_language_id(spark, sf).collect() if r.held_out]
     assert len(rows) > 20 and sum(true[r.doc_id] == r.lang_pred for r in rows) / len(rows) > 0.97
+
+
+def test_numerals_are_no_letters(spark):
+    assert language.words_of("² ½ ① Ⅻ x²y ٣") == ["x", "y"]
+    rows = [(i, "the cat sat on the mat" if i % 2 else "der hund und die katze", "en" if i % 2 else "de", "a", 1) for i in range(60)]
+    model = language.fit(spark.createDataFrame(rows, SCHEMA))
+    odd = spark.createDataFrame([(900, "² ½ ①", "en", "a", 1), (901, "the ½ cat", "de", "a", 1)], SCHEMA)
+    got = {r.doc_id: (r.lang_pred, r.score) for r in language.identify(odd, model, [F.col("doc_id")]).collect()}
+    assert got[900] == ("und", 0.0) and got[901][0] == "en"
+
+
+def test_very_long_words_teach():
+    """Expectations of a word of 5,000 letters: as many letters as it has, and those of short words by both ways."""
+    lattice = language.Lattice(sorted({"a", "b", "ab", "aba", "bb"}))
+    p = np.full(5, 0.2)
+    word = "ab" * 2500
+    uses = lattice.expected([word], np.array([2.0]), p)
+    assert np.isclose(sum(u * len(x) for u, x in zip(uses, lattice.pieces)), 2 * 5000)
+    short = ["abab", "bbab"]
+    table = np.append(p, [language.UNSEEN, 0.0])
+    by_logs = lattice._expected_by_logs(lattice.of(short), table, np.array([1.0, 3.0]))
+    assert np.allclose(by_logs[:5], lattice.expected(short, np.array([1.0, 3.0]), p))
