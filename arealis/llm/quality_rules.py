@@ -17,8 +17,7 @@ its statistic pass ``CUTOFF`` by itself: where a group has none, 15 % repeated w
 Defined results: a null or empty text has no words and fails the base rules; rows that fail the base
 rules are left out of the estimates; null languages and sources are groups of their own; texts of a group with
 fewer than ``LEAST_ROWS`` rows are judged by the estimates over all rows of their language, and those of a
-language with fewer by the estimates over all rows of the table. Texts without a language, if the table has fewer
-than ``LEAST_ROWS``, are judged among themselves, and not at all below half of that. Windows
+language with fewer by the estimates over all rows of the table; no language counts as one. Windows
 are compared by 64-bit hashes of their three words. Repeated rows count each; an empty table gives
 no rows; other columns are not read.
 """
@@ -225,10 +224,10 @@ def judge(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text")
     own = F.to_json(F.struct("lang", F.struct(F.col("source").alias("is")).alias("source")))
     language = F.to_json(F.struct("lang"))
     judged_by_own = F.coalesce(F.col("size") >= LEAST_ROWS, F.lit(False))
-    judged_by_language = F.coalesce(F.col("lang_size") >= LEAST_ROWS, F.lit(False)) | F.col("lang").isNull()
+    judged_by_language = F.coalesce(F.col("lang_size") >= LEAST_ROWS, F.lit(False))
     group = F.when(judged_by_own, own).when(judged_by_language, language).otherwise(F.lit(TABLE))
     rows = land(rows.withColumn("group", group), "vectors")
-    rare = bool(langs.where(f"lang IS NOT NULL AND lang_size < {LEAST_ROWS}").take(1))
+    rare = bool(langs.where(f"lang_size < {LEAST_ROWS}").take(1))
     groups = F.array_compact(
         F.array(
             F.when(judged_by_own, own),
@@ -238,8 +237,7 @@ def judge(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text")
     )
     vector = [f"x_{i}" for i in range(len(_vector()))]
     estimate = robust_scatter(rows.where("not base_failed").select(F.explode(groups).alias("group"), *vector))
-    no_language = F.col("group") == F.to_json(F.struct(F.lit(None).cast("string").alias("lang")))
-    found = _distance(rows, estimate.where(~no_language | (F.col("rows") >= LEAST_ROWS // 2)))
+    found = _distance(rows, estimate)
     return found.select(
         "id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "d2",
         (~F.col("base_failed") & (F.coalesce("d2", F.lit(0.0)) <= CUTOFF)).alias("kept"),
