@@ -10,6 +10,10 @@ the sample is the largest in which the fitted weight that so goes missing is at
 shrink the rest. The draw is a hash of the seed, the id and the text, so it doesn't depend on partitions or on
 a task that runs again.
 
+Fitting goes on until the marginals are met or come no nearer: contrary targets, or values that share no
+documents, can't all be met. What is left is told as ``gap``, the largest difference of a marginal's share from
+its target; ``reached`` compares, value by value, the fitted shares with those that the sample is expected to have.
+
 Targets are tables (value, share); by default a marginal's shares are tempered, share ** ``TEMPER``
 made to sum to 1, which lifts small sources and languages. A target value that no document has is
 left out and the others scaled up; documents of a value without a target are never sampled.
@@ -40,7 +44,8 @@ MARGINS = ("source", "lang", "topic")
 TOPICS = 8
 TEMPER = 0.5
 TOLERANCE = 1e-6
-MOST_ROUNDS = 40
+#: Fitting ends where the gap has not fallen to this part of itself over so many rounds.
+FALLING, OVER_ROUNDS = 0.95, 5
 #: Fitted weight that cells taken whole may lack where no budget is given.
 MISSING = 0.02
 #: Share of all tokens that a sample without a budget holds at least.
@@ -98,7 +103,7 @@ def tempered(cells: DataFrame, margin: str, power: float = TEMPER) -> DataFrame:
 
 
 def rake(cells: DataFrame, targets: dict[str, DataFrame] | None = None) -> DataFrame:
-    """``cells`` (source, lang, topic, tokens) with ``fitted``, whose marginals meet the targets."""
+    """``cells`` (source, lang, topic, tokens) with ``fitted``, whose marginals meet the targets, and ``gap``."""
     rows = cells.where("tokens > 0").withColumn("fitted", F.col("tokens").cast("double"))
     for margin in MARGINS:
         wanted = (targets or {}).get(margin) or tempered(cells, margin)
@@ -106,16 +111,20 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame] | None = None) -> DataF
         total = known.agg(F.sum("share")).first()[0] or 1.0
         share = known.select(F.col("value").alias(margin), (F.col("share") / total).alias(f"t_{margin}"))
         rows = land(rows.join(share, margin), "cells")
-    for _ in range(MOST_ROUNDS):
+    gaps: list[float] = []
+    while not gaps or (gaps[-1] >= TOLERANCE and not _stuck(gaps)):
         now = rows
         for margin in MARGINS:
             sums = now.groupBy(margin).agg(F.sum("fitted").alias("now"))
             scaled = F.when(F.col("now") > 0, F.col("fitted") * F.col(f"t_{margin}") / F.col("now")).otherwise(0.0)
             now = now.join(sums, margin).withColumn("fitted", scaled).drop("now")
         rows = land(now, "cells")
-        if _gap(rows) < TOLERANCE:
-            break
-    return rows.select(*MARGINS, "tokens", "fitted")
+        gaps.append(_gap(rows))
+    return rows.select(*MARGINS, "tokens", "fitted", F.lit(gaps[-1]).alias("gap"))
+
+
+def _stuck(gaps: list[float]) -> bool:
+    return len(gaps) > OVER_ROUNDS and gaps[-1] > FALLING * gaps[-1 - OVER_ROUNDS]
 
 
 def _gap(rows: DataFrame) -> float:
@@ -169,19 +178,32 @@ def _scale(weighted: DataFrame, total: float, budget: float | None) -> float:
 def probabilities(
     profile: DataFrame, targets: dict[str, DataFrame] | None = None, budget: float | None = None
 ) -> DataFrame:
-    """Cells with ``weight`` (fitted over own share) and ``probability``; ``budget``: tokens to expect."""
+    """Cells with ``weight`` (fitted over own share), ``probability`` and ``gap``; ``budget``: tokens to expect."""
     cells = land(profile.groupBy(*MARGINS).agg(F.sum("tokens").alias("tokens")), "cells")
     total = float(cells.agg(F.sum("tokens")).first()[0] or 1)
     weighted = land(rake(cells, targets).withColumn("weight", F.col("fitted") * total / F.col("tokens")), "weights")
     probability = F.least(F.lit(1.0), F.col("weight") * _scale(weighted, total, budget))
-    return weighted.select(*MARGINS, "weight", probability.alias("probability"))
+    return weighted.select(*MARGINS, "tokens", "fitted", "weight", probability.alias("probability"), "gap")
+
+
+def reached(weights: DataFrame) -> DataFrame:
+    """(margin, value, wanted, expected): shares that were fitted, and those of the expected sample."""
+    drawn = F.col("tokens") * F.col("probability")
+    total = weights.agg(F.sum(drawn)).first()[0] or 1.0
+    parts = [
+        weights.groupBy(F.lit(m).alias("margin"), F.col(m).alias("value")).agg(
+            F.sum("fitted").alias("wanted"), (F.sum(drawn) / F.lit(float(total))).alias("expected")
+        )
+        for m in MARGINS
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
 def sampled(
     docs: DataFrame, seed: int = 1, targets: dict[str, DataFrame] | None = None, budget: float | None = None
 ) -> DataFrame:
     """The rows of ``docs`` that are drawn, with its columns."""
-    weights = probabilities(profiled(docs, []), targets, budget)
+    weights = probabilities(profiled(docs, []), targets, budget).select(*MARGINS, "probability")
     carry = [F.col(f"`{c}`") for c in docs.columns] + [draw(seed)]
     names = [f"c{i}" for i in range(len(carry))]
     drawn = profiled(docs, carry).join(weights, list(MARGINS)).where(F.col(names[-1]) < F.col("probability"))
@@ -191,7 +213,7 @@ def sampled(
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     rows = land(profiled(docs, [F.col("doc_id"), F.col("source"), F.col("lang"), draw(1)]), "profile")
-    weights = probabilities(rows)
+    weights = probabilities(rows).drop("tokens", "fitted")
     return rows.join(weights, list(MARGINS), "left").select(
         F.col("c0").alias("doc_id"),
         F.col("c1").alias("source"),
@@ -201,6 +223,7 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.coalesce("weight", F.lit(0.0)).alias("weight"),
         F.coalesce("probability", F.lit(0.0)).alias("probability"),
         (F.col("c3") < F.coalesce("probability", F.lit(0.0))).alias("sampled"),
+        "gap",
     )
 
 

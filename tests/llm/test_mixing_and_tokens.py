@@ -52,6 +52,21 @@ def test_given_targets_and_probabilities(spark):
     assert sorted(r.doc_id for r in again.collect()) == sorted(r.doc_id for r in kept.collect())
 
 
+def test_contrary_targets_are_told(spark):
+    """All texts of a are English, all of b French; the targets want it the other way round."""
+    rows = [(i, "alpha beta gamma delta", "en" if i % 2 else "fr", "a" if i % 2 else "b", 1) for i in range(200)]
+    share = lambda **x: spark.createDataFrame([("=" + k, v) for k, v in x.items()], "value string, share double")
+    profile = mixing.profiled(table(spark, rows), [])
+    contrary = mixing.probabilities(profile, {"source": share(a=0.9, b=0.1), "lang": share(en=0.1, fr=0.9)})
+    assert {round(r.gap, 6) for r in contrary.collect()} == {0.8}
+    agreeing = mixing.probabilities(profile, {"source": share(a=0.9, b=0.1), "lang": share(en=0.9, fr=0.1)})
+    assert max(r.gap for r in agreeing.collect()) < mixing.TOLERANCE
+    told = {(r.margin, r.value): (r.wanted, r.expected) for r in mixing.reached(agreeing).collect()}
+    assert abs(told["source", "=a"][0] - 0.9) < 1e-9 and abs(sum(w for (m, _), (w, _) in told.items() if m == "lang") - 1) < 1e-9
+    # the cell of a is taken whole, so that the sample holds less of it than was wanted
+    assert 0.5 <= told["source", "=a"][1] <= 0.9
+
+
 def test_rare_cells_do_not_shrink_the_sample(spark):
     rows = [(i, "alpha beta gamma delta epsilon " * 20, "en" if i % 4 else "fr", "a" if i % 3 else "b", 1) for i in range(4000)]
     rare = [(9000, "some words " * 5, None, "a", 1), (9001, "some words " * 5, "en", None, 1)]
