@@ -1,6 +1,12 @@
 """A training corpus in five stages: quality, exact and near copies, mixing, packing.
 
-Each stage takes what its predecessor kept, written as Parquet and read again.
+Each stage takes what its predecessor kept, written as Parquet and read again. The rows that a stage keeps
+keep all their columns, whatever their names.
+
+Defined results of the stages. An empty table gives no rows. Null texts are empty texts. Texts of any
+length are read whole. A row without an id is judged like others by quality and mixing, is one of its equal
+texts for the exact stage, and stays in the near stage, where it is linked with nothing; packing keeps it. Rows that
+are repeated are equal texts. Ties: of equal texts the largest id stays, of near copies the smallest.
 """
 
 from __future__ import annotations
