@@ -149,13 +149,19 @@ def _lot(ids: list[int], texts: list[bytes], buckets: int) -> list[tuple[int, by
     for group in np.split(sent, np.flatnonzero(np.diff(bucket[sent])) + 1):
         if len(group):
             step = np.diff(doc[group], prepend=0)
-            columns = (step.tobytes(), at[group].astype("<i4").tobytes(), count[group].astype("<u2").tobytes())
+            columns = (
+                step.tobytes(), at[group].astype("<i4").tobytes(), count[group].astype("<u2").tobytes(),
+                (name[group] >> np.uint64(32)).astype("<u4").tobytes(),
+            )
             out.append((int(bucket[group[0]]), _packed(*columns, b"".join([keys[i] for i in group.tolist()]))))
     return out
 
 
-def _matches(doc: np.ndarray, at: np.ndarray, count: np.ndarray, raw: bytes) -> tuple[np.ndarray, ...]:
-    """(document, start, end) of all spans that a smaller document in the bucket has."""
+def _matches(doc: np.ndarray, at: np.ndarray, count: np.ndarray, name: np.ndarray, raw: bytes) -> tuple[np.ndarray, ...]:
+    """(document, start, end) of all spans that a smaller document in the bucket has.
+
+    ``name`` is half of a segment's name: what it brings together too much is told apart later.
+    """
     size = count + SPAN - 1
     stop = np.cumsum(size)
     place = stop - size
@@ -172,7 +178,7 @@ def _matches(doc: np.ndarray, at: np.ndarray, count: np.ndarray, raw: bytes) ->
     rest = np.flatnonzero(~gone)
     rest = rest[np.argsort(same[rest], kind="stable")]
     kinds_of_rest = same[rest]
-    for kind, low, high in _differing(raw, place[one], count[one], first, last, [keys[i] for i in one.tolist()]):
+    for kind, low, high in _differing(name[one], count[one], first, last, [keys[i] for i in one.tolist()]):
         here = slice(*np.searchsorted(kinds_of_rest, [kind, kind + 1]))
         for i in rest[here].tolist():
             found.append((np.repeat(doc[i], len(low)), at[i] + low, at[i] + high))
@@ -180,14 +186,9 @@ def _matches(doc: np.ndarray, at: np.ndarray, count: np.ndarray, raw: bytes) ->
 
 
 def _differing(
-    raw: bytes, place: np.ndarray, count: np.ndarray, first: np.ndarray, last: np.ndarray, keys: list[bytes]
+    name: np.ndarray, count: np.ndarray, first: np.ndarray, last: np.ndarray, keys: list[bytes]
 ) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """For distinct segments that share a string with another, smaller one: (segment, starts, ends) to remove."""
-    words = _words(np.frombuffer(raw, np.uint8))
-    grams = _grams(words)
-    name = grams[place]
-    for j in range(1, WINDOW):
-        name = np.minimum(name, grams[place + j])
     order = np.argsort(name, kind="stable")
     heads = np.flatnonzero(np.append(True, name[order][1:] != name[order][:-1]))
     low, high = np.minimum.reduceat(first[order], heads), np.maximum.reduceat(last[order], heads)
@@ -196,7 +197,9 @@ def _differing(
     rows = order[open_]
     if not len(rows):
         return
-    start = _spread(place[rows], count[rows])
+    words = _words(np.frombuffer(b"".join([keys[i] for i in rows.tolist()]), np.uint8))
+    size = count[rows] + SPAN - 1
+    start = _spread(np.cumsum(size) - size, count[rows])
     whole = words[start]
     for shift in (8, 16, 24, 32, 40, SPAN - 8):
         whole = _mixed(whole * _A + words[start + shift] * _B)
@@ -250,7 +253,7 @@ def _send(buckets: int):
 
 
 def _receive(table: pa.Table) -> pa.Table:
-    found, doc, at, count, raw = [], [], [], [], []
+    found, doc, at, count, name, raw = [], [], [], [], [], []
     for settled, blob in zip(table.column("settled").to_pylist(), table.column("blob"), strict=True):
         parts = _unpacked(blob.as_py())
         if settled:
@@ -259,9 +262,10 @@ def _receive(table: pa.Table) -> pa.Table:
             doc.append(np.cumsum(np.frombuffer(parts[0], np.int64)))
             at.append(np.frombuffer(parts[1], "<i4").astype(np.int64))
             count.append(np.frombuffer(parts[2], "<u2").astype(np.int64))
-            raw.append(parts[3])
+            name.append(np.frombuffer(parts[3], "<u4"))
+            raw.append(parts[4])
     if doc:
-        found.append(_matches(np.concatenate(doc), np.concatenate(at), np.concatenate(count), b"".join(raw)))
+        found.append(_matches(*map(np.concatenate, (doc, at, count, name)), b"".join(raw)))
     columns = [np.concatenate(x) for x in zip(*found, strict=True)]
     return pa.table(dict(zip(("id", "start", "end"), map(pa.array, columns), strict=True)))
 
