@@ -43,7 +43,7 @@ MARK = "▁"
 #: Characters of a window, and bytes after which a lot is full.
 WINDOW, LOT = 200_000, 600_000
 #: Words, and letters of words, whose ids one worker keeps before it starts afresh.
-KEPT, KEPT_LETTERS = 300_000, 10_000_000
+KEPT, KEPT_LETTERS = 600_000, 20_000_000
 #: Blanks behind a letter, with something behind them: both tokenizers start a token there.
 _CUT = re.compile(r"(?<=\S)(?= +[^ ])")
 #: A blank that follows other white space is no such place.
