@@ -123,20 +123,14 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     shingler = Shingler()
     for batch in batches:
-        sets = [shingler.of(t).tobytes() for t in batch.column(1).to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["id", "shingles"])
+        sets = [shingler.of(t).view(np.int64) for t in batch.column(1).to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["id", "shingles"])
 
 
-def _confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        left, right = (batch.column(i).to_pylist() for i in (2, 3))
-        keep = []
-        for x, y in zip(left, right, strict=True):
-            x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-            both = len(np.intersect1d(x, y, assume_unique=True))
-            keep.append(100 * both >= SIMILAR * (len(x) + len(y) - both))
-        mask = pa.array(keep, pa.bool_())
-        yield pa.RecordBatch.from_arrays([batch.column(i).filter(mask) for i in (0, 1)], names=["a", "b"])
+def _confirmed(x: str, y: str) -> F.Column:
+    """Whole sets are similar: 100 * intersection >= SIMILAR * union."""
+    both = F.size(F.array_intersect(x, y)).cast("long")
+    return (100 + SIMILAR) * both >= SIMILAR * (F.size(x) + F.size(y)).cast("long")
 
 
 def table_members(classes: DataFrame) -> DataFrame:
@@ -168,9 +162,8 @@ def _links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (a, b) whose whole sets are similar."""
     left = sets.select(F.col("id").alias("a"), F.col("shingles").alias("x"))
     right = sets.select(F.col("id").alias("b"), F.col("shingles").alias("y"))
-    both = pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y")
-    kinds = ", ".join(f"{n} {k}" for n, k in pairs.select("a", "b").dtypes)
-    return land(both.mapInArrow(_confirmed, kinds), "similar")
+    both = pairs.join(left, "a").join(right, "b")
+    return land(both.where(_confirmed("x", "y")).select("a", "b"), "similar")
 
 
 def near_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -200,7 +193,7 @@ def near_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
         texts.join(wanted, "id")
         .dropDuplicates(["id"])
         .select("id", "text")
-        .mapInArrow(_sets, f"id {kind}, shingles binary"),
+        .mapInArrow(_sets, f"id {kind}, shingles array<long>"),
         "sets",
     )
     stars = members.where("id != lead").select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct()
