@@ -25,6 +25,7 @@ Ring = Sequence[tuple[float, float]]
 _LOWEST, _HIGHEST = -20, 60  # cell levels: sides from 2^-20 to 2^60
 SALTS = 1  # copies of the smaller side, where splitting at run time is not enough
 BANDS = 4  # least number of bands of an outline
+SMALL = 5_000  # most shapes and edges of a side that is sent whole to every task
 
 #: Patterns of the nine intersections (interior, boundary and exterior of an area with those of an
 #: outline): T not empty, F empty, * either, a digit the dimension. Fixed values.
@@ -157,6 +158,15 @@ def _celled(df: DataFrame, others: Column, side: str) -> DataFrame:
     return out
 
 
+def _sized(df: DataFrame, small: bool) -> DataFrame:
+    """A side of a join, sent whole to the tasks only if its rows were counted.
+
+    The planner goes by the bytes of the files it reads: compressed, and before edges and cells are
+    unfolded. Left to itself it sends sides that take a hundred times that through the driver.
+    """
+    return df.hint("broadcast" if small else "merge")
+
+
 def box_pairs(
     left: DataFrame,
     right: DataFrame,
@@ -165,6 +175,7 @@ def box_pairs(
     points: bool = False,
     right_levels: Column | None = None,
     left_levels: Column | None = None,
+    small: str | None = None,
 ) -> DataFrame:
     """Pairs of rows whose closed boxes meet: ``(*on, left.*, right.*)``, each pair once.
 
@@ -173,7 +184,8 @@ def box_pairs(
     cell that holds the lower left corner of the overlap. The left side should be the
     larger one: it is salted, the right side is copied to each salt. ``points`` tells that
     the left boxes are points, whose level is known without looking; ``left_levels`` and
-    ``right_levels`` are those of the boxes, if they are known.
+    ``right_levels`` are those of the boxes, if they are known. ``small`` names a side, ``left`` or
+    ``right``, that has at most ``SMALL`` rows.
     """
     # the salt depends on the row alone, so a task that runs again sends it to the same place
     keys = [c for c in left.columns if c != "box"]
@@ -185,6 +197,10 @@ def box_pairs(
     copied = _celled(right, lowest, "r").selectExpr(
         "*", f"explode(sequence(0, {salts - 1})) AS _salt"
     )
+    if small == "left":
+        salted = _sized(salted, True)
+    else:
+        copied = _sized(copied, small == "right")
     joined = salted.join(copied, [*on, "_k", "_cx", "_cy", "_salt"])
     meet = """_l.xmin <= _r.xmax AND _r.xmin <= _l.xmax
         AND _l.ymin <= _r.ymax AND _r.ymin <= _l.ymax"""
@@ -248,10 +264,16 @@ def points_inside(
 
 
 def points_told(
-    pairs: DataFrame, bands: DataFrame, ids: Sequence[str], salts: int = SALTS, how: str = "left"
+    pairs: DataFrame,
+    bands: DataFrame,
+    ids: Sequence[str],
+    salts: int = SALTS,
+    how: str = "left",
+    small: bool = False,
 ) -> DataFrame:
     """The points of ``pairs``, as in :func:`points_inside`, and whether they are ``inside``;
-    with ``how`` inner only those that some edge tells about."""
+    with ``how`` inner only those that some edge tells about. ``small`` tells that the bands are those
+    of at most ``SMALL`` edges."""
     names = [c for c in pairs.columns if c not in ("right_box", "left_box", "bands")]
     keyed = pairs.select(
         *names,
@@ -262,7 +284,7 @@ def points_told(
     for c in (*ids, "band", "_salt"):
         copied = copied.withColumnRenamed(c, f"_of{c}")
     on = " AND ".join(f"{c} = _of{c}" for c in (*ids, "band", "_salt"))
-    met = keyed.join(copied, F.expr(f"{on} AND {shapes.crosses_ray_sql('e', 'x', 'y')}"), how)
+    met = keyed.join(_sized(copied, small), F.expr(f"{on} AND {shapes.crosses_ray_sql('e', 'x', 'y')}"), how)
     return met.groupBy(*names).agg((F.count("e") % 2 == 1).alias("inside"))
 
 
@@ -339,6 +361,16 @@ def _prepared(df: DataFrame, id_column: str, rings: str, key: str, wider: bool)
     return land(found, key.strip("_")).where("box.xmin IS NOT NULL")
 
 
+def _is_small(side: DataFrame) -> bool:
+    """Has the side, counted where it was written, at most ``SMALL`` shapes and edges?"""
+    return (side.agg(F.sum(F.size("es") + 1)).first()[0] or 0) <= SMALL
+
+
+def _small_side(left_small: bool, right_small: bool) -> str | None:
+    """The side that :func:`box_pairs` may send whole."""
+    return "right" if right_small else "left" if left_small else None
+
+
 def _levels(side: DataFrame) -> Column:
     """Distinct levels of the edges' boxes as a scalar subquery."""
     return side.select(F.explode("levels").alias("v")).agg(F.collect_set("v")).scalar()
@@ -353,17 +385,21 @@ def _bands_of(side: DataFrame, key: str) -> DataFrame:
     return _banded(flat, [key])
 
 
-def _part_points(side: DataFrame, other: DataFrame, key: str, other_key: str, salts: int) -> DataFrame:
+def _part_points(
+    side: DataFrame, other: DataFrame, key: str, other_key: str, salts: int, smalls: tuple[bool, bool]
+) -> DataFrame:
     """Pairs with the number of parts of ``side`` whose inner point lies in the other shape, and of all parts."""
     spots = side.select(
         key, F.expr("inline(transform(ps, (p, i) -> struct(size(ps) AS parts, i AS part, p.x, p.y)))")
     ).withColumn("box", F.expr(POINT_BOX))
-    near = box_pairs(spots, other.select(other_key, "bands", "box"), salts=salts, points=True)
-    told = points_told(near, _bands_of(other, other_key), [other_key], salts, "inner").where("inside")
+    near = box_pairs(
+        spots, other.select(other_key, "bands", "box"), salts=salts, points=True, small=_small_side(*smalls)
+    )
+    told = points_told(near, _bands_of(other, other_key), [other_key], salts, "inner", smalls[1]).where("inside")
     return told.groupBy(*_BOTH).agg(F.count("*").alias("held"), F.max("parts").alias("parts"))
 
 
-def _contacts(left: DataFrame, right: DataFrame, salts: int) -> DataFrame:
+def _contacts(left: DataFrame, right: DataFrame, salts: int, smalls: tuple[bool, bool]) -> DataFrame:
     """Pairs of edges that touch, one of an area (``a``) and one of an outline (``e``).
 
     ``t`` is where they cross, as a share of ``e``, ``u`` of ``a``. ``a1`` and ``a2`` tell that the ends
@@ -380,6 +416,7 @@ def _contacts(left: DataFrame, right: DataFrame, salts: int) -> DataFrame:
         salts=salts,
         left_levels=_levels(left),
         right_levels=_levels(right),
+        small=_small_side(*smalls),
     )
     steps = (
         ("e.x2 - e.x1 AS dx", "e.y2 - e.y1 AS dy", "a.x2 - a.x1 AS ax", "a.y2 - a.y1 AS ay",
@@ -457,11 +494,15 @@ def _pieces(touching: DataFrame, vertices: DataFrame, of: str) -> DataFrame:
     )
 
 
-def _ring_vertices(side: DataFrame, other: DataFrame, key: str, other_key: str, salts: int) -> DataFrame:
+def _ring_vertices(
+    side: DataFrame, other: DataFrame, key: str, other_key: str, salts: int, smalls: tuple[bool, bool]
+) -> DataFrame:
     """The first point of each ring, with the shapes of the other side whose box holds it."""
     first = "transform(filter(es, e -> e.i = 0), e -> named_struct('ring', e.ring, 'x', e.x1, 'y', e.y1))"
     points = side.selectExpr(key, f"inline({first})").withColumn("box", F.expr(POINT_BOX))
-    return box_pairs(points, other.select(other_key, "bands", "box"), salts=salts, points=True)
+    return box_pairs(
+        points, other.select(other_key, "bands", "box"), salts=salts, points=True, small=_small_side(*smalls)
+    )
 
 
 def relate(
@@ -502,18 +543,21 @@ def relate(
 
     left = _prepared(areas, area_id, area_rings, "_area", True)
     right = _prepared(outlines, outline_id, outline_rings, "_outline", False)
+    smalls = _is_small(left), _is_small(right)
     if relation in BY_BOX:
-        out = box_pairs(left.select("_area", "box"), right.select("_outline", "box"), salts=salts)
+        boxes = left.select("_area", "box"), right.select("_outline", "box")
+        out = box_pairs(*boxes, salts=salts, small=_small_side(*smalls))
     else:
-        contained = _part_points(left, right, "_area", "_outline", salts)
-        touching = _contacts(left, right, salts)
-        vertices = _ring_vertices(right, left, "_outline", "_area", salts)
+        contained = _part_points(left, right, "_area", "_outline", salts, smalls)
+        touching = _contacts(left, right, salts, smalls)
+        vertices = _ring_vertices(right, left, "_outline", "_area", salts, smalls[::-1])
         bands = _bands_of(left, "_area")
         if relation == "within":
-            entering = points_told(_pieces(touching, vertices, "e"), bands, ["_area"], salts, "inner").where("inside")
+            pieces = _pieces(touching, vertices, "e")
+            entering = points_told(pieces, bands, ["_area"], salts, "inner", smalls[0]).where("inside")
             out = contained.where("held = parts").join(entering, list(_BOTH), "left_anti")
         else:
-            held = points_told(vertices, bands, ["_area"], salts, "inner").where("inside")
+            held = points_told(vertices, bands, ["_area"], salts, "inner", smalls[0]).where("inside")
             out = touching.select(*_BOTH).unionByName(contained.select(*_BOTH)).unionByName(held.select(*_BOTH)).distinct()
     return out.select(F.col("_area.id").alias(area_id), F.col("_outline.id").alias(outline_id))
 
@@ -546,28 +590,31 @@ def relation_matrix(
     """
     left = _prepared(areas, area_id, area_rings, "_area", True)
     right = _prepared(outlines, outline_id, outline_rings, "_outline", False)
-    touching = land(_contacts(left, right, salts), "contacts")
+    smalls = _is_small(left), _is_small(right)
+    touching = land(_contacts(left, right, salts, smalls), "contacts")
     along = "(least(greatest(ta1, ta2), 1D) - greatest(least(ta1, ta2), 0D)) * le > 2 * tol"
     facts = [
         box_pairs(
             left.selectExpr("_area", "box", "n_rings AS area_rings", "size(ps) AS area_parts", "lone AS area_alone"),
             right.selectExpr("_outline", "box", "n_rings AS outline_rings", "size(ps) AS outline_parts", "lone AS outline_alone"),
             salts=salts,
+            small=_small_side(*smalls),
         ).drop("left_box", "right_box"),
         touching.groupBy(*_BOTH).agg(
             F.size(F.collect_set("a.ring")).alias("area_touch"),
             F.size(F.collect_set("e.ring")).alias("outline_touch"),
             F.max(F.expr(f"along_e AND {along}")).alias("shared"),
         ),
-        _part_points(left, right, "_area", "_outline", salts).select(*_BOTH, F.col("held").alias("area_held")),
-        _part_points(right, left, "_outline", "_area", salts).select(*_BOTH, F.col("held").alias("outline_held")),
+        _part_points(left, right, "_area", "_outline", salts, smalls).select(*_BOTH, F.col("held").alias("area_held")),
+        _part_points(right, left, "_outline", "_area", salts, smalls[::-1]).select(*_BOTH, F.col("held").alias("outline_held")),
     ]
-    for of, name, sides in (
-        ("e", "outline", (right, left, "_outline", "_area")),
-        ("a", "area", (left, right, "_area", "_outline")),
+    for of, name, sides, sizes in (
+        ("e", "outline", (right, left, "_outline", "_area"), smalls[::-1]),
+        ("a", "area", (left, right, "_area", "_outline"), smalls),
     ):
-        vertices = _ring_vertices(*sides, salts)
-        told = points_told(_pieces(touching, vertices, of), _bands_of(sides[1], sides[3]), [sides[3]], salts)
+        vertices = _ring_vertices(*sides, salts, sizes)
+        bands = _bands_of(sides[1], sides[3])
+        told = points_told(_pieces(touching, vertices, of), bands, [sides[3]], salts, small=sizes[1])
         facts.append(
             told.groupBy(*_BOTH).agg(
                 F.count_if(F.expr("i < 0 AND inside")).alias(f"{name}_rings_in"),

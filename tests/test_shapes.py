@@ -424,6 +424,30 @@ def test_no_ring_in_any_shuffle(spark, random_shapes):
             assert "rings" not in line and "es#" not in line
 
 
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("relation", ["within", "intersects", "contains", "overlaps", "envelope_intersects"])
+def test_only_sides_counted_small_go_through_the_driver(spark, random_shapes, monkeypatch, relation):
+    named, _ = random_shapes
+    areas, outlines = table(spark, named, "a"), table(spark, named, "o")
+    small = spatial.relate(areas, outlines, "a", "o", relation)
+    monkeypatch.setattr(spatial, "SMALL", 0, raising=False)
+    large = spatial.relate(areas, outlines, "a", "o", relation)
+    assert "BroadcastExchange" in _plan(small)
+    assert "BroadcastExchange" not in _plan(large)
+    assert sorted(large.collect()) == sorted(small.collect())
+
+
+def test_shells_of_all_features_do_not_go_through_the_driver(spark, tmp_path):
+    shells = {str(i): [box(i, 0, i + 9, 9), box(i + 1, 1, i + 3, 3)] for i in range(50)}
+    table(spark, shells).write.parquet(str(tmp_path / "shells"))  # a small file, however many rings it unfolds to
+    out = rg.shell_order(rg.ring_table(spark.read.parquet(str(tmp_path / "shells")), "id"), "id")
+    assert "BroadcastExchange" not in _plan(out)
+    assert {(r["ring"], r["holds"], r["rank"]) for r in out.collect()} == {(0, 1, 2), (1, 0, 1)}
+
+
 def test_edges_that_run_along_each_other_in_many_steps(spark):
     """The area's lower side has the outline's line in 400 steps, in other steps than the outline."""
     line = [(i * 0.37, (i * 0.37) * 0.21) for i in range(401)]
