@@ -151,11 +151,13 @@ def assemble(df: DataFrame, key: str, rings: str = "rings", repair: bool = True)
     Without ``repair`` holes belong to the last outer ring before them. With it, in
     features with several outer rings and holes, each goes to the innermost outer ring
     that contains it; holes of an outer ring that overlap are united, and a gap that they leave is
-    a part of its own. All rings of a feature lie in one row, so this is done in the row.
+    a part of its own. All rings of a feature lie in one row, so this is done in the row, after the rows
+    are dealt over the tasks by their key.
     """
-    rows = df.where(f"size({rings}) > 0").select(
-        key, F.size(rings).alias("_n"), F.expr(_parts_sql(rings, repair)).alias("_b")
-    )
+    some = df.select(key, F.col(rings).alias("_rings")).where("size(_rings) > 0")
+    if repair:  # features cost far more than their bytes, by which files are split
+        some = some.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
+    rows = some.select(key, F.size("_rings").alias("_n"), F.expr(_parts_sql("_rings", repair)).alias("_b"))
     kind = shapes.kind_of(F.col("_n"), F.col("_b.outers"))
     if not repair:
         return rows.select(key, kind.alias("kind"), "_b.parts")

@@ -175,6 +175,23 @@ def test_union_of_random_rings():
             assert even_odd(found, p) == any(even_odd([r], p) for r in rings)
 
 
+def test_union_in_small_blocks(monkeypatch):
+    rnd = random.Random(4)
+    many = [[star(rnd, rnd.uniform(0, 10), rnd.uniform(0, 10), rnd.uniform(1, 5), 9) for _ in range(5)] for _ in range(30)]
+    whole = [unions.union(rings) for rings in many]
+    monkeypatch.setattr(unions, "AT_ONCE", 7)
+    assert [unions.union(rings) for rings in many] == whole
+
+
+def test_features_of_one_file_are_assembled_in_many_tasks(spark):
+    flat = {str(i): [hole(2, 2, 5, 5), box(0, 0, 9, 9), hole(4, 4, 7, 7)] for i in range(100)}
+    one = table(spark, flat).coalesce(1)
+    parts = rg.assemble(one, "id").withColumn("task", F.spark_partition_id())
+    rows = parts.select("id", "task").collect()
+    assert len(rows) == 100
+    assert len({r["task"] for r in rows}) > 4
+
+
 # --- relations -----------------------------------------------------------------------------
 
 
