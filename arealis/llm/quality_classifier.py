@@ -34,6 +34,8 @@ RIDGE = 1e-3
 MOST_LABELS = 200_000
 BINS = 500
 ACCEPT = 0.3
+#: Rows whose texts and results a worker holds at once, beside the batch it is handed.
+PART = 256
 
 _BYTES = np.arange(256)
 
@@ -113,6 +115,13 @@ def fourier(rows: np.ndarray, centre: np.ndarray, spread: np.ndarray, seed: int
     return np.hstack([np.ones((len(rows), 1)), np.sqrt(2 / FEATURES) * np.cos(x @ w + b)])
 
 
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Slices of ``PART`` rows, so that a worker holds few texts and results beside the batch itself."""
+    for batch in batches:
+        for start in range(0, max(1, len(batch)), PART):
+            yield batch.slice(start, PART)
+
+
 def _rows(column: pa.Array) -> np.ndarray:
     return np.array(column.to_pylist(), float).reshape(len(column), -1)
 
@@ -122,7 +131,7 @@ def text_statistics(docs: DataFrame, carry: list[Column], text_column: str = "te
     rows = docs.select(*carry, content(text_column).alias("stats"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _parts(batches):
             *kept, text = batch.columns
             stats = pa.array([statistics(t) for t in text.to_pylist()], pa.list_(pa.float64()))
             yield pa.RecordBatch.from_arrays([*kept, stats], names=batch.schema.names)
@@ -225,7 +234,7 @@ def accepted(docs: DataFrame, model: Model, text_column: str = "text") -> DataFr
     at = docs.columns.index(text_column)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _parts(batches):
             texts = batch.column(at).to_pylist()
             stats = np.array([statistics(t or "") for t in texts]).reshape(len(texts), STATISTICS)
             yield batch.filter(pa.array(model.scores(stats) >= ACCEPT, pa.bool_()))

@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from arealis.llm import quality_classifier as q
@@ -168,3 +169,19 @@ def test_held_out_accuracy(spark):
     assert all(held_out(r.doc_id, 5, 0) for r in rows)
     assert len(rows) > 40 and sum(r.predicted == label[r.doc_id] for r in rows) / len(rows) > 0.95
     assert content("text") is not None
+
+
+def test_a_worker_holds_few_texts_at_once():
+    class Docs:
+        columns, schema = ["doc_id", "text"], None
+
+        def mapInArrow(self, run, schema):
+            return run
+
+    nothing = np.zeros(0)
+    model = q.Model(nothing, nothing, nothing, nothing, nothing)  # accepts all
+    batch = pa.RecordBatch.from_arrays([pa.array(range(1000)), pa.array(["a b"] * 1000)], names=["doc_id", "text"])
+    empty = batch.slice(0, 0)
+    out = list(q.accepted(Docs(), model)(iter([batch, empty])))
+    assert [i for b in out for i in b.column(0).to_pylist()] == list(range(1000))
+    assert max(map(len, out)) <= 256
