@@ -72,7 +72,8 @@ def shell_order(rings: DataFrame, key: str) -> DataFrame:
     held = _containers(outer, outer, key).groupBy(key, F.col("shell").alias("ring")).agg(
         F.count("*").alias("holds")
     )
-    counted = outer.select(key, "ring").join(held, [key, "ring"], "left")
+    # as many as there are rings: the bytes of their counts would pass for few
+    counted = outer.select(key, "ring").join(held.hint("merge"), [key, "ring"], "left")
     holds = F.coalesce("holds", F.lit(0)).alias("holds")
     rank = F.row_number().over(Window.partitionBy(key).orderBy("holds", "ring"))
     return counted.select(key, "ring", holds).withColumn("rank", rank)

@@ -555,7 +555,7 @@ def relate(
         if relation == "within":
             pieces = _pieces(touching, vertices, "e")
             entering = points_told(pieces, bands, ["_area"], salts, "inner", smalls[0]).where("inside")
-            out = contained.where("held = parts").join(entering, list(_BOTH), "left_anti")
+            out = contained.where("held = parts").join(_sized(entering, False), list(_BOTH), "left_anti")
         else:
             held = points_told(vertices, bands, ["_area"], salts, "inner", smalls[0]).where("inside")
             out = touching.select(*_BOTH).unionByName(contained.select(*_BOTH)).unionByName(held.select(*_BOTH)).distinct()
@@ -697,7 +697,7 @@ def spatial_filter(
         near = areas_in_box(df, box, BY_BOX[0], rings)
         outline = one.withColumn("_one", F.lit(0))
         pairs = relate(near, outline, key, "_one", relation, rings, "rings", pattern=pattern)
-        return near.join(pairs.select(key).distinct(), key, "left_semi")
+        return near.join(_sized(pairs.select(key).distinct(), False), key, "left_semi")
     near = areas_in_box(df, box, "within" if relation == "within" else "intersects", rings)
     return near.where(stands(relation, rings, known))
 
@@ -759,4 +759,4 @@ def areas_within(
     """Areas that lie within any of the outlines, each once."""
     named = outlines.select(F.col(outline_id).alias("_of"), rings)
     hits = relate(areas, named, area_id, "_of", "within", rings, rings)
-    return areas.join(hits.select(area_id), area_id, "left_semi")
+    return areas.join(_sized(hits.select(area_id), False), area_id, "left_semi")

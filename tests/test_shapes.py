@@ -465,6 +465,26 @@ def test_shells_of_all_features_do_not_go_through_the_driver(spark, tmp_path):
     assert {(r["ring"], r["holds"], r["rank"]) for r in out.collect()} == {(0, 1, 2), (1, 0, 1)}
 
 
+def test_what_grows_with_the_areas_is_not_sent_to_all_tasks_at_run_time_either(spark, monkeypatch):
+    """Joins whose sides turn out small when they run: results of joins, and counts of rings."""
+    shells = {str(i): [box(i, 0, i + 9, 9), box(i + 1, 1, i + 3, 3)] for i in range(50)}
+    areas, outlines = table(spark, shells, "a"), table(spark, {"p": [box(0, 0, 30, 30), hole(4, 4, 6, 6)]}, "o")
+    monkeypatch.setattr(spatial, "SMALL", 0)
+    named = outlines.select(F.col("o").alias("_of"), "rings")
+    found = [
+        spatial.relate(areas, outlines, "a", "o", "within"),
+        spatial.areas_within(areas, named, "a", "_of"),
+        spatial.spatial_filter(spark, areas, "a", [box(0, 0, 30, 30)], "overlaps"),
+        rg.shell_order(rg.ring_table(areas, "a"), "a"),
+    ]
+    counts = []
+    for df in found:
+        executed = df._jdf.queryExecution().executedPlan()
+        counts.append(len(executed.executeCollectPublic()))
+        assert "BroadcastExchange" not in executed.toString().split("Initial Plan")[0]
+    assert counts == [16, 16, 8, 100]
+
+
 def test_edges_that_run_along_each_other_in_many_steps(spark):
     """The area's lower side has the outline's line in 400 steps, in other steps than the outline."""
     line = [(i * 0.37, (i * 0.37) * 0.21) for i in range(401)]
