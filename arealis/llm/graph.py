@@ -42,3 +42,16 @@ def components(edges: DataFrame) -> DataFrame:
         before, state = state, _state(now)
     ends = now.select(F.col("u").alias("id"), F.col("v").alias("component"))
     return ends.unionByName(now.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct())
+
+
+def linked(found: DataFrame, edges: DataFrame) -> DataFrame:
+    """The components ``found`` of earlier edges after further ones (a, b): (id, component).
+
+    Only the components are linked anew, not their members, so there are few edges and rounds.
+    """
+    ends = [found.select(F.col("id").alias(end), F.col("component").alias(f"_{end}")) for end in "ab"]
+    named = edges.join(ends[0], "a", "left").join(ends[1], "b", "left")
+    new = components(named.select(F.coalesce("_a", "a").alias("a"), F.coalesce("_b", "b").alias("b")))
+    moved = new.select(F.col("id").alias("component"), F.col("component").alias("to"))
+    known = found.join(moved, "component", "left").select("id", F.coalesce("to", "component").alias("component"))
+    return known.unionByName(new.join(found.select("id"), "id", "left_anti"))

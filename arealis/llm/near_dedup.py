@@ -9,7 +9,9 @@ dropped before pairs are formed.
 Texts with equal sets are one class from the start. In a table's bucket every class is compared with
 the smallest one (a star). In buckets that still show several components, classes outside the largest are
 compared with one member of it, a few times over, and in the last turn with all classes of other components. So a group of copies costs links in proportion to its size, and no link
-between components is lost. A pair goes on to its whole sets if its sizes allow the similarity and at
+between components is lost. There a pair also needs room for its intersection: hashes fall into ``BLOCKS``
+blocks, and the lesser of both sets' counts, summed over the blocks, is at least the size of the intersection.
+A pair goes on to its whole sets if its sizes allow the similarity and at
 least ``LEAST_EQUAL`` of its 64 minhashes agree (at similarity 0.75 fewer agree once in 5 million). For that
 16 bits of each minhash are kept, a quarter of the bytes: unequal ones that look equal let a pair through to
 its sets. Landed steps are emptied once nothing reads them.
@@ -31,7 +33,7 @@ from pyspark.sql import functions as F
 
 from arealis.llm import common
 from arealis.llm.common import content, documents, release
-from arealis.llm.graph import components
+from arealis.llm.graph import components, linked
 
 WORDS = 5
 BANDS = 16
@@ -41,6 +43,8 @@ LEAST_EQUAL = 31
 SIMILAR = 75
 #: Turns on buckets that show several components; the last one leaves no pair out.
 TURNS = 5
+#: Blocks (a power of two) in which the hashes of a set are counted.
+BLOCKS = 128
 #: Word hashes one task keeps before it starts afresh.
 KEPT = 300_000
 #: Bytes of texts or sets that a worker is handed at once.
@@ -100,6 +104,13 @@ def half_keys(sig: np.ndarray) -> np.ndarray:
     return (out ^ (out >> np.uint64(29))).view(np.int64)
 
 
+def block_counts(shingles: np.ndarray) -> np.ndarray | None:
+    """Number of hashes in each block, by their highest bits; None if some block has more than 127."""
+    blocks = shingles.view(np.uint64) >> np.uint64(65 - BLOCKS.bit_length())
+    counts = np.bincount(blocks.astype(np.int64), minlength=BLOCKS)
+    return counts.astype(np.int8) if counts.max() <= 127 else None
+
+
 def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     shingler = Shingler()
     for batch in batches:
@@ -124,7 +135,8 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     shingler = Shingler()
     for batch in batches:
         sets = [shingler.of(t).view(np.int64) for t in batch.column(1).to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["id", "shingles"])
+        columns = [batch.column(0), pa.array(sets, pa.list_(pa.int64())), pa.array(map(block_counts, sets), pa.list_(pa.int8()))]
+        yield pa.RecordBatch.from_arrays(columns, names=["id", "shingles", "blocks"])
 
 
 def _confirmed(x: str, y: str) -> F.Column:
@@ -158,6 +170,13 @@ def _alike(a: str, b: str) -> F.Column:
     return sizes & (equal >= LEAST_EQUAL)
 
 
+def _room(a: str, b: str) -> F.Column:
+    """The counts of two sets by block allow the similarity; true where a set has no counts."""
+    least = F.zip_with(f"{a}.blocks", f"{b}.blocks", lambda x, y: F.least(x, y).cast("long"))
+    most = F.aggregate(least, F.lit(0).cast("long"), lambda total, x: total + x)
+    return F.coalesce((100 + SIMILAR) * most >= SIMILAR * (F.col(f"{a}.n") + F.col(f"{b}.n")), F.lit(True))
+
+
 def _links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (a, b) whose whole sets are similar."""
     left = sets.select(F.col("id").alias("a"), F.col("shingles").alias("x"))
@@ -193,7 +212,7 @@ def near_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
         texts.join(wanted, "id")
         .dropDuplicates(["id"])
         .select("id", "text")
-        .mapInArrow(_sets, f"id {kind}, shingles array<long>"),
+        .mapInArrow(_sets, f"id {kind}, shingles array<long>, blocks array<tinyint>"),
         "sets",
     )
     stars = members.where("id != lead").select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct()
@@ -205,20 +224,21 @@ def near_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     )
     links = _links(stars, sets)
     found = land(components(links), "components")
+    release(links)
     for turn in range(TURNS):
         still = _open_rows(members, found)
         if still.isEmpty():
             break
         if turn < TURNS - 1:
-            links = links.unionByName(_links(_against_one(still, classes, turn), sets))
+            links = _links(_against_one(still, classes, turn), sets)
             release(still)
         else:
-            told = land(still.join(classes, "id"), "open")
+            told = land(still.join(classes, "id").join(sets.select("id", "blocks"), "id"), "open")
             release(still)
-            links = links.unionByName(_links(_between(told), sets))
+            links = _links(_between(told), sets)
             release(told)
-        last, found = found, land(components(links), "components")
-        release(last)
+        last, found = found, land(linked(found, links), "components")
+        release(last, links)
     release(members, sets)
 
     by_class = first.join(found, F.col("first") == F.col("id"), "left").select(
@@ -259,16 +279,17 @@ def _against_one(rows: DataFrame, classes: DataFrame, turn: int) -> DataFrame:
 
 
 def _between(rows: DataFrame) -> DataFrame:
-    """Pairs of one bucket of ``rows`` (with sizes and minhashes) that are in different components, each once.
+    """Pairs of one bucket of ``rows`` (with sizes, minhashes and counts by block) that are in different components, each once.
 
     One end is always outside the main component, so a bucket that is one component, however large,
     gives none. Of the tables in which a pair meets only the one with the smallest half keys counts.
     """
     s, t = rows.where("component != main").alias("s"), rows.alias("t")
+    possible = _alike("s", "t") & _first_meeting("s", "t") & _room("s", "t")
     # a pair of two outer rows is met from the larger id only
     order = (F.col("t.component") == F.col("t.main")) | (F.col("s.id") > F.col("t.id"))
     met = (F.col("s.key") == F.col("t.key")) & (F.col("s.component") != F.col("t.component")) & order
-    return s.join(t, met & _alike("s", "t") & _first_meeting("s", "t")).select(
+    return s.join(t, met & possible).select(
         F.col("s.id").alias("a"), F.col("t.id").alias("b")
     )
 

@@ -1,7 +1,7 @@
 import random
 
 from arealis.llm import near_dedup
-from arealis.llm.graph import components
+from arealis.llm.graph import components, linked
 from tests.llm.helpers import ODD, SCHEMA, near_components, shingles, table
 
 
@@ -63,6 +63,20 @@ def test_components(spark):
     assert got == {x: root(x) for x in parent}
 
 
+def test_components_after_further_edges(spark):
+    """In steps as at once; the further edges are linked between components, not between all their members."""
+    rnd = random.Random(5)
+    steps = [[(rnd.randrange(300), rnd.randrange(300)) for _ in range(n)] for n in (90, 1, 60, 0, 50)]
+    steps[1] = [(7, 7)]
+    frames = [spark.createDataFrame(s, "a long, b long") for s in steps]
+    found = components(frames[0])
+    for more in frames[1:]:
+        found = linked(found, more)
+    want = {r.id: r.component for r in components(spark.createDataFrame(sum(steps, []), "a long, b long")).collect()}
+    got = found.collect()
+    assert len(got) == len(want) and {r.id: r.component for r in got} == want
+
+
 def test_one_large_and_many_single_components_in_a_bucket(spark):
     """Copies that differ in a word, and texts that share their passages with them but not enough to be linked."""
     rnd = random.Random(6)
@@ -85,3 +99,32 @@ def test_half_keys_tell_bands_apart():
     assert len(set(near_dedup.half_keys(sig).tolist())) == 2 * near_dedup.BANDS
     same = near_dedup.half_keys(np.full(near_dedup.HASHES, 7, np.int64))
     assert len(set(same.tolist())) == 2 * near_dedup.BANDS
+
+
+def test_sets_too_far_apart_give_no_pairs_in_the_last_turn(spark, monkeypatch):
+    """A large group, and texts with three quarters of its passage: their pairs have like minhashes, but no room."""
+    rnd = random.Random(8)
+    base = [f"w{i}" for i in range(150)]
+    rows = [(i, " ".join([*base[:i], f"x{i}", *base[i + 1 :]]), "en", "a", 1) for i in range(60)]
+    for i in range(60):
+        text = list(base)
+        for at in rnd.sample(range(0, 150, 15), 8):  # some 40 of 146 shingles are others: similarity 0.57
+            text[at] = f"y{i}q{at}"
+        rows.append((1000 + i, " ".join(text), "en", "a", 1))
+    met = []
+    whole = near_dedup._between
+    monkeypatch.setattr(near_dedup, "_between", lambda told: met.append((told.count(), whole(told).count())) or whole(told))
+    check(spark, rows, False)
+    assert met[0][0] > 1000 and met[0][1] < 600
+
+
+def test_room_is_never_less_than_the_intersection():
+    import numpy as np
+
+    rnd = np.random.default_rng(2)
+    for size in (1, 5, 150, 3000):
+        x, own = (np.unique(rnd.integers(0, 2**64 - 1, size, np.uint64)) for _ in range(2))
+        y = np.unique(np.concatenate([x[: size - size // 5], own[: size // 5]]))
+        room = np.minimum(*(near_dedup.block_counts(z.view(np.int64)).astype(int) for z in (x, y))).sum()
+        assert len(np.intersect1d(x, y)) <= room <= min(len(x), len(y))
+    assert near_dedup.block_counts(np.zeros(128, np.int64)) is None
