@@ -573,3 +573,25 @@ def test_curve_key_keeps_neighbours_together(spark):
     for r in keyed:
         want = sum(((int(r["x"]) >> b) & 1) << (2 * b) | ((int(r["y"]) >> b) & 1) << (2 * b + 1) for b in range(3))
         assert r["k"] == want
+
+
+def test_replicate_files_are_written_from_one_scan(spark, monkeypatch):
+    from workload import landing
+
+    written = []
+    monkeypatch.setattr(landing.replicates, "write_replicates", lambda df, path: written.append(df))
+    landing.land_replicates(spark, "/root/testdata/sf0.001")
+    plan = written[0]._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 1
+    rows = written[0].groupBy("geoid", "state").count().collect()
+    of_one = {(r["geoid"], r["state"]): r["count"] for r in rows if r["geoid"] in (None, "1")}
+    assert of_one[None, "01"] == of_one["1", "01"] > 0 and len(of_one) == 2
+
+
+def test_weights_of_a_class_are_those_of_the_formula(spark):
+    from workload.tables import weighted_replicates
+
+    classes = spark.range(-96, 97).selectExpr("cast(id AS int) AS class").unionByName(spark.sql("SELECT cast(null AS int) AS class"))
+    formula = "transform(sequence(1, 80), r -> est * (1.5D - ((class + r * 7) % 97) % 2))"
+    both = classes.withColumn("est", F.lit(3.25)).selectExpr(f"{weighted_replicates()} AS a", f"{formula} AS b")
+    assert both.count() == 194 and both.where("NOT a <=> b").isEmpty()

@@ -362,10 +362,10 @@ def land_replicates(spark, sf):
             "state": text(F.col("geoid").cast("long") % 5, 2),
         }
     )
-    # a row without an id, as the files carry for their notes
-    note = df.where("geoid = '1'").withColumn("geoid", F.lit(None).cast("string"))
+    # a row without an id, as the files carry for their notes; not a union, which would sum everything twice
+    noted = F.when(F.col("geoid") == "1", F.array("geoid", F.lit(None))).otherwise(F.array("geoid"))
     path = scratch_path(spark, "replicates")
-    replicates.write_replicates(df.unionByName(note), path)
+    replicates.write_replicates(df.withColumn("geoid", F.explode(noted)), path)
     return path
 
 

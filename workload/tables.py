@@ -84,9 +84,20 @@ def replicate_lines(spark: SparkSession, sf_dir: str, *keys: Column) -> DataFram
     classes = line.groupBy(*keys, mix.cast("int").alias("class")).agg(
         F.sum("l_quantity").alias("est")
     )
-    reps = "transform(sequence(1, 80), r -> est * (1.5D - ((class + r * 7) % 97) % 2)) AS reps"
     names = [c for c in classes.columns if c not in ("class", "est")]
-    return classes.select(*names, "est", F.expr(reps))
+    return classes.select(*names, "est", F.expr(f"{weighted_replicates()} AS reps"))
+
+
+def weighted_replicates() -> str:
+    """``est`` times the 80 weights of its ``class``.
+
+    The weights of the classes from 0 on are runs of one constant array, as 7 * 14 = 1 modulo 97: so only the
+    products are worked out in each row. Others (negative keys, none) take the formula itself.
+    """
+    formula = "transform(sequence(1, 80), r -> est * (1.5D - ((class + r * 7) % 97) % 2))"
+    weights = ", ".join(f"{1.5 - 7 * i % 97 % 2}D" for i in range(97 + 80))
+    run = f"transform(slice(array({weights}), class * 14 % 97 + 2, 80), w -> est * w)"
+    return f"if(class >= 0, {run}, {formula})"
 
 
 def replicate_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -100,9 +111,9 @@ def replicate_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_returnflag").alias("variable"),
     )
     sums = mr.collapse(lines, ["geoid", "variable"])
-    moe = mr.replicate_moe(F.col("est"), F.col("reps"))
-    return sums.select(
-        "geoid", "variable", "est", moe.alias("moe"), (moe / 1.645).alias("se"), "reps"
+    with_moe = sums.withColumn("moe", mr.replicate_moe(F.col("est"), F.col("reps")))
+    return with_moe.select(
+        "geoid", "variable", "est", "moe", (F.col("moe") / 1.645).alias("se"), "reps"
     )
 
 
