@@ -225,20 +225,26 @@ def near_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     links = _links(stars, sets)
     found = land(components(links), "components")
     release(links)
+    still = None
     for turn in range(TURNS):
-        still = _open_rows(members, found)
-        if still.isEmpty():
-            break
+        if still is None:
+            still = _open_rows(members, found)
+            if still.isEmpty():
+                break
         if turn < TURNS - 1:
             links = _links(_against_one(still, classes, turn), sets)
-            release(still)
         else:
             told = land(still.join(classes, "id").join(sets.select("id", "blocks"), "id"), "open")
-            release(still)
             links = _links(_between(told), sets)
             release(told)
-        last, found = found, land(linked(found, links), "components")
+        if links.isEmpty():  # nothing is linked anew: the open rows stay for the next turn
+            release(links)
+            continue
+        release(still)
+        last, found, still = found, land(linked(found, links), "components"), None
         release(last, links)
+    if still is not None:
+        release(still)
     release(members, sets)
 
     by_class = first.join(found, F.col("first") == F.col("id"), "left").select(

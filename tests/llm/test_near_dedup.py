@@ -128,3 +128,25 @@ def test_room_is_never_less_than_the_intersection():
         room = np.minimum(*(near_dedup.block_counts(z.view(np.int64)).astype(int) for z in (x, y))).sum()
         assert len(np.intersect1d(x, y)) <= room <= min(len(x), len(y))
     assert near_dedup.block_counts(np.zeros(128, np.int64)) is None
+
+
+def test_turns_without_links_link_nothing_anew(spark, monkeypatch):
+    """Two texts that share buckets but are too far apart: the turns find nothing and leave the components alone."""
+    words = [f"w{i}" for i in range(100)]
+    other = [f"x{i}" if i in (20, 40, 60, 80) else w for i, w in enumerate(words)]
+    rows = [(1, " ".join(words)), (2, " ".join(other)), (3, " ".join(other) + " end")]
+    calls = {"linked": 0, "turns": 0}
+
+    def counted(name, f):
+        def run(*args):
+            calls[name] += 1
+            return f(*args)
+
+        return run
+
+    monkeypatch.setattr(near_dedup, "linked", counted("linked", near_dedup.linked))
+    monkeypatch.setattr(near_dedup, "_against_one", counted("turns", near_dedup._against_one))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r["id"]: r["component_id"] for r in near_dedup.near_groups(docs).collect()}
+    assert found == {1: 1, 2: 2, 3: 2}
+    assert calls == {"linked": 0, "turns": near_dedup.TURNS - 1}
