@@ -38,7 +38,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from arealis.llm.common import documents, land
+from arealis.llm.common import Recent, documents, land
 
 MARGINS = ("source", "lang", "topic")
 TOPICS = 8
@@ -50,21 +50,15 @@ FALLING, OVER_ROUNDS = 0.95, 5
 MISSING = 0.02
 #: Share of all tokens that a sample without a budget holds at least.
 LEAST = 0.25
-#: Words whose topic one task keeps before it starts afresh.
-KEPT = 2_000_000
 
 
-class Topics(dict):
-    def __missing__(self, word: str) -> int:
-        vote = xxhash.xxh64_intdigest(word.lower()) % TOPICS if len(word) >= 5 and word.isalpha() else TOPICS
-        self[word] = vote
-        return vote
+class Topics(Recent):
+    def made(self, word: str) -> int:
+        return xxhash.xxh64_intdigest(word.lower()) % TOPICS if len(word) >= 5 and word.isalpha() else TOPICS
 
     def of(self, text: str | None) -> tuple[int, int]:
         """Topic and number of words."""
         words = (text or "").split()
-        if len(self) > KEPT:
-            self.clear()
         votes = np.bincount(np.fromiter(map(self.__getitem__, words), np.int64, len(words)), minlength=TOPICS + 1)
         return int(votes[:TOPICS].argmax()), len(words)
 

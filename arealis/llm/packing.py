@@ -44,31 +44,37 @@ def pieces(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = WordBpe.of(path)
-        for batch in batches:
-            at, number, crc, size, kept = [], [], [], [], []
-            for i, text in enumerate(batch.column(1).to_pylist()):
-                ids = bpe.ids(text) + end
-                for k, start in enumerate(range(0, len(ids), 4 * capacity)):
-                    part = ids[start : start + 4 * capacity]
-                    at.append(i)
-                    number.append(k)
-                    size.append(len(part) // 4)
-                    crc.append(zlib.crc32(part))
-                    if with_ids:
-                        kept.append(np.frombuffer(part, "<i4"))
-            piece = pa.array(number, pa.int32())
-            columns = [
-                batch.column(0).take(pa.array(at, pa.int64())),
-                piece,
-                pa.array(np.array(number, np.int64) * capacity),
-                pa.array(size, pa.int64()),
-                pa.array(crc, pa.int64()),
-            ]
-            names = ["doc_id", "piece", "start", "length", "ids_crc32"]
-            if with_ids:
-                columns.append(pa.array(kept, pa.list_(pa.int32())))
-                names.append("ids")
-            yield pa.RecordBatch.from_arrays(columns, names=names)
+        try:
+            for batch in batches:
+                yield cut(bpe, batch)
+        finally:
+            bpe.forget()  # workers outlive their tasks
+
+    def cut(bpe: WordBpe, batch: pa.RecordBatch) -> pa.RecordBatch:
+        at, number, crc, size, kept = [], [], [], [], []
+        for i, text in enumerate(batch.column(1).to_pylist()):
+            ids = bpe.ids(text) + end
+            for k, start in enumerate(range(0, len(ids), 4 * capacity)):
+                part = ids[start : start + 4 * capacity]
+                at.append(i)
+                number.append(k)
+                size.append(len(part) // 4)
+                crc.append(zlib.crc32(part))
+                if with_ids:
+                    kept.append(np.frombuffer(part, "<i4"))
+        piece = pa.array(number, pa.int32())
+        columns = [
+            batch.column(0).take(pa.array(at, pa.int64())),
+            piece,
+            pa.array(np.array(number, np.int64) * capacity),
+            pa.array(size, pa.int64()),
+            pa.array(crc, pa.int64()),
+        ]
+        names = ["doc_id", "piece", "start", "length", "ids_crc32"]
+        if with_ids:
+            columns.append(pa.array(kept, pa.list_(pa.int32())))
+            names.append("ids")
+        return pa.RecordBatch.from_arrays(columns, names=names)
 
     rows = docs.select(F.col(f"`{id_column}`").alias("doc_id"), content(text_column).alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()

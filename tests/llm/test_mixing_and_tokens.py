@@ -98,6 +98,15 @@ def test_odd_rows(spark):
     assert sorted(r.tokens for r in profile.collect()) == sorted(len((t or "").split()) for _, t, *_ in ODD)
 
 
+def test_few_words_are_kept():
+    topics, all_words = mixing.Topics(), mixing.Topics()
+    topics.kept = 50
+    for i in range(200):
+        text = f"common words word{chr(97 + i % 26) * (i // 26 + 1)} {'z' * i} letters{i}"
+        assert topics.of(text) == all_words.of(text)
+        assert len(topics) + len(topics.older) <= 50 and "common" in {*topics, *topics.older}
+
+
 def test_empty(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert mixing.sampled(empty).count() == 0

@@ -4,6 +4,7 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 from tokenizers import Tokenizer
 
 from arealis.llm import packing
@@ -88,3 +89,27 @@ _WHOLE.encode_special_tokens = True
 
 def whole_fast(text):
     return _WHOLE.encode(text, add_special_tokens=False).ids
+
+
+def test_few_chunks_are_kept():
+    bpe = WordBpe(tokenizer_path())
+    chunks = bpe.chunks
+    chunks.kept = 60
+    for i in range(400):
+        text = f"common word{i}, Other{i}x " + "long" * 40 + f"{i}."
+        assert np.frombuffer(bpe.ids(text), "<u4").tolist() == whole_fast(text)
+        held = {**chunks.older, **chunks}
+        assert len(held) <= 60 and "common" in held and max(map(len, held)) <= chunks.longest
+    bpe.forget()
+    assert not chunks and not chunks.older
+
+
+def test_workers_hold_no_chunks_after_their_tasks(spark):
+    def held(batches):
+        for batch in batches:
+            n = sum(len(b.chunks) for b in WordBpe._made.values())
+            yield pa.RecordBatch.from_arrays([pa.array([n] * len(batch), pa.int64())], names=["n"])
+
+    rows = [(i, f"some words of text{i}", "en", "a", 1) for i in range(200)]
+    assert packing.pack(table(spark, rows)).count() == 200
+    assert spark.range(0, 64, 1, 64).mapInArrow(held, "n long").groupBy().sum("n").first()[0] == 0
